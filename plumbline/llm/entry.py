@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from plumbline.llm import chat, media, mixing, packing, quality, token_counts, url_filter
+from plumbline.llm import chat, jaccard, media, mixing, packing, quality, token_counts, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_pack_documents": packing.op5_pack_documents,
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_format_chats": chat.op7_format_chats,
     "op8_quality_rules": quality.op8_quality_rules,
     "op10_media_columns": media.op10_media_columns,
