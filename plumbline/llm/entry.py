@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import chat, jaccard, media, mixing, packing, quality, token_counts, url_filter
+from plumbline.llm import chat, jaccard, media, mixing, ngram_lm, packing, quality, token_counts, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_format_chats": chat.op7_format_chats,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_lm_score": ngram_lm.op9_lm_score,
     "op10_media_columns": media.op10_media_columns,
 }
 ORACLE = {
