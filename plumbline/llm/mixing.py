@@ -8,8 +8,8 @@ into about sqrt(n) ranges whose summed sizes are prefix-summed, and only the ran
 
 Defined results: null texts have size 0 and are taken like any other; a null source is a source of its own, the last;
 repeated rows count and are taken one by one; equal keys are ordered by document; the last document that is begun is
-taken whole if at least half of it fits, so a source misses its target by at most half of one document; an empty table
-gives an empty table; columns named like the results are replaced by them.
+taken whole if at least half of it fits, so a source misses its target by at most half of one document; an empty table gives an empty table; other
+columns are ignored (mix_sources) or kept (mixed_documents).
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import checked_broadcast, materialise, n_words, table, unit
 
-RESULTS = ("size", "source_size", "target", "copies", "taken")
-
 
 def quality_weight(text: Column) -> Column:
     """The share of letters and white space among the characters, at least 0.05."""
@@ -46,35 +44,76 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, c
     return own.withColumn("target", F.least(F.col("most"), F.col("weight") * level)).select("source", "n", "quality", "source_size", "target")
 
 
+def _keyed(docs: DataFrame, source: str, text: str, doc_id: str) -> DataFrame:
+    """docs with __source, __size, __quality, __tie and __key."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    own = docs.withColumns({"__source": F.col(source), "__size": n_words(body), "__quality": quality_weight(body), "__tie": F.xxhash64(F.col(doc_id), F.col(source), body)})
+    return own.withColumn("__key", -F.ln(unit(F.lit("mix"), F.col("__tie"))) / F.col("__quality"))
+
+
+class _Plan:
+    """Targets by source, the part of the keys in which each source's budget ends, and who is taken there.
+
+    rows: doc_id and the columns of _keyed. The plan's own columns begin with __p_ and clash with no document's.
+    """
+
+    def __init__(self, rows: DataFrame, weights: tuple[float, ...], share: float, cap: float):
+        sizes = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count("*").alias("n"), F.avg("__quality").alias("quality"))
+        targets = source_targets(sizes, weights, share, cap).withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
+        targets = targets.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("parts", F.ceil(F.sqrt("n")))
+        self.targets = materialise(targets.select(*[F.col(c).alias(f"__p_{c}") for c in targets.columns]), "targets")
+        inner = Window.partitionBy("__source").orderBy("__p_part").rowsBetween(Window.unboundedPreceding, -1)
+        sums = self.placed(rows).groupBy("__source", "__p_part", "__p_rest").agg(F.sum("__size").alias("size")).withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0)))
+        edge = sums.where((F.col("before") < F.col("__p_rest")) & (F.col("before") + F.col("size") >= F.col("__p_rest")))
+        edge = edge.groupBy(F.col("__source").alias("of")).agg(F.min("__p_part").alias("__p_edge"), F.min_by("before", "__p_part").alias("__p_before"))
+        # A source without an edge has no rest: none of its parts starts below it.
+        self.targets = materialise(self.targets.join(edge, F.col("__p_source").eqNullSafe(F.col("of")), "left").drop("of"), "targets")
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """rows with their source's plan and __p_part, which grows with the key; parts hold about as many rows each."""
+        out = rows.join(checked_broadcast(self.targets), F.col("__source").eqNullSafe(F.col("__p_source")))
+        return out.withColumn("__p_part", F.floor((1.0 - F.exp(-F.col("__key") * F.col("__p_quality"))) * F.col("__p_parts")).cast("long"))
+
+    @staticmethod
+    def at_edge(placed: DataFrame) -> DataFrame:
+        """The rows of the parts in which budgets end, sorted by key: __more is 1 where half of the row still fits."""
+        order = Window.partitionBy("__source").orderBy("__key", "doc_id", "__tie").rowsBetween(Window.unboundedPreceding, 0)
+        upto = F.col("__p_before") + F.sum("__size").over(order) - F.col("__size") / 2
+        return placed.where(F.col("__p_part") == F.col("__p_edge")).withColumn("__more", (upto <= F.col("__p_rest")).cast("long"))
+
+    @staticmethod
+    def apart(placed: DataFrame) -> DataFrame:
+        """All other rows: taken below the edge."""
+        below = F.coalesce(F.col("__p_part") < F.col("__p_edge"), F.lit(False))
+        return placed.where(F.col("__p_edge").isNull() | (F.col("__p_part") != F.col("__p_edge"))).withColumn("__more", below.cast("long"))
+
+
+def _planned(docs: DataFrame, weights, share, cap, source, text, doc_id) -> tuple[_Plan, DataFrame]:
+    rows = _keyed(docs, source, text, doc_id).select(F.col(doc_id).alias("doc_id"), "__source", "__size", "__quality", "__tie", "__key")
+    rows = materialise(rows, "mix")
+    return _Plan(rows, weights, share, cap), rows
+
+
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken for each row of docs."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    weight = quality_weight(body)
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(body).alias("size"), weight.alias("quality"), F.xxhash64(F.col(doc_id), F.col(source), body).alias("tie"))
-    own = own.withColumn("key", -F.ln(unit(F.lit("mix"), F.col("tie"))) / F.col("quality"))
-    own = materialise(own, "mix")
-    sizes = own.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), F.avg("quality").alias("quality"))
-    targets = materialise(source_targets(sizes, weights, share, cap).withColumnRenamed("source", "of").withColumnRenamed("quality", "mean_quality"), "targets")
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    joined = own.join(checked_broadcast(targets), F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("epochs", epochs)
-    joined = joined.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    # Falls as the key grows and is close to uniform, so that equal parts of it hold about as many documents.
-    parts = F.ceil(F.sqrt("n"))
-    joined = joined.withColumn("part", F.floor((1.0 - F.exp(-F.col("key") * F.col("mean_quality"))) * parts).cast("long"))
-    inner = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = joined.groupBy("source", "part", "rest").agg(F.sum("size").alias("part_size")).withColumn("before", F.coalesce(F.sum("part_size").over(inner), F.lit(0)))
-    edge = sums.where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("part_size") >= F.col("rest")))
-    edge = materialise(edge.groupBy(F.col("source").alias("of")).agg(F.min("part").alias("edge"), F.min_by("before", "part").alias("before")), "edges")
-    joined = joined.join(checked_broadcast(edge), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
-    # Without an edge the rest is nothing (rest 0: no part starts below it).
-    sure = F.coalesce(F.col("part") < F.col("edge"), F.lit(False))
-    at_edge = joined.where(F.col("part") == F.col("edge"))
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "tie")
-    upto = F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2
-    at_edge = at_edge.withColumn("more", (upto <= F.col("rest")).cast("long"))
-    apart = joined.where(F.col("edge").isNull() | (F.col("part") != F.col("edge"))).withColumn("more", sure.cast("long"))
-    out = apart.unionByName(at_edge).withColumn("copies", F.col("epochs") + F.col("more"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "tie")
+    plan, rows = _planned(docs, weights, share, cap, source, text, doc_id)
+    placed = plan.placed(rows)
+    copies = F.col("__p_epochs") + F.col("__more")
+    out = plan.apart(placed).unionByName(plan.at_edge(placed))
+    return out.select("doc_id", F.col("__source").alias("source"), F.col("__size").alias("size"), F.col("__p_source_size").alias("source_size"), F.col("__p_target").alias("target"), copies.alias("copies"), (copies * F.col("__size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of docs, each as often as the mix takes it. Texts aren't shuffled: the plan is joined to them.
+
+    Rows that are equal in id, source and text are taken alike, as often as the one of them that is taken most.
+    """
+    plan, rows = _planned(docs, weights, share, cap, source, text, doc_id)
+    edge = materialise(plan.at_edge(plan.placed(rows)).groupBy(F.col("__tie").alias("__p_tie")).agg(F.max("__more").alias("__more")), "edge")
+    placed = plan.placed(_keyed(docs, source, text, doc_id)).join(checked_broadcast(edge), F.col("__tie") == F.col("__p_tie"), "left")
+    more = F.when(F.col("__p_part") == F.col("__p_edge"), F.coalesce("__more", F.lit(0))).otherwise(F.coalesce(F.col("__p_part") < F.col("__p_edge"), F.lit(False)).cast("long"))
+    copies = (F.col("__p_epochs") + more).cast("int")
+    return placed.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
