@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -278,14 +279,14 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         put(root, f"count-{shard}.npy", count)
         top = np.sort(np.argsort(-count, kind="stable")[: 4 * shards])
         end = int(count[h == END].sum())
-        return pa.table({"shard": pa.array([shard], pa.int32()), "n": [len(h)], "tokens": [int(count.sum())], "docs": [end], "top": [top.tolist()], "top_counts": [count[top].tolist()]})
+        return pa.table({"shard": pa.array([shard], pa.int32()), "n": [len(h)], "tokens": [int(count.sum())], "docs": [end], "top": pa.array([top.tolist()], pa.list_(pa.int64())), "top_counts": pa.array([count[top].tolist()], pa.list_(pa.int64()))})
 
     every = spark.range(shards).select(F.lit(0).alias("kind"), F.col("id").cast("int").alias("shard"), F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("counts"))
 
     def by_shard(runs: DataFrame, f, schema: str) -> list:
         """A row a shard, also for shards without runs."""
         def g(keys: tuple, rows: pa.Table) -> pa.Table:
-            return f(keys, rows.filter(pa.compute.is_valid(rows["keys"])))
+            return f(keys, rows.filter(pc.is_valid(rows["keys"])))
 
         return materialise(runs.unionByName(every).groupBy("shard").applyInArrow(g, schema), "shards").orderBy("shard").collect()
 
@@ -312,7 +313,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         follow = np.zeros((3, size), np.uint32)
         stats, after, n = np.zeros((len(model.frequent), 3), np.int64), [], np.zeros(4, np.int64)
         for kind in (0, 1):
-            rows = runs.filter(pa.compute.equal(runs["kind"], kind))
+            rows = runs.filter(pc.equal(runs["kind"], kind))
             key, count = merge_runs(list(zip(rows["keys"].to_pylist(), rows["counts"].to_pylist(), strict=True)))
             put(root, f"pair-{kind}-{shard}.npy", key)
             put(root, f"paircount-{kind}-{shard}.npy", count.astype(np.uint32))
@@ -329,12 +330,12 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         v, times = np.unique(np.concatenate(after), return_counts=True)
         out = run_batch(v, times, (np.zeros(len(v), np.int64), model.shard_of_id(v.astype(np.int64))))
         none = lambda k, t: pa.nulls(k, t)
-        own = {"shard": none(1, pa.int32()), "kind": none(1, pa.int32()), "keys": none(1, pa.binary()), "counts": none(1, pa.binary()), "pairs": pa.array([base]), "n": pa.array([n.tolist()]), "stats": pa.array([stats.ravel().tolist()], pa.list_(pa.int64()))}
+        own = {"shard": none(1, pa.int32()), "kind": none(1, pa.int32()), "keys": none(1, pa.binary()), "counts": none(1, pa.binary()), "pairs": pa.array([base]), "n": pa.array([n.tolist()], pa.list_(pa.int64())), "stats": pa.array([stats.ravel().tolist()], pa.list_(pa.int64()))}
         runs_out = {"shard": out["shard"], "kind": out["kind"], "keys": out["keys"], "counts": out["counts"], "pairs": none(len(out), pa.int64()), "n": none(len(out), pa.list_(pa.int64())), "stats": none(len(out), pa.list_(pa.int64()))}
         return pa.concat_tables([pa.table(own), pa.table(runs_out)])
 
     pairs = own.mapInArrow(count_pairs, CHUNK).unionByName(every)
-    merged = materialise(pairs.groupBy("shard").applyInArrow(lambda k, t: merge_pairs(k, t.filter(pa.compute.is_valid(t["keys"]))), "shard int, kind int, keys binary, counts binary, pairs long, n array<long>, stats array<long>"), "pairs")
+    merged = materialise(pairs.groupBy("shard").applyInArrow(lambda k, t: merge_pairs(k, t.filter(pc.is_valid(t["keys"]))), "shard int, kind int, keys binary, counts binary, pairs long, n array<long>, stats array<long>"), "pairs")
     heads = merged.where("pairs is not null")
     head = heads.select(F.sum("pairs"), *[F.sum(F.col("n")[k]) for k in range(4)]).first()
     # One row a frequent word (4 a shard at most, and the start).
