@@ -56,7 +56,7 @@ def repeat_words(ws: Column) -> Column:
         at = F.array_sort(F.transform(run, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
         def twice(s: Column) -> Column:
-            hit = F.filter(s, lambda x, i: (F.get(s["h"], i - 1) == x["h"]) | (F.get(s["h"], i + 1) == x["h"]))
+            hit = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
             return let(F.array_sort(F.transform(hit, lambda x: x["i"])), lambda p: F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3)))), F.lit(0), lambda a, b: a + b))
 
         return F.when(F.size(F.array_distinct(run)) == F.size(run), F.lit(0)).otherwise(let(at, twice))
