@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import table
-from plumbline.llm.tokens import WordEncoder, default_vocabulary, slices
+from plumbline.llm.tokens import default_vocabulary, encoder, slices
 
 #: Documents and ids that are packed together at most (a document with more ids stands alone).
 WINDOW_DOCS, WINDOW_IDS = 16384, 4 << 20
@@ -129,13 +129,13 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 1, doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, at = WordEncoder(path), TaskContext.get().partitionId() << 40
+        words, at = encoder(path), TaskContext.get().partitionId() << 40
         keys: list[pa.Array] = []
         ids: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
         for whole in batches:
             for batch in slices(whole, 1):
-                flat, offsets = encoder.ragged(batch.column(1))
+                flat, offsets = words.ragged(batch.column(1))
                 lengths = np.diff(offsets)
                 out = np.full(len(flat) + len(lengths), end_id, dtype="<u4")
                 out[np.arange(len(flat)) + np.repeat(np.arange(len(lengths)), lengths)] = flat
