@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import table
-from plumbline.llm.tokens import WordEncoder, default_vocabulary, slices
+from plumbline.llm.common import materialise, table
+from plumbline.llm.tokens import default_vocabulary, encoder, slices
 
 #: Lengths in a block of the suffix sums, so that no task sums more than a block or the blocks.
 BLOCK = 4096
@@ -25,17 +25,17 @@ def length_histogram(docs: DataFrame, text: str = "text", vocabulary: str | None
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        words = encoder(path)
         seen: dict[int, int] = {}
         for whole in batches:
             for batch in slices(whole, 0):
-                lengths, counts = np.unique(np.diff(encoder.ragged(batch.column(0))[1]), return_counts=True)
+                lengths, counts = np.unique(np.diff(words.ragged(batch.column(0))[1]), return_counts=True)
                 for n, c in zip(lengths.tolist(), counts.tolist(), strict=True):
                     seen[n] = seen.get(n, 0) + c
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["n_tokens", "n_docs"])
 
     parts = docs.select(F.col(text).alias("text")).mapInArrow(run, "n_tokens long, n_docs long")
-    return parts.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    return materialise(parts.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "lengths")
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
