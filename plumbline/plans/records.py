@@ -77,7 +77,7 @@ def required_gap(t: Tables):
     need = t.spark.range(50).select(F.col("id").cast("int").alias("code"))
     every = g.select("student").distinct().join(F.broadcast(need), F.lit(True))
     state = F.when(F.col("passed"), "passed").when(F.col("now"), "in_progress").when(F.col("attempts") > 0, "failed").otherwise("missing")
-    return every.join(have, ["student", "code"], "left").select("student", "code", F.coalesce("attempts", F.lit(0)).alias("attempts"), state.alias("state"))
+    return every.join(have, ["student", "code"], "left").select("student", F.col("code").cast("long").alias("code"), F.coalesce("attempts", F.lit(0)).alias("attempts"), state.alias("state"))
 
 
 @query("A11", "SELECT p_name AS name, count(*) AS k FROM part GROUP BY 1 HAVING count(*) > 1")
@@ -219,7 +219,7 @@ def population_counts(t: Tables):
 def rankings(t: Tables):
     """Statistics and a ranking by brand (a row a brand is ranked)."""
     sums = t.part.groupBy(F.col("p_brand").alias("brand")).agg(F.count("*").alias("k"), F.sum("p_size").alias("total"), X.score_label(F.max("p_size") * 2).alias("label"))
-    return sums.withColumn("place", F.rank().over(Window.orderBy(F.col("total").desc())))
+    return sums.withColumn("place", F.rank().over(Window.orderBy(F.col("total").desc())).cast("long"))
 
 
 @query("J12 X05 X06 X07 X08 X09 X10 X11 O03 O13", """WITH v AS (SELECT p_partkey AS id, p_size AS capacity, p_partkey % 53 AS enrolled, CAST(p_partkey % 100 AS DOUBLE) / 10 AS rating, CAST(p_partkey % 101 AS DOUBLE) AS pct, p_partkey % 30 AS n,
@@ -292,7 +292,7 @@ def top_balances(t: Tables):
     """The twenty highest balances, numbered."""
     order = [F.col("balance").desc(), F.col("id")]
     top = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance")).orderBy(*order).limit(20)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 @query("O08 O09 S34 S35 T09", "SELECT o_orderkey AS id, o_totalprice AS price, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS total, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') > 150 AS has_more FROM orders WHERE o_orderstatus = 'O' ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 100")
@@ -307,7 +307,7 @@ def sorted_by_spec(t: Tables):
     """Places by a client's sort specification."""
     rows = t.orders.join(t.lineitem.select("l_orderkey", "l_returnflag").distinct(), F.col("o_orderkey") == F.col("l_orderkey"))
     order = K.sort_by(rows, "price(desc)", {"price": ["o_totalprice", F.col("o_orderkey")], "id": ["o_orderkey"]})
-    return rows.select(F.col("l_returnflag").alias("flag"), F.col("o_orderkey").alias("id"), F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order)).alias("place"))
+    return rows.select(F.col("l_returnflag").alias("flag"), F.col("o_orderkey").alias("id"), F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order)).cast("long").alias("place"))
 
 
 @query("O16 O06 F08 F05", """SELECT o_orderkey AS id, CASE WHEN o_orderdate > TIMESTAMP '1996-06-01' THEN 'upcoming' ELSE 'started' END AS timing,
@@ -320,4 +320,4 @@ def timing_rank_sort(t: Tables):
     at = F.unix_timestamp("o_orderdate")
     order = [F.when(up, 0).otherwise(1), F.when(up, at).otherwise(-at), F.col("o_orderkey")]
     top = t.orders.orderBy(*order).limit(100)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(*order))).select(F.col("o_orderkey").alias("id"), F.when(up, "upcoming").otherwise("started").alias("timing"), "place")
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long")).select(F.col("o_orderkey").alias("id"), F.when(up, "upcoming").otherwise("started").alias("timing"), "place")

@@ -91,7 +91,7 @@ def unified_search(t: Tables):
 @query("C01 C18", f"SELECT doc_id, md5({_md('text')}) AS mark, length({_md('text')}) AS chars FROM documents")
 def markdown_strip(t: Tables):
     c = S.strip_markdown(F.col("text"))
-    return t.documents.select("doc_id", F.md5(F.encode(c, "UTF-8")).alias("mark"), F.length(c).alias("chars"))
+    return t.documents.select("doc_id", F.md5(F.encode(c, "UTF-8")).alias("mark"), F.length(c).cast("long").alias("chars"))
 
 
 _HTML = "regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)>', ' ', 'g'), '(?i)<br\\s*/?>|</(p|div|li|tr|h[1-6])>', ' ', 'g')"
@@ -104,7 +104,7 @@ _HTML = f"trim(regexp_replace({_HTML}, '\\s+', ' ', 'g'))"
 @query("C02 S16", f"SELECT page_id, md5({_HTML}) AS mark, length({_HTML}) AS chars FROM pages")
 def html_text(t: Tables):
     c = S.html_text(F.col("html"))
-    return t.pages.select("page_id", F.md5(F.encode(c, "UTF-8")).alias("mark"), F.length(c).alias("chars"))
+    return t.pages.select("page_id", F.md5(F.encode(c, "UTF-8")).alias("mark"), F.length(c).cast("long").alias("chars"))
 
 
 @query("S16 S07 C06", "SELECT page_id, CAST(unnest(range(1, len(a) + 1)) AS INT) AS n, unnest(a) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS a FROM pages)")
