@@ -130,7 +130,7 @@ def test_slots_and_bitmaps(one):
 
 
 def test_json(one):
-    assert one(S.canonical(("b", L(1)), ("a", L("x")), ("c", NONE))) == '{"a":"x","b":1}'
+    assert one(S.canonical(("b", L(1)), ("a", L("x")), ("c", none()))) == '{"a":"x","b":1}'
     assert one(S.option_labels(L('[{"label":" a "},{"name":"b"},{"label":"a"}]'))) == ["a", "b"] and one(S.option_labels(L("{"))) == []
     assert one(S.identity_key(L(" "), [L("x"), L("")], L("w"))) == "x" and one(S.identity_key(L("id"), [], L("w"))) == "id" and len(one(S.identity_key(none(), [none()], L("w")))) == 64
     assert one(S.changed_fields({"a": (L(1), L(2)), "b": (L(1), L(1)), "c": (none(), L("x"))})) == ["a: 1 -> 2", "c: - -> x"]
