@@ -18,8 +18,6 @@ shared folder must be a mounted one for files to be mapped; from another store s
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,130 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import materialise, new_path, table
+from plumbline.llm.runs import CHUNK, Counter, by_shard, every_shard, get, merge_runs, put, run_batch, runs_of, shard_bits, stretches
 from plumbline.llm.tokens import slices
 from plumbline.llm.vec import mix, word_hashes
 
 END = np.uint64(0x2545F4914F6CDD1D)
 START_ID = (1 << 32) - 1
-#: Counted entries that a task holds before it sends them on.
-HELD = 1 << 21
-CHUNK = "kind int, shard int, keys binary, counts binary"
-
-
-# Arrays in the shared folder
-
-
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    return path if "://" not in path and not path.startswith("viewfs:") else None
-
-
-def put(root: str, name: str, array: np.ndarray) -> None:
-    """Written aside and renamed, so that a second attempt of a task changes nothing."""
-    here = _local(root)
-    if here is None:
-        from pyarrow import fs
-
-        store, at = fs.FileSystem.from_uri(root)
-        with store.open_output_stream(f"{at}/{name}") as f:
-            np.save(f, array)
-        return
-    os.makedirs(here, exist_ok=True)
-    aside = f"{here}/.{name}.{uuid.uuid4().hex}"
-    with open(aside, "wb") as f:
-        np.save(f, array)
-    os.replace(aside, f"{here}/{name}")
-
-
-_mapped: dict[tuple[str, str], np.ndarray] = {}
-
-
-def get(root: str, name: str) -> np.ndarray:
-    if (root, name) not in _mapped:
-        if any(r != root for r, _ in _mapped):
-            _mapped.clear()
-        here = _local(root)
-        if here is None:
-            from pyarrow import fs
-
-            store, at = fs.FileSystem.from_uri(root)
-            with store.open_input_file(f"{at}/{name}") as f:
-                _mapped[root, name] = np.load(f)
-        else:
-            _mapped[root, name] = np.load(f"{here}/{name}", mmap_mode="r")
-    return _mapped[root, name]
-
-
-# Runs of sorted keys and counts
-
-
-def _squeeze(values: np.ndarray) -> bytes:
-    import zstandard
-
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _expand(data: bytes, kind: type) -> np.ndarray:
-    import zstandard
-
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-def pack_run(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    return _squeeze(np.diff(keys, prepend=np.uint64(0))), _squeeze(counts.astype(np.uint32))
-
-
-def merge_runs(runs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    return combine([np.cumsum(_expand(k, np.uint64), dtype=np.uint64) for k, _ in runs], [_expand(c, np.uint32) for _, c in runs])
-
-
-def combine(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    key, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(first) else count
-
-
-class Counter:
-    """Counts keys and gives runs by kind and shard when it holds many."""
-
-    def __init__(self, shard_of):
-        self.shard_of, self.keys, self.counts, self.held = shard_of, [], [], 0
-
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, count = np.unique(keys, return_counts=True)
-        self.keys.append(key)
-        self.counts.append(count)
-        self.held += len(key)
-        if self.held > HELD:
-            key, count = combine(self.keys, self.counts)
-            self.keys, self.counts, self.held = [key], [count], len(key)
-            if self.held > HELD // 2:
-                yield self.runs()
-
-    def runs(self) -> pa.RecordBatch:
-        key, count = combine(self.keys, self.counts)
-        self.keys, self.counts, self.held = [], [], 0
-        return run_batch(key, count, self.shard_of(key))
-
-
-def run_batch(key: np.ndarray, count: np.ndarray, where: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    """where: kind and shard of each key."""
-    kind, shard = where
-    place = kind.astype(np.int64) << 32 | shard.astype(np.int64)
-    order = np.argsort(place, kind="stable")
-    values, first = np.unique(place[order], return_index=True)
-    rows = []
-    for value, part in zip(values.tolist(), np.split(order, first[1:]) if len(values) else [], strict=True):
-        rows.append((value >> 32, value & 0xFFFFFFFF, *pack_run(key[part], count[part])))
-    columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["kind", "shard", "keys", "counts"])
 
 
 # The model
@@ -185,7 +65,7 @@ class Model:
     def ids(self, h: np.ndarray) -> np.ndarray:
         """Ids of sorted hashes, -1 for those not in the vocabulary."""
         out = np.full(len(h), -1, np.int64)
-        for s, a, b in _stretches(self.shard_of_hash(h)):
+        for s, a, b in stretches(self.shard_of_hash(h)):
             own = get(self.root, f"hash-{s}.npy")
             if len(own):
                 at = np.minimum(np.searchsorted(own, h[a:b]), len(own) - 1)
@@ -195,7 +75,7 @@ class Model:
     def of_id(self, name: str, ids: np.ndarray) -> np.ndarray:
         """Values of an array by id, for sorted ids."""
         out = np.zeros(len(ids), np.int64)
-        for s, a, b in _stretches(self.shard_of_id(ids)):
+        for s, a, b in stretches(self.shard_of_id(ids)):
             out[a:b] = get(self.root, f"{name}-{s}.npy")[ids[a:b] - self.offsets[s]]
         return out
 
@@ -214,7 +94,7 @@ class Model:
         out = np.zeros(len(key), np.int64)
         kind, shard = self.place_of_pair(key)
         order = np.argsort(kind << 32 | shard, kind="stable")
-        for place, a, b in _stretches((kind << 32 | shard)[order]):
+        for place, a, b in stretches((kind << 32 | shard)[order]):
             name = f"{place >> 32}-{place & 0xFFFFFFFF}"
             own, which = get(self.root, f"pair-{name}.npy"), order[a:b]
             if len(own):
@@ -223,13 +103,6 @@ class Model:
         return out
 
 
-def _stretches(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    if len(values):
-        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(values)], strict=True):
-            yield int(values[a]), a, b
-
-
 def discounts(n: np.ndarray) -> tuple[float, float, float]:
     """Of counts 1, 2, 3 and more, by the counts of counts 1 to 4."""
     n1, n2, n3, n4 = (float(x) for x in n)
@@ -261,7 +134,7 @@ def _count_of_counts(counts: np.ndarray) -> list[int]:
 def train(docs: DataFrame, text: str = "text") -> Model:
     spark = docs.sparkSession
     own = docs.select(F.col(text).alias("text"))
-    bits = max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    bits = shard_bits(spark)
     shards, root = 1 << bits, new_path(spark, "lm")
     model = Model(root, bits, np.zeros(shards + 1, np.int64))
 
@@ -272,25 +145,15 @@ def train(docs: DataFrame, text: str = "text") -> Model:
                 yield from counter.add(tokens_of(batch.column(0))[0])
         yield counter.runs()
 
-    def merge_words(keys: tuple, runs: pa.Table) -> pa.Table:
-        shard = keys[0].as_py()
-        h, count = merge_runs(list(zip(runs["keys"].to_pylist(), runs["counts"].to_pylist(), strict=True)))
+    def merge_words(shard: int, runs: pa.Table) -> pa.Table:
+        h, count = merge_runs(runs_of(runs))
         put(root, f"hash-{shard}.npy", h)
         put(root, f"count-{shard}.npy", count)
         top = np.sort(np.argsort(-count, kind="stable")[: 4 * shards])
         end = int(count[h == END].sum())
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": [len(h)], "tokens": [int(count.sum())], "docs": [end], "top": pa.array([top.tolist()], pa.list_(pa.int64())), "top_counts": pa.array([count[top].tolist()], pa.list_(pa.int64()))})
 
-    every = spark.range(shards).select(F.lit(0).alias("kind"), F.col("id").cast("int").alias("shard"), F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("counts"))
-
-    def by_shard(runs: DataFrame, f, schema: str) -> list:
-        """A row a shard, also for shards without runs."""
-        def g(keys: tuple, rows: pa.Table) -> pa.Table:
-            return f(keys, rows.filter(pc.is_valid(rows["keys"])))
-
-        return materialise(runs.unionByName(every).groupBy("shard").applyInArrow(g, schema), "shards").orderBy("shard").collect()
-
-    rows = by_shard(own.mapInArrow(count_words, CHUNK), merge_words, "shard int, n long, tokens long, docs long, top array<long>, top_counts array<long>")
+    rows = by_shard(own.mapInArrow(count_words, CHUNK), shards, merge_words, "shard int, n long, tokens long, docs long, top array<long>, top_counts array<long>")
     model.offsets[1:] = np.cumsum([r["n"] for r in rows])
     model.tokens, model.kinds, model.docs = sum(r["tokens"] for r in rows), int(model.offsets[-1]), sum(r["docs"] for r in rows)
     if model.kinds > START_ID - 1:
@@ -314,7 +177,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         stats, after, n = np.zeros((len(model.frequent), 3), np.int64), [], np.zeros(4, np.int64)
         for kind in (0, 1):
             rows = runs.filter(pc.equal(runs["kind"], kind))
-            key, count = merge_runs(list(zip(rows["keys"].to_pylist(), rows["counts"].to_pylist(), strict=True)))
+            key, count = merge_runs(runs_of(rows))
             put(root, f"pair-{kind}-{shard}.npy", key)
             put(root, f"paircount-{kind}-{shard}.npy", count.astype(np.uint32))
             n += _count_of_counts(count)
@@ -334,7 +197,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         runs_out = {"shard": out["shard"], "kind": out["kind"], "keys": out["keys"], "counts": out["counts"], "pairs": none(len(out), pa.int64()), "n": none(len(out), pa.list_(pa.int64())), "stats": none(len(out), pa.list_(pa.int64()))}
         return pa.concat_tables([pa.table(own), pa.table(runs_out)])
 
-    pairs = own.mapInArrow(count_pairs, CHUNK).unionByName(every)
+    pairs = own.mapInArrow(count_pairs, CHUNK).unionByName(every_shard(spark, shards))
     merged = materialise(pairs.groupBy("shard").applyInArrow(lambda k, t: merge_pairs(k, t.filter(pc.is_valid(t["keys"]))), "shard int, kind int, keys binary, counts binary, pairs long, n array<long>, stats array<long>"), "pairs")
     heads = merged.where("pairs is not null")
     head = heads.select(F.sum("pairs"), *[F.sum(F.col("n")[k]) for k in range(4)]).first()
@@ -346,15 +209,14 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     model.frequent_stats = stats.reshape(-1, 3)
     model.pairs, model.pair_off = int(head[0] or 0), discounts(np.array([x or 0 for x in head[1:]]))
 
-    def merge_before(keys: tuple, runs: pa.Table) -> pa.Table:
-        shard = keys[0].as_py()
-        v, count = merge_runs(list(zip(runs["keys"].to_pylist(), runs["counts"].to_pylist(), strict=True)))
+    def merge_before(shard: int, runs: pa.Table) -> pa.Table:
+        v, count = merge_runs(runs_of(runs))
         before = np.zeros(int(model.offsets[shard + 1] - model.offsets[shard]), np.uint32)
         before[v.astype(np.int64) - model.offsets[shard]] = count
         put(root, f"before-{shard}.npy", before)
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": [_count_of_counts(count)], "n3": [int((count >= 3).sum())]})
 
-    rows = by_shard(merged.where("pairs is null").select("kind", "shard", "keys", "counts"), merge_before, "shard int, n array<long>, n3 long")
+    rows = by_shard(merged.where("pairs is null").select("kind", "shard", "keys", "counts"), shards, merge_before, "shard int, n array<long>, n3 long")
     n = np.sum([r["n"] for r in rows], axis=0)
     model.word_off = discounts(n)
     taken = model.word_off[0] * n[0] + model.word_off[1] * n[1] + model.word_off[2] * sum(r["n3"] for r in rows)
