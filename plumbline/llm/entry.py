@@ -19,5 +19,7 @@ QUERIES = {
 ORACLE = {
     "op2_license_scan": licenses.OP2_SQL,
     "op3_url_filter": url_filter.OP3_SQL,
+    "op6_jaccard_join": jaccard.OP6_SQL,
     "op7_format_chats": chat.OP7_SQL,
+    "op8_quality_rules": quality.OP8_SQL,
 }

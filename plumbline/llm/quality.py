@@ -26,6 +26,8 @@ MENU_RE = r"(?i)^(home|about|about us|contact|contact us|menu|search|login|log i
 END_RE = "[.!?\u2026:;\"'\u201d\u2019\u00bb)\\]\u3002\uff01\uff1f][ \\t-\\r]*$"
 #: Of the characters, and of a line's: symbols above which a line is markup or menu.
 LINE_SYMBOLS = 0.10
+#: Separators of menu items, and the words an item has at most on average, with its separator.
+SEPARATORS_RE, ITEM_WORDS = "[|\u00bb\u203a\u2022]", 5
 #: Words from which a line without closing punctuation counts as prose that was cut, and is kept.
 PROSE_WORDS = 8
 MIN_WORDS, MAX_REPEAT = 50, 50
@@ -37,10 +39,12 @@ def line_fails(line: Column) -> Column:
     """Whether a line that has a word is navigation, boilerplate, markup or a fragment without punctuation."""
     n = F.size(F.split(F.btrim(line, F.lit(SPACES)), SPACE_RE))
     symbols = F.regexp_count(line, F.lit(SYMBOLS_RE))
+    separators = F.regexp_count(line, F.lit(SEPARATORS_RE))
     shouted = (F.length(F.regexp_replace(line, r"\p{Lu}++", "")) < 0.5 * F.length(line)) & (n >= 4)
     ended = line.rlike(END_RE)
     return (
         (symbols > LINE_SYMBOLS * F.length(line))
+        | ((separators >= 2) & (ITEM_WORDS * separators >= n))
         | ((n <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE_RE))
         | F.btrim(line, F.lit(SPACES)).rlike(MENU_RE)
         | shouted
@@ -91,3 +95,24 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_Q = lambda s: s.replace("'", "''")
+OP8_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT r, i, ws[i] || chr(10) || ws[i + 1] || chr(10) || ws[i + 2] AS run FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+h AS (SELECT r, i, count(*) OVER (PARTITION BY r, run) AS k FROM g),
+p AS (SELECT r, count(DISTINCT x) AS n_repeat FROM (SELECT r, unnest([i, i + 1, i + 2]) AS x FROM h WHERE k > 1) GROUP BY r),
+l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+f AS (SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') AS x FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+j AS (SELECT r, line, len(regexp_extract_all(line, '{SYMBOLS_RE}')) > {LINE_SYMBOLS} * length(line)
+  OR (len(regexp_extract_all(line, '{SEPARATORS_RE}')) >= 2 AND {ITEM_WORDS} * len(regexp_extract_all(line, '{SEPARATORS_RE}')) >= n)
+  OR (n <= {BOILERPLATE_WORDS} AND regexp_matches(line, '{BOILERPLATE_RE}')) OR regexp_matches(x, '{MENU_RE}')
+  OR (n >= 4 AND length(regexp_replace(line, '\p{{Lu}}+', '', 'g')) < 0.5 * length(line)) OR (n < {PROSE_WORDS} AND NOT regexp_matches(line, '{_Q(END_RE)}')) AS fails FROM f),
+s AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup, sum(CASE WHEN fails THEN 0 ELSE length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) END) AS left_chars FROM j GROUP BY r),
+c AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '{SYMBOLS_RE}')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words, coalesce(left_chars, 0) AS left_chars FROM d JOIN w USING (r) LEFT JOIN p USING (r) LEFT JOIN s USING (r)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT} * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND CAST(left_chars AS DOUBLE) / greatest(word_chars, 1) >= CAST({MIN_LEFT} AS DOUBLE) AS kept FROM b
+"""
