@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from plumbline.functions import scalars as S
 
 
+#: Prefixes of bundle ids by where the id comes from.
+BUNDLE, SELECTION, TASK = "tis-bundle:", "tis-selection:", "tis-task:"
+
+
 def _get(df: DataFrame, *names: str) -> Column:
     """The first of the columns, by any case, that isn't blank; '' if none is there."""
     have = {c.lower(): c for c in df.columns}
@@ -32,7 +36,7 @@ def sections(raw: DataFrame) -> DataFrame:
     """[P01, P02, Y05] Sections of courses, with their bundle: explicit, else by selection, else by task."""
     task, own = _get(raw, "rwh"), _get(raw, "id", "courseId", "course_id")
     explicit = _get(raw, "bundleId", "bundle_id", "kczid", "zhrwid", "parentRwh", "parent_rwh")
-    bundle = F.when(task == "", F.lit(None)).when(explicit != "", F.concat(F.lit("tis-bundle:"), explicit)).when(own != "", F.concat(F.lit("tis-selection:"), own)).otherwise(F.concat(F.lit("tis-task:"), task))
+    bundle = F.when(task == "", F.lit(None)).when(explicit != "", F.concat(F.lit(BUNDLE), explicit)).when(own != "", F.concat(F.lit(SELECTION), own)).otherwise(F.concat(F.lit(TASK), task))
     teachers = S.distinct_texts(F.split(_get(raw, "dgjsmc"), "[,，、]"))
     return raw.select(
         _get(raw, "kcdm").alias("code"), _get(raw, "kcmc").alias("name"), task.alias("task"), F.coalesce(F.nullif(_get(raw, "kxh"), F.lit("")), F.element_at(F.split(task, "-"), -1)).alias("class_group"),
