@@ -48,11 +48,13 @@ def slot_status(asked: DataFrame, booked: DataFrame, opens: int | None = None, c
     return out.withColumn("status", F.when(F.col("end") <= F.col("begin"), "unavailable").when(closed, "unavailable").when(F.col("overlaps") > 0, "occupied").otherwise("available"))
 
 
-def all_conflict(sections: DataFrame, pairs: DataFrame, anchor: str) -> DataFrame:
-    """[J16] By code: whether each of its sections (section, code) conflicts with a section of the anchor's code."""
-    both = pairs.select("section_a", "section_b").unionByName(pairs.select(F.col("section_b").alias("section_a"), F.col("section_a").alias("section_b")))
-    hit = both.join(sections.where(F.col("code") == anchor).select(F.col("section").alias("section_b")), "section_b", "left_semi").select(F.col("section_a").alias("section")).distinct()
-    marked = sections.where(F.col("code") != anchor).join(hit.withColumn("hit", F.lit(1)), "section", "left")
+def all_conflict(slots: DataFrame, anchor) -> DataFrame:
+    """[J16] By code: whether each of its sections has a meeting in conflict with one of the anchor's code."""
+    a = by_week(slots.where(F.col("code") == anchor)).select(F.col("week").alias("aw"), F.col("day").alias("ad"), F.col("ps").alias("ap"), F.col("pe").alias("ae")).distinct()
+    others = slots.where(F.col("code") != anchor)
+    met = (F.col("week") == F.col("aw")) & (F.col("day") == F.col("ad")) & (F.col("ps") <= F.col("ae")) & (F.col("ap") <= F.col("pe"))
+    hit = by_week(others).join(a, met, "left_semi").select("section").distinct().withColumn("hit", F.lit(1))
+    marked = others.select("section", "code").join(hit, "section", "left")
     return marked.groupBy("code").agg(F.count("*").alias("sections"), F.count("hit").alias("conflicting"), (F.count("hit") == F.count("*")).alias("all_conflict"))
 
 

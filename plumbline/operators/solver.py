@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import js_round
+from plumbline.functions.staging import materialise
 from plumbline.operators.intervals import conflict_pairs
 
 #: Weights of the score, and the last period that counts as early.
@@ -19,11 +20,12 @@ def candidates(slots: DataFrame, codes: list[str]) -> DataFrame:
     return own.withColumn("idx", F.row_number().over(Window.partitionBy("code").orderBy("section")))
 
 
-def combinations(slots: DataFrame, codes: list[str], search_limit: int = 5000) -> DataFrame:
+def combinations(slots: DataFrame, codes: list[str], search_limit: int = 5000, width: int = 100_000) -> DataFrame:
     """[J04] path (candidate numbers by code), sections. Codes with fewer candidates come first; each step drops conflicts.
 
     A depth-first search meets complete combinations in the order of path, so the first search_limit by path are those
-    that it would have looked at.
+    that it would have looked at. They begin with the first partial ones, so each step keeps the first width partial
+    combinations only; if too few of them could be completed, it is done again with more.
     """
     if not 1 <= len(codes) <= 12:
         raise ValueError("1 to 12 codes")
@@ -36,11 +38,17 @@ def combinations(slots: DataFrame, codes: list[str], search_limit: int = 5000) -
     banned = pairs.unionByName(pairs.select(F.col("section_b").alias("section_a"), F.col("section_a").alias("section_b"))).groupBy("section_a").agg(F.collect_set("section_b").alias("banned"))
     cand = cand.join(banned, cand["section"] == banned["section_a"], "left").drop("section_a").withColumn("banned", F.coalesce("banned", F.array().cast("array<bigint>")))
     own = lambda c: cand.where(F.col("code") == c).select(F.col("idx").alias("i"), F.col("section").alias("s"), F.col("banned").alias("b"))
-    partial = own(order[0]).select(F.array(F.col("i").cast("int")).alias("path"), F.array("s").alias("sections"))
-    for code in order[1:]:
-        fits = ~F.arrays_overlap("sections", "b")
-        partial = partial.join(F.broadcast(own(code)), fits).select(F.concat("path", F.array(F.col("i").cast("int"))).alias("path"), F.concat("sections", F.array("s")).alias("sections"))
-    return partial.orderBy("path").limit(search_limit)
+    first = own(order[0]).select(F.array(F.col("i").cast("int")).alias("path"), F.array("s").alias("sections"))
+    while True:
+        steps = [first]
+        for code in order[1:]:
+            both = steps[-1].join(F.broadcast(own(code)), ~F.arrays_overlap("sections", "b"))
+            steps.append(both.select(F.concat("path", F.array(F.col("i").cast("int"))).alias("path"), F.concat("sections", F.array("s")).alias("sections")).orderBy("path").limit(width))
+            steps[-1] = materialise(steps[-1], "partial")
+        found = steps[-1].orderBy("path").limit(search_limit)
+        if found.count() == search_limit or all(s.count() < width for s in steps[1:]):
+            return found
+        width *= 8
 
 
 def score(solutions: DataFrame, slots: DataFrame, weights: dict[str, int] | None = None, early: int = EARLY) -> DataFrame:

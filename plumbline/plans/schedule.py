@@ -60,11 +60,7 @@ hit AS (SELECT DISTINCT s.section FROM slots s JOIN anchor a ON s.day = a.day AN
 SELECT code, count(*) AS sections, count(hit.section) AS conflicting, count(hit.section) = count(*) AS all_conflict FROM meetings LEFT JOIN hit USING (section) WHERE code <> 1 GROUP BY code""")
 def code_division_conflict(t: Tables):
     """Codes all of whose sections conflict with a section of code 1."""
-    m = meetings(t)
-    anchor = m.where("code = 1").withColumn("section", F.lit(-1).cast("long"))
-    pairs = intervals.conflict_pairs(anchor, m.where("code <> 1"))
-    sections = m.select("section", "code").unionByName(t.rows([(-1, 1)], "section long, code long")).where("code <> 1 or section = -1")
-    return intervals.all_conflict(sections, pairs, 1)
+    return intervals.all_conflict(meetings(t), 1)
 
 
 @query("J39 extra: overlap without an equal key", """WITH i AS (SELECT o_orderkey AS id, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS a FROM orders),

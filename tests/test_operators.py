@@ -60,8 +60,7 @@ def test_blocks_and_division(spark):
     rows, df = random_slots(spark, 60, 4)
     blocks = spark.createDataFrame([(1, 2, 4)], "day int, ps int, pe int")
     assert {r.section for r in intervals.unblocked(df, blocks).collect()} == {r[0] for r in rows if not (r[2] == 1 and r[3] <= 4 and r[4] >= 2)}
-    pairs = intervals.conflict_pairs(df, df)
-    got = {r.code: r.all_conflict for r in intervals.all_conflict(df.select("section", "code"), pairs, 0).collect()}
+    got = {r.code: r.all_conflict for r in intervals.all_conflict(df, 0).collect()}
     anchor = [r for r in rows if r[1] == 0]
     assert got == {c: all(any(clash(r, a) for a in anchor) for r in rows if r[1] == c) for c in {r[1] for r in rows} - {0}}
 
@@ -73,10 +72,10 @@ def brute_timetables(rows, codes, limit):
     return [tuple(r[0] for r in p) for p in found[:limit]]
 
 
-@pytest.mark.parametrize("limit", [5000, 7])
-def test_combinations_are_those_of_a_search(spark, limit):
+@pytest.mark.parametrize(("limit", "width"), [(5000, 100_000), (7, 100_000), (40, 10)])
+def test_combinations_are_those_of_a_search(spark, limit, width):
     rows, df = random_slots(spark, 40, 5)
-    got = [tuple(r.sections) for r in solver.combinations(df, [0, 1, 2], limit).orderBy("path").collect()]
+    got = [tuple(r.sections) for r in solver.combinations(df, [0, 1, 2], limit, width).orderBy("path").collect()]
     assert got == brute_timetables(rows, [0, 1, 2], limit)
 
 
