@@ -1,70 +1,29 @@
-"""What the operators share: table access, materialisation in the shared folder, size-checked broadcasts."""
+"""What the operators share: table access, words, small literal tables; staging and let come from the library."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.scalars import let
+from plumbline.functions.staging import checked_broadcast, materialise, new_path
+
+__all__ = ["checked_broadcast", "let", "literal_rows", "materialise", "n_words", "new_path", "table", "unit", "words"]
+
 #: Character class of the contracts' words.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
-#: Rows of narrow keys up to which a side may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where unset (tests on one machine), a temporary one that becomes the setting."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    path = f"{shared_dir(spark)}/plumbline-{what}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    return path
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001  the session has ended; the folder's owner cleans up
-        return
-
-
-def materialise(df: DataFrame, what: str, partition_by: str | None = None) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back, so that a lost executor costs a reread only."""
-    spark = df.sparkSession
-    path = new_path(spark, what)
-    out = df.write.option("compression", "zstd")
-    if partition_by:
-        out = out.partitionBy(partition_by)
-    out.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def checked_broadcast(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a materialised narrow side if a count proves it small; otherwise leave it to a shuffled join."""
-    return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
-
-
-def let(value: Column, body) -> Column:
-    """body(value) with value evaluated once per row."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table from values in the plan itself."""
+    items = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*items)))
 
 
 def words(text: Column) -> Column:

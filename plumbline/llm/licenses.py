@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import checked_broadcast, materialise, table
+from plumbline.llm.common import checked_broadcast, literal_rows, materialise, table
 
 #: Licence names and the notices that stand for them.
 TEMPLATES = [
@@ -53,7 +53,7 @@ def terms(text: Column) -> Column:
 
 def template_weights(spark) -> tuple[DataFrame, float]:
     """id, name, term, weight (of unit length) and idf; the idf of a term that no template has."""
-    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(TEMPLATES)], "id int, name string, notice string")
+    rows = literal_rows(spark, [(i, *t) for i, t in enumerate(TEMPLATES)], ["id", "name", "notice"])
     counts = rows.select("id", "name", F.explode(terms(F.col("notice"))).alias("term")).groupBy("id", "name", "term").agg(F.count("*").alias("tf"))
     n = len(TEMPLATES)
     idf = counts.groupBy("term").agg((1 + F.ln((1 + n) / (1 + F.count("*")))).alias("idf"))

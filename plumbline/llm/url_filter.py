@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import checked_broadcast
+from plumbline.llm.common import checked_broadcast, literal_rows
 
 #: After every key that begins with the same prefix.
 _LAST = "\U0010ffff"
@@ -105,7 +105,7 @@ RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/
 
 def op3_url_filter(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = literal_rows(spark, RULES, ["host", "path", "verdict"])
     return url_filter(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
