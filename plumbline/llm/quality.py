@@ -85,8 +85,10 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         chars = lambda a: F.length(F.regexp_replace(F.array_join(a, ""), SPACE_RE, ""))
         return let(own, lambda o: let(left, lambda f: F.struct(F.size(o).cast("long").alias("n_lines"), (F.size(o) - F.size(F.array_distinct(o))).cast("long").alias("n_dup_lines"), (F.size(ls) - F.size(f)).cast("long").alias("n_removed"), F.array_join(f, "\n").alias("clean_text"), chars(f).alias("left_chars"))))
 
-    own = own.withColumn("__w", let(words(body), counts)).withColumn("__l", let(F.split(body, "\n"), lines))
-    own = own.select(*[c for c in own.columns if c not in ("__w", "__l")], F.col("__w.*"), F.col("__l.*"), F.regexp_count(body, F.lit(SYMBOLS_RE)).cast("long").alias("n_symbols"))
+    # As one generated row each: a filter on the results isn't pushed below a generator, which would judge each text twice.
+    own = own.select("*", F.inline(F.array(let(words(body), counts))))
+    own = own.select("*", F.inline(F.array(let(F.split(body, "\n"), lines))))
+    own = own.withColumn("n_symbols", F.regexp_count(body, F.lit(SYMBOLS_RE)).cast("long"))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     left = F.col("left_chars") / F.greatest(F.col("word_chars"), F.lit(1))
     return own.withColumn("base_failed", base).withColumn("left_share", left).withColumn("kept", ~base & (left >= MIN_LEFT)).drop("left_chars")
