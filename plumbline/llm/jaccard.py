@@ -34,6 +34,8 @@ from plumbline.llm.runs import CHUNK, Counter, by_shard, get, merge_runs, put, r
 from plumbline.llm.tokens import slices
 from plumbline.llm.vec import mix, window_hashes, word_hashes
 
+#: Bytes of text whose sets are made together.
+BLOCK = 2 << 20
 #: Bits of an n-gram's hash by which documents are counted (n-grams that share them count together).
 PRINT_BITS = 48
 #: Hash ranges of the suffix filter, a bit each.
@@ -64,7 +66,7 @@ def _count(docs: DataFrame, n: int) -> tuple[str, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(lambda k: (np.zeros(len(k), np.int64), (k >> np.uint64(PRINT_BITS - bits)).astype(np.int64)))
         for whole in batches:
-            for batch in slices(whole, 1, 4 << 20):
+            for batch in slices(whole, 1, BLOCK):
                 sets = [s for s in document_sets(batch.column(1), n) if len(s)]
                 if sets:
                     yield from counter.add(np.concatenate(sets) >> np.uint64(64 - PRINT_BITS))
@@ -99,7 +101,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, root: str, bits: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1, 4 << 20):
+            for batch in slices(whole, 1, BLOCK):
                 sets = list(document_sets(batch.column(1), n))
                 sigs = [signature(s) if len(s) else None for s in sets]
                 sizes = np.array([len(s) for s in sets], np.int32)
@@ -136,7 +138,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1, 4 << 20):
+            for batch in slices(whole, 1, BLOCK):
                 sets = [s for s in document_sets(batch.column(1), n) if len(s)]
                 if sets:
                     ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm.common import table
+from plumbline.llm.tokens import give_back
 
 #: Bytes of a row of the images that hold text: 64 pixels of three samples.
 ROW = 192
@@ -146,6 +147,7 @@ def by_bytes(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterat
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+    give_back()
 
 
 def text_payload(text: Column) -> Column:

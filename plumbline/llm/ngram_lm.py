@@ -32,6 +32,8 @@ from plumbline.llm.runs import CHUNK, Counter, by_shard, every_shard, get, merge
 from plumbline.llm.tokens import slices
 from plumbline.llm.vec import mix, word_hashes
 
+#: Bytes of text that are counted or scored together.
+BLOCK = 3 << 20
 END = np.uint64(0x2545F4914F6CDD1D)
 START_ID = (1 << 32) - 1
 
@@ -141,7 +143,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(lambda h: (np.zeros(len(h), np.int64), model.shard_of_hash(h)))
         for whole in batches:
-            for batch in slices(whole, 0):
+            for batch in slices(whole, 0, BLOCK):
                 yield from counter.add(tokens_of(batch.column(0))[0])
         yield counter.runs()
 
@@ -164,7 +166,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(model.place_of_pair)
         for whole in batches:
-            for batch in slices(whole, 0):
+            for batch in slices(whole, 0, BLOCK):
                 h, offsets = tokens_of(batch.column(0))
                 kinds, where = np.unique(h, return_inverse=True)
                 yield from counter.add(pair_keys(model.ids(kinds)[where], offsets)[1])
@@ -265,7 +267,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """doc_id, n_tokens, n_known, base_score and score (log10) of each row; perplexity is 10 ** (-score / n_tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, BLOCK):
                 h, offsets = tokens_of(batch.column(1))
                 count, p = log_probs(model, h, offsets)
                 base = np.log10((count + 0.1) / (model.tokens + 0.1 * (model.kinds + 1)))

@@ -25,7 +25,7 @@ from plumbline.llm.common import table
 from plumbline.llm.tokens import default_vocabulary, encoder, slices
 
 #: Documents and ids that are packed together at most (a document with more ids stands alone).
-WINDOW_DOCS, WINDOW_IDS = 16384, 4 << 20
+WINDOW_DOCS, WINDOW_IDS = 16384, 2 << 20
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -155,8 +155,8 @@ def _packed(keys: list, ids: list, sizes: list, capacity: int, at: int):
     key, flat, lengths = pa.concat_arrays(keys), np.concatenate(ids), np.concatenate(sizes)
     first = np.cumsum(lengths) - lengths
     rows = pack(lengths, capacity)
-    for part in range(0, len(rows), 4096):
-        doc, start, length, sequence, offset = rows[part : part + 4096].T
+    for part in range(0, len(rows), 1024):
+        doc, start, length, sequence, offset = rows[part : part + 1024].T
         begin = first[doc] + start
         ends = np.concatenate([[0], np.cumsum(length)])
         chosen = flat[np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])]

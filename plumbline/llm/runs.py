@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import materialise
 
 #: Counted entries that a task holds before it sends them on.
-HELD = 1 << 21
+HELD = 1 << 20
 CHUNK = "kind int, shard int, keys binary, counts binary"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Iterator
@@ -14,9 +15,9 @@ import pyarrow.compute as pc
 from plumbline.llm.vec import string_parts
 
 #: Bytes of text encoded together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Words whose ids a Python worker keeps from task to task, the first that it meets (about 200 bytes each).
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -130,3 +131,12 @@ def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Itera
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on from stage to stage, beside an executor that needs it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
