@@ -223,23 +223,42 @@ def strip_markdown(c: Column) -> Column:
     return collapse(c)
 
 
-#: Named entities.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+#: Named entities, decoded in this order.
+ENTITIES = {"&nbsp;": " ", "&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'"}
 
 
 def html_text(c: Column) -> Column:
-    """[C02] Without scripts, styles and tags, entities decoded, white space collapsed."""
-    c = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>", " ")
-    c = F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>|</(p|div|li|tr|h[1-6])>", " "), r"<[^>]+>", " ")
+    """[C02] Tags taken out, entities decoded (names, then hexadecimal and decimal numbers), white space collapsed."""
+    c = F.regexp_replace(c, r"<[^>]+>", "")
     for name, to in ENTITIES.items():
-        c = F.replace(c, F.lit(name), F.lit(to))
-    return collapse(c)
+        c = F.regexp_replace(c, f"(?i){name}", to)
+    return collapse(_numeric(_numeric(c, r"(?i)&#x[0-9a-f]+;", 16), r"&#[0-9]+;", 10))
+
+
+def _numeric(c: Column, pattern: str, base: int) -> Column:
+    """With numeric entities decoded, each distinct one once."""
+    return let(c, lambda x: F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), 0)), x, lambda acc, e: F.replace(acc, e, _character(e, base))))
+
+
+def _character(entity: Column, base: int) -> Column:
+    """What a numeric entity stands for; itself where there is no such character."""
+    digits = F.regexp_extract(entity, r"([0-9a-fA-F]+);$", 1)
+    code = F.conv(digits, base, 10).cast("long")
+    real = (F.length(digits) <= 8) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(entity)
+
+
+#: How a manual page becomes text, in order.
+MANUAL_STEPS = [
+    (r"```[\s\S]*?```", " "), (r"(?i)<iframe[\s\S]*?</iframe>", " "), (r"(?i)<AdSenseDisplayAD\s*/>", " "), (r"!\[[^\]]*\]\(([^)]+)\)", " "), (r"(?i)<a\b[^>]*>", " "), (r"(?i)</a>", " "),
+    (r"\[([^\]]+)\]\(([^)]+)\)", "$1"), (r"<Badge[^>]*/>", " "), (r"(?i):::\s*(?:tip|warning|details)[^\n]*\n", " "), (r"(?m)^:::\s*$", " "), (r"(?m)^\s*[-+*]\s+", " "), (r"(?m)^\s*\d+\.\s+", " "),
+    (r"(?m)^\s*>\s*", " "), (r"(?m)^\s*\|?(?:\s*:?-{3,}:?\s*\|)+\s*$", " "), (r"\|", " "), (r"`([^`]+)`", "$1"), (r"[*_~#]", " "), (r"</?[^>]+>", " "),
+]
 
 
 def sanitise_manual(c: Column) -> Column:
-    """[C03] Front matter, comments, containers, components and image links go; other links keep their text."""
-    steps = [(r"(?s)^---\n.*?\n---\n", ""), (r"(?s)<!--.*?-->", " "), (r"(?is)<(script|style)\b.*?</(script|style)>", " "), (r"(?m)^:::.*$", " "), (r"!\[[^\]]*\]\([^)]*\)", " "), (r"\[([^\]]+)\]\([^)]+\)", "$1"), (r"\{\{.*?\}\}", " "), (r"<[^>]+>", " "), (r"[*_`~]", "")]
-    for pattern, to in steps:
+    """[C03]"""
+    for pattern, to in MANUAL_STEPS:
         c = F.regexp_replace(c, pattern, to)
     return collapse(c)
 
@@ -273,7 +292,7 @@ def links(c: Column, most: int = 20) -> Column:
 def split_label(c: Column) -> Column:
     """[C07] 《series》 speaker @ affiliation: title."""
     c = strip_markdown(c)
-    at = F.when(F.instr(c, "：") > 0, F.when(F.instr(c, ":") > 0, F.least(F.instr(c, "："), F.instr(c, ":"))).otherwise(F.instr(c, "："))).otherwise(F.instr(c, ":"))
+    at = F.when(F.instr(c, "：") > 0, F.instr(c, "：")).otherwise(F.instr(c, ":"))
     left, right = F.trim(F.substr(c, F.lit(1), at - 1)), F.trim(F.substr(c, at + 1))
     series = F.when(left.startswith("《") & (F.instr(left, "》") > 0), F.regexp_extract(left, "^(.*》)", 1))
     speaker = F.nullif(F.trim(F.when(series.isNotNull(), F.regexp_extract(left, "^.*》(.*)$", 1)).otherwise(left)), F.lit(""))
@@ -285,10 +304,12 @@ def split_label(c: Column) -> Column:
 
 
 def bilingual(c: Column) -> Column:
-    """[C08] The part up to the last Chinese character, and the Latin part after it."""
-    zh = F.trim(F.regexp_extract(c, r"^(.*[一-鿿][^A-Za-z]*)", 1))
-    en = F.trim(F.regexp_extract(c, r"([A-Za-z][^一-鿿]*)$", 1))
-    return F.struct(F.when(zh == "", F.trim(c)).otherwise(zh).alias("zh"), F.nullif(en, F.lit("")).alias("en"))
+    """[C08] By lines if there are any, else a part that ends in a Chinese character and a Latin part after a space."""
+    pattern = r"^(.*?[\x{3400}-\x{9fff}])\s+([A-Za-z].*)$"
+    lines = F.split(c, "\n")
+    by_line = F.struct(F.trim(F.get(lines, F.lit(0))).alias("zh"), F.trim(F.array_join(F.slice(lines, F.lit(2), F.size(lines)), " ")).alias("en"))
+    by_form = F.struct(F.trim(F.regexp_extract(c, pattern, 1)).alias("zh"), F.trim(F.regexp_extract(c, pattern, 2)).alias("en"))
+    return F.when(F.size(lines) > 1, by_line).when(c.rlike(pattern), by_form).otherwise(F.struct(F.trim(c).alias("zh"), F.lit("").alias("en")))
 
 
 def plain_code(c: Column) -> Column:
@@ -296,9 +317,13 @@ def plain_code(c: Column) -> Column:
     return F.upper(F.regexp_replace(c, r"[\s_-]+", ""))
 
 
+#: General words of labels of gaps.
+GENERAL_RE = "课程群|课程|模块|方向|类别"
+
+
 def plain_label(c: Column) -> Column:
-    """[C10] Lower case, without punctuation and the generic last word."""
-    return F.regexp_replace(F.regexp_replace(F.lower(c), r"[\s\p{Punct}，、（）·]+", ""), r"(courses?|modules?|课程|模块|类|课)$", "")
+    """[C10] Lower case, without white space, separators and brackets, and without general words."""
+    return F.regexp_replace(F.lower(F.regexp_replace(c, r"[\s·•（）()\-—_/]+", "")), GENERAL_RE, "")
 
 
 def extends_code(code: Column, base: Column) -> Column:
@@ -319,9 +344,9 @@ def component_type(c: Column) -> Column:
 
 
 def redact(c: Column) -> Column:
-    """[C15] Tokens, tickets and the like in a message."""
-    c = F.regexp_replace(c, r"(?i)\b(token|ticket|password|secret|cookie|authorization)\b(\s*[=:]\s*)\S+", "$1$2[redacted]")
-    return F.regexp_replace(c, r"(?i)\bbearer\s+\S+", "Bearer [redacted]")
+    """[C15] Values of secrets in a message, which is cut at 2000 characters."""
+    c = F.regexp_replace(c, r"(?i)\b(authorization|cookie|password|token)\s*[:=]\s*[^\s,;]+", "$1=[REDACTED]")
+    return F.coalesce(F.nullif(F.substring(c, 1, 2000), F.lit("")), F.lit("(no message)"))
 
 
 def capacity_class(c: Column) -> Column:
@@ -332,10 +357,17 @@ def capacity_class(c: Column) -> Column:
     return F.when(low >= 3, "group").when(low.isNotNull(), "solo").otherwise("unknown")
 
 
+#: Grades in words and letters that pass, fail, or leave a course unfinished.
+PASSING = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "D-", "P", "PASS", "PASSED", "S", "SATISFACTORY", "通过", "合格", "及格", "优秀", "良好", "中等"]
+FAILING = ["F", "FAIL", "FAILED", "NP", "N", "UNSATISFACTORY", "不及格", "不合格", "未通过", "不通过"]
+UNFINISHED = ["W", "WITHDRAW", "WITHDRAWN", "I", "IP", "INC", "INCOMPLETE", "AU", "AUDIT", "DROP", "DROPPED", "PENDING", "缺考", "缓考", "退课", "撤课", "未完成"]
+
+
 def grade_class(letter: Column, score: Column) -> Column:
     """[C17] The score decides if there is one (60 passes), else the letter."""
-    v = F.upper(text(letter))
-    return F.when(score.isNotNull(), F.when(score >= 60, "passed").otherwise("failed")).when(v.isin("P", "PASS", "通过", "合格", *[k for k in LETTER_POINTS if k != "F"]), "passed").when(v.isin("F", "FAIL", "不通过", "不合格"), "failed").when(v.isin("W", "I", "IP", "缓考", "退课"), "not_completed").otherwise("unknown")
+    v = F.upper(collapse(F.coalesce(letter, F.lit(""))))
+    by_letter = F.when(v.isin(PASSING), "passed").when(v.isin(FAILING), "failed").when(v.isin(UNFINISHED), "non-completed").otherwise("unknown")
+    return F.when(score >= 60, "passed").when(score < 60, "failed").otherwise(by_letter)
 
 
 def sample(c: Column, n: int) -> Column:
@@ -414,21 +446,22 @@ def changed_fields(fields: dict[str, tuple[Column, Column]]) -> Column:
 
 #: Names of days in block specs.
 DAYS = ["MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN"]
+DAYS_ZH = ["周一", "周二", "周三", "周四", "周五", "周六", "周日"]
 
 
 def block_of(c: Column) -> Column:
-    """[G07] MON:1-4 or MONDAY:3 as day and periods; null if out of bounds (1 to 13)."""
-    pattern = r"^\s*([A-Za-z]+|[1-7])\s*:\s*(\d+)(?:-(\d+))?\s*$"
-    g = lambda k: F.regexp_extract(c, pattern, k)
-    name = F.upper(F.substring(g(1), 1, 3))
-    day = F.coalesce(F.array_position(F.array(*[F.lit(d) for d in DAYS]), name), F.lit(0))
-    day = F.when(day > 0, day.cast("int")).otherwise(g(1).try_cast("int"))
+    """[G07] MON:1-4, 周三:7-8 or 5:9 as day and periods; null if out of bounds (1 to 13)."""
+    pattern = r"^([^:]+):(\d+)(?:-(\d+))?$"
+    g = lambda k: F.regexp_extract(F.trim(c), pattern, k)
+    name = F.upper(F.trim(g(1)))
+    place = lambda names: F.nullif(F.array_position(F.array(*[F.lit(d) for d in names]), name), F.lit(0)).cast("int")
+    day = F.coalesce(place(DAYS), place(DAYS_ZH), F.when(name.rlike("^[1-7]$"), name.try_cast("int")))
     ps, pe = g(2).try_cast("int"), F.coalesce(g(3).try_cast("int"), g(2).try_cast("int"))
     return F.when(day.isNotNull() & (ps >= 1) & (pe >= ps) & (pe <= 13), F.struct(day.alias("day"), ps.alias("ps"), pe.alias("pe")))
 
 
 def ics_escape(c: Column) -> Column:
     """[G08]"""
-    for a, b in (("\\", "\\\\"), (";", "\\;"), (",", "\\,"), ("\r\n", "\\n"), ("\n", "\\n")):
+    for a, b in (("\\", "\\\\"), (";", "\\;"), (",", "\\,"), ("\n", "\\n")):
         c = F.replace(c, F.lit(a), F.lit(b))
     return c

@@ -57,6 +57,11 @@ def findings(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]))
 
 
-def attempt_state(total: Column, completed: Column, submitted: Column, open_: Column) -> Column:
-    """[A08]"""
-    return F.when(total == 0, "not_attempted").when(completed == total, "completed").when(submitted == total, "submitted").when(open_ == total, "in_progress").when(completed + submitted + open_ > 0, "mixed").otherwise("other")
+def attempt_state(total: Column, open_: Column, completed: Column, submitted: Column, latest: Column) -> Column:
+    """[A08] By the latest attempt (completed, submitted or open) if it is one of these, else by what there is; mixed if
+    something else is open or done beside it."""
+    rest = (submitted > 0) | (completed > 0)
+    return (
+        F.when(total == 0, "not_attempted").when(latest.isin("completed", "submitted"), F.when(open_ > 0, "mixed").otherwise(latest)).when(latest == "open", F.when(rest, "mixed").otherwise("in_progress"))
+        .when((open_ > 0) & rest, "mixed").when(completed > 0, "completed").when(submitted > 0, "submitted").when(open_ > 0, "in_progress").otherwise("other")
+    )

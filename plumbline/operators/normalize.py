@@ -114,12 +114,20 @@ def has_full_text(online: Column, flags: Column, labels: Column) -> Column:
     return F.coalesce(online, F.when(F.exists(flags, lambda x: x), True), F.when(no, False).when(yes, True).otherwise(False))
 
 
+#: Forms inside a room's live text.
+LIVE = {"kind": "^【(借用|本|研|研本|本研|其他)】", "weeks": r"\[([0-9,\-]+)周\]", "periods": r"(?:第|\[J)(\d+)(?:-(\d+))?(?:节|\])", "borrower": r"使用人[:：]([^\n]+)", "course": r"^【[^】]+】([^\[\n]+)"}
+
+
 def room_text(c: Column) -> Column:
-    """[Y06] kind, weeks and periods of a room's live text, such as [本][1-8周][3-4节]."""
-    kind = F.regexp_extract(c, r"\[(本研|研本|本|研|借用)\]", 1)
-    weeks, periods = F.regexp_extract(c, r"\[([\d,-]+)[单双]?周\]", 1), r"\[(\d+)(?:-(\d+))?节\]"
-    ps = F.regexp_extract(c, periods, 1).try_cast("int")
-    return F.when(S.text(c) != "", F.struct(F.when(kind == "借用", "borrowing").when(kind != "", "course").otherwise("unknown").alias("kind"), F.when(weeks != "", S.weeks_of(weeks, F.regexp_extract(c, r"\[[\d,-]+([单双])周\]", 1))).otherwise(F.array().cast("array<int>")).alias("weeks"), ps.alias("ps"), F.coalesce(F.regexp_extract(c, periods, 2).try_cast("int"), ps).alias("pe")))
+    """[Y06] kind, weeks, periods, borrower and course of a room's live text; null if it is blank."""
+    t = F.trim(c)
+    kind, ps = F.regexp_extract(t, LIVE["kind"], 1), F.regexp_extract(t, LIVE["periods"], 1).try_cast("int")
+    weeks = F.regexp_extract(t, LIVE["weeks"], 1)
+    got = lambda k: F.nullif(F.trim(F.regexp_extract(t, LIVE[k], 1)), F.lit(""))
+    return F.when(S.text(c) != "", F.struct(
+        F.when(kind == "借用", "borrowing").when(kind.isin("本", "研", "研本", "本研"), "course").otherwise("unknown").alias("kind"),
+        F.when(weeks != "", S.weeks_of(weeks)).otherwise(F.array().cast("array<int>")).alias("weeks"), ps.alias("ps"), F.coalesce(F.regexp_extract(t, LIVE["periods"], 2).try_cast("int"), ps).alias("pe"), got("borrower").alias("borrower"), got("course").alias("course"),
+    ))
 
 
 def room_name(c: Column, aliases: dict[str, str]) -> Column:
@@ -155,7 +163,13 @@ def planning_view(df: DataFrame, forbidden: tuple[str, ...] = ("score", "letter"
     return out
 
 
+#: Kinds of content by handler.
+HANDLERS = {"resource/x-bb-file": "file", "resource/x-bb-folder": "folder", "resource/x-bb-assignment": "assignment", "resource/x-bb-asmt-test-link": "assignment", "resource/x-bb-document": "document"}
+
+
 def handler_kind(c: Column) -> Column:
     """[P27]"""
-    v = F.lower(c)
-    return F.when(v.contains("folder"), "folder").when(v.contains("assignment"), "assignment").when(v.contains("file"), "file").when(v.contains("link"), "link").when(v.contains("document"), "document").otherwise("other")
+    out = F.lit("unknown")
+    for handler, kind in HANDLERS.items():
+        out = F.when(c == handler, kind).otherwise(out)
+    return out

@@ -67,7 +67,7 @@ def review_score(rating: Column, percentile: Column, weight: Column) -> Column:
 def capacity_score(capacity: Column, enrolled: Column) -> Column:
     """[X08]"""
     free = capacity - enrolled
-    return F.when(capacity.isNull() | enrolled.isNull(), 0).when(free <= 0, -18).when(free <= 2, -6).when(free >= capacity * 0.25, 4).otherwise(0)
+    return F.when(capacity.isNull() | enrolled.isNull() | (capacity <= 0), 0).when(free <= 0, -18).when(free <= 2, -6).when(free >= capacity * 0.25, 4).otherwise(0)
 
 
 def plan_score(planned: Column, conflicts: Column, feasible: Column) -> Column:
@@ -85,12 +85,34 @@ def verdict(total: Column, blocked: Column, compatible: Column) -> Column:
     return F.when(blocked | ~compatible | (total < 0), "avoid").when(total >= 34, "strong").when(total >= 18, "recommend").otherwise("consider")
 
 
-def score_label(v: Column) -> Column:
-    """[X14]"""
+#: Labels of scores up to 33, up to 67 and above, by dimension; names of air quality by upper bound.
+SCORE_LABELS = {"difficulty": ("Hard", "Average", "Easy"), "workload": ("Heavy", "Average", "Light"), "grading": ("Poor", "Average", "Excellent"), "takeaways": ("Low", "Average", "High")}
+AIR_LEVELS = [(50, "Good"), (100, "Moderate"), (150, "Unhealthy for Sensitive Groups"), (200, "Unhealthy"), (300, "Very Unhealthy")]
+
+
+def score_label(v: Column, dimension: str = "takeaways") -> Column:
+    """[X14] The score counts from 0 to 100."""
+    low, middle, high = SCORE_LABELS[dimension]
     c = F.greatest(F.lit(0), F.least(F.lit(100), v))
-    return F.when(c <= 33, "low").when(c <= 67, "medium").otherwise("high")
+    return F.when(c <= 33, low).when(c <= 67, middle).otherwise(high)
 
 
 def air_level(v: Column) -> Column:
     """[X15]"""
-    return F.when(v <= 50, "good").when(v <= 100, "moderate").when(v <= 150, "sensitive").when(v <= 200, "unhealthy").when(v <= 300, "very unhealthy").otherwise("hazardous")
+    out = F.lit("Hazardous")
+    for most, name in reversed(AIR_LEVELS):
+        out = F.when(v <= most, name).otherwise(out)
+    return out
+
+
+def lookup_confidence(exact: Column, base: Column, name: Column, teachers: Column, term: Column, candidates: Column) -> Column:
+    """[X13]"""
+    return (
+        F.when(~exact & ~base & ~name, "none").when(exact & ((teachers > 0) | term | (candidates == 1)), "high")
+        .when((exact & (candidates <= 3)) | ((base | name) & (teachers > 0)), "medium").otherwise("low")
+    )
+
+
+def reconciled(conflicts: Column, last: Column, desired: Column, inverse: Column) -> Column:
+    """[A24] The verdict on a sequence of observations: how many conflict, which is last, how many are as wished or as before."""
+    return F.when(conflicts > 0, "still_uncertain").when(last == "desired", "applied").when((desired == 0) & (inverse >= 2), "not_applied").otherwise("still_uncertain")

@@ -90,10 +90,10 @@ def planning_view(t: Tables):
     return N.planning_view(t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("score"), F.col("o_orderstatus").alias("status")))
 
 
-@query("J33 C10 A26", """WITH g(gap, credits) AS (VALUES ('urgent', 4), ('low', 2), ('other', 1)) SELECT o_orderkey AS id, gap, credits FROM orders LEFT JOIN g ON gap = regexp_replace(lower(regexp_replace(o_orderpriority, '^[0-9]-', '')), '[^a-z]', '', 'g')""")
+@query("J33 C10 A26", """WITH g(gap, credits) AS (VALUES ('urgent', 4), ('low', 2), ('other', 1)) SELECT o_orderkey AS id, gap, credits FROM orders LEFT JOIN g ON gap = regexp_replace(lower(regexp_replace(o_orderpriority, '^[0-9]-', '')), '[ _-]', '', 'g')""")
 def gap_labels(t: Tables):
     """Gaps by label in canonical form, so that spelling doesn't matter."""
-    gaps = t.rows([("Urgent Course", 4), ("low", 2), ("Other-modules", 1)], "label string, credits int").select(S.plain_label(F.col("label")).alias("gap"), "credits")
+    gaps = t.rows([("Urgent 课程", 4), ("l o-w", 2), ("Other_模块", 1)], "label string, credits int").select(S.plain_label(F.col("label")).alias("gap"), "credits")
     label = S.plain_label(F.regexp_replace("o_orderpriority", "^[0-9]-", ""))
     return t.orders.select(F.col("o_orderkey").alias("id"), label.alias("__l")).join(F.broadcast(gaps), F.col("__l") == F.col("gap"), "left").select("id", "gap", "credits")
 
@@ -107,8 +107,8 @@ def distinct_slots(t: Tables):
 
 @query("C03", r"""SELECT doc_id AS id, trim(source || ' see docs') AS body FROM documents""")
 def manual_text(t: Tables):
-    """Manual pages without front matter, comments, containers, images and link targets."""
-    raw = F.concat(F.lit("---\ntitle: x\n---\n<!-- hidden -->\n::: tip\n![a](b.png) **"), "source", F.lit("** [see docs](http://x.org/y) {{ version }}\n:::"))
+    """Manual pages without code, containers, images, rules and link targets."""
+    raw = F.concat(F.lit("```js\nhidden\n```\n::: tip x\n![a](b.png) **"), "source", F.lit("** [see docs](http://x.org/y)\n:::\n|---|---|\n"))
     return t.documents.select(F.col("doc_id").alias("id"), S.sanitise_manual(raw).alias("body"))
 
 
@@ -116,7 +116,7 @@ def manual_text(t: Tables):
 def room_texts(t: Tables):
     """Live texts of rooms, and names with aliases of buildings."""
     k = F.col("o_orderkey")
-    text = F.concat(F.when(k % 3 == 0, "[借用]").when(k % 3 == 1, "[本]").otherwise(""), F.lit("[1-"), (4 + k % 3).cast("string"), F.lit("周][3-4节]"))
+    text = F.concat(F.when(k % 3 == 0, "【借用】").when(k % 3 == 1, "【本】").otherwise(""), F.lit("[1-"), (4 + k % 3).cast("string"), F.lit("周][J3-4]"))
     x = N.room_text(text)
     return t.orders.select(k.alias("id"), x["kind"].alias("kind"), F.array_join(x["weeks"], ",").alias("weeks"), x["ps"].alias("ps"), N.room_name(F.concat(F.lit("Lib "), (k % 9).cast("string")), {"Lib": "Library-", "L": "Hall-"}).alias("room"))
 

@@ -91,16 +91,20 @@ def status_counts(t: Tables):
     return t.orders.groupBy(F.col("o_orderpriority").alias("kind")).agg(is_("O").alias("open"), is_("F").alias("done"), is_("P").alias("partial"), F.count("*").alias("total"))
 
 
-@query("A06 A07 A08 F06 J28 J42", """WITH a AS (SELECT l_orderkey AS k, count(*) AS total, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS completed, count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS submitted,
-  count(CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN 1 END) AS open, max(l_shipdate) AS latest FROM lineitem GROUP BY 1)
-SELECT o_orderkey AS id, coalesce(total, 0) AS total, latest, CASE WHEN coalesce(total, 0) = 0 THEN 'not_attempted' WHEN completed = total THEN 'completed' WHEN submitted = total THEN 'submitted' WHEN open = total THEN 'in_progress'
-  WHEN completed + submitted + open > 0 THEN 'mixed' ELSE 'other' END AS state FROM orders LEFT JOIN a ON o_orderkey = k""")
+@query("A06 A07 A08 F06 J28 J42", """WITH l AS (SELECT l_orderkey AS k, l_shipdate, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'completed' WHEN l_returnflag = 'A' THEN 'submitted' WHEN l_linestatus = 'O' THEN 'open' ELSE 'other' END AS st FROM lineitem),
+a AS (SELECT k, count(*) AS total, count(CASE WHEN st = 'completed' THEN 1 END) AS completed, count(CASE WHEN st = 'submitted' THEN 1 END) AS submitted, count(CASE WHEN st = 'open' THEN 1 END) AS open,
+  max(l_shipdate) AS latest, arg_max(st, (l_shipdate, l_linenumber, st)) AS last FROM l GROUP BY 1)
+SELECT o_orderkey AS id, coalesce(total, 0) AS total, latest, CASE WHEN total IS NULL THEN 'not_attempted' WHEN last IN ('completed', 'submitted') THEN CASE WHEN open > 0 THEN 'mixed' ELSE last END
+  WHEN last = 'open' THEN CASE WHEN submitted + completed > 0 THEN 'mixed' ELSE 'in_progress' END WHEN open > 0 AND submitted + completed > 0 THEN 'mixed' WHEN completed > 0 THEN 'completed' WHEN submitted > 0 THEN 'submitted'
+  WHEN open > 0 THEN 'in_progress' ELSE 'other' END AS state FROM orders LEFT JOIN a ON o_orderkey = k""")
 def derived_state(t: Tables):
     """State of each order by its lines."""
-    flag = lambda f: F.count_if(F.col("l_returnflag") == f)
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(F.count("*").alias("total"), flag("R").alias("completed"), flag("A").alias("submitted"), F.count_if((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")).alias("open"), F.max("l_shipdate").alias("latest"))
+    flag = F.when(F.col("l_returnflag") == "R", "completed").when(F.col("l_returnflag") == "A", "submitted").when(F.col("l_linestatus") == "O", "open").otherwise("other")
+    lines = t.lineitem.withColumn("st", flag)
+    n = lambda s: F.count_if(F.col("st") == s).alias(s)
+    lines = lines.groupBy(F.col("l_orderkey").alias("id")).agg(F.count("*").alias("total"), n("completed"), n("submitted"), n("open"), F.max("l_shipdate").alias("latest"), F.max_by("st", F.struct("l_shipdate", "l_linenumber", "st")).alias("last"))
     total = F.coalesce("total", F.lit(0))
-    return t.orders.select(F.col("o_orderkey").alias("id")).join(lines, "id", "left").select("id", total.alias("total"), "latest", A.attempt_state(total, F.col("completed"), F.col("submitted"), F.col("open")).alias("state"))
+    return t.orders.select(F.col("o_orderkey").alias("id")).join(lines, "id", "left").select("id", total.alias("total"), "latest", A.attempt_state(total, F.col("open"), F.col("completed"), F.col("submitted"), F.col("last")).alias("state"))
 
 
 @query("A05 O14", "SELECT event_type AS kind, count(*) AS k, count(DISTINCT user_id) AS users, CAST(sum(count(*)) OVER () AS BIGINT) AS all_rows FROM events GROUP BY 1")
@@ -189,12 +193,13 @@ def bid_projection(t: Tables):
     return both.groupBy("owner").agg(F.sum("bid").alias("now"), F.sum("then").alias("projected"), (F.sum("then") > 100).alias("over_limit"))
 
 
-@query("A24 T04", """SELECT o_custkey AS target, CASE WHEN count(CASE WHEN o_orderstatus = 'P' THEN 1 END) > 2 THEN 'conflict' WHEN arg_max(o_orderstatus, o_orderkey) = 'O' THEN 'confirmed'
-  WHEN count(CASE WHEN o_orderstatus = 'F' THEN 1 END) >= 2 AND count(CASE WHEN o_orderstatus = 'O' THEN 1 END) = 0 THEN 'rejected' ELSE 'pending' END AS verdict FROM orders GROUP BY 1""")
+@query("A24 T04", """SELECT o_custkey AS target, CASE WHEN count(CASE WHEN o_orderstatus = 'P' THEN 1 END) > 0 THEN 'still_uncertain' WHEN arg_max(o_orderstatus, o_orderkey) = 'O' THEN 'applied'
+  WHEN count(CASE WHEN o_orderstatus = 'F' THEN 1 END) >= 2 AND count(CASE WHEN o_orderstatus = 'O' THEN 1 END) = 0 THEN 'not_applied' ELSE 'still_uncertain' END AS verdict FROM orders GROUP BY 1""")
 def reconciliation(t: Tables):
     """Verdict over a sequence of observations."""
     s = F.col("o_orderstatus")
-    return t.orders.groupBy(F.col("o_custkey").alias("target")).agg(F.when(F.count_if(s == "P") > 2, "conflict").when(F.max_by(s, "o_orderkey") == "O", "confirmed").when((F.count_if(s == "F") >= 2) & (F.count_if(s == "O") == 0), "rejected").otherwise("pending").alias("verdict"))
+    last = F.when(F.max_by(s, "o_orderkey") == "O", "desired")
+    return t.orders.groupBy(F.col("o_custkey").alias("target")).agg(X.reconciled(F.count_if(s == "P"), last, F.count_if(s == "O"), F.count_if(s == "F")).alias("verdict"))
 
 
 @query("A25 A28 A22 J43 A29", """WITH w AS (SELECT 'labels' AS source, count(*) AS n FROM labels UNION ALL SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'parts', count(*) FROM part WHERE p_size > 1000)
@@ -215,7 +220,7 @@ def population_counts(t: Tables):
 
 
 @query("A30 X14", """SELECT p_brand AS brand, CAST(count(*) AS BIGINT) AS k, CAST(sum(p_size) AS BIGINT) AS total, rank() OVER (ORDER BY sum(p_size) DESC) AS place,
-  CASE WHEN least(100, max(p_size) * 2) <= 33 THEN 'low' WHEN least(100, max(p_size) * 2) <= 67 THEN 'medium' ELSE 'high' END AS label FROM part GROUP BY 1""")
+  CASE WHEN least(100, max(p_size) * 2) <= 33 THEN 'Low' WHEN least(100, max(p_size) * 2) <= 67 THEN 'Average' ELSE 'High' END AS label FROM part GROUP BY 1""")
 def rankings(t: Tables):
     """Statistics and a ranking by brand (a row a brand is ranked)."""
     sums = t.part.groupBy(F.col("p_brand").alias("brand")).agg(F.count("*").alias("k"), F.sum("p_size").alias("total"), X.score_label(F.max("p_size") * 2).alias("label"))
@@ -246,7 +251,7 @@ l AS (SELECT s_suppkey AS q, 'BRAND' || (s_suppkey % 5 + 1) || (s_suppkey % 4 +
 j AS (SELECT q, id, CASE WHEN c.term = l.term THEN 2 ELSE 0 END + 1 AS points FROM l JOIN c ON c.code = l.code),
 b AS (SELECT q, id, points, row_number() OVER (PARTITION BY q ORDER BY points DESC, id) AS n, count(*) OVER (PARTITION BY q) AS candidates, count(CASE WHEN points = 3 THEN 1 END) OVER (PARTITION BY q) AS exact FROM j)
 SELECT l.q, b.id, coalesce(candidates, 0) AS candidates, CASE WHEN id IS NULL THEN 'none' WHEN exact = 1 THEN 'resolved' ELSE 'ambiguous' END AS status,
-  CASE WHEN id IS NULL THEN 'none' WHEN exact = 1 THEN 'high' WHEN exact > 1 THEN 'medium' ELSE 'low' END AS confidence FROM l LEFT JOIN b ON l.q = b.q AND n = 1""")
+  CASE WHEN id IS NULL THEN 'none' WHEN exact > 0 OR candidates = 1 THEN 'high' WHEN candidates <= 3 THEN 'medium' ELSE 'low' END AS confidence FROM l LEFT JOIN b ON l.q = b.q AND n = 1""")
 def entity_resolution(t: Tables):
     """Lookups by code, with the term as a signal: the best candidate, its status and confidence."""
     cand = t.part.select(F.col("p_partkey").alias("id"), S.plain_code(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("code"), F.col("p_size").alias("term"))
@@ -254,8 +259,9 @@ def entity_resolution(t: Tables):
     looks = t.supplier.select(k.alias("q"), F.concat(F.lit("BRAND"), (k % 5 + 1).cast("string"), (k % 4 + 1).cast("string")).alias("code"), (k % 50 + 1).alias("want"))
     met = looks.join(cand, "code", "left").withColumn("points", F.when(F.col("id").isNotNull(), F.when(F.col("term") == F.col("want"), 3).otherwise(1)))
     best = met.groupBy("q").agg(F.max_by("id", F.struct("points", -F.col("id"))).alias("id"), F.count("id").alias("candidates"), F.count_if(F.col("points") == 3).alias("exact"))
-    none, sole, some = F.col("id").isNull(), F.col("exact") == 1, F.col("exact") > 1
-    return best.select("q", "id", "candidates", F.when(none, "none").when(sole, "resolved").otherwise("ambiguous").alias("status"), F.when(none, "none").when(sole, "high").when(some, "medium").otherwise("low").alias("confidence"))
+    none, sole = F.col("id").isNull(), F.col("exact") == 1
+    sure = X.lookup_confidence(~none, F.lit(False), F.lit(False), F.lit(0), F.col("exact") > 0, F.col("candidates"))
+    return best.select("q", "id", "candidates", F.when(none, "none").when(sole, "resolved").otherwise("ambiguous").alias("status"), sure.alias("confidence"))
 
 
 @query("J37 J38 J17 F25", """SELECT c_custkey AS id, CASE WHEN n IS NULL THEN 'not_observed' WHEN n = 1 THEN 'confirmed' ELSE 'ambiguous' END AS outcome FROM customer

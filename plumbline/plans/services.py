@@ -22,9 +22,10 @@ def tree_walk(t: Tables):
     return tree.walk(nodes, nodes.where("id < 4")).select("id", "depth", F.array_join(F.transform("path", lambda x: x.cast("string")), "/").alias("path"))
 
 
-@query("A05 P27 O14", "SELECT CASE WHEN contains(lower(p_type), 'folder') THEN 'folder' WHEN contains(lower(p_type), 'file') THEN 'file' ELSE 'other' END AS kind, p_type AS handler, count(*) AS k FROM part GROUP BY ALL")
+@query("A05 P27 O14", "SELECT CASE p_size % 4 WHEN 0 THEN 'file' WHEN 1 THEN 'folder' WHEN 2 THEN 'assignment' ELSE 'unknown' END AS kind, p_type AS handler, count(*) AS k FROM part GROUP BY ALL")
 def content_types(t: Tables):
-    return t.part.groupBy(N.handler_kind(F.col("p_type")).alias("kind"), F.col("p_type").alias("handler")).agg(F.count("*").alias("k"))
+    handler = F.element_at(F.array(*[F.lit(f"resource/x-bb-{k}") for k in ("file", "folder", "asmt-test-link", "blog")]), F.col("p_size") % 4 + 1)
+    return t.part.groupBy(N.handler_kind(handler).alias("kind"), F.col("p_type").alias("handler")).agg(F.count("*").alias("k"))
 
 
 @query("P01 P02 Y03 Y04 Y05 C14", """SELECT o_orderkey AS id, 'C' || o_custkey AS code, CAST(o_orderkey % 6 AS DOUBLE) / 2 AS credits, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 120 AS DOUBLE) END AS capacity,
@@ -106,7 +107,7 @@ def term_labels(t: Tables):
     return t.orders.select(k.alias("id"), S.term_label(code).alias("label"), S.extends_code(full, F.lit("CS101")).alias("extends"))
 
 
-@query("X15 X14 C16", """SELECT p_partkey AS id, CASE WHEN p_size * 8 <= 50 THEN 'good' WHEN p_size * 8 <= 100 THEN 'moderate' WHEN p_size * 8 <= 150 THEN 'sensitive' WHEN p_size * 8 <= 200 THEN 'unhealthy' WHEN p_size * 8 <= 300 THEN 'very unhealthy' ELSE 'hazardous' END AS air,
+@query("X15 X14 C16", """SELECT p_partkey AS id, CASE WHEN p_size * 8 <= 50 THEN 'Good' WHEN p_size * 8 <= 100 THEN 'Moderate' WHEN p_size * 8 <= 150 THEN 'Unhealthy for Sensitive Groups' WHEN p_size * 8 <= 200 THEN 'Unhealthy' WHEN p_size * 8 <= 300 THEN 'Very Unhealthy' ELSE 'Hazardous' END AS air,
 CASE WHEN p_size % 3 = 0 THEN 'unknown' WHEN p_size >= 3 THEN 'group' ELSE 'solo' END AS room FROM part""")
 def level_labels(t: Tables):
     size = F.col("p_size").cast("string")

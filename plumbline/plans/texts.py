@@ -94,10 +94,9 @@ def markdown_strip(t: Tables):
     return t.documents.select("doc_id", F.md5(F.encode(c, "UTF-8")).alias("mark"), F.length(c).cast("long").alias("chars"))
 
 
-_HTML = "regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)>', ' ', 'g'), '(?i)<br\\s*/?>|</(p|div|li|tr|h[1-6])>', ' ', 'g')"
-_HTML = f"regexp_replace({_HTML}, '<[^>]+>', ' ', 'g')"
+_HTML = "regexp_replace(html, '<[^>]+>', '', 'g')"
 for _n, _to in S.ENTITIES.items():
-    _HTML = f"replace({_HTML}, '{_n}', '{_to.replace(chr(39), chr(39) * 2)}')"
+    _HTML = f"regexp_replace({_HTML}, '(?i){_n}', '{_to.replace(chr(39), chr(39) * 2)}', 'g')"
 _HTML = f"trim(regexp_replace({_HTML}, '\\s+', ' ', 'g'))"
 
 
@@ -189,7 +188,7 @@ def canonical_digest(t: Tables):
 
 
 @query("C04 C09 C10 C14 C15", r"""SELECT p_partkey AS id, 'part:' || regexp_replace(regexp_replace(lower(trim(p_name)), '\s+', '-', 'g'), '[^\pL\pN-]', '', 'g') AS slug, upper(regexp_replace(p_brand, '[\s_-]+', '', 'g')) AS code,
-CASE WHEN p_size % 3 = 0 THEN 'lab' WHEN p_size % 3 = 1 THEN 'lecture' ELSE 'other' END AS kind, 'token=[redacted] for ' || p_name AS message FROM part""")
+CASE WHEN p_size % 3 = 0 THEN 'lab' WHEN p_size % 3 = 1 THEN 'lecture' ELSE 'other' END AS kind, 'token=[REDACTED] for ' || p_name AS message FROM part""")
 def text_codes(t: Tables):
     """Slugs, plain codes, component types and redacted messages."""
     kind = F.when(F.col("p_size") % 3 == 0, F.lit("Physics Lab")).when(F.col("p_size") % 3 == 1, F.lit("理论课")).otherwise(F.lit("seminar"))

@@ -206,4 +206,13 @@ def test_planning_view_refuses_nested_scores(spark):
 
 def test_attempt_states(spark):
     one = lambda *x: spark.range(1).select(audit.attempt_state(*[F.lit(v) for v in x]).alias("s")).first().s
-    assert [one(*x) for x in ((0, 0, 0, 0), (2, 2, 0, 0), (2, 0, 2, 0), (2, 0, 0, 2), (3, 1, 0, 0), (1, 0, 0, 0))] == ["not_attempted", "completed", "submitted", "in_progress", "mixed", "other"]
+    cases = {(0, 0, 0, 0, None): "not_attempted", (2, 0, 2, 0, "completed"): "completed", (2, 1, 1, 0, "completed"): "mixed", (2, 0, 0, 2, "submitted"): "submitted", (2, 2, 0, 0, "open"): "in_progress", (2, 1, 0, 1, "open"): "mixed", (2, 0, 1, 0, "other"): "completed", (1, 0, 0, 0, "other"): "other"}
+    assert {x: one(*x) for x in cases} == cases
+
+
+def test_lookup_confidence_and_reconciliation(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    sure = lambda *x: one(rank.lookup_confidence(*[F.lit(v) for v in x]))
+    assert [sure(False, False, False, 1, True, 1), sure(True, False, False, 0, False, 1), sure(True, False, False, 0, False, 3), sure(True, False, False, 0, False, 4), sure(False, True, False, 1, False, 9)] == ["none", "high", "medium", "low", "medium"]
+    seen = lambda *x: one(rank.reconciled(*[F.lit(v) for v in x]))
+    assert [seen(1, "desired", 2, 0), seen(0, "desired", 1, 1), seen(0, "inverse", 0, 2), seen(0, "inverse", 1, 2)] == ["still_uncertain", "applied", "not_applied", "still_uncertain"]
