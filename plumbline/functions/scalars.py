@@ -116,10 +116,11 @@ def date_of(week: Column, weekday: Column, teaching_start: Column) -> Column:
     return F.date_add(monday(teaching_start), ((week - 1) * 7 + weekday).cast("int"))
 
 
-def last_teaching_day(teaching_start: Column, weeks: Column, final_weeks: Column) -> Column:
-    """[D05] The Sunday before the first final week, or of the last teaching week."""
-    last = F.least(weeks, F.coalesce(F.array_min(final_weeks) - 1, weeks))
-    return F.date_add(monday(teaching_start), (last * 7 - 1).cast("int"))
+def last_teaching_day(teaching_start: Column, final_weeks: Column, final_end: Column) -> Column:
+    """[D05] The Sunday before the first final week, or the day before the finals end if that is earlier; the day before
+    the start if no week is left."""
+    last = F.coalesce(F.array_min(final_weeks), F.lit(1)) - 1
+    return F.when(last < 1, F.date_add(teaching_start, -1)).otherwise(F.least(F.date_add(monday(teaching_start), (last * 7 - 1).cast("int")), F.date_add(final_end, -1)))
 
 
 def term_of(d: Column) -> Column:
@@ -130,10 +131,14 @@ def term_of(d: Column) -> Column:
 
 
 def term_label(code: Column) -> Column:
-    """[D10] 20241 reads 2024 Fall; Spring and Summer are of the next year."""
-    year, term = F.substring(code, 1, 4).try_cast("int"), F.substring(code, 5, 1)
-    name = F.when(term == "1", F.lit("Fall")).when(term == "2", F.lit("Spring")).when(term == "3", F.lit("Summer"))
-    return F.when(code.rlike(r"^\d{5}$"), F.concat((year + F.when(term == "1", 0).otherwise(1)).cast("string"), F.lit(" "), name))
+    """[D10] 20241 reads 2024秋, then 春 and 夏; shorter codes stay."""
+    name = F.try_element_at(F.create_map(*[F.lit(x) for x in ("1", "秋", "2", "春", "3", "夏")]), F.substring(code, 5, 1))
+    return F.when(F.length(code) < 5, code).otherwise(F.concat(F.substring(code, 1, 4), F.coalesce(name, F.lit(""))))
+
+
+def term_code(year: Column, term: Column) -> Column:
+    """[D10] 2024-2025 and 2 as 20252: the first term is named by the year it begins in, the others by the next."""
+    return F.when(term == "1", F.concat(F.substring(year, 1, 4), F.lit("1"))).otherwise(F.concat(F.substring(year, 6, 4), term))
 
 
 def stale(fetched: Column, updated: Column, days: int) -> Column:
@@ -186,20 +191,33 @@ def local_range(d: Column, hours: Column) -> Column:
     return F.when(ok, F.struct(utc_at(d, begin).alias("start"), utc_at(d, end).alias("end")))
 
 
-def talk_time(c: Column) -> Column:
-    """[D15] start and end (local) from free text: a date, a time or a range of times, a full-width colon, or a range of days."""
-    t = F.regexp_replace(F.regexp_replace(c, "：", ":"), "[年月/.]", "-")
-    day = r"(\d{4})-(\d{1,2})-(\d{1,2})日?"
-    clock = r"(\d{1,2}):(\d{2})"
-    d = lambda k: F.try_to_date(F.concat_ws("-", F.regexp_extract(t, day, 1), F.lpad(F.regexp_extract(t, day, 2), 2, "0"), F.lpad(F.regexp_extract(t, day, 3), 2, "0")), "yyyy-MM-dd")
-    second = r"^.*?" + day + r".*?[-~–至]\s*" + day
-    d2 = F.try_to_date(F.concat_ws("-", F.regexp_extract(t, second, 4), F.lpad(F.regexp_extract(t, second, 5), 2, "0"), F.lpad(F.regexp_extract(t, second, 6), 2, "0")), "yyyy-MM-dd")
-    times = F.regexp_extract_all(t, F.lit(clock), 0)
-    clean = lambda x: F.when(x.isNotNull(), F.lpad(x, 5, "0"))
-    start, end = clean(F.get(times, F.lit(0))), clean(F.get(times, F.size(times) - 1))
-    begin = F.concat(d(1).cast("string"), F.lit(" "), F.coalesce(start, F.lit("00:00")))
-    until = F.when(F.size(times) > 1, F.concat(F.coalesce(d2, d(1)).cast("string"), F.lit(" "), end)).when(d2.isNotNull(), F.concat(d2.cast("string"), F.lit(" 23:59")))
-    return F.when(d(1).isNotNull(), F.struct(begin.alias("start"), F.when(until > begin, until).alias("end"), start.isNotNull().alias("timed")))
+#: Forms of the times of talks, on one day and over several.
+ONE_DAY = r"^(\d{4})年(\d{1,2})月(\d{1,2})日\s+(\d{1,2}:\d{2})(?:-(\d{1,2}:\d{2}))?$"
+SOME_DAYS = r"^(\d{4})年(\d{1,2})月(\d{1,2})日\s*-\s*(\d{4})年(\d{1,2})月(\d{1,2})日\s+(\d{1,2}:\d{2})(?:-(\d{1,2}:\d{2}))?$"
+
+
+def clock(c: Column) -> Column:
+    """HH:MM, padded; null if it is no time of day."""
+    padded = F.lpad(c, 5, "0")
+    return F.when(padded.rlike(r"^([01]\d|2[0-3]):[0-5]\d$"), padded)
+
+
+def talk_time(c: Column, slug_date: Column | None = None, slug_time: Column | None = None) -> Column:
+    """[D15] start and end (local, YYYY-MM-DD HH:MM): one day, several days, else any date and time inside, else the slug's."""
+    none = F.lit(None).cast("string")
+
+    def form(pattern: str, day: int, last: int, time: int) -> Column:
+        g = lambda k: F.regexp_extract(c, pattern, k)
+        date = lambda k: iso_date(F.concat_ws("-", g(k), F.lpad(g(k + 1), 2, "0"), F.lpad(g(k + 2), 2, "0")))
+        begin, until, start, end = date(day), date(last), clock(g(time)), clock(g(time + 1))
+        ok = c.rlike(pattern) & (begin <= until) & start.isNotNull() & ((g(time + 1) == "") | end.isNotNull())
+        return F.when(ok, F.struct(F.concat_ws(" ", begin.cast("string"), start).alias("start"), F.when(end.isNotNull(), F.concat_ws(" ", until.cast("string"), end)).alias("end")))
+
+    inside = lambda p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
+    date = F.coalesce(iso_date(inside(r"(\d{4}-\d{2}-\d{2})")).cast("string"), none if slug_date is None else slug_date)
+    time = F.coalesce(clock(inside(r"(\d{1,2}:\d{2})")), none if slug_time is None else slug_time)
+    loose = F.when(date.isNotNull() & time.isNotNull(), F.struct(F.concat_ws(" ", date, time).alias("start"), none.alias("end")))
+    return F.coalesce(form(ONE_DAY, 1, 1, 4), form(SOME_DAYS, 1, 4, 7), loose)
 
 
 # Strings

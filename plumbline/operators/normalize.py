@@ -102,16 +102,24 @@ def categories(raw: DataFrame) -> DataFrame:
     return raw.select(_get(raw, "name").alias("name"), required.alias("required"), done.alias("completed"), F.coalesce(_number(raw, "remaining"), F.greatest(required - done, F.lit(0.0))).alias("remaining"))
 
 
-def works(raw: DataFrame, unwanted: tuple[str, ...] = ("component", "dataset", "peer-review")) -> DataFrame:
-    """[P19] Papers without the unwanted kinds and supplements."""
-    return raw.where(~F.col("type").isin(*unwanted) & ~F.lower("title").rlike(r"^(supplement|supporting information|correction to)")).select(F.lower(F.trim("doi")).alias("doi"), S.collapse(F.col("title")).alias("title"), "year", "citations")
+def works(raw: DataFrame, wanted: tuple[str, ...] = ("journal-article", "proceedings-article", "posted-content")) -> DataFrame:
+    """[P19] Papers of the wanted kinds (or of none), without supplements by their identifier."""
+    doi = F.lower(F.coalesce("doi", F.lit("")))
+    extra = doi.contains("/suppl") | doi.rlike(r"\.s00\d$")
+    kind = F.coalesce("type", F.lit(""))
+    return raw.where(((kind == "") | kind.isin(*wanted)) & ~extra)
 
 
-def has_full_text(online: Column, flags: Column, labels: Column) -> Column:
-    """[P24] Explicit flags first; else the labels, of which a denial decides before an offer."""
-    no = F.exists(labels, lambda x: F.lower(x).rlike("no_?fulltext|not available"))
-    yes = F.exists(labels, lambda x: F.lower(x).rlike("fulltext|online"))
-    return F.coalesce(online, F.when(F.exists(flags, lambda x: x), True), F.when(no, False).when(yes, True).otherwise(False))
+#: Words that deny a full text, and that offer one.
+DENIED_RE = r"(^|[\s_-])(false|no|none|unavailable)([\s_-]|$)|no_fulltext|no_full_text|no_link|without_fulltext"
+OFFERED_RE = r"full[\s_-]?text|online|electronic|view[\s_-]?online|link[\s_-]?to[\s_-]?source"
+
+
+def has_full_text(flag: Column, labels: Column) -> Column:
+    """[P24] The explicit flag (true, false, 1 or 0) if there is one; else the labels, of which a denial decides first."""
+    own = F.when(F.lower(F.trim(flag)).isin("true", "1"), True).when(F.lower(F.trim(flag)).isin("false", "0"), False)
+    any_ = lambda p: F.exists(labels, lambda x: F.lower(x).rlike(p))
+    return F.coalesce(own, F.when(any_(DENIED_RE), False).when(any_(OFFERED_RE), True), F.lit(False))
 
 
 #: Forms inside a room's live text.

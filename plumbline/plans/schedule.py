@@ -105,12 +105,12 @@ def day_flags(t: Tables):
     return own.select("day", "weekday", "week", "is_holiday", (F.col("weekday") >= 5).alias("is_weekend"), teaching.alias("is_teaching"), S.term_of(F.col("day")).alias("term"))
 
 
-@query("D03 D05 D06", """WITH k AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS d FROM orders), m AS (SELECT id, CAST(d - CAST(isodow(d) - 1 AS INT) AS DATE) AS m FROM k)
-SELECT id, m AS monday, CAST(m + CAST((id % 16) * 7 + id % 7 AS INT) AS DATE) AS day, CAST(m + CAST(least(16, CASE WHEN id % 3 = 0 THEN 16 ELSE 14 END) * 7 - 1 AS INT) AS DATE) AS last_day FROM m""")
+@query("D03 D05 D06", """WITH k AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS d FROM orders), m AS (SELECT id, d, CAST(d - CAST(isodow(d) - 1 AS INT) AS DATE) AS m FROM k)
+SELECT id, m AS monday, CAST(m + CAST((id % 16) * 7 + id % 7 AS INT) AS DATE) AS day, CASE WHEN id % 3 = 0 THEN CAST(d - 1 AS DATE) ELSE least(CAST(m + 97 AS DATE), CAST(d + 98 AS DATE)) END AS last_day FROM m""")
 def week_dates(t: Tables):
     k, d = F.col("o_orderkey"), F.to_date("o_orderdate")
     finals = F.when(k % 3 == 0, F.array().cast("array<int>")).otherwise(F.array(F.lit(16), F.lit(15)))
-    return t.orders.select(k.alias("id"), S.monday(d).alias("monday"), S.date_of(k % 16 + 1, k % 7, d).alias("day"), S.last_teaching_day(d, F.lit(16), finals).alias("last_day"))
+    return t.orders.select(k.alias("id"), S.monday(d).alias("monday"), S.date_of(k % 16 + 1, k % 7, d).alias("day"), S.last_teaching_day(d, finals, F.date_add(d, 99)).alias("last_day"))
 
 
 _PERIOD_SQL = "p(period, s) AS (VALUES " + ", ".join(f"({i}, {m})" for i, m in enumerate(S.OLD_PERIODS, 1)) + ")"

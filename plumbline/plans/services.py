@@ -99,12 +99,12 @@ def resolve_names(t: Tables):
     return asked.join(per, "name", "left").select("name", k.alias("candidates"), F.when(k == 0, "not_found").when(k == 1, "resolved").otherwise("ambiguous").alias("status"))
 
 
-@query("F11 D10 C11", """SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN '2024 Fall' WHEN 1 THEN '2025 Spring' ELSE '2025 Summer' END AS label, o_orderkey % 4 IN (0, 1) AS extends FROM orders""")
+@query("F11 D10 C11", """SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN '2024秋' WHEN 1 THEN '2024春' ELSE '2024夏' END AS label, CASE o_orderkey % 3 WHEN 0 THEN '20241' WHEN 1 THEN '20252' ELSE '20253' END AS code, o_orderkey % 4 IN (0, 1) AS extends FROM orders""")
 def term_labels(t: Tables):
     k = F.col("o_orderkey")
     code = F.concat(F.lit("2024"), (k % 3 + 1).cast("string"))
     full = F.when(k % 4 == 0, "CS101").when(k % 4 == 1, "CS101A").when(k % 4 == 2, "CS1012").otherwise("EE101")
-    return t.orders.select(k.alias("id"), S.term_label(code).alias("label"), S.extends_code(full, F.lit("CS101")).alias("extends"))
+    return t.orders.select(k.alias("id"), S.term_label(code).alias("label"), S.term_code(F.lit("2024-2025"), (k % 3 + 1).cast("string")).alias("code"), S.extends_code(full, F.lit("CS101")).alias("extends"))
 
 
 @query("X15 X14 C16", """SELECT p_partkey AS id, CASE WHEN p_size * 8 <= 50 THEN 'Good' WHEN p_size * 8 <= 100 THEN 'Moderate' WHEN p_size * 8 <= 150 THEN 'Unhealthy for Sensitive Groups' WHEN p_size * 8 <= 200 THEN 'Unhealthy' WHEN p_size * 8 <= 300 THEN 'Very Unhealthy' ELSE 'Hazardous' END AS air,
@@ -154,17 +154,15 @@ def talk_labels(t: Tables):
     """Labels and times of talks from free text."""
     day = (F.col("doc_id") % 28 + 1).cast("string")
     label = S.split_label(F.concat(F.lit("《Series》 Speaker @ "), "source", F.lit("： A title")))
-    time = S.talk_time(F.concat(F.lit("2024年3月"), day, F.lit("日 14：30-16:00")))
+    time = S.talk_time(F.concat(F.lit("2024年3月"), day, F.lit("日 14:30-16:00")))
     return t.documents.select(F.col("doc_id").alias("id"), time["start"].alias("begins"), time["end"].alias("ends"), label["title"].alias("title"), label["series"].alias("series"), label["speaker"].alias("speaker"), label["affiliation"].alias("affiliation"))
 
 
-@query("P12 P19 P24 P13", """SELECT p_partkey AS id, lower(p_brand) AS doi, p_size % 3 <> 1 AND p_size % 3 = 2 AS full_text, left(p_name, 1) || repeat('*', length(p_name) - 1) AS masked FROM part WHERE p_size % 5 <> 0""")
+@query("P12 P19 P24 P13", """SELECT p_partkey AS id, lower(p_brand) AS doi, p_size % 3 = 2 AS full_text, left(p_name, 1) || repeat('*', length(p_name) - 1) AS masked FROM part WHERE p_size % 5 NOT IN (0, 1)""")
 def normalise_works(t: Tables):
-    """Papers without the unwanted kinds, full text by labels, masked names."""
-    kind = F.when(F.col("p_size") % 5 == 0, "dataset").otherwise("article")
-    raw = t.part.select("p_partkey", "p_size", kind.alias("type"), F.col("p_name").alias("title"), F.col("p_brand").alias("doi"), F.lit(2020).alias("year"), F.lit(1).alias("citations"))
-    labels = F.array(F.when(F.col("p_size") % 3 == 1, "no_fulltext").when(F.col("p_size") % 3 == 2, "fulltext").otherwise("print"), F.lit("x"))
-    keep = N.works(raw.withColumn("title", F.concat_ws("\u0001", "p_partkey", "p_size", "title")))
-    own = keep.withColumn("parts", F.split("title", "\u0001"))
-    own = own.select(F.get("parts", F.lit(0)).cast("long").alias("id"), "doi", F.get("parts", F.lit(1)).cast("int").alias("p_size"), F.get("parts", F.lit(2)).alias("name"))
-    return own.select("id", "doi", N.has_full_text(F.lit(None).cast("boolean"), F.array(F.lit(False)), labels).alias("full_text"), F.concat(F.substring("name", 1, 1), F.repeat(F.lit("*"), F.length("name") - 1)).alias("masked"))
+    """Papers of the wanted kinds without supplements, full text by labels, masked names."""
+    kind = F.when(F.col("p_size") % 5 == 0, "dataset").when(F.col("p_size") % 5 == 1, "journal-article")
+    doi = F.when(F.col("p_size") % 5 == 1, F.concat(F.lower("p_brand"), F.lit(".s001"))).otherwise(F.lower("p_brand"))
+    keep = N.works(t.part.select(F.col("p_partkey").alias("id"), "p_size", kind.alias("type"), doi.alias("doi"), F.col("p_name").alias("name")))
+    labels = F.array(F.when(F.col("p_size") % 3 == 1, "online no_fulltext").when(F.col("p_size") % 3 == 2, "Full Text").otherwise("print"), F.lit("x"))
+    return keep.select("id", "doi", N.has_full_text(F.lit(None).cast("string"), labels).alias("full_text"), F.concat(F.substring("name", 1, 1), F.repeat(F.lit("*"), F.length("name") - 1)).alias("masked"))

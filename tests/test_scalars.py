@@ -86,11 +86,20 @@ def test_stamps(one):
 
 
 def test_talk_times(one):
-    t = one(S.talk_time(L("2024年3月1日 14：30 - 16:00")))
-    assert (t.start, t.end, t.timed) == ("2024-03-01 14:30", "2024-03-01 16:00", True)
-    t = one(S.talk_time(L("2024-03-01 - 2024-03-03")))
-    assert (t.start, t.end, t.timed) == ("2024-03-01 00:00", "2024-03-03 23:59", False)
-    assert one(S.talk_time(L("to be announced"))) is None and one(S.talk_time(L("2024-13-01 10:00"))) is None
+    time = lambda x: one(S.talk_time(L(x), L("2024-01-01"), L("09:00")))
+    assert tuple(time("2024年3月1日 14:30-16:00")) == ("2024-03-01 14:30", "2024-03-01 16:00")
+    assert tuple(time("2024年3月1日 - 2024年3月3日 9:30")) == ("2024-03-01 09:30", None)
+    assert tuple(time("on 2024-03-02 at 8:05")) == ("2024-03-02 08:05", None)
+    assert tuple(time("2024年2月30日 14:30")) == ("2024-01-01 14:30", None) and tuple(time("soon")) == ("2024-01-01 09:00", None)
+    assert one(S.talk_time(L("to be announced"))) is None
+
+
+def test_term_names(one):
+    assert [one(S.term_label(L(x))) for x in ("20241", "20249", "2024")] == ["2024秋", "2024", "2024"]
+    assert [one(S.term_code(L("2024-2025"), L(x))) for x in "123"] == ["20241", "20252", "20253"]
+    d = lambda x: L(x).cast("date")
+    assert one(S.last_teaching_day(d("2024-02-21"), F.array(L(17), L(16)), d("2024-06-30"))) == dt.date(2024, 6, 2)
+    assert one(S.last_teaching_day(d("2024-02-21"), F.array(L(1)), d("2024-06-30"))) == dt.date(2024, 2, 20)
 
 
 def test_markdown_and_html(one):
