@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from plumbline.llm.vec import string_parts
 
 #: Bytes of text encoded together.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
 #: Words whose ids a Python worker keeps from task to task, the first that it meets (about 200 bytes each).
 KEPT_WORDS = 300_000
 
