@@ -16,12 +16,19 @@ def by_week(slots: DataFrame) -> DataFrame:
     return slots.withColumn("week", F.explode("weeks")).drop("weeks")
 
 
+def _week_bits(weeks: Column) -> Column:
+    """A bit for each week (those 63 apart share one): without a common bit there is no common week."""
+    return F.aggregate(weeks, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(w, F.lit(63)).cast("int"))))
+
+
 def conflict_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
-    """[J01, J02, R10] section_a < section_b that have a meeting in common by keys, week and periods."""
-    a = by_week(left).select("week", *keys, F.col("ps").alias("pa"), F.col("pe").alias("ea"), F.col("section").alias("section_a"))
-    b = by_week(right).select("week", *keys, F.col("ps").alias("pb"), F.col("pe").alias("eb"), F.col("section").alias("section_b"))
-    hit = (F.col("pa") <= F.col("eb")) & (F.col("pb") <= F.col("ea")) & (F.col("section_a") < F.col("section_b"))
-    return a.join(b, ["week", *keys]).where(hit).select("section_a", "section_b").distinct()
+    """[J01, J02, R10] section_a < section_b that have a meeting in common by keys, week and periods.
+
+    Slots join once by keys; weeks are compared as bits and then as arrays, so that a pair isn't made for each week.
+    """
+    side = lambda df, s: df.select(*keys, F.col("ps").alias(f"ps_{s}"), F.col("pe").alias(f"pe_{s}"), F.col("weeks").alias(f"weeks_{s}"), _week_bits(F.col("weeks")).alias(f"bits_{s}"), F.col("section").alias(f"section_{s}"))
+    hit = (F.col("section_a") < F.col("section_b")) & (F.col("ps_a") <= F.col("pe_b")) & (F.col("ps_b") <= F.col("pe_a")) & (F.col("bits_a").bitwiseAND(F.col("bits_b")) != 0) & F.arrays_overlap("weeks_a", "weeks_b")
+    return side(left, "a").join(side(right, "b"), list(keys)).where(hit).select("section_a", "section_b").distinct()
 
 
 def unblocked(slots: DataFrame, blocks: DataFrame) -> DataFrame:
