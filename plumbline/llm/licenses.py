@@ -1,14 +1,19 @@
 """License scans: sentences and licence files against templates by sparse TF-IDF cosine, then inheritance by directory.
 
-A file's own licence is that of the template closest to one of its sentences that name a licensing term (its header, or
-a notice anywhere), or, for a file named like a licence, to its whole text as well; the cosine must reach a threshold.
+A file's own licence is the one that it declares: by an SPDX identifier, else by the first usual wording of a header,
+notice or licence text that it holds as a whole, across lines and comment marks and whatever else the sentence says.
+Without either it is that of the template closest to one of its sentences that name a licensing term (its header, or a
+notice anywhere), or, for a file named like a licence, to its whole text as well; the cosine must reach a threshold.
+What only reserves all rights comes last.
 The licence files' licences hold for their directory. A file without its own takes that of the nearest directory above
 it that has one, found by joining the distinct directories' ancestors with the directories that have a licence.
 
 Weights: count of the term times 1 + ln((1 + T) / (1 + t)), t of T templates having it, with t = 0 for other terms; so
 they depend on the templates alone. Defined results: null or blank texts have no licence of their own but may inherit;
-a null path is in no directory and inherits nothing; of equal cosines the template's name decides, of licence files in
-one directory the closest, then the name; repeated rows are scanned once and all returned; columns named like the
+a null path is in no directory and inherits nothing; a declared licence scores 1; of an SPDX expression the first
+identifier counts, without -only, -or-later and +; a licence named without its version isn't a declaration, and a wording
+counts wherever it stands; of equal cosines the template's name decides, of licence files in one directory one that
+grants something, then the closest, then the name; repeated rows are scanned once and all returned; columns named like the
 results are replaced by them; an empty table gives an empty table.
 """
 
@@ -42,8 +47,53 @@ TEMPLATES = [
 CUES = r"(?i)licen[sc]|copyright|all rights reserved|redistribution|public domain|permission is hereby|spdx"
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
 THRESHOLD = 0.6
+RESERVED = "Proprietary"
+SPDX = r"(?i)spdx-licen[sc]e-identifier\s*:[\s(]*([a-z0-9][a-z0-9.+-]*)"
+#: Texts that may declare a licence without one of CUES.
+SHORT_CUES = r"(?i)\b[al]?gpl|\bmpl|\bbsd\b|creative ?commons|\bcc[ -]?(0|by)|unencumbered software"
 TERM = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
 
+_LICENCE = "licen[sc]e"
+
+
+def _gnu(kind: str, short: str, number: str) -> str:
+    """A GNU licence by its long name before or after the version, or by its short name."""
+    own = rf"(?<!lesser |library |affero ){'' if kind else 'general public '}{kind and kind + ' general public '}{_LICENCE}"
+    return rf"{own}(?: {short})?(?: as published by the free software foundation)?(?: inc)?(?: either)?(?: version| v)? {number}|version {number} of the (?:gnu )?{own}|{short}v?(?: {_LICENCE})?(?: version| v)? {number}"
+
+
+def _cc(long: str, short: str) -> str:
+    return rf"(?:cc|creativecommons org licenses) {short} 4\.0|creative commons {long}(?: {_LICENCE})?(?: version| v)? 4\.0"
+
+
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted"
+_ENDORSE = "(?:neither the names? of|names? of [a-z0-9. ]{1,200} may not be used to endorse)"
+#: Wordings as patterns over a text's terms with one space between them; of two at one place the first here counts.
+WORDINGS = [
+    ("Apache-2.0", rf"apache(?: software)? {_LICENCE}(?: version| v)? 2(?:\.0)?|apache 2(?:\.0)? {_LICENCE}|apache org licenses license 2\.0"),
+    ("MIT", rf"mit {_LICENCE}d?|permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("AGPL-3.0", _gnu("affero", "agpl", r"3(?:\.0)?")),
+    ("LGPL-3.0", _gnu("lesser", "lgpl", r"3(?:\.0)?")),
+    ("LGPL-2.1", _gnu("lesser", "lgpl", r"2\.1")),
+    ("LGPL-2.0", _gnu("library", "lgpl", r"2(?:\.0)?")),
+    ("GPL-3.0", _gnu("", "gpl", r"3(?:\.0)?")),
+    ("GPL-2.0", _gnu("", "gpl", r"2(?:\.0)?")),
+    ("BSD-2-Clause", rf"bsd 2 clause|2 clause bsd|simplified bsd {_LICENCE}|{_BSD}(?=.* redistributions in binary form )(?!.* {_ENDORSE} )"),
+    ("BSD-3-Clause", rf"bsd 3 clause|3 clause bsd|(?:new|modified) bsd {_LICENCE}|{_BSD}"),
+    ("MPL-2.0", rf"mozilla public {_LICENCE}(?: version| v)? 2(?:\.0)?|mplv?(?: version| v)? 2(?:\.0)?"),
+    ("EPL-2.0", rf"eclipse public {_LICENCE}(?: version| v)? 2(?:\.0)?"),
+    ("BSL-1.0", rf"boost software {_LICENCE}(?: version| v)? 1\.0"),
+    ("ISC", rf"isc {_LICENCE}|permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("Unlicense", "this is free and unencumbered software released into the public domain"),
+    ("CC-BY-NC-SA-4.0", _cc("attribution non ?commercial share ?alike", "by nc sa")),
+    ("CC-BY-NC-ND-4.0", _cc("attribution non ?commercial no ?deriv(?:ative)?s", "by nc nd")),
+    ("CC-BY-SA-4.0", _cc("attribution share ?alike", "by sa")),
+    ("CC-BY-ND-4.0", _cc("attribution no ?deriv(?:ative)?s", "by nd")),
+    ("CC-BY-NC-4.0", _cc("attribution non ?commercial", "by nc")),
+    ("CC-BY-4.0", _cc("attribution", "by")),
+    ("CC0-1.0", rf"cc 0 (?:1\.0|universal|{_LICENCE})|creative commons zero|publicdomain zero 1\.0"),
+]
+
 RESULTS = ("own_license", "own_score", "license", "license_from")
 
 
@@ -62,6 +112,21 @@ def template_weights(spark) -> tuple[DataFrame, float]:
     return counts.join(norms, "id").select("id", "name", "term", "idf", (F.col("raw") / F.col("norm")).alias("weight")), 1 + math.log(1 + n)
 
 
+def declared_licenses(files: DataFrame) -> DataFrame:
+    """path, mark, name, score and rank of the files that declare a licence (rank 2) or reserve all rights (0)."""
+    known = {name.lower(): name for name, _ in [*WORDINGS, *TEMPLATES]}
+    id_ = F.regexp_replace(F.lower(F.regexp_extract("text", SPDX, 1)), r"(-only|-or-later|\+|\.)+$", "")
+    raw = F.regexp_replace(F.regexp_extract("text", SPDX, 1), r"(?i)(-only|-or-later|\+|\.)+$", "")
+    spdx = F.when(id_ != "", F.coalesce(*[F.when(id_ == low, F.lit(name)) for low, name in known.items()], raw))
+    cued = files.where(F.col("text").rlike(CUES) | F.col("text").rlike(SHORT_CUES)).select("path", "mark", spdx.alias("spdx"), F.concat(F.lit(" "), F.array_join(terms(F.col("text")), " "), F.lit(" ")).alias("words"))
+    at = lambda i, p: F.when(F.col("words").rlike(f" (?:{p}) "), F.struct(F.length(F.regexp_extract("words", f"^(.*?) (?:{p}) ", 1)).alias("at"), F.lit(i).alias("i")))
+    found = F.array_min(F.array_compact(F.array(*[at(i, p) for i, (_, p) in enumerate(WORDINGS)])))
+    wording = F.get(F.array(*[F.lit(name) for name, _ in WORDINGS]), found["i"])
+    reserved = F.when(F.col("words").contains(" all rights reserved "), F.lit(RESERVED))
+    out = cued.select("path", "mark", F.coalesce("spdx", wording).alias("granted"), reserved.alias("reserved"))
+    return out.select("path", "mark", F.coalesce("granted", "reserved").alias("name"), F.lit(1.0).alias("score"), F.when(F.col("granted").isNotNull(), 2).otherwise(0).alias("rank")).where("name is not null")
+
+
 def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """path, mark (of the text), own_license, own_score for the files that have one."""
     named = F.coalesce(F.col("path").rlike(LICENSE_FILE), F.lit(False))
@@ -80,8 +145,9 @@ def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     norms = counts.groupBy(*key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")).alias("x")
     dots = counts.join(F.broadcast(weights), "term").groupBy(*key, "id", "name").agg(F.sum(F.col("raw") * F.col("weight")).alias("dot")).alias("d")
     score = dots.join(norms, null_safe(_Names("d"), _Names("x"))).select("d.path", "d.mark", "name", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    best = F.max_by(F.struct("name", "score"), F.struct("score", "name")).alias("best")
-    return score.where(F.col("score") >= threshold).groupBy("path", "mark").agg(best).select("path", "mark", F.col("best.name").alias("own_license"), F.col("best.score").alias("own_score"))
+    close = score.where(F.col("score") >= threshold).withColumn("rank", F.when(F.col("name") == RESERVED, 0).otherwise(1))
+    best = F.max_by(F.struct("name", "score"), F.struct("rank", "score", "name")).alias("best")
+    return close.unionByName(declared_licenses(files)).groupBy("path", "mark").agg(best).select("path", "mark", F.col("best.name").alias("own_license"), F.col("best.score").alias("own_score"))
 
 
 class _Names:
@@ -112,7 +178,7 @@ def license_scan(files: DataFrame, path: str = "path", text: str = "text", thres
     rows = files.select(*[F.col(c) for c in files.columns if c not in (path, text, *RESULTS)], F.col(path).alias("path"), F.col(text).alias("text")).withColumn("mark", F.xxhash64("text"))
     own = materialise(own_licenses(rows.select("path", "mark", "text"), threshold), "licenses")
     narrow = rows.drop("text").withColumn("dir", parent(F.col("path")))
-    licensed = own.where(F.col("path").rlike(LICENSE_FILE)).groupBy(parent(F.col("path")).alias("dir")).agg(F.max_by("own_license", F.struct("own_score", "own_license")).alias("license"))
+    licensed = own.where(F.col("path").rlike(LICENSE_FILE)).groupBy(parent(F.col("path")).alias("dir")).agg(F.max_by("own_license", F.struct(F.col("own_license") != RESERVED, "own_score", "own_license")).alias("license"))
     licensed = materialise(licensed, "licensed")
     above = materialise(inherited(narrow.select("dir"), licensed), "inherited")
     found = own.select(F.col("path").alias("__p"), F.col("mark").alias("__m"), "own_license", "own_score")

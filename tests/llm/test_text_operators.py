@@ -342,6 +342,28 @@ def test_licenses(spark):
     assert licenses.license_scan(df.limit(0)).count() == 0
 
 
+HEADERS = [
+    ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT"), ("# SPDX-License-Identifier: (Apache-2.0 OR MIT)", "Apache-2.0"), ("/* SPDX-License-Identifier: GPL-3.0-or-later */", "GPL-3.0"), ("SPDX-License-Identifier: Zlib", "Zlib"),
+    ("This file is licensed under the MIT License.", "MIT"), ("The code is released under the MIT License unless noted otherwise.", "MIT"),
+    ("Licensed under the Apache License, Version 2.0 by Example Corp in 2021 for all of its modules", "Apache-2.0"),
+    (" * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.", "GPL-3.0"),
+    ("it under the terms of the GNU Lesser General Public License as published by\nthe Free Software Foundation; either version 2.1 of the License", "LGPL-2.1"),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\nincorporates version 3 of the GNU General Public License", "LGPL-3.0"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n combine with version 3 of the GNU Affero General Public License", "GPL-3.0"),
+    ("Copyright (c) 2020, X. All rights reserved.\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that ...\n2. Redistributions in binary form must\n3. Neither the name of X nor", "BSD-3-Clause"),
+    ("Copyright (c) 2020, X. All rights reserved.\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that ...\n2. Redistributions in binary form must", "BSD-2-Clause"),
+    ("This is under GPLv2.", "GPL-2.0"), ("Shared under CC BY-NC-SA 4.0 by the authors", "CC-BY-NC-SA-4.0"), ("under a Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0"), ("Copyright 2021 by Example Corp, all rights reserved worldwide by its owners and heirs", "Proprietary"),
+    ("MIT students need a license to park.", None), ("under some license of the town", None),
+]
+
+
+def test_licenses_of_usual_headers(spark):
+    df = spark.createDataFrame([(i, f"d{i}/x.c", text) for i, (text, _) in enumerate(HEADERS)], "n int, path string, text string")
+    got = {r.n: r.own_license for r in licenses.license_scan(df).collect()}
+    assert [got[i] for i in range(len(HEADERS))] == [name for _, name in HEADERS]
+
+
 def test_digest_of_the_fixed_conversation(spark):
     turns = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     path = "/tmp/plumbline-chat-test"
