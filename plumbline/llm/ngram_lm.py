@@ -1,4 +1,4 @@
-"""Scoring by an interpolated modified Kneser-Ney bigram model that is counted over all training rows.
+"""Scoring by an interpolated modified Kneser-Ney model of order 2 or 3 that is counted over all training rows.
 
 Words are 64-bit hashes; the sorted array of the training words' hashes is the vocabulary, and a word's place in it its
 id. Tasks count words and pairs of ids by numpy, combine what they have, and send sorted, compressed runs to a shard;
@@ -8,11 +8,17 @@ map those files into memory and look sorted queries up. Shards follow spark.sql.
 
 P(v | u) = (c(u, v) - D) / c(u) + g(u) P(v), P(v) = (k(v) - D') / K + g' / (V + 1): k counts the different words before v,
 K the different pairs, D and D' depend on the count (1, 2, 3 and more) by the counts of counts, and g gives what was
-taken off. After an unknown word, P(v) alone counts. A text begins after a start mark and ends with an end token.
+taken off. After an unknown word, P(v) alone counts.
+
+Order 3: a pair's index is its place in the pairs' files, a triple's key the index of its first two words and the id of
+the third; triples go to the shard that has their first pair. P(w | u, v) = (c(u, v, w) - D'') / c(u, v) + g(u, v) P(w | v),
+and P(w | v) has, in place of c, the number of different words before a pair (c itself after the start mark), which
+triples are counted for once more by their last pair. After a pair that no training row has, P(w | v) counts. A text begins after a start mark and ends with an end token.
 
 Defined results: null or blank texts are one end token; a null id counts as an empty one (held out); repeated rows are
 learned and scored one by one; other columns are ignored; without training rows score and base_score take every token
-as one of one unknown kind; an empty table gives an empty table. The vocabulary may hold up to 2**32 - 2 words. The
+as one of one unknown kind; an empty table gives an empty table. The vocabulary may hold up to 2**32 - 2 words; for
+order 3 the bits of a pair's index and of a word's id are 64 at most together. The
 shared folder must be a mounted one for files to be mapped; from another store shards are read into memory.
 """
 
@@ -57,6 +63,12 @@ class Model:
     word_off: tuple = (0.0, 0.0, 0.0)
     pairs: int = 0
     word_rest: float = 1.0
+    order: int = 2
+    word_bits: int = 32
+    pair_offsets: np.ndarray | None = None
+    last_off: tuple = (0.0, 0.0, 0.0)
+    last_stats: np.ndarray | None = None
+    triple_off: tuple = (0.0, 0.0, 0.0)
 
     def shard_of_hash(self, h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -104,6 +116,48 @@ class Model:
                 out[which] = np.where(own[at] == key[which], get(self.root, f"paircount-{name}.npy")[at], 0)
         return out
 
+    def pair_index(self, key: np.ndarray) -> np.ndarray:
+        """Indices of sorted pairs, -1 for those not in the training rows."""
+        out = np.full(len(key), -1, np.int64)
+        kind, shard = self.place_of_pair(key)
+        place = kind << self.bits | shard
+        order = np.argsort(place, kind="stable")
+        for k, a, b in stretches(place[order]):
+            own, which = get(self.root, f"pair-{k >> self.bits}-{k & (1 << self.bits) - 1}.npy"), order[a:b]
+            if len(own):
+                at = np.minimum(np.searchsorted(own, key[which]), len(own) - 1)
+                out[which] = np.where(own[at] == key[which], at + self.pair_offsets[k], -1)
+        return out
+
+    def place_of_index(self, index: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.pair_offsets, index, "right") - 1
+
+    def place_of_triple(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = self.place_of_index((key >> np.uint64(self.word_bits)).astype(np.int64))
+        return place >> self.bits, place & (1 << self.bits) - 1
+
+    def of_pair(self, names: list[str], index: np.ndarray) -> np.ndarray:
+        """Values of arrays by pair, a column each; 0 at index -1."""
+        out = np.zeros((len(index), len(names)), np.int64)
+        order = np.argsort(index, kind="stable")
+        order = order[np.searchsorted(index[order], 0) :]
+        for k, a, b in stretches(self.place_of_index(index[order])):
+            which, at = order[a:b], f"{k >> self.bits}-{k & (1 << self.bits) - 1}.npy"
+            for i, name in enumerate(names):
+                out[which, i] = get(self.root, f"{name}-{at}")[index[which] - self.pair_offsets[k]]
+        return out
+
+    def triple_counts(self, key: np.ndarray) -> np.ndarray:
+        """Counts of sorted triples."""
+        out = np.zeros(len(key), np.int64)
+        for k, a, b in stretches(self.place_of_index((key >> np.uint64(self.word_bits)).astype(np.int64))):
+            at = f"{k >> self.bits}-{k & (1 << self.bits) - 1}.npy"
+            own = get(self.root, f"triple-{at}")
+            if len(own):
+                i = np.minimum(np.searchsorted(own, key[a:b]), len(own) - 1)
+                out[a:b] = np.where(own[i] == key[a:b], get(self.root, f"triplecount-{at}")[i], 0)
+        return out
+
 
 def discounts(n: np.ndarray) -> tuple[float, float, float]:
     """Of counts 1, 2, 3 and more, by the counts of counts 1 to 4."""
@@ -133,7 +187,13 @@ def _count_of_counts(counts: np.ndarray) -> list[int]:
     return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
+def _small(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def train(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+    if order not in (2, 3):
+        raise ValueError("order 2 or 3")
     spark = docs.sparkSession
     own = docs.select(F.col(text).alias("text"))
     bits = shard_bits(spark)
@@ -176,7 +236,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         shard, base = keys[0].as_py(), 0
         size = int(model.offsets[shard + 1] - model.offsets[shard])
         follow = np.zeros((3, size), np.uint32)
-        stats, after, n = np.zeros((len(model.frequent), 3), np.int64), [], np.zeros(4, np.int64)
+        stats, after, n, sizes = np.zeros((len(model.frequent), 3), np.int64), [], np.zeros(4, np.int64), []
         for kind in (0, 1):
             rows = runs.filter(pc.equal(runs["kind"], kind))
             key, count = merge_runs(runs_of(rows))
@@ -184,6 +244,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             put(root, f"paircount-{kind}-{shard}.npy", count.astype(np.uint32))
             n += _count_of_counts(count)
             base += len(key)
+            sizes.append(len(key))
             u, of = (key >> np.uint64(32)).astype(np.int64), np.minimum(count, 3) - 1
             if kind:
                 np.add.at(stats, (np.searchsorted(model.frequent, u), of), 1)
@@ -195,7 +256,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         v, times = np.unique(np.concatenate(after), return_counts=True)
         out = run_batch(v, times, (np.zeros(len(v), np.int64), model.shard_of_id(v.astype(np.int64))))
         none = lambda k, t: pa.nulls(k, t)
-        own = {"shard": none(1, pa.int32()), "kind": none(1, pa.int32()), "keys": none(1, pa.binary()), "counts": none(1, pa.binary()), "pairs": pa.array([base]), "n": pa.array([n.tolist()], pa.list_(pa.int64())), "stats": pa.array([stats.ravel().tolist()], pa.list_(pa.int64()))}
+        own = {"shard": none(1, pa.int32()), "kind": none(1, pa.int32()), "keys": none(1, pa.binary()), "counts": none(1, pa.binary()), "pairs": pa.array([base]), "n": pa.array([[*n.tolist(), *sizes, shard]], pa.list_(pa.int64())), "stats": pa.array([stats.ravel().tolist()], pa.list_(pa.int64()))}
         runs_out = {"shard": out["shard"], "kind": out["kind"], "keys": out["keys"], "counts": out["counts"], "pairs": none(len(out), pa.int64()), "n": none(len(out), pa.list_(pa.int64())), "stats": none(len(out), pa.list_(pa.int64()))}
         return pa.concat_tables([pa.table(own), pa.table(runs_out)])
 
@@ -223,13 +284,118 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     model.word_off = discounts(n)
     taken = model.word_off[0] * n[0] + model.word_off[1] * n[1] + model.word_off[2] * sum(r["n3"] for r in rows)
     model.word_rest = float(taken / model.pairs) if model.pairs else 1.0
+    if order == 3:
+        sizes = np.array([r["n"][4:6] for r in heads.select("n").orderBy(F.col("n")[6]).collect()], np.int64)
+        model.pair_offsets = np.concatenate([[0], np.cumsum(sizes.T.ravel())])
+        _train_triples(own, model)
     return model
 
 
+def _train_triples(own: DataFrame, model: Model) -> None:
+    spark, root, shards = own.sparkSession, model.root, 1 << model.bits
+    model.order, model.word_bits = 3, max(1, model.kinds.bit_length())
+    if model.word_bits + model.pairs.bit_length() > 64:
+        raise ValueError("more pairs and words than 64 bits tell apart")
+    bits, low = np.uint64(model.word_bits), np.uint64((1 << model.word_bits) - 1)
+
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(model.place_of_triple)
+        for whole in batches:
+            for batch in slices(whole, 0, BLOCK):
+                h, offsets = tokens_of(batch.column(0))
+                kinds, where = np.unique(h, return_inverse=True)
+                ids = model.ids(kinds)[where]
+                pairs, back = np.unique(pair_keys(ids, offsets)[1], return_inverse=True)
+                key = (model.pair_index(pairs)[back][:-1].astype(np.uint64) << bits) | ids[1:].astype(np.uint64)
+                inside = np.ones(len(h), bool)
+                inside[offsets[:-1]] = False
+                yield from counter.add(key[inside[1:]])
+        yield counter.runs()
+
+    def merge_triples(keys: tuple, runs: pa.Table) -> pa.Table:
+        shard, n, last = keys[0].as_py(), np.zeros(4, np.int64), []
+        for kind in (0, 1):
+            key, count = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
+            put(root, f"triple-{kind}-{shard}.npy", key)
+            put(root, f"triplecount-{kind}-{shard}.npy", _small(count))
+            n += _count_of_counts(count)
+            pairs = get(root, f"pair-{kind}-{shard}.npy")
+            at = (key >> bits).astype(np.int64) - model.pair_offsets[kind << model.bits | shard]
+            for k in range(3):
+                put(root, f"next{k}-{kind}-{shard}.npy", _small(np.bincount(at[np.minimum(count, 3) == k + 1], minlength=len(pairs))))
+            last.append((pairs[at] << np.uint64(32)) | (key & low))
+        pair, times = np.unique(np.concatenate(last), return_counts=True)
+        out = run_batch(pair, times, model.place_of_pair(pair))
+        head = pa.table({"shard": pa.array([None], pa.int32()), "kind": pa.array([None], pa.int32()), "keys": pa.array([None], pa.binary()), "counts": pa.array([None], pa.binary()), "n": pa.array([n.tolist()], pa.list_(pa.int64()))})
+        return pa.concat_tables([head, pa.table({**{c: out[c] for c in ("shard", "kind", "keys", "counts")}, "n": pa.nulls(len(out), pa.list_(pa.int64()))})])
+
+    triples = own.mapInArrow(count_triples, CHUNK).unionByName(every_shard(spark, shards))
+    merged = materialise(triples.groupBy("shard").applyInArrow(lambda k, t: merge_triples(k, t.filter(pc.is_valid(t["keys"]))), "shard int, kind int, keys binary, counts binary, n array<long>"), "triples")
+    head = merged.where("n is not null").select(*[F.sum(F.col("n")[k]) for k in range(4)]).first()
+    model.triple_off = discounts(np.array([x or 0 for x in head]))
+
+    def merge_last(keys: tuple, runs: pa.Table) -> pa.Table:
+        shard, n = keys[0].as_py(), np.zeros(4, np.int64)
+        size = int(model.offsets[shard + 1] - model.offsets[shard])
+        follow, stats = np.zeros((4, size), np.int64), np.zeros((len(model.frequent), 4), np.int64)
+        for kind in (0, 1):
+            pairs = get(root, f"pair-{kind}-{shard}.npy")
+            key, times = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
+            u = (pairs >> np.uint64(32)).astype(np.int64)
+            count = np.where(u == START_ID, get(root, f"paircount-{kind}-{shard}.npy"), 0).astype(np.int64)
+            count[np.searchsorted(pairs, key)] = times
+            put(root, f"last-{kind}-{shard}.npy", _small(count))
+            n += _count_of_counts(count)
+            to, at = (stats.T, np.searchsorted(model.frequent, u)) if kind else (follow, u - model.offsets[shard])
+            np.add.at(to, (np.minimum(count, 3) - 1, at), 1)
+            np.add.at(to[3], at, count)
+        for k in range(4):
+            put(root, f"lastfollow{k}-{shard}.npy", _small(follow[k]))
+        return pa.table({"n": pa.array([n.tolist()], pa.list_(pa.int64())), "stats": pa.array([stats.ravel().tolist()], pa.list_(pa.int64()))})
+
+    runs = merged.where("n is null").select("kind", "shard", "keys", "counts").unionByName(every_shard(spark, shards))
+    heads = materialise(runs.groupBy("shard").applyInArrow(lambda k, t: merge_last(k, t.filter(pc.is_valid(t["keys"]))), "n array<long>, stats array<long>"), "last")
+    model.last_off = discounts(np.array([x or 0 for x in heads.select(*[F.sum(F.col("n")[k]) for k in range(4)]).first()]))
+    stats = np.zeros(len(model.frequent) * 4, np.int64)
+    for r in heads.select(F.posexplode("stats").alias("at", "k")).groupBy("at").agg(F.sum("k").alias("k")).collect():
+        stats[r["at"]] = r["k"]
+    model.last_stats = stats.reshape(-1, 4)
+
+
 def _less(count: np.ndarray, off: tuple) -> np.ndarray:
     return np.where(count > 0, count - np.array([0.0, *off])[np.minimum(count, 3)], 0.0)
 
 
+def _of_triples(model, ids_at, known, ids, where, first, u_known, both, pairs, back, alone) -> np.ndarray:
+    off, n = np.array(model.last_off), len(ids_at)
+    stats = np.zeros((len(ids), 4), np.int64)
+    if known.any():
+        own = np.stack([model.of_id(f"lastfollow{k}", ids[known]) for k in range(4)], 1)
+        often = model.is_frequent(ids[known])
+        own[often] = model.last_stats[np.searchsorted(model.frequent, ids[known][often])]
+        stats[known] = own
+    before = np.zeros((n, 4), np.int64)
+    before[1:] = stats[where][:-1]
+    before[first] = model.last_stats[np.searchsorted(model.frequent, START_ID)]
+    index = np.full(n, -1, np.int64)
+    at = model.pair_index(pairs)
+    index[both] = at[back]
+    values = np.zeros((n, 5), np.int64)
+    values[both] = model.of_pair(["last", "paircount", "next0", "next1", "next2"], at)[back]
+    total = np.maximum(before[:, 3], 1)
+    two = np.where(u_known & (before[:, 3] > 0), _less(values[:, 0], model.last_off) / total + before[:, :3] @ off / total * alone, alone)
+    context, given = np.full(n, -1, np.int64), np.zeros((n, 5), np.int64)
+    context[1:], given[1:] = index[:-1], values[:-1]
+    context[first] = -1
+    seen = context >= 0
+    c = np.zeros(n, np.int64)
+    whole = seen & (ids_at >= 0)
+    triples, again = np.unique((context[whole].astype(np.uint64) << np.uint64(model.word_bits)) | ids_at[whole].astype(np.uint64), return_inverse=True)
+    c[whole] = model.triple_counts(triples)[again]
+    total = np.maximum(given[:, 1], 1)
+    return np.where(seen, _less(c, model.triple_off) / total + given[:, 2:] @ np.array(model.triple_off) / total * two, two)
+
+
 def log_probs(model: Model, h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The training count and the log10 probability of each token."""
     kinds, where = np.unique(h, return_inverse=True)
@@ -259,6 +425,8 @@ def log_probs(model: Model, h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
     total[1:], g[1:] = count[where][:-1], gamma[where][:-1]
     start = model.frequent_stats[np.searchsorted(model.frequent, START_ID)]
     total[first], g[first] = max(model.docs, 1), float(start @ off) / max(model.docs, 1)
+    if model.order == 3:
+        return count[where], np.log10(_of_triples(model, ids_at, known, ids, where, first, u_known, both, pairs, back, alone[where]))
     p = np.where(u_known, _less(c, model.pair_off) / np.maximum(total, 1) + g * alone[where], alone[where])
     return count[where], np.log10(p)
 
@@ -284,6 +452,6 @@ def held_out(doc_id: Column) -> Column:
 
 def op9_lm_score(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.where(~held_out(F.col("doc_id"))))
+    model = train(docs.where(~held_out(F.col("doc_id"))), order=3)
     out = score(docs, model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -294,6 +294,45 @@ def test_lm_against_brute_force(spark, tmp_path):
     assert sum(r.score for r in out) > 0.2 * sum(r.base_score for r in out) * 10 or sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def brute_scores_of_triples(texts, train, counts_discount):
+    toks = [["\1", *WORD.findall((t or "").translate(LOWER)), "\0"] for t in texts]
+    raw2 = Counter(p for i in train for p in zip(toks[i], toks[i][1:]))
+    three = Counter(p for i in train for p in zip(toks[i], toks[i][1:], toks[i][2:]))
+    two, one = Counter(t[1:] for t in three), Counter(p[1] for p in raw2)
+    two.update({p: k for p, k in raw2.items() if p[0] == "\1"})
+    off = [counts_discount([sum(x == k for x in c.values()) for k in (1, 2, 3, 4)]) for c in (one, two, three)]
+    less = lambda k, d: k - d[min(k, 3) - 1] if k else 0.0
+    rest = sum(off[0][min(k, 3) - 1] for k in one.values()) / len(raw2)
+    follow = defaultdict(list)
+    for c in (two, three):
+        for gram, k in c.items():
+            follow[gram[:-1]].append(k)
+
+    def p(context, w):
+        if not context:
+            return less(one[w], off[0]) / len(raw2) + rest / (len(one) + 1)
+        after, d = follow.get(context), off[len(context)]
+        if not after:
+            return p(context[1:], w)
+        return less((two, three)[len(context) - 1][(*context, w)], d) / sum(after) + sum(d[min(k, 3) - 1] for k in after) / sum(after) * p(context[1:], w)
+
+    assert math.isclose(sum(p(("the1", "the2"), v) for v in [*one, "never seen"]), 1, rel_tol=1e-9)
+    return [sum(math.log10(p(tuple(t[max(0, i - 2) : i]), t[i])) for i in range(1, len(t))) for t in toks]
+
+
+def test_lm_of_order_3_against_brute_force(spark):
+    rng = random.Random(8)
+    texts = [None, "", "the1 never", *(vocabulary_text(rng, rng.randrange(1, 60), 4) for _ in range(200)), "long " * 5000]
+    docs = documents(spark, texts).repartition(3)
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))}
+    model = ngram_lm.train(docs.where(~ngram_lm.held_out(F.col("doc_id"))), order=3)
+    got = {r.doc_id: r.score for r in ngram_lm.score(docs, model).collect()}
+    for i, want in enumerate(brute_scores_of_triples(texts, [i for i in held if not held[i]], ngram_lm.discounts)):
+        assert math.isclose(got[i], want, rel_tol=1e-9)
+    none = ngram_lm.train(docs.limit(0), order=3)
+    assert all(r.score == 0.0 for r in ngram_lm.score(docs, none).collect())
+
+
 def test_lm_without_training_rows(spark):
     docs = documents(spark, ["a b", None])
     model = ngram_lm.train(docs.limit(0))
