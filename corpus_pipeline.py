@@ -6,7 +6,7 @@ docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import checked_broadcast, materialise, table
@@ -27,18 +27,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the least doc_id; of repeated ids one row."""
-    classes = materialise(jaccard_components(docs), "classes")
-    gone = classes.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    gone = materialise(gone, "gone")
-    kept = docs.join(checked_broadcast(gone, 2_000_000), "doc_id", "left_anti")
-    twice = materialise(classes.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    """One row of each component stays: of the least doc_id (null ids come last), of rows equal in id and text the first by
+    the other columns. Rows are told apart by id and text, so an id with two texts is two documents. Rows without words
+    link with nothing, and all stay.
+    """
+    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").alias("__key")
+    keyed = docs.select("*", key)
+    classes = materialise(jaccard_components(keyed, doc_id="__key").where("n_shingles > 0").select(F.col("doc_id").alias("__key"), "component_id"), "classes")
+    places = classes.groupBy("__key", "component_id").agg(F.count("*").alias("rows")).join(keyed.select("__key", "doc_id").distinct(), "__key")
+    places = materialise(places, "places")
+    first = places.groupBy("component_id").agg(F.min_by("__key", F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("__key"))
+    gone = materialise(places.join(first, "__key", "left_anti").select("__key"), "gone")
+    kept = keyed.join(checked_broadcast(gone, 2_000_000), "__key", "left_anti")
+    twice = materialise(places.where("rows > 1").join(first, "__key", "left_semi").select("__key"), "twice")
     if twice.isEmpty():
         return kept.select(*docs.columns)
     small = checked_broadcast(twice, 2_000_000)
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").desc_nulls_last(), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
-    one = kept.join(small, "doc_id").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
-    return kept.join(small, "doc_id", "left_anti").unionByName(one).select(*docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = kept.join(small, "__key").groupBy("__key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.min(F.struct(F.lit(0).alias("__0"), *rest)).alias("__r"))
+    one = one.select("__key", "doc_id", "text", *[F.col("__r")[c].alias(c) for c in rest])
+    return kept.join(small, "__key", "left_anti").unionByName(one).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,18 @@ def test_stages(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
 
 
+def test_near_duplicates_by_row(spark, tmp_path):
+    rng = random.Random(4)
+    a, b, c, d = (prose(rng, 10) for _ in range(4))
+    # Null-id copies beside each other and beside an id; one id with two texts, of which one is a copy or neither is.
+    rows = [(None, a), (None, a), (None, a + " end"), (None, b), (None, b), (3, b), (3, b), (7, b), (7, c), (8, c), (9, d), (9, a[::-1]), (None, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
+    of_a = [x for x in got if x[1] in (a, a + " end")]
+    assert len(of_a) == 1 and of_a[0][0] is None
+    assert sorted((x for x in got if x not in of_a), key=repr) == sorted([(3, b), (7, c), (9, d), (9, a[::-1]), (None, None), (4, "")], key=repr)
+
+
 def test_run_is_registered(spark, tmp_path):
     import __spark_entry__
 
