@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.staging import materialise
 
 
-def walk(nodes: DataFrame, roots: DataFrame, most_depth: int = 20) -> DataFrame:
+def walk(nodes: DataFrame, roots: DataFrame, most_depth: int | None = None) -> DataFrame:
     """[J31, J32, P26] id, depth, path (ids from the root). A node already on its own path ends the branch, so cycles end.
 
-    One join a level, each level written before the next is looked for; it stops at a level without nodes.
+    One join a level, each level written before the next is looked for; it stops at a level without nodes
+    (or after most_depth levels, if given).
     """
     level = roots.select("id", F.lit(0).alias("depth"), F.array("id").alias("path"))
     out = [level]
-    for depth in range(1, most_depth + 1):
+    for depth in itertools.count(1) if most_depth is None else range(1, most_depth + 1):
         up = level.select(F.col("id").alias("__up"), "path")
         level = nodes.join(up, nodes["parent"] == up["__up"]).where(~F.array_contains("path", F.col("id"))).select("id", F.lit(depth).alias("depth"), F.concat("path", F.array("id")).alias("path"))
         level = materialise(level, "level")

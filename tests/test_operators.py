@@ -216,3 +216,8 @@ def test_lookup_confidence_and_reconciliation(spark):
     assert [sure(False, False, False, 1, True, 1), sure(True, False, False, 0, False, 1), sure(True, False, False, 0, False, 3), sure(True, False, False, 0, False, 4), sure(False, True, False, 1, False, 9)] == ["none", "high", "medium", "low", "medium"]
     seen = lambda *x: one(rank.reconciled(*[F.lit(v) for v in x]))
     assert [seen(1, "desired", 2, 0), seen(0, "desired", 1, 1), seen(0, "inverse", 0, 2), seen(0, "inverse", 1, 2)] == ["still_uncertain", "applied", "not_applied", "still_uncertain"]
+
+
+def test_walk_of_a_long_chain(spark):
+    nodes = spark.range(1, 24).select("id", (F.col("id") - 1).alias("parent"))
+    assert sorted(r.depth for r in tree.walk(nodes, spark.range(1)).collect()) == list(range(24))
