@@ -13,10 +13,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+#: Shuffle files of a finished write go at once instead of when the driver next collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where unset (tests on one machine), a temporary one that becomes the setting."""
+    """The folder in spark.checkpoint.dir. Where it is unset, a session on one machine gets a temporary one that becomes the
+    setting; on a cluster that is an error, as the executors would not see it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -41,11 +48,24 @@ def materialise(df: DataFrame, what: str, partition_by: str | None = None) -> Da
     """Cut the lineage: write to the shared folder and read back, so that a lost executor costs a reread only."""
     spark = df.sparkSession
     path = new_path(spark, what)
-    out = df.write.option("compression", "zstd")
-    if partition_by:
-        out = out.partitionBy(partition_by)
-    out.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        out = df.write.option("compression", "zstd")
+        if partition_by:
+            out = out.partitionBy(partition_by)
+        out.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._plumbline_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what materialise wrote, once nothing that is still to run reads it."""
+    for df in tables:
+        _remove(df.sparkSession, df._plumbline_path)
 
 
 def checked_broadcast(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
