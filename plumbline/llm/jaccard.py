@@ -61,7 +61,7 @@ def signature(grams: np.ndarray) -> int:
 def _count(docs: DataFrame, n: int) -> tuple[str, int]:
     """Write how many documents have each n-gram that more than one has, as sorted arrays by shard; place and bits."""
     spark = docs.sparkSession
-    bits, root = shard_bits(spark), new_path(spark, "grams")
+    bits, root = shard_bits(docs, "text"), new_path(spark, "grams")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(lambda k: (np.zeros(len(k), np.int64), (k >> np.uint64(PRINT_BITS - bits)).astype(np.int64)))

@@ -1,31 +1,35 @@
 """Scoring by an interpolated modified Kneser-Ney model of order 2 or 3 that is counted over all training rows.
 
 Words are 64-bit hashes; the sorted array of the training words' hashes is the vocabulary, and a word's place in it its
-id. Tasks count words and pairs of ids by numpy, combine what they have, and send sorted, compressed runs to a shard;
-a shard merges them and writes sorted arrays (a range of hashes, or the pairs of a range of first words) to the shared
-folder. Pairs of the few most frequent first words (no more than 4 a shard) are dealt by the whole pair instead. Workers
-map those files into memory and look sorted queries up. Shards follow spark.sql.shuffle.partitions.
+id. Tasks count words, pairs and triples of ids by numpy, combine what they have, and send sorted, compressed runs to a
+shard; a shard merges them, a range of keys after the other, and writes sorted arrays to the shared folder. Workers map
+those files into memory and look sorted queries up. Shards follow the bytes of text.
+
+A pair is kept as its second word, sorted in the stretch of its first word, a triple as its third word in the stretch of
+its first pair (a pair's index is its place in the pairs' files); counts take a byte, large ones stand aside. Pairs are in
+the shard of their first word. Those of a word that alone would fill a quarter of a shard are dealt, by the whole pair,
+over shards in proportion to the word's count.
 
 P(v | u) = (c(u, v) - D) / c(u) + g(u) P(v), P(v) = (k(v) - D') / K + g' / (V + 1): k counts the different words before v,
 K the different pairs, D and D' depend on the count (1, 2, 3 and more) by the counts of counts, and g gives what was
 taken off. After an unknown word, P(v) alone counts.
 
-Order 3: a pair's index is its place in the pairs' files, a triple's key the index of its first two words and the id of
-the third; triples go to the shard that has their first pair. P(w | u, v) = (c(u, v, w) - D'') / c(u, v) + g(u, v) P(w | v),
-and P(w | v) has, in place of c, the number of different words before a pair (c itself after the start mark), which
-triples are counted for once more by their last pair. After a pair that no training row has, P(w | v) counts. A text begins after a start mark and ends with an end token.
+Order 3: P(w | u, v) = (c(u, v, w) - D'') / c(u, v) + g(u, v) P(w | v), and P(w | v) has, in place of c, the number of
+different words before a pair (c itself after the start mark), which triples are counted for once more by their last
+pair. After a pair that no training row has, P(w | v) counts. A text begins after a start mark and ends with an end token.
 
 Defined results: null or blank texts are one end token; a null id counts as an empty one (held out); repeated rows are
 learned and scored one by one; other columns are ignored; without training rows score and base_score take every token
 as one of one unknown kind; an empty table gives an empty table. The vocabulary may hold up to 2**32 - 2 words; for
 order 3 the bits of a pair's index and of a word's id are 64 at most together. The
-shared folder must be a mounted one for files to be mapped; from another store shards are read into memory.
+shared folder must be a mounted one for files to be mapped; from another store shards are read into memory, of which a
+worker keeps a bounded part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import materialise, new_path, table
-from plumbline.llm.runs import CHUNK, Counter, by_shard, every_shard, get, merge_runs, put, run_batch, runs_of, shard_bits, stretches
+from plumbline.llm.runs import CHUNK, SHARD_BYTES, Counter, by_shard, counts_at, every_shard, get, merge_runs, put, put_counts, run_batch, runs_of, shard_bits, small, stretches
 from plumbline.llm.tokens import slices
 from plumbline.llm.vec import mix, word_hashes
 
@@ -42,14 +46,41 @@ from plumbline.llm.vec import mix, word_hashes
 BLOCK = 3 << 20
 END = np.uint64(0x2545F4914F6CDD1D)
 START_ID = (1 << 32) - 1
+_LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
 
 
 # The model
 
 
+def find(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted value in its sorted stretch values[low:high], -1 if it isn't there."""
+    low, end, high = low.copy(), high, high.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) >> 1
+        less = values[middle] < wanted[open_]
+        low[open_[less]] = middle[less] + 1
+        high[open_[~less]] = middle[~less]
+        open_ = open_[low[open_] < high[open_]]
+    out = np.full(len(low), -1, np.int64)
+    inside = np.flatnonzero(low < end)
+    found = inside[values[low[inside]] == wanted[inside]]
+    out[found] = low[found]
+    return out
+
+
+def begins(at: np.ndarray, size: int) -> np.ndarray:
+    """Where the stretch of each of so many heads begins in sorted head numbers, and the end."""
+    return small(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=size))]))
+
+
+def as_pair(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return (u.astype(np.uint64) << _HALF) | v.astype(np.uint64)
+
+
 @dataclass
 class Model:
-    """What is small: the arrays are in the files of root."""
+    """What is small: the arrays are in the files of root. A place is a kind (0: by first word, 1: dealt) and a shard."""
 
     root: str
     bits: int
@@ -57,7 +88,8 @@ class Model:
     tokens: int = 0
     kinds: int = 0
     docs: int = 0
-    frequent: np.ndarray | None = None
+    frequent: np.ndarray = field(default_factory=lambda: np.array([START_ID], np.int64))
+    spread: np.ndarray = field(default_factory=lambda: np.array([0], np.int64))
     frequent_stats: np.ndarray | None = None
     pair_off: tuple = (0.0, 0.0, 0.0)
     word_off: tuple = (0.0, 0.0, 0.0)
@@ -86,76 +118,87 @@ class Model:
                 out[a:b] = np.where(own[at] == h[a:b], at + self.offsets[s], -1)
         return out
 
-    def of_id(self, name: str, ids: np.ndarray) -> np.ndarray:
-        """Values of an array by id, for sorted ids."""
-        out = np.zeros(len(ids), np.int64)
+    def of_words(self, name: str, ids: np.ndarray, width: int = 1) -> np.ndarray:
+        """Values by id, for sorted ids, a column each."""
+        out = np.zeros((len(ids), width), np.int64)
         for s, a, b in stretches(self.shard_of_id(ids)):
-            out[a:b] = get(self.root, f"{name}-{s}.npy")[ids[a:b] - self.offsets[s]]
+            at = (ids[a:b] - self.offsets[s])[:, None] * width + np.arange(width)
+            out[a:b] = counts_at(self.root, f"{name}-{s}", at.ravel()).reshape(-1, width)
+        return out
+
+    def after_words(self, name: str, ids: np.ndarray, often: np.ndarray) -> np.ndarray:
+        """What is known of the pairs with a first word, for sorted ids; often: the rows of the frequent ones."""
+        out = self.of_words(name, ids, often.shape[1])
+        at = self.frequent_at(ids)
+        out[at >= 0] = often[at[at >= 0]]
         return out
 
-    def is_frequent(self, u: np.ndarray) -> np.ndarray:
+    def frequent_at(self, u: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.frequent, u), len(self.frequent) - 1)
-        return self.frequent[at] == u
+        return np.where(self.frequent[at] == u, at, -1)
 
-    def place_of_pair(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        u = (key >> np.uint64(32)).astype(np.int64)
-        often = self.is_frequent(u)
-        shard = np.where(often, (mix(key) >> np.uint64(64 - self.bits)).astype(np.int64), self.shard_of_id(np.where(often, 0, u)))
-        return often.astype(np.int64), shard
+    def place_of_pair(self, key: np.ndarray) -> np.ndarray:
+        u = (key >> _HALF).astype(np.int64)
+        at = self.frequent_at(u)
+        often = at >= 0
+        dealt = (mix(u.astype(np.uint64)) + (mix(key) & ((np.uint64(1) << self.spread[at].astype(np.uint64)) - np.uint64(1)))) & np.uint64((1 << self.bits) - 1)
+        return np.where(often, dealt.astype(np.int64) | 1 << self.bits, self.shard_of_id(np.where(often, 0, u)))
 
-    def pair_counts(self, key: np.ndarray) -> np.ndarray:
-        """Counts of sorted pairs."""
-        out = np.zeros(len(key), np.int64)
-        kind, shard = self.place_of_pair(key)
-        order = np.argsort(kind << 32 | shard, kind="stable")
-        for place, a, b in stretches((kind << 32 | shard)[order]):
-            name = f"{place >> 32}-{place & 0xFFFFFFFF}"
-            own, which = get(self.root, f"pair-{name}.npy"), order[a:b]
-            if len(own):
-                at = np.minimum(np.searchsorted(own, key[which]), len(own) - 1)
-                out[which] = np.where(own[at] == key[which], get(self.root, f"paircount-{name}.npy")[at], 0)
-        return out
+    def split(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return place >> self.bits, place & (1 << self.bits) - 1
+
+    def heads(self, place: int) -> np.ndarray:
+        """The first words whose pairs are kept there."""
+        shard = place & (1 << self.bits) - 1
+        return get(self.root, f"heads-{shard}.npy") if place >> self.bits else np.arange(self.offsets[shard], self.offsets[shard + 1])
+
+    def find_pairs(self, place: int, key: np.ndarray) -> np.ndarray:
+        """Where pairs of a place are in its file, or -1."""
+        u = (key >> _HALF).astype(np.int64)
+        if place >> self.bits:
+            heads = self.heads(place)
+            if not len(heads):
+                return np.full(len(key), -1, np.int64)
+            at = np.minimum(np.searchsorted(heads, u), len(heads) - 1)
+            known = heads[at] == u
+        else:
+            at, known = u - self.offsets[place], True
+        begin = get(self.root, f"pairsat-{place}.npy")
+        low = begin[at].astype(np.int64)
+        return find(get(self.root, f"pairs-{place}.npy"), low, np.where(known, begin[at + 1].astype(np.int64), low), key & _LOW)
 
     def pair_index(self, key: np.ndarray) -> np.ndarray:
         """Indices of sorted pairs, -1 for those not in the training rows."""
         out = np.full(len(key), -1, np.int64)
-        kind, shard = self.place_of_pair(key)
-        place = kind << self.bits | shard
+        place = self.place_of_pair(key)
         order = np.argsort(place, kind="stable")
         for k, a, b in stretches(place[order]):
-            own, which = get(self.root, f"pair-{k >> self.bits}-{k & (1 << self.bits) - 1}.npy"), order[a:b]
-            if len(own):
-                at = np.minimum(np.searchsorted(own, key[which]), len(own) - 1)
-                out[which] = np.where(own[at] == key[which], at + self.pair_offsets[k], -1)
+            at = self.find_pairs(k, key[order[a:b]])
+            out[order[a:b]] = np.where(at >= 0, at + self.pair_offsets[k], -1)
         return out
 
     def place_of_index(self, index: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.pair_offsets, index, "right") - 1
 
-    def place_of_triple(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = self.place_of_index((key >> np.uint64(self.word_bits)).astype(np.int64))
-        return place >> self.bits, place & (1 << self.bits) - 1
-
-    def of_pair(self, names: list[str], index: np.ndarray) -> np.ndarray:
-        """Values of arrays by pair, a column each; 0 at index -1."""
-        out = np.zeros((len(index), len(names)), np.int64)
+    def of_pairs(self, name: str, index: np.ndarray, width: int = 1) -> np.ndarray:
+        """Values by pair, a column each; 0 at index -1."""
+        out = np.zeros((len(index), width), np.int64)
         order = np.argsort(index, kind="stable")
         order = order[np.searchsorted(index[order], 0) :]
         for k, a, b in stretches(self.place_of_index(index[order])):
-            which, at = order[a:b], f"{k >> self.bits}-{k & (1 << self.bits) - 1}.npy"
-            for i, name in enumerate(names):
-                out[which, i] = get(self.root, f"{name}-{at}")[index[which] - self.pair_offsets[k]]
+            at = (index[order[a:b]] - self.pair_offsets[k])[:, None] * width + np.arange(width)
+            out[order[a:b]] = counts_at(self.root, f"{name}-{k}", at.ravel()).reshape(-1, width)
         return out
 
     def triple_counts(self, key: np.ndarray) -> np.ndarray:
-        """Counts of sorted triples."""
+        """Counts of sorted triples, 0 for those not in the training rows."""
         out = np.zeros(len(key), np.int64)
-        for k, a, b in stretches(self.place_of_index((key >> np.uint64(self.word_bits)).astype(np.int64))):
-            at = f"{k >> self.bits}-{k & (1 << self.bits) - 1}.npy"
-            own = get(self.root, f"triple-{at}")
-            if len(own):
-                i = np.minimum(np.searchsorted(own, key[a:b]), len(own) - 1)
-                out[a:b] = np.where(own[i] == key[a:b], get(self.root, f"triplecount-{at}")[i], 0)
+        bits = np.uint64(self.word_bits)
+        first = (key >> bits).astype(np.int64)
+        for k, a, b in stretches(self.place_of_index(first)):
+            begin, at = get(self.root, f"triplesat-{k}.npy"), first[a:b] - self.pair_offsets[k]
+            where = find(get(self.root, f"triples-{k}.npy"), begin[at].astype(np.int64), begin[at + 1].astype(np.int64), key[a:b] & np.uint64((1 << self.word_bits) - 1))
+            out[a:b][where >= 0] = counts_at(self.root, f"triplecount-{k}", where[where >= 0])
         return out
 
 
@@ -180,220 +223,225 @@ def pair_keys(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
     before[offsets[:-1]] = START_ID
-    return before, (before.astype(np.uint64) << np.uint64(32)) | (ids.astype(np.uint64) & np.uint64(0xFFFFFFFF))
+    return as_pair(before, ids)
+
+
+def _count_of_counts(counts: np.ndarray) -> np.ndarray:
+    return np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64)
+
+
+def _by_class(at: np.ndarray, count: np.ndarray, size: int) -> np.ndarray:
+    """How many entries of each head have count 1, 2, 3 and more."""
+    return np.bincount(at * 3 + np.minimum(count, 3) - 1, minlength=size * 3).reshape(size, 3)
+
+
+#: What a shard tells the driver goes along with the runs: kind -1, numbers in keys, rows of frequent words in counts.
+_TOLD = "shard int, numbers binary, stats binary"
+
+
+def _told(shard: int, numbers: np.ndarray, stats: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([shard], pa.int32()), pa.array([numbers.astype(np.int64).tobytes()], pa.binary()), pa.array([stats.astype(np.int64).tobytes()], pa.binary())], names=["kind", "shard", "keys", "counts"])
 
 
-def _count_of_counts(counts: np.ndarray) -> list[int]:
-    return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+def _numbers(data: bytes, *shape: int) -> np.ndarray:
+    return np.frombuffer(data, np.int64).reshape(*shape)
 
 
-def _small(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+def _in_turn(runs: DataFrame, shards: int, first, second, what: str) -> list:
+    """first(shard, runs) writes a shard's arrays and gives runs by another key and what it tells; second(shard, runs, told)
+    writes those and gives what goes to the driver: a row a shard, in order."""
+    some = lambda t: t.filter(pc.and_(pc.greater_equal(t["kind"], 0), pc.is_valid(t["keys"])))
 
+    def one(keys: tuple, rows: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(first(keys[0].as_py(), some(rows)))
 
-def train(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+    def two(keys: tuple, rows: pa.Table) -> pa.Table:
+        own = rows.filter(pc.equal(rows["kind"], -1))
+        numbers, stats = second(keys[0].as_py(), some(rows), own["keys"][0].as_py(), own["counts"][0].as_py())
+        return pa.table({"shard": pa.array([keys[0].as_py()], pa.int32()), "numbers": pa.array([numbers.astype(np.int64).tobytes()], pa.binary()), "stats": pa.array([stats.astype(np.int64).tobytes()], pa.binary())})
+
+    merged = runs.unionByName(every_shard(runs.sparkSession, shards)).groupBy("shard").applyInArrow(one, CHUNK)
+    return materialise(merged.groupBy("shard").applyInArrow(two, _TOLD), what).orderBy("shard").collect()
+
+
+def train(docs: DataFrame, text: str = "text", order: int = 2, shard_bytes: int = SHARD_BYTES) -> Model:
     if order not in (2, 3):
         raise ValueError("order 2 or 3")
-    spark = docs.sparkSession
     own = docs.select(F.col(text).alias("text"))
-    bits = shard_bits(spark)
-    shards, root = 1 << bits, new_path(spark, "lm")
-    model = Model(root, bits, np.zeros(shards + 1, np.int64))
+    model = Model(new_path(docs.sparkSession, "lm"), bits := shard_bits(own, "text", shard_bytes), np.zeros((1 << bits) + 1, np.int64), order=order)
+    _train_words(own, model)
+    _train_pairs(own, model)
+    if order == 3:
+        _train_triples(own, model)
+    return model
+
+
+def _train_words(own: DataFrame, model: Model) -> None:
+    root, shards = model.root, 1 << model.bits
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(lambda h: (np.zeros(len(h), np.int64), model.shard_of_hash(h)))
         for whole in batches:
             for batch in slices(whole, 0, BLOCK):
                 yield from counter.add(tokens_of(batch.column(0))[0])
         yield counter.runs()
 
-    def merge_words(shard: int, runs: pa.Table) -> pa.Table:
+    def merge(shard: int, runs: pa.Table) -> pa.Table:
         h, count = merge_runs(runs_of(runs))
         put(root, f"hash-{shard}.npy", h)
-        put(root, f"count-{shard}.npy", count)
-        top = np.sort(np.argsort(-count, kind="stable")[: 4 * shards])
-        end = int(count[h == END].sum())
-        return pa.table({"shard": pa.array([shard], pa.int32()), "n": [len(h)], "tokens": [int(count.sum())], "docs": [end], "top": pa.array([top.tolist()], pa.list_(pa.int64())), "top_counts": pa.array([count[top].tolist()], pa.list_(pa.int64()))})
+        put_counts(root, f"count-{shard}", count)
+        top = np.flatnonzero(count * 4 * shards > count.sum())  # all that are frequent, and some that will turn out not to be
+        return pa.table({"shard": pa.array([shard], pa.int32()), "n": [len(h)], "tokens": [int(count.sum())], "docs": [int(count[h == END].sum())], "top": pa.array([top.tolist()], pa.list_(pa.int64())), "times": pa.array([count[top].tolist()], pa.list_(pa.int64()))})
 
-    rows = by_shard(own.mapInArrow(count_words, CHUNK), shards, merge_words, "shard int, n long, tokens long, docs long, top array<long>, top_counts array<long>")
+    found = by_shard(own.mapInArrow(count, CHUNK), shards, merge, "shard int, n long, tokens long, docs long, top array<long>, times array<long>")
+    rows = found.select("shard", "n", "tokens", "docs").orderBy("shard").collect()
     model.offsets[1:] = np.cumsum([r["n"] for r in rows])
     model.tokens, model.kinds, model.docs = sum(r["tokens"] for r in rows), int(model.offsets[-1]), sum(r["docs"] for r in rows)
     if model.kinds > START_ID - 1:
         raise ValueError("more than 2**32 - 2 words")
-    often = [int(model.offsets[r["shard"]]) + i for r in rows for i, c in zip(r["top"], r["top_counts"], strict=True) if c * 4 * shards > model.tokens]
-    model.frequent = np.array(sorted([*often, START_ID]), np.int64)
+    # No more than 4 a shard, since their counts add up to the tokens at most.
+    top = found.select("shard", F.inline(F.arrays_zip("top", "times"))).where(F.col("times") * (4 * shards) > model.tokens).collect()
+    often = sorted([(int(model.offsets[r["shard"]]) + r["top"], r["times"]) for r in top] + [(START_ID, model.docs)])
+    model.frequent = np.array([i for i, _ in often], np.int64)
+    model.spread = np.array([min(model.bits, (c * 4 * shards // max(model.tokens, 1)).bit_length()) for _, c in often], np.int64)
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(model.place_of_pair)
+
+def _train_pairs(own: DataFrame, model: Model) -> None:
+    root, shards = model.root, 1 << model.bits
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(lambda key: model.split(model.place_of_pair(key)))
         for whole in batches:
             for batch in slices(whole, 0, BLOCK):
                 h, offsets = tokens_of(batch.column(0))
                 kinds, where = np.unique(h, return_inverse=True)
-                yield from counter.add(pair_keys(model.ids(kinds)[where], offsets)[1])
+                yield from counter.add(pair_keys(model.ids(kinds)[where], offsets))
         yield counter.runs()
 
-    def merge_pairs(keys: tuple, runs: pa.Table) -> pa.Table:
-        shard, base = keys[0].as_py(), 0
-        size = int(model.offsets[shard + 1] - model.offsets[shard])
-        follow = np.zeros((3, size), np.uint32)
-        stats, after, n, sizes = np.zeros((len(model.frequent), 3), np.int64), [], np.zeros(4, np.int64), []
+    def merge(shard: int, runs: pa.Table) -> list[pa.RecordBatch]:
+        numbers, stats, after = np.zeros(6, np.int64), np.zeros((0, 4), np.int64), []
         for kind in (0, 1):
-            rows = runs.filter(pc.equal(runs["kind"], kind))
-            key, count = merge_runs(runs_of(rows))
-            put(root, f"pair-{kind}-{shard}.npy", key)
-            put(root, f"paircount-{kind}-{shard}.npy", count.astype(np.uint32))
-            n += _count_of_counts(count)
-            base += len(key)
-            sizes.append(len(key))
-            u, of = (key >> np.uint64(32)).astype(np.int64), np.minimum(count, 3) - 1
+            place = kind << model.bits | shard
+            key, count = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
+            u = (key >> _HALF).astype(np.int64)
+            if kind:
+                put(root, f"heads-{shard}.npy", np.unique(u))
+            heads = model.heads(place)
+            at = np.searchsorted(heads, u)
+            put(root, f"pairs-{place}.npy", (key & _LOW).astype(np.uint32))
+            put(root, f"pairsat-{place}.npy", begins(at, len(heads)))
+            put_counts(root, f"paircount-{place}", count)
+            follow = _by_class(at, count, len(heads))
             if kind:
-                np.add.at(stats, (np.searchsorted(model.frequent, u), of), 1)
+                stats = np.column_stack([np.searchsorted(model.frequent, heads), follow])
             else:
-                np.add.at(follow, (of, u - model.offsets[shard]), 1)
-            after.append(key & np.uint64(0xFFFFFFFF))
-        for k in range(3):
-            put(root, f"follow{k}-{shard}.npy", follow[k])
+                put_counts(root, f"follow-{shard}", follow)
+            numbers[:4] += _count_of_counts(count)
+            numbers[4 + kind] = len(key)
+            after.append(key & _LOW)
         v, times = np.unique(np.concatenate(after), return_counts=True)
-        out = run_batch(v, times, (np.zeros(len(v), np.int64), model.shard_of_id(v.astype(np.int64))))
-        none = lambda k, t: pa.nulls(k, t)
-        own = {"shard": none(1, pa.int32()), "kind": none(1, pa.int32()), "keys": none(1, pa.binary()), "counts": none(1, pa.binary()), "pairs": pa.array([base]), "n": pa.array([[*n.tolist(), *sizes, shard]], pa.list_(pa.int64())), "stats": pa.array([stats.ravel().tolist()], pa.list_(pa.int64()))}
-        runs_out = {"shard": out["shard"], "kind": out["kind"], "keys": out["keys"], "counts": out["counts"], "pairs": none(len(out), pa.int64()), "n": none(len(out), pa.list_(pa.int64())), "stats": none(len(out), pa.list_(pa.int64()))}
-        return pa.concat_tables([pa.table(own), pa.table(runs_out)])
-
-    pairs = own.mapInArrow(count_pairs, CHUNK).unionByName(every_shard(spark, shards))
-    merged = materialise(pairs.groupBy("shard").applyInArrow(lambda k, t: merge_pairs(k, t.filter(pc.is_valid(t["keys"]))), "shard int, kind int, keys binary, counts binary, pairs long, n array<long>, stats array<long>"), "pairs")
-    heads = merged.where("pairs is not null")
-    head = heads.select(F.sum("pairs"), *[F.sum(F.col("n")[k]) for k in range(4)]).first()
-    # One row a frequent word (4 a shard at most, and the start).
-    summed = heads.select(F.posexplode("stats").alias("at", "k")).groupBy("at").agg(F.sum("k").alias("k")).collect()
-    stats = np.zeros(len(model.frequent) * 3, np.int64)
-    for r in summed:
-        stats[r["at"]] = r["k"]
-    model.frequent_stats = stats.reshape(-1, 3)
-    model.pairs, model.pair_off = int(head[0] or 0), discounts(np.array([x or 0 for x in head[1:]]))
-
-    def merge_before(shard: int, runs: pa.Table) -> pa.Table:
+        return [run_batch(v, times, (np.zeros(len(v), np.int64), model.shard_of_id(v.astype(np.int64)))), _told(shard, numbers, stats)]
+
+    def merge_before(shard: int, runs: pa.Table, numbers: bytes, stats: bytes) -> tuple[np.ndarray, np.ndarray]:
         v, count = merge_runs(runs_of(runs))
-        before = np.zeros(int(model.offsets[shard + 1] - model.offsets[shard]), np.uint32)
+        before = np.zeros(int(model.offsets[shard + 1] - model.offsets[shard]), np.int64)
         before[v.astype(np.int64) - model.offsets[shard]] = count
-        put(root, f"before-{shard}.npy", before)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "n": [_count_of_counts(count)], "n3": [int((count >= 3).sum())]})
-
-    rows = by_shard(merged.where("pairs is null").select("kind", "shard", "keys", "counts"), shards, merge_before, "shard int, n array<long>, n3 long")
-    n = np.sum([r["n"] for r in rows], axis=0)
-    model.word_off = discounts(n)
-    taken = model.word_off[0] * n[0] + model.word_off[1] * n[1] + model.word_off[2] * sum(r["n3"] for r in rows)
-    model.word_rest = float(taken / model.pairs) if model.pairs else 1.0
-    if order == 3:
-        sizes = np.array([r["n"][4:6] for r in heads.select("n").orderBy(F.col("n")[6]).collect()], np.int64)
-        model.pair_offsets = np.concatenate([[0], np.cumsum(sizes.T.ravel())])
-        _train_triples(own, model)
-    return model
+        put_counts(root, f"before-{shard}", before)
+        return np.concatenate([_numbers(numbers, -1), _count_of_counts(count), [(count >= 3).sum()]]), _numbers(stats, -1)
+
+    rows = _in_turn(own.mapInArrow(count, CHUNK), shards, merge, merge_before, "pairs")
+    told = np.array([_numbers(r["numbers"], 11) for r in rows])
+    model.pair_offsets = np.concatenate([[0], np.cumsum(told[:, 4:6].T.ravel())])
+    model.pairs, model.pair_off, n = int(model.pair_offsets[-1]), discounts(told[:, :4].sum(0)), told[:, 6:].sum(0)
+    model.frequent_stats = _of_frequent(rows, len(model.frequent), 3)
+    model.word_off = discounts(n[:4])
+    model.word_rest = float(np.dot(model.word_off, n[[0, 1, 4]]) / model.pairs) if model.pairs else 1.0
+
+
+def _of_frequent(rows: list, size: int, width: int) -> np.ndarray:
+    out = np.zeros((size, width), np.int64)
+    for r in rows:
+        stats = _numbers(r["stats"], -1, 1 + width)
+        np.add.at(out, stats[:, 0], stats[:, 1:])
+    return out
 
 
 def _train_triples(own: DataFrame, model: Model) -> None:
-    spark, root, shards = own.sparkSession, model.root, 1 << model.bits
-    model.order, model.word_bits = 3, max(1, model.kinds.bit_length())
+    root, shards = model.root, 1 << model.bits
+    model.word_bits = max(1, model.kinds.bit_length())
     if model.word_bits + model.pairs.bit_length() > 64:
         raise ValueError("more pairs and words than 64 bits tell apart")
     bits, low = np.uint64(model.word_bits), np.uint64((1 << model.word_bits) - 1)
 
-    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(model.place_of_triple)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(lambda key: model.split(model.place_of_index((key >> bits).astype(np.int64))))
         for whole in batches:
             for batch in slices(whole, 0, BLOCK):
                 h, offsets = tokens_of(batch.column(0))
                 kinds, where = np.unique(h, return_inverse=True)
                 ids = model.ids(kinds)[where]
-                pairs, back = np.unique(pair_keys(ids, offsets)[1], return_inverse=True)
+                pairs, back = np.unique(pair_keys(ids, offsets), return_inverse=True)
                 key = (model.pair_index(pairs)[back][:-1].astype(np.uint64) << bits) | ids[1:].astype(np.uint64)
                 inside = np.ones(len(h), bool)
                 inside[offsets[:-1]] = False
                 yield from counter.add(key[inside[1:]])
         yield counter.runs()
 
-    def merge_triples(keys: tuple, runs: pa.Table) -> pa.Table:
-        shard, n, last = keys[0].as_py(), np.zeros(4, np.int64), []
+    def merge(shard: int, runs: pa.Table) -> list[pa.RecordBatch]:
+        n, last = np.zeros(4, np.int64), []
         for kind in (0, 1):
+            place = kind << model.bits | shard
             key, count = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
-            put(root, f"triple-{kind}-{shard}.npy", key)
-            put(root, f"triplecount-{kind}-{shard}.npy", _small(count))
+            first, third = get(root, f"pairs-{place}.npy"), key & low
+            at = (key >> bits).astype(np.int64) - model.pair_offsets[place]
+            put(root, f"triples-{place}.npy", third.astype(np.uint32))
+            put(root, f"triplesat-{place}.npy", begins(at, len(first)))
+            put_counts(root, f"triplecount-{place}", count)
+            put_counts(root, f"next-{place}", _by_class(at, count, len(first)))
             n += _count_of_counts(count)
-            pairs = get(root, f"pair-{kind}-{shard}.npy")
-            at = (key >> bits).astype(np.int64) - model.pair_offsets[kind << model.bits | shard]
-            for k in range(3):
-                put(root, f"next{k}-{kind}-{shard}.npy", _small(np.bincount(at[np.minimum(count, 3) == k + 1], minlength=len(pairs))))
-            last.append((pairs[at] << np.uint64(32)) | (key & low))
+            last.append(as_pair(first[at], third))
         pair, times = np.unique(np.concatenate(last), return_counts=True)
-        out = run_batch(pair, times, model.place_of_pair(pair))
-        head = pa.table({"shard": pa.array([None], pa.int32()), "kind": pa.array([None], pa.int32()), "keys": pa.array([None], pa.binary()), "counts": pa.array([None], pa.binary()), "n": pa.array([n.tolist()], pa.list_(pa.int64()))})
-        return pa.concat_tables([head, pa.table({**{c: out[c] for c in ("shard", "kind", "keys", "counts")}, "n": pa.nulls(len(out), pa.list_(pa.int64()))})])
-
-    triples = own.mapInArrow(count_triples, CHUNK).unionByName(every_shard(spark, shards))
-    merged = materialise(triples.groupBy("shard").applyInArrow(lambda k, t: merge_triples(k, t.filter(pc.is_valid(t["keys"]))), "shard int, kind int, keys binary, counts binary, n array<long>"), "triples")
-    head = merged.where("n is not null").select(*[F.sum(F.col("n")[k]) for k in range(4)]).first()
-    model.triple_off = discounts(np.array([x or 0 for x in head]))
-
-    def merge_last(keys: tuple, runs: pa.Table) -> pa.Table:
-        shard, n = keys[0].as_py(), np.zeros(4, np.int64)
-        size = int(model.offsets[shard + 1] - model.offsets[shard])
-        follow, stats = np.zeros((4, size), np.int64), np.zeros((len(model.frequent), 4), np.int64)
+        return [run_batch(pair, times, model.split(model.place_of_pair(pair))), _told(shard, n, np.zeros(0))]
+
+    def merge_last(shard: int, runs: pa.Table, numbers: bytes, _: bytes) -> tuple[np.ndarray, np.ndarray]:
+        n = np.zeros(4, np.int64)
         for kind in (0, 1):
-            pairs = get(root, f"pair-{kind}-{shard}.npy")
+            place = kind << model.bits | shard
             key, times = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
-            u = (pairs >> np.uint64(32)).astype(np.int64)
-            count = np.where(u == START_ID, get(root, f"paircount-{kind}-{shard}.npy"), 0).astype(np.int64)
-            count[np.searchsorted(pairs, key)] = times
-            put(root, f"last-{kind}-{shard}.npy", _small(count))
+            heads, begin = model.heads(place), get(root, f"pairsat-{place}.npy").astype(np.int64)
+            count = np.zeros(int(begin[-1]), np.int64)
+            count[model.find_pairs(place, key)] = times
+            of = np.repeat(np.arange(len(heads)), np.diff(begin))
+            if kind and len(heads) and heads[-1] == START_ID:
+                begun = np.arange(begin[-2], begin[-1])
+                count[begun] = counts_at(root, f"paircount-{place}", begun)
+            put_counts(root, f"last-{place}", count)
             n += _count_of_counts(count)
-            to, at = (stats.T, np.searchsorted(model.frequent, u)) if kind else (follow, u - model.offsets[shard])
-            np.add.at(to, (np.minimum(count, 3) - 1, at), 1)
-            np.add.at(to[3], at, count)
-        for k in range(4):
-            put(root, f"lastfollow{k}-{shard}.npy", _small(follow[k]))
-        return pa.table({"n": pa.array([n.tolist()], pa.list_(pa.int64())), "stats": pa.array([stats.ravel().tolist()], pa.list_(pa.int64()))})
-
-    runs = merged.where("n is null").select("kind", "shard", "keys", "counts").unionByName(every_shard(spark, shards))
-    heads = materialise(runs.groupBy("shard").applyInArrow(lambda k, t: merge_last(k, t.filter(pc.is_valid(t["keys"]))), "n array<long>, stats array<long>"), "last")
-    model.last_off = discounts(np.array([x or 0 for x in heads.select(*[F.sum(F.col("n")[k]) for k in range(4)]).first()]))
-    stats = np.zeros(len(model.frequent) * 4, np.int64)
-    for r in heads.select(F.posexplode("stats").alias("at", "k")).groupBy("at").agg(F.sum("k").alias("k")).collect():
-        stats[r["at"]] = r["k"]
-    model.last_stats = stats.reshape(-1, 4)
+            some = count > 0
+            follow = np.column_stack([_by_class(of[some], count[some], len(heads)), np.bincount(of, count, len(heads)).astype(np.int64)])
+            if kind:
+                stats = np.column_stack([np.searchsorted(model.frequent, heads), follow])
+            else:
+                put_counts(root, f"lastfollow-{shard}", follow)
+        return np.concatenate([_numbers(numbers, -1), n]), stats
+
+    rows = _in_turn(own.mapInArrow(count, CHUNK), shards, merge, merge_last, "triples")
+    n = np.sum([_numbers(r["numbers"], 8) for r in rows], axis=0)
+    model.triple_off, model.last_off = discounts(n[:4]), discounts(n[4:])
+    model.last_stats = _of_frequent(rows, len(model.frequent), 4)
+
+
+# Scores
 
 
 def _less(count: np.ndarray, off: tuple) -> np.ndarray:
     return np.where(count > 0, count - np.array([0.0, *off])[np.minimum(count, 3)], 0.0)
 
 
-def _of_triples(model, ids_at, known, ids, where, first, u_known, both, pairs, back, alone) -> np.ndarray:
-    off, n = np.array(model.last_off), len(ids_at)
-    stats = np.zeros((len(ids), 4), np.int64)
-    if known.any():
-        own = np.stack([model.of_id(f"lastfollow{k}", ids[known]) for k in range(4)], 1)
-        often = model.is_frequent(ids[known])
-        own[often] = model.last_stats[np.searchsorted(model.frequent, ids[known][often])]
-        stats[known] = own
-    before = np.zeros((n, 4), np.int64)
-    before[1:] = stats[where][:-1]
-    before[first] = model.last_stats[np.searchsorted(model.frequent, START_ID)]
-    index = np.full(n, -1, np.int64)
-    at = model.pair_index(pairs)
-    index[both] = at[back]
-    values = np.zeros((n, 5), np.int64)
-    values[both] = model.of_pair(["last", "paircount", "next0", "next1", "next2"], at)[back]
-    total = np.maximum(before[:, 3], 1)
-    two = np.where(u_known & (before[:, 3] > 0), _less(values[:, 0], model.last_off) / total + before[:, :3] @ off / total * alone, alone)
-    context, given = np.full(n, -1, np.int64), np.zeros((n, 5), np.int64)
-    context[1:], given[1:] = index[:-1], values[:-1]
-    context[first] = -1
-    seen = context >= 0
-    c = np.zeros(n, np.int64)
-    whole = seen & (ids_at >= 0)
-    triples, again = np.unique((context[whole].astype(np.uint64) << np.uint64(model.word_bits)) | ids_at[whole].astype(np.uint64), return_inverse=True)
-    c[whole] = model.triple_counts(triples)[again]
-    total = np.maximum(given[:, 1], 1)
-    return np.where(seen, _less(c, model.triple_off) / total + given[:, 2:] @ np.array(model.triple_off) / total * two, two)
+def _given(count: np.ndarray, total: np.ndarray, after: np.ndarray, off: tuple, below: np.ndarray) -> np.ndarray:
+    """The interpolated probability; that of the next lower order where nothing follows the context."""
+    whole = np.maximum(total, 1)
+    return np.where(total > 0, _less(count, off) / whole + after @ np.array(off) / whole * below, below)
 
 
 def log_probs(model: Model, h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -402,35 +450,55 @@ def log_probs(model: Model, h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
     ids = model.ids(kinds)
     known = ids >= 0
     count, before = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
-    count[known], before[known] = model.of_id("count", ids[known]), model.of_id("before", ids[known])
-    gamma = np.zeros(len(kinds))
-    off = np.array(model.pair_off)
-    stats = np.stack([model.of_id(f"follow{k}", ids[known]) for k in range(3)], 1) if known.any() else np.zeros((0, 3))
-    often = model.is_frequent(ids[known])
-    stats[often] = model.frequent_stats[np.searchsorted(model.frequent, ids[known][often])]
-    gamma[known] = stats @ off / np.maximum(count[known], 1)
-    alone = _less(before, model.word_off) / max(model.pairs, 1) + model.word_rest / (model.kinds + 1)
-    ids_at = ids[where]
-    before_at, key = pair_keys(np.where(ids_at >= 0, ids_at, 0), offsets)
-    u_known = np.ones(len(h), bool)
-    u_known[1:] = ids_at[:-1] >= 0
+    count[known], before[known] = model.of_words("count", ids[known])[:, 0], model.of_words("before", ids[known])[:, 0]
+    alone = (_less(before, model.word_off) / max(model.pairs, 1) + model.word_rest / (model.kinds + 1))[where]
+
     first = np.zeros(len(h), bool)
     first[offsets[:-1]] = True
-    u_known[first] = model.docs > 0
+    often = model.last_stats if model.order == 3 else np.column_stack([model.frequent_stats, np.append(count_of_frequent(model), model.docs)])
+    after = np.zeros((len(kinds), 4), np.int64)
+    if model.order == 3:
+        after[known] = model.after_words("lastfollow", ids[known], often)
+    else:
+        after[known, :3], after[known, 3] = model.after_words("follow", ids[known], often[:, :3]), count[known]
+    context = np.zeros((len(h), 4), np.int64)
+    context[1:] = after[where][:-1]
+    context[first] = often[-1]
+
+    ids_at = ids[where]
+    key = pair_keys(np.maximum(ids_at, 0), offsets)
+    u_known = first.copy()
+    u_known[1:] |= ids_at[:-1] >= 0
     both = u_known & (ids_at >= 0)
     pairs, back = np.unique(key[both], return_inverse=True)
+    index = model.pair_index(pairs) if len(pairs) else np.zeros(0, np.int64)
     c = np.zeros(len(h), np.int64)
-    c[both] = model.pair_counts(pairs)[back]
-    total, g = np.ones(len(h)), np.ones(len(h))
-    total[1:], g[1:] = count[where][:-1], gamma[where][:-1]
-    start = model.frequent_stats[np.searchsorted(model.frequent, START_ID)]
-    total[first], g[first] = max(model.docs, 1), float(start @ off) / max(model.docs, 1)
+    c[both] = model.of_pairs("last" if model.order == 3 else "paircount", index)[back, 0]
+    p = _given(c, context[:, 3], context[:, :3], model.last_off if model.order == 3 else model.pair_off, alone)
     if model.order == 3:
-        return count[where], np.log10(_of_triples(model, ids_at, known, ids, where, first, u_known, both, pairs, back, alone[where]))
-    p = np.where(u_known, _less(c, model.pair_off) / np.maximum(total, 1) + g * alone[where], alone[where])
+        p = _of_triples(model, ids_at, first, both, index, back, p)
     return count[where], np.log10(p)
 
 
+def count_of_frequent(model: Model) -> np.ndarray:
+    return model.of_words("count", model.frequent[:-1])[:, 0]
+
+
+def _of_triples(model: Model, ids_at: np.ndarray, first: np.ndarray, both: np.ndarray, index: np.ndarray, back: np.ndarray, below: np.ndarray) -> np.ndarray:
+    n = len(ids_at)
+    pair, after = np.full(n, -1, np.int64), np.zeros((n, 4), np.int64)
+    pair[both] = index[back]
+    after[both] = np.column_stack([model.of_pairs("next", index, 3), model.of_pairs("paircount", index)])[back]
+    context, given = np.full(n, -1, np.int64), np.zeros((n, 4), np.int64)
+    context[1:], given[1:] = pair[:-1], after[:-1]
+    context[first], given[first] = -1, 0
+    whole = (context >= 0) & (ids_at >= 0)
+    triples, again = np.unique((context[whole].astype(np.uint64) << np.uint64(model.word_bits)) | ids_at[whole].astype(np.uint64), return_inverse=True)
+    c = np.zeros(n, np.int64)
+    c[whole] = model.triple_counts(triples)[again]
+    return _given(c, given[:, 3], given[:, :3], model.triple_off, below)
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of each row; perplexity is 10 ** (-score / n_tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from plumbline.llm.common import materialise
 
 #: Counted entries that a task holds before it sends them on.
 HELD = 1 << 20
+#: Bytes of text to a shard, whose distinct entries one task merges (about 16 bytes of memory to one of text).
+SHARD_BYTES = 16 << 20
 CHUNK = "kind int, shard int, keys binary, counts binary"
 
 
@@ -46,23 +49,53 @@ def put(root: str, name: str, array: np.ndarray) -> None:
     os.replace(aside, f"{here}/{name}")
 
 
-_mapped: dict[tuple[str, str], np.ndarray] = {}
+#: Mappings that a worker keeps, and bytes of arrays that it keeps where the folder isn't mounted; the oldest go first.
+KEPT_ARRAYS, KEPT_BYTES = 8192, 256 << 20
+_kept: OrderedDict[tuple[str, str], np.ndarray] = OrderedDict()
+_read: list[int] = [0]
 
 
 def get(root: str, name: str) -> np.ndarray:
-    if (root, name) not in _mapped:
-        if any(r != root for r, _ in _mapped):
-            _mapped.clear()
-        here = _local(root)
-        if here is None:
-            from pyarrow import fs
+    if (root, name) in _kept:
+        _kept.move_to_end((root, name))
+        return _kept[root, name]
+    here = _local(root)
+    if here is None:
+        from pyarrow import fs
+
+        store, at = fs.FileSystem.from_uri(root)
+        with store.open_input_file(f"{at}/{name}") as f:
+            array = np.load(f)
+        _read[0] += array.nbytes
+    else:
+        array = np.load(f"{here}/{name}", mmap_mode="r")
+    _kept[root, name] = array
+    while len(_kept) > 1 and (len(_kept) > KEPT_ARRAYS or _read[0] > KEPT_BYTES):
+        gone = _kept.popitem(last=False)[1]
+        _read[0] -= 0 if isinstance(gone, np.memmap) else gone.nbytes
+    return array
+
+
+def small(values: np.ndarray) -> np.ndarray:
+    """The same values in the narrowest unsigned type."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def put_counts(root: str, name: str, values: np.ndarray) -> None:
+    """Whole numbers from 0, a byte each; those from 255 stand in a second file with their places."""
+    values = values.ravel()
+    large = np.flatnonzero(values >= 255)
+    put(root, f"{name}.npy", np.minimum(values, 255).astype(np.uint8))
+    put(root, f"{name}-large.npy", np.stack([large, values[large].astype(np.int64)]))
+
 
-            store, at = fs.FileSystem.from_uri(root)
-            with store.open_input_file(f"{at}/{name}") as f:
-                _mapped[root, name] = np.load(f)
-        else:
-            _mapped[root, name] = np.load(f"{here}/{name}", mmap_mode="r")
-    return _mapped[root, name]
+def counts_at(root: str, name: str, at: np.ndarray) -> np.ndarray:
+    out = get(root, f"{name}.npy")[at].astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    if len(large):
+        places, values = get(root, f"{name}-large.npy")
+        out[large] = values[np.searchsorted(places, at[large])]
+    return out
 
 
 # Runs of sorted keys and counts
@@ -86,8 +119,18 @@ def pack_run(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
     return _squeeze(np.diff(keys, prepend=np.uint64(0))), _squeeze(counts.astype(np.uint32))
 
 
-def merge_runs(runs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    return combine([np.cumsum(_expand(k, np.uint64), dtype=np.uint64) for k, _ in runs], [_expand(c, np.uint32) for _, c in runs])
+def merge_runs(runs: list[tuple[bytes, bytes]], piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of all runs together; about so many entries are sorted at once, a range of keys after the other."""
+    keys = [np.cumsum(_expand(k, np.uint64), dtype=np.uint64) for k, _ in runs]
+    counts = [_expand(c, np.uint32) for _, c in runs]
+    pieces = sum(map(len, keys)) // piece + 1
+    if pieces == 1:
+        return combine(keys, counts)
+    some = np.sort(np.concatenate([k[:: 1 + len(k) // 256] for k in keys]))
+    cuts = some[np.arange(1, pieces) * len(some) // pieces]
+    ends = [np.concatenate([[0], np.searchsorted(k, cuts), [len(k)]]) for k in keys]
+    parts = [combine([k[e[i] : e[i + 1]] for k, e in zip(keys, ends, strict=True)], [c[e[i] : e[i + 1]] for c, e in zip(counts, ends, strict=True)]) for i in range(pieces)]
+    return np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
 
 
 def combine(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -144,9 +187,10 @@ def stretches(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(values[a]), a, b
 
 
-def shard_bits(spark: SparkSession) -> int:
-    """Shards, as a power of two, follow spark.sql.shuffle.partitions."""
-    return max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+def shard_bits(docs: DataFrame, text: str, shard_bytes: int = SHARD_BYTES) -> int:
+    """Shards, as a power of two, follow the bytes of text."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(4, (size // shard_bytes).bit_length())
 
 
 def every_shard(spark: SparkSession, shards: int) -> DataFrame:
@@ -159,11 +203,11 @@ def runs_of(rows: pa.Table) -> list[tuple[bytes, bytes]]:
     return list(zip(rows["keys"].to_pylist(), rows["counts"].to_pylist(), strict=True))
 
 
-def by_shard(runs: DataFrame, shards: int, f, schema: str) -> list:
-    """f(shard, runs) for each shard, also for those without runs; its rows, one a shard, in order."""
+def by_shard(runs: DataFrame, shards: int, f, schema: str) -> DataFrame:
+    """f(shard, runs) for each shard, also for those without runs; its rows, one a shard, written."""
 
     def g(keys: tuple, rows: pa.Table) -> pa.Table:
         return f(keys[0].as_py(), rows.filter(pc.is_valid(rows["keys"])))
 
     every = every_shard(runs.sparkSession, shards)
-    return materialise(runs.unionByName(every).groupBy("shard").applyInArrow(g, schema), "shards").orderBy("shard").collect()
+    return materialise(runs.unionByName(every).groupBy("shard").applyInArrow(g, schema), "shards")
