@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows of narrow keys up to which a side may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+#: The same for a side that is one long a row: about 60 MB as a hashed relation, where the other side would shuffle texts.
+KEY_ROWS = 2_000_000
 
 
 #: Shuffle files of a finished write go at once instead of when the driver next collects garbage.
