@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import let
-from plumbline.functions.staging import checked_broadcast, materialise, new_path
+from plumbline.functions.staging import KEY_ROWS, checked_broadcast, discard, materialise, new_path
 
-__all__ = ["checked_broadcast", "let", "literal_rows", "materialise", "n_words", "new_path", "table", "unit", "words"]
+__all__ = ["KEY_ROWS", "checked_broadcast", "discard", "fresh", "let", "literal_rows", "materialise", "n_words", "named", "new_path", "others", "table", "unit", "words"]
 
 #: Character class of the contracts' words.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -26,6 +26,27 @@ def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> Da
     return spark.range(1).select(F.inline(F.array(*items)))
 
 
+def named(name: str) -> Column:
+    """The column of just this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def others(df: DataFrame, *without: str) -> list[Column]:
+    """The columns of df but for some, by any case."""
+    gone = {w.lower() for w in without}
+    return [named(c) for c in df.columns if c.lower() not in gone]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has, by any case."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; no text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

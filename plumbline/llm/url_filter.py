@@ -1,14 +1,22 @@
 """URL filters: allow and block rules as intervals of canonical keys, swept in sorted order.
 
-A canonical key is the reversed host, a slash, and the path; the rule for a host and a path prefix is the interval of
-the keys that begin with its own key. A url stands at one key for each parent domain (no more than the rules' longest
-host has labels), because a rule fits the subdomains too. Intervals of prefixes are nested or apart, so a sweep over
-sorted ends keeps a stack of open rules: the depth after each end is a running sum, and the top of the stack is the last
-rule opened at that depth. A second sweep, over ends and urls together, carries the top forward to the urls.
+A rule is two prefixes: of the host read backwards (``com.example.``: the host and all its subdomains) and of the path.
+Either is the interval of the keys that begin with it, from its own bytes to the same followed by 0xFF, which is in no
+UTF-8 text; so all ends differ, and intervals are nested or apart. A sweep over sorted ends keeps a stack of what is open:
+the depth after each end is a running sum, and the top of the stack is the last interval opened at that depth. A second
+pass over ends and keys together carries the top forward to the keys.
+
+Hosts are swept first, over the intervals of the rules' hosts by top domain: the top tells the innermost rule host of each
+distinct host, and the others open are those that enclose it. Then, for each rule host, the paths of the urls inside are
+swept over the intervals of its rules' paths. Of the tops that a url meets, the longest rule wins.
+
+Keys of one group are dealt over tasks, of which each gets the ends: a task has four times as many keys as ends at least, so
+dealing adds a quarter of the keys at most. The ends of one group (the rule hosts of a top domain, the rules of one host)
+are sorted by one task.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and gets the default verdict; repeated
 rows stay; of equal rules block wins; of two fitting rules with equally long strings the one with the longer host wins;
-an empty table gives an empty table; columns named like the results are replaced by them.
+an empty table gives an empty table; columns named like the results are replaced by them, and all others stay.
 """
 
 from __future__ import annotations
@@ -16,12 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import checked_broadcast, literal_rows
+from plumbline.llm.common import checked_broadcast, fresh, literal_rows, materialise, named, others
 
-#: After every key that begins with the same prefix.
-_LAST = "\U0010ffff"
-#: Distinct urls of one parent domain that one task sweeps.
-SWEEP_ROWS = 100_000
+#: Keys that a task sweeps at least, and as a multiple of the ends.
+SWEEP_KEYS, SWEEP_RATIO = 1000, 4
+RESULTS = ("host", "path", "rule", "verdict")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -40,63 +47,70 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substr(url, at + 3)).otherwise("")
 
 
-def _reversed(host: Column) -> Column:
-    return F.array_join(F.reverse(F.split(host, r"\.")), ".")
-
-
-def rule_ends(rules: DataFrame) -> DataFrame:
-    """bucket (reversed host), key, top: the innermost rule from this key on, or null where none is open.
-
-    rules: host, path, verdict. The sweep is per host, where a rule's interval lies.
-    """
-    own = (
-        rules.select(
-            F.translate(F.coalesce("host", F.lit("")), UPPER, LOWER).alias("host"),
-            F.coalesce("path", F.lit("")).alias("path"),
-            F.coalesce("verdict", F.lit("block")).alias("verdict"),
-        )
-        .groupBy("host", "path")
-        .agg(F.max("verdict").alias("verdict"))  # block sorts after allow
-        .withColumn("bucket", _reversed(F.col("host")))
-        .withColumn("rule", F.struct((F.length("host") + F.length("path")).alias("size"), F.length("host").alias("host_size"), F.concat("host", "path").alias("rule"), "verdict"))
-    )
-    ends = own.select("bucket", "path", "rule", F.explode(F.array(F.lit(1), F.lit(-1))).alias("step")).select(
-        "bucket", F.concat("path", F.when(F.col("step") < 0, _LAST).otherwise("")).alias("key"), "step", "rule"
-    )
-    # At one key an outer rule closes after an inner one; both leave the same stack once the last of them has closed.
-    order = [F.col("key"), F.col("step"), F.when(F.col("step") < 0, -F.col("rule.size")).otherwise(F.col("rule.size"))]
-    sweep = Window.partitionBy("bucket").orderBy(*order)
-    depth = ends.withColumn("depth", F.sum("step").over(sweep.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.row_number().over(sweep))
-    stack = Window.partitionBy("bucket", "depth").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    top = F.last(F.when(F.col("step") > 0, F.col("rule")), ignorenulls=True).over(stack)
-    return depth.select("bucket", "key", "n", F.when(F.col("depth") > 0, top).alias("top"))
+def host_key(host: Column) -> Column:
+    """``com.example.`` for example.com."""
+    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("."))
+
+
+def top_domain(key: Column) -> Column:
+    return F.substring_index(key, ".", 1)
+
+
+def interval_ends(prefixes: DataFrame) -> DataFrame:
+    """group, key, top: what is innermost from this key on, or null where nothing is open. prefixes: group, prefix, is."""
+    begin = F.col("prefix").cast("binary")
+    both = F.array(F.struct(begin.alias("key"), F.lit(1).alias("step")), F.struct(F.concat(begin, F.unhex(F.lit("FF"))).alias("key"), F.lit(-1).alias("step")))
+    ends = prefixes.select("group", "is", F.inline(both))
+    sweep = Window.partitionBy("group").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    ends = ends.withColumn("depth", F.sum("step").over(sweep))
+    stack = Window.partitionBy("group", "depth").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    top = F.last(F.when(F.col("step") > 0, F.col("is")), ignorenulls=True).over(stack)
+    return ends.select("group", "key", F.when(F.col("depth") > 0, top).alias("top"))
+
+
+def innermost(keys: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The rows of keys (group, key, of) that lie in an interval of their group, with the innermost: of, top."""
+    ends = materialise(interval_ends(prefixes), "ends")
+    sizes = ends.groupBy("group").agg(F.count("*").alias("ends"))
+    sizes = keys.groupBy("group").agg(F.count("*").alias("keys")).join(checked_broadcast(materialise(sizes, "sizes")), "group")
+    parts = sizes.select("group", (F.floor(F.col("keys") / F.greatest(F.lit(SWEEP_KEYS), SWEEP_RATIO * F.col("ends"))) + 1).cast("int").alias("parts"))
+    parts = materialise(parts, "parts")
+    dealt = ends.join(checked_broadcast(parts), "group").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", F.struct("top").alias("open"), F.lit(None).cast(keys.schema["of"].dataType).alias("of"))
+    points = keys.join(checked_broadcast(parts), "group").select("group", F.pmod(F.xxhash64("of"), F.col("parts")).cast("int").alias("part"), F.col("key").cast("binary").alias("key"), F.lit(None).cast(dealt.schema["open"].dataType).alias("open"), "of")
+    sweep = Window.partitionBy("group", "part").orderBy("key", F.col("of").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    swept = dealt.unionByName(points).withColumn("open", F.last("open", ignorenulls=True).over(sweep))
+    return swept.where(F.col("of").isNotNull() & F.col("open.top").isNotNull()).select("of", "open.top")
+
+
+def longest_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """host, path, top (size, host_size, rule, verdict) of the distinct urls (host, path) that a rule fits."""
+    own = rules.select(F.translate(F.coalesce("host", F.lit("")), UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), F.coalesce("verdict", F.lit("block")).alias("verdict"))
+    own = own.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block sorts after allow
+    rule = F.struct((F.length("host") + F.length("path")).alias("size"), F.length("host").alias("host_size"), F.concat("host", "path").alias("rule"), "verdict")
+    own = materialise(own.select(host_key(F.col("host")).alias("inside"), "path", rule.alias("is")), "rules")
+    rule_hosts = materialise(own.select("inside").distinct(), "rule-hosts")
+
+    key = host_key(F.col("host"))
+    hosts = urls.select("host").distinct().select(top_domain(key).alias("group"), key.alias("key"), F.struct("host").alias("of"))
+    found = innermost(hosts, rule_hosts.select(top_domain(F.col("inside")).alias("group"), F.col("inside").alias("prefix"), F.col("inside").alias("is")))
+    names = F.split(F.expr("substr(top, 1, length(top) - 1)"), r"\.")
+    around = F.transform(F.sequence(F.lit(1), F.size(names)), lambda k: F.concat(F.array_join(F.slice(names, F.lit(1), k), "."), F.lit(".")))
+    open_ = found.select("top").distinct().select("top", F.explode(around).alias("inside")).join(checked_broadcast(rule_hosts), "inside", "left_semi")
+    stacks = materialise(found.select("of.host", "top").join(checked_broadcast(materialise(open_, "open")), "top").select("host", "inside"), "stacks")
+
+    paths = materialise(urls.join(checked_broadcast(stacks), "host").select(F.col("inside").alias("group"), F.col("path").alias("key"), F.struct("host", "path").alias("of")), "paths")
+    tops = innermost(paths, own.select(F.col("inside").alias("group"), F.col("path").alias("prefix"), "is"))
+    return tops.groupBy("of.host", "of.path").agg(F.max("top").alias("top"))
 
 
 def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """pages with host, path, rule (null if none fits) and verdict."""
-    own = pages.select(*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")], F.col(url).alias("__url"))
-    own = own.withColumn("host", F.coalesce(host_of(F.col("__url")), F.lit(""))).withColumn("path", F.coalesce(path_of(F.col("__url")), F.lit(""))).drop("__url")
-    ends = rule_ends(rules)
-    labels = rules.agg(F.coalesce(F.max(F.size(F.split("host", r"\."))), F.lit(1))).first()[0]
-    names = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.least(F.lit(labels), F.size(names))), lambda k: F.array_join(F.slice(F.reverse(names), F.lit(1), k), "."))
-    points = own.select("host", "path").distinct().select("host", "path", F.explode(parents).alias("bucket"))
-    points = points.join(checked_broadcast(ends.select("bucket").distinct()), "bucket", "left_semi")
-    # A parent domain with many urls is dealt over as many tasks as its size asks for; its ends go to each of them.
-    parts = points.groupBy("bucket").agg((F.floor(F.count("*") / SWEEP_ROWS) + 1).cast("int").alias("parts"))
-    points = points.join(checked_broadcast(parts), "bucket").select("bucket", F.pmod(F.xxhash64("host", "path"), F.col("parts")).cast("int").alias("part"), F.col("path").alias("key"), F.lit(2_000_000_000).alias("n"), F.lit(None).cast(ends.schema["top"].dataType).alias("top"), "host")
-    dealt = ends.join(parts, "bucket").select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "n", F.struct(F.col("top")).alias("open"))
-    both = points.select("bucket", "part", "key", "n", F.lit(None).cast("struct<top:" + ends.schema["top"].dataType.simpleString() + ">").alias("open"), "host").unionByName(dealt.withColumn("host", F.lit(None).cast("string")))
-    sweep = Window.partitionBy("bucket", "part").orderBy("key", "n").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        both.withColumn("open", F.last("open", ignorenulls=True).over(sweep))
-        .where(F.col("host").isNotNull() & F.col("open.top").isNotNull())
-        .groupBy("host", F.col("key").alias("path"))
-        .agg(F.max("open.top").alias("__top"))
-    )
-    return own.join(found, ["host", "path"], "left").select(
-        *[c for c in own.columns if c not in ("host", "path")], "host", "path", F.col("__top.rule").alias("rule"), F.coalesce("__top.verdict", F.lit(default)).alias("verdict")
-    )
+    kept = pages.select(*others(pages, *RESULTS), F.coalesce(host_of(named(url)), F.lit("")).alias("host"), F.coalesce(path_of(named(url)), F.lit("")).alias("path"))
+    (top,) = fresh(pages, "top")
+    urls = materialise(kept.select("host", "path").distinct(), "urls")
+    found = materialise(longest_rules(urls, rules).withColumnRenamed("top", top), "tops")
+    out = kept.join(checked_broadcast(found), ["host", "path"], "left")
+    return out.select(*others(kept, "host", "path"), "host", "path", F.col(f"{top}.rule").alias("rule"), F.coalesce(F.col(f"{top}.verdict"), F.lit(default)).alias("verdict"))
 
 
 #: Fixed values of the production query.
