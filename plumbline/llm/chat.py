@@ -1,7 +1,8 @@
 r"""Chat formatting: conversations as one templated string each, with the spans that a loss counts.
 
 Template: a turn is ``### Role: `` + text + ``</turn>\n``; adjacent turns of one role share a heading, with ``</part>``
-between their texts. In texts and roles a backslash becomes ``\b``, ``#`` becomes ``\h``, ``</`` becomes ``\l/`` and, in
+between their texts. Turns are collected and sorted as structs, merged where the role stays the same, and joined into one
+string, by array functions.  In texts and roles a backslash becomes ``\b``, ``#`` becomes ``\h``, ``</`` becomes ``\l/`` and, in
 roles, ``:`` becomes ``\c``, so no text can hold a control string, and each escape reads back as one thing.
 
 Defined results: rows are ordered by turn (nulls first), role and text; null texts and roles are empty; repeated rows are
@@ -11,10 +12,10 @@ columns, however named, are ignored. A conversation is one string, so one of mor
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import table
+from plumbline.llm.common import let, literal_rows, named, table
 
 HEAD, COLON, PART, END = "### ", ": ", "</part>", "</turn>\n"
 
@@ -37,20 +38,56 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\c"), F.lit(":")))
 
 
+def running(sizes: Column) -> Column:
+    """The sum of all elements before each one, in stretches of sqrt(n), as an aggregate that appends copies its list."""
+
+    def before(values: Column, start: Column) -> Column:
+        none = F.array().cast("array<bigint>")
+        step = lambda a, x: F.struct((a["total"] + x).alias("total"), F.concat(a["list"], F.array(a["total"])).alias("list"))
+        return F.aggregate(values, F.struct(start.alias("total"), none.alias("list")), step)["list"]
+
+    def in_stretches(width: Column) -> Column:
+        stretches = F.transform(F.sequence(F.lit(0), F.ceil(F.size(sizes) / width).cast("int") - 1), lambda k: F.slice(sizes, k * width + 1, width))
+        sums = lambda s: before(F.transform(s, lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0).cast("long"))
+        return let(stretches, lambda s: let(sums(s), lambda begin: F.flatten(F.transform(s, lambda v, k: before(v, F.get(begin, k))))))
+
+    return F.when(F.size(sizes) == 0, F.array().cast("array<bigint>")).otherwise(let(F.ceil(F.sqrt(F.size(sizes))).cast("int"), in_stretches))
+
+
+def merged(turns: Column) -> Column:
+    """role and texts of each stretch of adjacent turns of one role."""
+    n = F.size(turns)
+    begins = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, i - 1)["role"]))
+    stretch = lambda at, b, k: F.slice(turns, b + 1, F.coalesce(F.get(at, k + 1), n) - b)
+    return let(begins, lambda at: F.transform(at, lambda b, k: F.struct(F.get(turns, b)["role"].alias("role"), F.transform(stretch(at, b, k), lambda t: t["text"]).alias("texts"))))
+
+
+def pieces(blocks: Column, learn: str) -> Column:
+    """What is written for each turn: head, body and tail, and whether a loss counts the body."""
+
+    def of(block: Column) -> Column:
+        head = F.concat(F.lit(HEAD), escape_role(block["role"]), F.lit(COLON))
+        last = F.size(block["texts"]) - 1
+        return F.transform(block["texts"], lambda t, i: F.struct(F.when(i == 0, head).otherwise(PART).alias("head"), escape(t).alias("body"), F.when(i == last, END).otherwise("").alias("tail"), (block["role"] == learn).alias("learn")))
+
+    return F.flatten(F.transform(blocks, of))
+
+
 def format_chats(turns: DataFrame, learn: str = "assistant", conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv_id, formatted, loss_spans (array of start and chars, in code points from 0) by conversation."""
-    rows = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = rows.withColumn("n", F.row_number().over(order)).withColumn("more", F.coalesce(F.lag("role").over(order) == F.col("role"), F.lit(False))).withColumn("open", F.coalesce(F.lead("role").over(order) == F.col("role"), F.lit(False)))
-    rows = rows.withColumn("head", F.when(F.col("more"), F.lit(PART)).otherwise(F.concat(F.lit(HEAD), escape_role(F.col("role")), F.lit(COLON))))
-    rows = rows.withColumn("body", escape(F.col("text"))).withColumn("tail", F.when(F.col("open"), F.lit("")).otherwise(F.lit(END)))
-    chars = F.length("head") + F.length("body") + F.length("tail")
-    before = F.coalesce(F.sum(chars.cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("start", before + F.length("head"))
-    turn_of = F.struct("n", "role", "head", "body", "tail", "start")
-    chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn_of)).alias("turns"))
-    spans = F.transform(F.filter("turns", lambda t: t["role"] == learn), lambda t: F.struct(t["start"].alias("start"), F.length(t["body"]).cast("long").alias("chars")))
-    return chats.select("conv_id", F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], t["tail"])), "").alias("formatted"), spans.alias("loss_spans"))
+    own = F.struct(named(turn).alias("turn"), F.coalesce(named(role), F.lit("")).alias("role"), F.coalesce(named(text), F.lit("")).alias("text"))
+    chats = turns.select(named(conv_id).alias("conv_id"), own.alias("own")).groupBy("conv_id").agg(F.sort_array(F.collect_list("own")).alias("turns"))
+
+    def spans(ps: Column, before: Column) -> Column:
+        every = F.transform(ps, lambda p, i: F.struct((F.get(before, i) + F.length(p["head"])).alias("start"), F.length(p["body"]).cast("long").alias("chars"), p["learn"].alias("learn")))
+        return F.transform(F.filter(every, lambda s: s["learn"]), lambda s: F.struct(s["start"].alias("start"), s["chars"].alias("chars")))
+
+    def chat(ps: Column) -> Column:
+        sizes = F.transform(ps, lambda p: (F.length(p["head"]) + F.length(p["body"]) + F.length(p["tail"])).cast("long"))
+        formatted = F.array_join(F.transform(ps, lambda p: F.concat(p["head"], p["body"], p["tail"])), "")
+        return F.struct(formatted.alias("formatted"), let(sizes, lambda n: let(running(n), lambda before: spans(ps, before))).alias("loss_spans"))
+
+    return chats.select("conv_id", F.inline(F.array(let(merged(F.col("turns")), lambda blocks: let(pieces(blocks, learn), chat)))))
 
 
 def read_chats(formatted: Column) -> Column:
@@ -75,7 +112,7 @@ EXTRA = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"
 
 def op7_format_chats(spark, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    chats = format_chats(turns.unionByName(spark.createDataFrame(EXTRA, "conv_id long, turn long, role string, text string")))
+    chats = format_chats(turns.unionByName(literal_rows(spark, EXTRA, ["conv_id", "turn", "role", "text"])))
     read = chats.withColumn("turns", read_chats(F.col("formatted"))).withColumn("loss", read_loss(F.col("formatted"), F.col("loss_spans")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
