@@ -1,6 +1,7 @@
 """Media columns: Netpbm and BMP decoded to numpy arrays, area-resized, kept as NPY tiles with difference hashes.
 
-Defined results: a null or undecodable image gives null in every result column; repeated rows and other columns pass
+Defined results: a null or undecodable image gives null in every result column (decoded are Netpbm P1 to P6, and BMP without
+compression but for 16 bits; not PAM); repeated rows and other columns pass
 unchanged; columns named like the results are replaced by them; an empty table gives an empty table. Text stored as an
 image: null is empty, the bytes are padded with spaces to whole rows of 64 RGB pixels.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import table
+from plumbline.llm.common import others, table
 from plumbline.llm.tokens import give_back
 
 #: Bytes of a row of the images that hold text: 64 pixels of three samples.
@@ -28,8 +29,14 @@ TILE = 32
 _TOKEN = re.compile(rb"(?:\s|#[^\n]*\n)*([^\s#]+)")
 
 
+#: Digits of a number in a header; a longer one is no size.
+DIGITS = 9
+
+
 def decode(data: bytes) -> np.ndarray:
-    """Rows x columns x channels of 8 bits (Netpbm P1 to P6 up to 8 bits, BMP of 8, 24 or 32 bits without compression)."""
+    """Rows x columns x channels of 8 bits: Netpbm P1 to P6 (samples of 16 bits are scaled down), and BMP of 1, 4, 8, 24 or
+    32 bits without compression. Anything else is a ValueError, as are sizes of 0, samples above the maximum and cut data.
+    """
     if data[:2] == b"BM":
         return _bmp(data)
     if data[:1] != b"P" or data[1:2] not in b"123456" or len(data) < 3:
@@ -37,43 +44,57 @@ def decode(data: bytes) -> np.ndarray:
     kind, at, header = int(data[1:2]), 2, []
     for _ in range(2 if kind in (1, 4) else 3):
         m = _TOKEN.match(data, at)
-        if not m:
-            raise ValueError("cut header")
+        if not m or not m[1].isdigit() or len(m[1]) > DIGITS:
+            raise ValueError("a header without three numbers")
         header.append(int(m[1]))
         at = m.end()
     width, height, most = [*header, 1][:3]
     channels = 3 if kind in (3, 6) else 1
-    n = width * height * channels
-    if not 0 < most < 256:
-        raise ValueError("more than 8 bits")
-    if kind == 1:
-        values = np.frombuffer(bytes(c for c in data[at:] if c in b"01"), np.uint8)[:n] - 48
-    elif kind in (2, 3):
-        values = np.array(data[at:].split()[:n], dtype=np.uint8)
-    elif kind == 4:
-        packed = np.frombuffer(data, np.uint8, count=(width + 7) // 8 * height, offset=at + 1)
-        values = np.unpackbits(packed.reshape(height, -1), axis=1)[:, :width].ravel()
-    else:
-        values = np.frombuffer(data, np.uint8, count=n, offset=at + 1)
-    if len(values) < n:
+    if not (width and height and 0 < most < 65536):
+        raise ValueError("no pixels, or more than 16 bits")
+    values = _samples(data, at, kind, width, height, channels, most)
+    if values.size != width * height * channels:
         raise ValueError("cut samples")
+    if values.max() > most:
+        raise ValueError("a sample above the maximum")
     out = values.reshape(height, width, channels)
     if kind in (1, 4):
         return (1 - out) * np.uint8(255)
-    return out if most == 255 else (out.astype(np.uint16) * 255 // most).astype(np.uint8)
+    return out.astype(np.uint8) if most == 255 else ((out.astype(np.uint32) * 510 + most) // (2 * most)).astype(np.uint8)
+
+
+def _samples(data: bytes, at: int, kind: int, width: int, height: int, channels: int, most: int) -> np.ndarray:
+    n = width * height * channels
+    if kind == 1:
+        found = np.frombuffer(data, np.uint8, offset=at)
+        return found[(found == 48) | (found == 49)][:n] - 48
+    if kind in (2, 3):
+        words = data[at:].split(maxsplit=n)[:n]
+        if not all(w.isdigit() and len(w) <= DIGITS for w in words):
+            raise ValueError("samples that are no numbers")
+        return np.array(list(map(int, words)), np.uint32)
+    if kind == 4:
+        packed = np.frombuffer(data, np.uint8, count=(width + 7) // 8 * height, offset=at + 1)
+        return np.unpackbits(packed.reshape(height, -1), axis=1)[:, :width].ravel()
+    return np.frombuffer(data, np.uint8 if most < 256 else ">u2", count=n, offset=at + 1)
 
 
 def _bmp(data: bytes) -> np.ndarray:
-    at, head, width, height, _, bits, packing = struct.unpack_from("<IIiiHHI", data, 10)
-    if packing not in (0, 3) or bits not in (8, 24, 32):
+    at, head, width, height, _, bits, packing, _, _, _, colours = struct.unpack_from("<IIiiHHIIiiI", data, 10)
+    if packing not in (0, 3) or bits not in (1, 4, 8, 24, 32) or width < 1 or not height:
         raise ValueError("a BMP of another kind")
-    stride = (width * bits // 8 + 3) // 4 * 4
-    rows = np.frombuffer(data, np.uint8, count=stride * abs(height), offset=at).reshape(abs(height), stride)
+    rows_n, stride = abs(height), (width * bits + 31) // 32 * 4
+    if head < 40 or stride * rows_n > len(data):
+        raise ValueError("cut rows, or a header of another kind")
+    rows = np.frombuffer(data, np.uint8, count=stride * rows_n, offset=at).reshape(rows_n, stride)
     rows = rows[::-1] if height > 0 else rows
-    pixels = rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)
-    if bits == 8:
-        return np.frombuffer(data, np.uint8, count=1024, offset=14 + head).reshape(256, 4)[:, 2::-1][pixels[..., 0]]
-    return pixels[..., 2::-1]
+    if bits >= 24:
+        return rows[:, : width * bits // 8].reshape(rows_n, width, bits // 8)[..., 2::-1]
+    places = rows if bits == 8 else np.packbits(np.unpackbits(rows, axis=1).reshape(rows_n, -1, bits), axis=2)[..., 0] >> (8 - bits)
+    palette = np.frombuffer(data, np.uint8, count=4 * (colours or 1 << bits), offset=14 + head).reshape(-1, 4)[:, 2::-1]
+    if places[:, :width].max() >= len(palette):
+        raise ValueError("a colour that the palette lacks")
+    return palette[places[:, :width]]
 
 
 def encode_bmp(image: np.ndarray) -> bytes:
@@ -112,7 +133,7 @@ RESULTS = T.StructType([T.StructField("height", T.IntegerType()), T.StructField(
 
 def media_columns(df: DataFrame, media: str = "media") -> DataFrame:
     """df with height, width, samples (rows of 8-bit samples as decoded), tile (NPY) and dhash."""
-    own = df.drop(*[c for c in RESULTS.names if c in df.columns and c != media])
+    own = df.select(*others(df, *[c for c in RESULTS.names if c.lower() != media.lower()]))
     schema = T.StructType([*own.schema.fields, *RESULTS.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,8 +153,6 @@ def _one(value: pa.Scalar) -> tuple:
         return (None,) * 5
     try:
         image = decode(buffer.to_pybytes())
-        if not image.size:
-            raise ValueError("no pixels")
     except (ValueError, struct.error):
         return (None,) * 5
     return image.shape[0], image.shape[1], image.tobytes(), *features(image)
