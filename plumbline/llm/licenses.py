@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import checked_broadcast, literal_rows, materialise, table
+from plumbline.llm.common import checked_broadcast, fresh, literal_rows, materialise, named, others, table
 
 #: Licence names and the notices that stand for them.
 TEMPLATES = [
@@ -175,17 +175,18 @@ def inherited(dirs: DataFrame, licensed: DataFrame) -> DataFrame:
 
 def license_scan(files: DataFrame, path: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """files (without the text) with own_license, own_score, license and license_from ('' is the top; null: its own or none)."""
-    rows = files.select(*[F.col(c) for c in files.columns if c not in (path, text, *RESULTS)], F.col(path).alias("path"), F.col(text).alias("text")).withColumn("mark", F.xxhash64("text"))
-    own = materialise(own_licenses(rows.select("path", "mark", "text"), threshold), "licenses")
-    narrow = rows.drop("text").withColumn("dir", parent(F.col("path")))
+    mark, place, p, m, d, above_, from_ = fresh(files, "mark", "dir", "own_path", "own_mark", "own_dir", "above", "above_dir")
+    kept = others(files, path, text, *RESULTS)
+    rows = files.select(*kept, named(path).alias("path"), named(text).alias("text")).withColumn(mark, F.xxhash64("text"))
+    own = materialise(own_licenses(rows.select("path", F.col(mark).alias("mark"), "text"), threshold), "licenses")
+    narrow = rows.select(*kept, "path", mark, parent(F.col("path")).alias(place))
     licensed = own.where(F.col("path").rlike(LICENSE_FILE)).groupBy(parent(F.col("path")).alias("dir")).agg(F.max_by("own_license", F.struct(F.col("own_license") != RESERVED, "own_score", "own_license")).alias("license"))
     licensed = materialise(licensed, "licensed")
-    above = materialise(inherited(narrow.select("dir"), licensed), "inherited")
-    found = own.select(F.col("path").alias("__p"), F.col("mark").alias("__m"), "own_license", "own_score")
-    out = narrow.join(checked_broadcast(found), F.col("path").eqNullSafe(F.col("__p")) & (F.col("mark") == F.col("__m")), "left")
-    out = out.join(checked_broadcast(above.select(F.col("dir").alias("__d"), F.col("license").alias("__license"), F.col("license_from").alias("__from"))), F.col("dir") == F.col("__d"), "left")
-    keep = [c for c in narrow.columns if c not in ("mark", "dir")]
-    return out.select(*keep, "own_license", "own_score", F.coalesce("own_license", "__license").alias("license"), F.when(F.col("own_license").isNull(), F.col("__from")).alias("license_from"))
+    above = materialise(inherited(narrow.select(F.col(place).alias("dir")), licensed), "inherited").select(F.col("dir").alias(d), F.col("license").alias(above_), F.col("license_from").alias(from_))
+    found = own.select(F.col("path").alias(p), F.col("mark").alias(m), "own_license", "own_score")
+    out = narrow.join(checked_broadcast(found), F.col("path").eqNullSafe(F.col(p)) & (F.col(mark) == F.col(m)), "left")
+    out = out.join(checked_broadcast(above), F.col(place) == F.col(d), "left")
+    return out.select(*kept, "path", "own_license", "own_score", F.coalesce("own_license", above_).alias("license"), F.when(F.col("own_license").isNull(), F.col(from_)).alias("license_from"))
 
 
 def document_path() -> Column:
