@@ -9,7 +9,7 @@ into about sqrt(n) ranges whose summed sizes are prefix-summed, and only the ran
 Defined results: null texts have size 0 and are taken like any other; a null source is a source of its own, the last;
 repeated rows count and are taken one by one; equal keys are ordered by document; the last document that is begun is
 taken whole if at least half of it fits, so a source misses its target by at most half of one document; an empty table gives an empty table; other
-columns are ignored (mix_sources) or kept (mixed_documents).
+columns are ignored (mix_sources) or kept (mixed_documents), where names that begin with two underscores are reserved.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import checked_broadcast, materialise, n_words, table, unit
+from plumbline.llm.common import checked_broadcast, materialise, n_words, named, others, table, unit
 
 
 def quality_weight(text: Column) -> Column:
@@ -46,8 +46,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, c
 
 def _keyed(docs: DataFrame, source: str, text: str, doc_id: str) -> DataFrame:
     """docs with __source, __size, __quality, __tie and __key."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    own = docs.withColumns({"__source": F.col(source), "__size": n_words(body), "__quality": quality_weight(body), "__tie": F.xxhash64(F.col(doc_id), F.col(source), body)})
+    body = F.coalesce(named(text), F.lit(""))
+    own = docs.withColumns({"__source": named(source), "__size": n_words(body), "__quality": quality_weight(body), "__tie": F.xxhash64(named(doc_id), named(source), body)})
     return own.withColumn("__key", -F.ln(unit(F.lit("mix"), F.col("__tie"))) / F.col("__quality"))
 
 
@@ -89,7 +89,7 @@ class _Plan:
 
 
 def _planned(docs: DataFrame, weights, share, cap, source, text, doc_id) -> tuple[_Plan, DataFrame]:
-    rows = _keyed(docs, source, text, doc_id).select(F.col(doc_id).alias("doc_id"), "__source", "__size", "__quality", "__tie", "__key")
+    rows = _keyed(docs, source, text, doc_id).select(named(doc_id).alias("doc_id"), "__source", "__size", "__quality", "__tie", "__key")
     rows = materialise(rows, "mix")
     return _Plan(rows, weights, share, cap), rows
 
@@ -104,7 +104,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs, each as often as the mix takes it. Texts aren't shuffled: the plan is joined to them.
+    """The rows of docs, each as often as the mix takes it. Texts aren't shuffled: the plan is joined to them. Keys are made
+    again from the texts, which costs less than to write all texts beside them; sizes aren't.
 
     Rows that are equal in id, source and text are taken alike, as often as the one of them that is taken most.
     """
@@ -113,7 +114,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     placed = plan.placed(_keyed(docs, source, text, doc_id)).join(checked_broadcast(edge), F.col("__tie") == F.col("__p_tie"), "left")
     more = F.when(F.col("__p_part") == F.col("__p_edge"), F.coalesce("__more", F.lit(0))).otherwise(F.coalesce(F.col("__p_part") < F.col("__p_edge"), F.lit(False)).cast("long"))
     copies = (F.col("__p_epochs") + more).cast("int")
-    return placed.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    return placed.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*others(docs))
 
 
 def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
