@@ -12,6 +12,9 @@
    one hub of its lists, which joins large groups. Then what isn't of a list's largest class is verified against
    everything of another class there. So each link joins two entities that are in one class or have been compared.
 
+A group of copies is one entity before lists are joined. A list that many entities share is a skewed key: what joins it is
+written first, so that both sides of each join are plain shuffles, which Spark splits (spark.sql.adaptive.skewJoin).
+
 Defined results: A-Z count as a-z; a document with fewer than n words has its whole sequence as its one n-gram; a null
 or blank text has no n-gram, links with nothing and is its own component; copies and repeated rows link if they have an
 n-gram; component_id is the least doc_id that is reachable (null ids don't count; it is null if all are); other
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import checked_broadcast, materialise, new_path, table
+from plumbline.llm.common import KEY_ROWS, checked_broadcast, materialise, named, new_path, table
 from plumbline.llm.components import components
 from plumbline.llm.runs import CHUNK, Counter, by_shard, get, merge_runs, put, runs_of, shard_bits, stretches
 from plumbline.llm.tokens import slices
@@ -184,7 +187,7 @@ class _Links:
         """sig, grams of the entities of the pairs, from one of the documents of each."""
         sigs = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
         wanted = materialise(self.entities.join(sigs, "sig", "left_semi").select("sig", "doc_id"), "wanted")
-        ids = checked_broadcast(wanted.select("doc_id").where("doc_id is not null").distinct(), 2_000_000)
+        ids = checked_broadcast(wanted.select("doc_id").where("doc_id is not null").distinct(), KEY_ROWS)
         chosen = self.docs.join(ids, "doc_id", "left_semi")
         if not wanted.where("doc_id is null").isEmpty():
             chosen = chosen.unionByName(self.docs.where("doc_id is null"))
@@ -220,6 +223,7 @@ class _Links:
         lists = self.labelled()
         first = F.struct("at.pos", "at.sig") if turn == 0 else F.xxhash64(F.lit(turn), F.col("at.sig"))
         hubs = lists.groupBy("gram").agg(F.min_by(F.struct("label", "at"), first).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").drop("low", "high")
+        hubs = materialise(hubs, "hubs")
         met = lists.join(hubs, "gram").where((F.col("label") != F.col("hub.label")) & _may_link(F.col("at"), F.col("hub.at"), self.percent))
         met = met.groupBy(F.col("at.sig").alias("own"), F.col("hub.at.sig").alias("sig")).agg(F.count("*").alias("k"), F.first(F.struct(F.col("at.sig").alias("sig"), F.col("at.n").alias("n"))).alias("x"), F.first(F.struct(F.col("hub.at.sig").alias("sig"), F.col("hub.at.n").alias("n"))).alias("y"))
         best = met.groupBy("own").agg(F.max_by(F.struct("x", "y"), F.struct("k", "sig")).alias("best")).select("best.x", "best.y")
@@ -233,7 +237,7 @@ class _Links:
         else:
             sizes = lists.groupBy("gram", "label").agg(F.count("*").alias("k"))
             largest = sizes.groupBy("gram").agg(F.max_by("label", F.struct("k", "label")).alias("largest"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
-            lists = lists.join(largest, "gram")
+            lists = materialise(lists.join(materialise(largest, "largest"), "gram"), "classes")
         rest = lists.where("largest is null or label <> largest").select("gram", F.col("label").alias("own"), F.col("at").alias("from"))
         once = F.coalesce(F.col("label") == F.col("largest"), F.lit(False)) | (F.col("from.sig") < F.col("at.sig"))
         met = rest.join(lists, "gram").where((F.col("label") != F.col("own")) & once & _may_link(F.col("from"), F.col("at"), self.percent))
@@ -242,12 +246,13 @@ class _Links:
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id for each row of docs. Links: 100 * intersection >= percent * union."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    own = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"))
     rows = materialise(_prefixes(own, n, percent, *_count(own, n)), "prefixes")
     narrow, postings = rows.where("gram is null").select("doc_id", "sig", "n", *BITMAP), rows.where("gram is not null").select("gram", "sig", "n", "pos")
     entities = materialise(narrow.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *[F.first(b).alias(b) for b in BITMAP]), "entities")
-    shared = postings.groupBy("gram").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low <> high").select("gram")
-    lists = postings.join(shared, "gram", "left_semi").distinct().join(entities.drop("doc_id"), "sig")
+    postings = materialise(postings.distinct(), "postings")  # copies go here, combined by the tasks that have them
+    shared = materialise(postings.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram"), "shared")
+    lists = postings.join(shared, "gram", "left_semi").join(entities.drop("doc_id"), "sig")
     links = _Links(own, n, materialise(lists, "lists"), entities, percent)
     for turn in range(2):
         if not links.verify(links.stars(turn)):
@@ -256,7 +261,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     label = F.lit(None).cast("long") if links.labels is None else F.col("label")
     of = entities if links.labels is None else entities.join(links.labels.withColumnRenamed("node", "sig"), "sig", "left")
     of = of.select("sig", "doc_id", F.coalesce(label, F.col("sig")).alias("label"))
-    least = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    least = materialise(of.groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
     of = of.join(least, "label").select(F.col("sig"), "component_id")
     out = narrow.join(of, "sig", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
