@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import checked_broadcast, materialise, table
+from plumbline.llm.common import KEY_ROWS, checked_broadcast, fresh, materialise, table
 from plumbline.llm.jaccard import jaccard_components
 from plumbline.llm.mixing import mixed_documents
 from plumbline.llm.packing import pack_documents, with_digest
@@ -31,22 +31,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     the other columns. Rows are told apart by id and text, so an id with two texts is two documents. Rows without words
     link with nothing, and all stay.
     """
-    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").alias("__key")
-    keyed = docs.select("*", key)
-    classes = materialise(jaccard_components(keyed, doc_id="__key").where("n_shingles > 0").select(F.col("doc_id").alias("__key"), "component_id"), "classes")
-    places = classes.groupBy("__key", "component_id").agg(F.count("*").alias("rows")).join(keyed.select("__key", "doc_id").distinct(), "__key")
-    places = materialise(places, "places")
-    first = places.groupBy("component_id").agg(F.min_by("__key", F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("__key"))
-    gone = materialise(places.join(first, "__key", "left_anti").select("__key"), "gone")
-    kept = keyed.join(checked_broadcast(gone, 2_000_000), "__key", "left_anti")
-    twice = materialise(places.where("rows > 1").join(first, "__key", "left_semi").select("__key"), "twice")
+    key, place = fresh(docs, "key", "place")
+    keyed = docs.select("*", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").alias(key))
+    classes = jaccard_components(keyed, doc_id=key).where("n_shingles > 0").groupBy(F.col("doc_id").alias(key), "component_id").agg(F.count("*").alias("rows"))
+    classes = materialise(classes, "classes").join(keyed.select(key, F.col("doc_id").alias("id")).distinct(), key)
+    classes = materialise(classes, "places")
+    first = materialise(classes.groupBy("component_id").agg(F.min_by(F.struct(key, "rows"), F.struct(F.col("id").isNull(), "id", key)).alias("first")).select("first.*"), "first")
+    gone = materialise(classes.join(first, key, "left_anti").select(key), "gone")
+    kept = keyed.join(checked_broadcast(gone, KEY_ROWS), key, "left_anti")
+    twice = materialise(first.where("rows > 1").select(key), "twice")
     if twice.isEmpty():
         return kept.select(*docs.columns)
-    small = checked_broadcast(twice, 2_000_000)
+    small = checked_broadcast(twice, KEY_ROWS)
+    # Of repeated rows, tasks keep the first that they have; id and text are the same in all.
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    one = kept.join(small, "__key").groupBy("__key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.min(F.struct(F.lit(0).alias("__0"), *rest)).alias("__r"))
-    one = one.select("__key", "doc_id", "text", *[F.col("__r")[c].alias(c) for c in rest])
-    return kept.join(small, "__key", "left_anti").unionByName(one).select(*docs.columns)
+    one = kept.join(small, key).groupBy(key).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.min(F.struct(F.lit(0).alias(place), *rest)).alias(place))
+    one = one.select("doc_id", "text", *[F.col(place)[c].alias(c) for c in rest])
+    return kept.join(small, key, "left_anti").select(*docs.columns).unionByName(one)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
