@@ -36,10 +36,16 @@ def comparable(before: DataFrame, after: DataFrame, status_before: DataFrame, st
     return before.join(F.broadcast(ok), "source", "left_semi"), after.join(F.broadcast(ok), "source", "left_semi")
 
 
-def diff_summary(changes: DataFrame, unchanged: DataFrame | None = None) -> DataFrame:
-    """[A23]"""
+def diff_summary(changes: DataFrame, sources: DataFrame) -> DataFrame:
+    """[A23] By source (source, comparable): added, removed, changed, their total, and whether anything changed: null where
+    the source couldn't be compared."""
     count = lambda k: F.count_if(F.col("change_type") == k).alias(k)
-    return changes.groupBy("source").agg(count("added"), count("removed"), count("changed"))
+    kinds = ["added", "removed", "changed"]
+    found = sources.join(changes.groupBy("source").agg(*[count(k) for k in kinds]), "source", "left")
+    own = [F.when(F.col("comparable"), F.coalesce(k, F.lit(0))).alias(k) for k in kinds]
+    out = found.select("source", *own)
+    total = F.col("added") + F.col("removed") + F.col("changed")
+    return out.withColumn("total", total).withColumn("has_changes", total > 0)
 
 
 def advance(baseline_exists: bool, comparable_sources: int) -> str:
@@ -47,6 +53,16 @@ def advance(baseline_exists: bool, comparable_sources: int) -> str:
     return "created" if not baseline_exists else "advanced" if comparable_sources else "kept"
 
 
+def next_baseline(before: DataFrame, after: DataFrame, status_before: DataFrame, status_after: DataFrame) -> DataFrame:
+    """[T02] The baseline after a watch: what was just read of the sources that were read whole, what it had of the others;
+    where no source is comparable, all of it stays as it was."""
+    ok = status_after.where("status = 'ok'").select("source")
+    both = status_before.where("status = 'ok'").join(ok, "source", "left_semi").agg((F.count("*") > 0).alias("any"))
+    read = after.join(F.broadcast(ok), "source", "left_semi").join(F.broadcast(both.where("any")), F.lit(True)).drop("any")
+    kept = before.join(F.broadcast(ok), "source", "left_anti")
+    return read.unionByName(kept).unionByName(before.join(F.broadcast(ok), "source", "left_semi").join(F.broadcast(both.where("not any")), F.lit(True)).drop("any"))
+
+
 def described(changes: DataFrame, text: Column) -> DataFrame:
     """[T03]"""
     return changes.withColumn("description", text)

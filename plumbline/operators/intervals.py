@@ -24,11 +24,12 @@ def _week_bits(weeks: Column) -> Column:
 def conflict_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
     """[J01, J02, R10] section_a < section_b that have a meeting in common by keys, week and periods.
 
-    Slots join once by keys; weeks are compared as bits and then as arrays, so that a pair isn't made for each week.
+    Slots join by keys and period, and a pair counts at its first common period, so that it comes once; weeks are compared
+    as bits and then as arrays, so that a pair isn't made for each week.
     """
-    side = lambda df, s: df.select(*keys, F.col("ps").alias(f"ps_{s}"), F.col("pe").alias(f"pe_{s}"), F.col("weeks").alias(f"weeks_{s}"), _week_bits(F.col("weeks")).alias(f"bits_{s}"), F.col("section").alias(f"section_{s}"))
-    hit = (F.col("section_a") < F.col("section_b")) & (F.col("ps_a") <= F.col("pe_b")) & (F.col("ps_b") <= F.col("pe_a")) & (F.col("bits_a").bitwiseAND(F.col("bits_b")) != 0) & F.arrays_overlap("weeks_a", "weeks_b")
-    return side(left, "a").join(side(right, "b"), list(keys)).where(hit).select("section_a", "section_b").distinct()
+    side = lambda df, s: df.where("ps <= pe").select(*keys, F.explode(F.sequence("ps", "pe")).alias("period"), F.col("ps").alias(f"ps_{s}"), F.col("weeks").alias(f"weeks_{s}"), _week_bits(F.col("weeks")).alias(f"bits_{s}"), F.col("section").alias(f"section_{s}"))
+    hit = (F.col("section_a") < F.col("section_b")) & (F.col("period") == F.greatest("ps_a", "ps_b")) & (F.col("bits_a").bitwiseAND(F.col("bits_b")) != 0) & F.arrays_overlap("weeks_a", "weeks_b")
+    return side(left, "a").join(side(right, "b"), [*keys, "period"]).where(hit).select("section_a", "section_b").distinct()
 
 
 def unblocked(slots: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -46,13 +47,24 @@ def free_rooms(rooms: DataFrame, slots: DataFrame, week: int, day: int, ps: int,
     return rooms.join(occupied(slots, week, day, ps, pe).select("room").distinct(), "room", "left_anti")
 
 
-def slot_status(asked: DataFrame, booked: DataFrame, opens: int | None = None, closes: int | None = None) -> DataFrame:
-    """[J08, J09, F17] available, occupied or unavailable for asked (id, room, begin, end) against booked (room, begin, end), half open."""
-    b = booked.select(F.col("room").alias("in_room"), F.col("begin").alias("b0"), F.col("end").alias("b1"))
-    joined = asked.join(b, (F.col("room") == F.col("in_room")) & (F.col("b0") < F.col("end")) & (F.col("b1") > F.col("begin")), "left")
-    out = joined.groupBy("id", "room", "begin", "end").agg(F.count("b0").alias("overlaps"))
-    closed = F.lit(False) if opens is None else (F.hour("begin") < opens) | (F.hour("end") >= closes)
-    return out.withColumn("status", F.when(F.col("end") <= F.col("begin"), "unavailable").when(closed, "unavailable").when(F.col("overlaps") > 0, "occupied").otherwise("available"))
+def slot_status(asked: DataFrame, booked: DataFrame, windows: list[tuple[int, int]] | None = None, complete: str | None = None, width: int = 6 * 3600) -> DataFrame:
+    """[J08, J09, F17] asked (id, room, begin, end) against booked (room, begin, end), half open: overlaps and status.
+
+    unavailable where the end isn't after the begin, where no opening window (minutes of the day, both ends included) holds
+    both, or where the column complete says that the bookings aren't all known; else occupied or available. Rooms join by
+    stretches of width seconds, and a pair counts in the stretch where the later of the two begins.
+    """
+    stretch = lambda c: F.floor(F.unix_timestamp(c) / width)
+    cut = lambda df, a, b: df.withColumn("__k", F.explode_outer(F.sequence(stretch(a), F.greatest(stretch(a), stretch(b)))))
+    b = cut(booked.select(F.col("room").alias("__room"), F.col("begin").alias("__b0"), F.col("end").alias("__b1")).where("__b0 < __b1"), "__b0", "__b1").withColumnRenamed("__k", "__kb")
+    met = (F.col("room") == F.col("__room")) & (F.col("__k") == F.col("__kb")) & (F.col("__b0") < F.col("end")) & (F.col("__b1") > F.col("begin")) & (F.col("__k") == stretch(F.greatest("__b0", "begin")))
+    out = cut(asked, "begin", "end").join(b, met, "left").groupBy(*asked.columns).agg(F.count("__b0").alias("overlaps"))
+    minute = lambda c: F.hour(c) * 60 + F.minute(c)
+    open_ = F.lit(windows is None)
+    for begins, ends in windows or []:
+        open_ = open_ | ((minute("begin") >= begins) & (minute("end") <= ends))
+    known = F.lit(True) if complete is None else F.coalesce(F.col(complete), F.lit(False))
+    return out.withColumn("status", F.when(F.coalesce((F.col("end") <= F.col("begin")) | ~open_, F.lit(True)) | ~known, "unavailable").when(F.col("overlaps") > 0, "occupied").otherwise("available"))
 
 
 def all_conflict(slots: DataFrame, anchor) -> DataFrame:

@@ -28,17 +28,22 @@ def prepend(df: DataFrame, exact: DataFrame, key: str, order: str) -> DataFrame:
     return keep_one(both, [key], [F.col("__p"), F.col(order)]).drop("__p")
 
 
-def code_else_name(left: DataFrame, right: DataFrame, code: str, name: str, key: str) -> DataFrame:
-    """[J13, J14] left (code, name) to right by code; by name where left has no code and the name is one key's only.
+def code_else_name(left: DataFrame, right: DataFrame, code: str, name: str, key: str, ambiguous: DataFrame | None = None) -> DataFrame:
+    """[J13, J14] The pairs of left and right (its key as matched_key) that match by code, or by name where either has no
+    code; matched_by tells which. A name in ambiguous (column name), or shared by several right rows, matches nothing.
 
-    Two equi-joins instead of an OR in one. matched_by tells which.
+    Codes are compared in upper case and names in lower case, both without blanks. Two equi-joins instead of an OR in one.
     """
-    r = right.select(F.col(code).alias("__c"), F.col(name).alias("__m"), F.col(key).alias("matched_key"))
-    sole = r.groupBy("__m").agg(F.count("*").alias("k"), F.first("matched_key").alias("matched_key")).where("k = 1").drop("k")
-    blank = F.coalesce(F.trim(F.col(code)), F.lit("")) == ""
-    by_code = left.where(~blank).join(r.select("__c", "matched_key"), F.col(code) == F.col("__c")).drop("__c").withColumn("matched_by", F.lit("code"))
-    by_name = left.where(blank).join(sole, F.col(name) == F.col("__m")).drop("__m").withColumn("matched_by", F.lit("name"))
-    return by_code.unionByName(by_name)
+    plain = lambda c, case: case(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\s+", ""))
+    own = left.withColumns({"__code": plain(code, F.upper), "__name": plain(name, F.lower)})
+    r = right.select(plain(code, F.upper).alias("__c"), plain(name, F.lower).alias("__m"), F.col(key).alias("matched_key"))
+    doubtful = r.where("__m <> ''").groupBy("__m").agg(F.count("*").alias("k")).where("k > 1").select("__m")
+    if ambiguous is not None:
+        doubtful = doubtful.unionByName(ambiguous.select(plain("name", F.lower).alias("__m"))).distinct()
+    by_code = own.where("__code <> ''").join(r.where("__c <> ''").drop("__m"), F.col("__code") == F.col("__c")).drop("__c").withColumn("matched_by", F.lit("code"))
+    named = r.where("__m <> ''").join(doubtful, "__m", "left_anti")
+    by_name = own.join(named, F.col("__name") == F.col("__m")).where("__code = '' or __c = ''").drop("__c", "__m").withColumn("matched_by", F.lit("name"))
+    return by_code.unionByName(by_name).drop("__code", "__name")
 
 
 def paged(df: DataFrame, order: list[Column], page: int, size: int) -> DataFrame:
@@ -50,6 +55,28 @@ def paged(df: DataFrame, order: list[Column], page: int, size: int) -> DataFrame
     return rows.join(F.broadcast(total), F.lit(True)).withColumn("has_more", F.col("total") > page * size)
 
 
+def sole(df: DataFrame, keys: list[str]) -> DataFrame:
+    """By key: how many rows there are, and found for one or ambiguous for more; absent keys have no row."""
+    return df.groupBy(*keys).agg(F.count("*").alias("rows"), F.when(F.count("*") == 1, "found").otherwise("ambiguous").alias("outcome"))
+
+
+def preferred_first(df: DataFrame, key: str, preferred, order: list[Column]) -> DataFrame:
+    """[O16] place: rows of the preferred key first, and either part in the given order."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.when(F.col(key) == preferred, 0).otherwise(1), *order)).cast("long"))
+
+
+def by_locale(c: str | Column, locale: str = "zh") -> Column:
+    """[O11, O15] The order in which a reader of the language expects names."""
+    return F.collate(c, locale)
+
+
+def version_parts(c: Column) -> Column:
+    """[O17] The numbers of a version (a leading v and what follows - or + don't count), three at least: arrays compare as
+    versions do."""
+    numbers = F.transform(F.split(F.regexp_replace(F.regexp_replace(F.trim(c), r"^[vV]", ""), r"[-+].*$", ""), r"\."), lambda x: F.coalesce(x.try_cast("int"), F.lit(0)))
+    return F.concat(numbers, F.array_repeat(F.lit(0), F.greatest(3 - F.size(numbers), F.lit(0))))
+
+
 def sort_by(df: DataFrame, spec: str, allowed: dict[str, list[Column]]) -> list[Column]:
     """[O07, O12, O15] FIELD or FIELD(desc) with a list of allowed fields."""
     name, _, direction = spec.partition("(")

@@ -6,43 +6,59 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import js_round
-from plumbline.functions.staging import materialise
-from plumbline.operators.intervals import conflict_pairs
+from plumbline.functions.staging import BROADCAST_ROWS, checked_broadcast, materialise
+from plumbline.operators.intervals import conflict_pairs, unblocked
 
 #: Weights of the score, and the last period that counts as early.
 WEIGHTS = {"early": 2, "gap_segments": 5, "gap_periods": 1, "weekdays": 4, "switches": 6}
 EARLY = 2
 
 
-def candidates(slots: DataFrame, codes: list[str]) -> DataFrame:
-    """[J17, F-pushdown] code, idx, section: scheduled sections of the codes, in order of section."""
-    own = slots.where(F.col("code").isin(codes) & (F.size("weeks") > 0)).select("code", "section").distinct()
-    return own.withColumn("idx", F.row_number().over(Window.partitionBy("code").orderBy("section")))
+def candidates(slots: DataFrame, codes: list[str], blocks: DataFrame | None = None) -> DataFrame:
+    """[J03, J17] code, idx, section: scheduled sections of the codes without a slot in a block (day, ps, pe), in order."""
+    own = slots.where(F.col("code").isin(codes) & (F.size("weeks") > 0))
+    sections = own.select("code", "section").distinct()
+    if blocks is not None:
+        free = unblocked(own, F.broadcast(blocks))
+        sections = sections.join(own.join(free, ["section", "day", "ps", "pe"], "left_anti").select("section"), "section", "left_anti").select("code", "section")
+    return sections.withColumn("idx", F.row_number().over(Window.partitionBy("code").orderBy("section")))
 
 
-def combinations(slots: DataFrame, codes: list[str], search_limit: int = 5000, width: int = 100_000) -> DataFrame:
+def code_report(slots: DataFrame, codes: list[str], blocks: DataFrame | None = None) -> DataFrame:
+    """[J17] By requested code: candidates, sections without any slot, and whether it is missing (no candidate)."""
+    asked = slots.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in dict.fromkeys(codes)])).alias("code"))
+    found = candidates(slots, codes, blocks).groupBy("code").agg(F.count("*").alias("candidates"))
+    bare = slots.where(F.col("code").isin(codes)).groupBy("code", "section").agg(F.max(F.size("weeks")).alias("k")).where("k <= 0").groupBy("code").agg(F.count("*").alias("unscheduled"))
+    out = asked.join(found, "code", "left").join(bare, "code", "left").fillna(0, ["candidates", "unscheduled"])
+    return out.withColumn("missing", F.col("candidates") == 0)
+
+
+def combinations(slots: DataFrame, codes: list[str], search_limit: int = 5000, width: int = 100_000, blocks: DataFrame | None = None) -> DataFrame:
     """[J04] path (candidate numbers by code), sections. Codes with fewer candidates come first; each step drops conflicts.
 
     A depth-first search meets complete combinations in the order of path, so the first search_limit by path are those
     that it would have looked at. They begin with the first partial ones, so each step keeps the first width partial
     combinations only; if too few of them could be completed, it is done again with more.
     """
+    codes = list(dict.fromkeys(codes))
     if not 1 <= len(codes) <= 12:
         raise ValueError("1 to 12 codes")
-    cand = candidates(slots, codes)
+    cand = materialise(candidates(slots, codes, blocks), "candidates")
     sizes = {r["code"]: r["count"] for r in cand.groupBy("code").count().collect()}  # at most 12 rows
     if len(sizes) < len(codes):
         return slots.sparkSession.createDataFrame([], "path array<int>, sections array<bigint>")
     order = sorted(codes, key=lambda c: (sizes[c], codes.index(c)))
-    pairs = conflict_pairs(*[slots.where(F.col("code").isin(codes))] * 2)
+    own_slots = slots.join(F.broadcast(cand.select("section")), "section", "left_semi") if sum(sizes.values()) <= BROADCAST_ROWS else slots.join(cand.select("section"), "section", "left_semi")
+    pairs = conflict_pairs(own_slots, own_slots)
     banned = pairs.unionByName(pairs.select(F.col("section_b").alias("section_a"), F.col("section_a").alias("section_b"))).groupBy("section_a").agg(F.collect_set("section_b").alias("banned"))
     cand = cand.join(banned, cand["section"] == banned["section_a"], "left").drop("section_a").withColumn("banned", F.coalesce("banned", F.array().cast("array<bigint>")))
+    cand = materialise(cand, "banned")
     own = lambda c: cand.where(F.col("code") == c).select(F.col("idx").alias("i"), F.col("section").alias("s"), F.col("banned").alias("b"))
     first = own(order[0]).select(F.array(F.col("i").cast("int")).alias("path"), F.array("s").alias("sections"))
     while True:
         steps = [first]
         for code in order[1:]:
-            both = steps[-1].join(F.broadcast(own(code)), ~F.arrays_overlap("sections", "b"))
+            both = steps[-1].join(checked_broadcast(own(code)), ~F.arrays_overlap("sections", "b"))
             steps.append(both.select(F.concat("path", F.array(F.col("i").cast("int"))).alias("path"), F.concat("sections", F.array("s")).alias("sections")).orderBy("path").limit(width))
             steps[-1] = materialise(steps[-1], "partial")
         found = steps[-1].orderBy("path").limit(search_limit)
@@ -77,9 +93,17 @@ def ranked(scored: DataFrame, k: int) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def timetables(slots: DataFrame, codes: list[str], k: int = 20, search_limit: int = 5000) -> DataFrame:
+def total_credits(solutions: DataFrame, credits: DataFrame) -> DataFrame:
+    """[A17] solution, credits: the sum over its sections (section, credits), to two places."""
+    each = solutions.select("solution", F.explode("sections").alias("section")).join(credits, "section")
+    return each.groupBy("solution").agg(js_round(F.sum("credits"), 2).alias("credits"))
+
+
+def timetables(slots: DataFrame, codes: list[str], k: int = 20, search_limit: int = 5000, blocks: DataFrame | None = None, credits: DataFrame | None = None) -> DataFrame:
     """[T09] The best k with how many were looked at, and whether the search or the list was cut."""
-    found = combinations(slots, codes, search_limit).withColumn("solution", F.row_number().over(Window.orderBy("path")))
+    found = combinations(slots, codes, search_limit, blocks=blocks).withColumn("solution", F.row_number().over(Window.orderBy("path")))
+    found = materialise(found, "found")  # search_limit rows at most
     evaluated = F.count("*").over(Window.partitionBy())
     scored = score(found, slots).withColumn("evaluated", evaluated)
-    return ranked(scored, k).withColumn("search_truncated", F.col("evaluated") >= search_limit).withColumn("truncated", F.col("search_truncated") | (F.col("evaluated") > k))
+    best = ranked(scored, k).withColumn("search_truncated", F.col("evaluated") >= search_limit).withColumn("truncated", F.col("search_truncated") | (F.col("evaluated") > k))
+    return best if credits is None else best.join(total_credits(found, credits), "solution", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions import scalars as S
 from plumbline.plans.catalog import Tables
 
 
@@ -18,12 +19,16 @@ def meetings(t: Tables) -> DataFrame:
     )
 
 
-MEETINGS = """meetings AS (SELECT o_orderkey AS section, o_custkey AS code, CAST(o_orderkey % 5 + 1 AS INT) AS day, CAST((o_orderkey // 5) % 9 + 1 AS INT) AS ps,
+def meetings_sql(where: str = "true") -> str:
+    return f"""meetings AS (SELECT * FROM (SELECT o_orderkey AS section, o_custkey AS code, CAST(o_orderkey % 5 + 1 AS INT) AS day, CAST((o_orderkey // 5) % 9 + 1 AS INT) AS ps,
   CAST((o_orderkey // 5) % 9 + 1 + o_orderkey % 2 AS INT) AS pe, generate_series(1 + o_orderkey % 3, 16, 1 + o_orderkey % 2) AS wks,
-  CAST(o_custkey % 200 AS INT) AS room, o_orderstatus AS campus FROM orders),
+  CAST(o_custkey % 200 AS INT) AS room, o_orderstatus AS campus FROM orders) WHERE {where}),
 slots AS (SELECT * EXCLUDE (wks), CAST(unnest(wks) AS INT) AS week FROM meetings)"""
 
 
+MEETINGS = meetings_sql()
+
+
 def grades(t: Tables) -> DataFrame:
     """grade_id, student, code, credits, score, semester, nature."""
     k = F.col("o_orderkey")
@@ -40,6 +45,33 @@ POINTS = """CASE WHEN score >= 90 THEN 4000 WHEN score >= 85 THEN 3700 WHEN scor
   WHEN score >= 70 THEN 2300 WHEN score >= 67 THEN 2000 WHEN score >= 63 THEN 1700 WHEN score >= 60 THEN 1000 END"""
 
 
+_LETTERS = ["A+", "b", "P", " fail ", "W", "??", ""]
+
+
+def transcript(t: Tables) -> DataFrame:
+    """Grades as a service sends them: some without a code, some with a letter and no score.
+
+    grade_id, student, code, name, department, nature, letter, score, credits, semester, points.
+    """
+    k = F.col("o_orderkey")
+    letter = F.get(F.array(*[F.lit(x) for x in _LETTERS]), (k % len(_LETTERS)).cast("int"))
+    score = F.when(k % 3 != 0, (k * 7 % 101).cast("double"))
+    code = F.when(k % 13 == 0, F.lit(" ")).otherwise(F.concat(F.when(k % 2 == 0, "CS").otherwise("ma"), (k % 50).cast("string")))
+    return t.orders.select(
+        k.alias("grade_id"), F.col("o_custkey").alias("student"), code.alias("code"), F.concat(F.lit("Course "), (k % 25).cast("string")).alias("name"), F.col("o_orderstatus").alias("department"), F.col("o_orderpriority").alias("nature"),
+        letter.alias("letter"), score.alias("score"), ((k % 5) * 0.5).cast("double").alias("credits"), F.concat(F.year("o_orderdate").cast("string"), F.lit("-"), (k % 2 + 1).cast("string")).alias("semester"), S.letter_points(letter, score).alias("points"),
+    )
+
+
+_LETTER_CASE = "CASE upper(letter) " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in S.LETTER_POINTS.items()) + " END"
+_SCORE_CASE = "CASE " + " ".join(f"WHEN score >= {low} THEN {points}" for low, points in S.SCORE_POINTS) + " END"
+TRANSCRIPT = f"""raw AS (SELECT o_orderkey AS grade_id, o_custkey AS student, CASE WHEN o_orderkey % 13 = 0 THEN ' ' ELSE (CASE WHEN o_orderkey % 2 = 0 THEN 'CS' ELSE 'ma' END) || (o_orderkey % 50) END AS code, 'Course ' || (o_orderkey % 25) AS name,
+  o_orderstatus AS department, o_orderpriority AS nature, ['A+', 'b', 'P', ' fail ', 'W', '??', ''][o_orderkey % 7 + 1] AS letter, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey * 7 % 101 AS DOUBLE) END AS score,
+  CAST(o_orderkey % 5 AS DOUBLE) / 2 AS credits, year(o_orderdate) || '-' || (o_orderkey % 2 + 1) AS semester FROM orders),
+transcript AS (SELECT *, coalesce({_LETTER_CASE}, CASE WHEN score BETWEEN 60 AND 100 THEN {_SCORE_CASE} END) AS points, semester || '|' || code || '|' || name || '|' || letter || '|' || coalesce(CAST(score AS VARCHAR), '') AS identity,
+  CASE WHEN score >= 60 THEN 'passed' WHEN score < 60 THEN 'failed' WHEN letter IN ('A+', 'b', 'P') THEN 'passed' WHEN letter = ' fail ' THEN 'failed' WHEN letter = 'W' THEN 'non-completed' ELSE 'unknown' END AS completion FROM raw)"""
+
+
 def snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Two bags (source, key, canon, full) of orders: some gone, some new, some with another price."""
     k = F.col("o_orderkey")

@@ -40,46 +40,11 @@ def grade_points(t: Tables):
     return grades(t).select("grade_id", S.score_points(F.col("score")).alias("points"), S.grade_class(F.lit("F"), F.col("score")).alias("outcome"))
 
 
-@query("W03 R03", f"WITH {GRADES} SELECT student, code, grade_id, score, credits FROM (SELECT *, row_number() OVER (PARTITION BY student, code ORDER BY score DESC, semester DESC, grade_id) AS n FROM grades WHERE score >= 60) WHERE n = 1")
-def best_attempt(t: Tables):
-    return A.best_attempts(grades(t)).select("student", "code", "grade_id", "score", "credits")
-
-
 @query("W04", f"WITH {GRADES} SELECT student, code, grade_id, semester FROM (SELECT *, row_number() OVER (PARTITION BY student, code ORDER BY semester DESC, score DESC, grade_id) AS n FROM grades) WHERE n = 1")
 def newest_attempt(t: Tables):
     return K.keep_one(grades(t), ["student", "code"], [F.col("semester").desc(), F.col("score").desc(), F.col("grade_id")]).select("student", "code", "grade_id", "semester")
 
 
-_RULES = [("core", 6.0, 2, list(range(0, 20)), None, None, 60.0), ("wide", 4.0, 1, list(range(15, 35)), None, None, None), ("urgent", 3.0, None, None, ["1-URGENT"], None, 80.0), ("free", None, 1, list(range(40, 50)), [], None, None)]
-
-
-@query("J11 A09 F09 T08", f"""WITH {GRADES}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY student, code ORDER BY score DESC, semester DESC, grade_id) AS n FROM grades WHERE score >= 60) WHERE n = 1),
-r(id, min_credits, min_courses) AS (VALUES ('core', 6.0, 2), ('wide', 4.0, 1), ('urgent', 3.0, NULL), ('free', NULL, 1)),
-f AS (SELECT student, code, credits, id FROM best JOIN r ON CASE id WHEN 'core' THEN code < 20 AND score >= 60 WHEN 'wide' THEN code BETWEEN 15 AND 34 WHEN 'urgent' THEN nature = '1-URGENT' AND score >= 80 ELSE code >= 40 END),
-s AS (SELECT student, code, count(*) AS k, min(id) AS id, min(credits) AS credits FROM f GROUP BY ALL),
-m AS (SELECT student, id, sum(credits) AS mc, count(*) AS mn FROM s WHERE k = 1 GROUP BY ALL),
-e AS (SELECT DISTINCT student FROM grades)
-SELECT student, r.id, CAST(coalesce(mc, 0) AS BIGINT) AS matched_credits, coalesce(mn, 0) AS matched_courses, CAST(greatest(coalesce(min_credits, 0) - coalesce(mc, 0), 0) AS DOUBLE) AS missing_credits,
-  CAST(greatest(coalesce(min_courses, 0) - coalesce(mn, 0), 0) AS BIGINT) AS missing_courses, coalesce(min_credits, 0) <= coalesce(mc, 0) AND coalesce(min_courses, 0) <= coalesce(mn, 0) AS satisfied
-FROM e CROSS JOIN r LEFT JOIN m USING (student, id)""")
-def requirement_audit(t: Tables):
-    return A.audit(grades(t), t.rows(_RULES, A.RULES)).withColumn("matched_credits", F.col("matched_credits").cast("long"))
-
-
-@query("A10 A12 A26 J13 J14 F13", f"""WITH {GRADES}, need AS (SELECT range AS code FROM range(50)), s AS (SELECT DISTINCT student FROM grades),
-h AS (SELECT student, code, max(CASE WHEN score >= 60 THEN 1 ELSE 0 END) AS passed, max(CASE WHEN semester >= 1998 THEN 1 ELSE 0 END) AS now, count(*) AS attempts FROM grades GROUP BY ALL)
-SELECT s.student, need.code, coalesce(attempts, 0) AS attempts, CASE WHEN passed = 1 THEN 'passed' WHEN now = 1 THEN 'in_progress' WHEN attempts > 0 THEN 'failed' ELSE 'missing' END AS state
-FROM s CROSS JOIN need LEFT JOIN h ON s.student = h.student AND need.code = h.code""")
-def required_gap(t: Tables):
-    """Each student's state of each of 50 required codes."""
-    g = grades(t)
-    have = g.groupBy("student", "code").agg(F.max(F.col("score") >= 60).alias("passed"), F.max(F.col("semester") >= 1998).alias("now"), F.count("*").alias("attempts"))
-    need = t.spark.range(50).select(F.col("id").cast("int").alias("code"))
-    every = g.select("student").distinct().join(F.broadcast(need), F.lit(True))
-    state = F.when(F.col("passed"), "passed").when(F.col("now"), "in_progress").when(F.col("attempts") > 0, "failed").otherwise("missing")
-    return every.join(have, ["student", "code"], "left").select("student", F.col("code").cast("long").alias("code"), F.coalesce("attempts", F.lit(0)).alias("attempts"), state.alias("state"))
-
-
 @query("A11", "SELECT p_name AS name, count(*) AS k FROM part GROUP BY 1 HAVING count(*) > 1")
 def ambiguous_names(t: Tables):
     return t.part.groupBy(F.col("p_name").alias("name")).agg(F.count("*").alias("k")).where("k > 1")
@@ -117,13 +82,26 @@ def snapshot_diff(t: Tables):
     return D.bag_diff(*snapshots(t))
 
 
-@query("A23 T07 K05", f"WITH {SNAPSHOTS} SELECT source, count(CASE WHEN change_type = 'added' THEN 1 END) AS added, count(CASE WHEN change_type = 'removed' THEN 1 END) AS removed, count(CASE WHEN change_type = 'changed' THEN 1 END) AS changed FROM changes WHERE source <> 'P' GROUP BY 1")
+@query("A23 T07", f"""WITH {SNAPSHOTS}, c AS (SELECT source, count(CASE WHEN change_type = 'added' THEN 1 END) AS added, count(CASE WHEN change_type = 'removed' THEN 1 END) AS removed, count(CASE WHEN change_type = 'changed' THEN 1 END) AS changed FROM changes WHERE source <> 'P' GROUP BY 1)
+SELECT s.source, CASE WHEN s.ok THEN coalesce(added, 0) END AS added, CASE WHEN s.ok THEN coalesce(removed, 0) END AS removed, CASE WHEN s.ok THEN coalesce(changed, 0) END AS changed, CASE WHEN s.ok THEN coalesce(added + removed + changed, 0) END AS total,
+  CASE WHEN s.ok THEN coalesce(added + removed + changed, 0) > 0 END AS has_changes FROM (VALUES ('O', true), ('F', true), ('P', false), ('X', true)) s(source, ok) LEFT JOIN c USING (source)""")
 def snapshot_diff_summary(t: Tables):
-    """Counts by source; the source P was read in part on one side, so it isn't compared."""
+    """Counts by source; the source P was read in part on one side, so it isn't compared, and X has no rows."""
+    before, after = snapshots(t)
+    whole = t.rows([("O", "ok"), ("F", "ok"), ("P", "ok"), ("X", "ok")], "source string, status string")
+    part = t.rows([("O", "ok"), ("F", "ok"), ("P", "partial"), ("X", "ok")], "source string, status string")
+    sources = part.select("source", (F.col("status") == "ok").alias("comparable"))
+    return D.diff_summary(D.bag_diff(*D.comparable(before, after, whole, part)), sources)
+
+
+@query("T02", f"""WITH {SNAPSHOTS}, n AS (SELECT source, doc FROM a0 WHERE source <> 'P' UNION ALL SELECT source, doc FROM b0 WHERE source = 'P') SELECT source, count(*) AS k, sha256(string_agg(doc, '|' ORDER BY doc)) AS digest FROM n GROUP BY 1""")
+def watch_baseline(t: Tables):
+    """The baseline after a watch in which the source P was read in part: P keeps its old rows."""
     before, after = snapshots(t)
     whole = t.rows([("O", "ok"), ("F", "ok"), ("P", "ok")], "source string, status string")
     part = t.rows([("O", "ok"), ("F", "ok"), ("P", "partial")], "source string, status string")
-    return D.diff_summary(D.bag_diff(*D.comparable(before, after, whole, part)))
+    rows = D.next_baseline(before, after, whole, part)
+    return rows.groupBy("source").agg(F.count("*").alias("k"), F.sha2(F.array_join(F.array_sort(F.collect_list("full")), "|"), 256).alias("digest"))
 
 
 @query("T03 G06", f"WITH {SNAPSHOTS} SELECT source, key, change_type || ': ' || coalesce(before, '-') || ' -> ' || coalesce(after, '-') AS description FROM changes")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import scalars as S
 from plumbline.operators import asof, intervals, solver
-from plumbline.plans.adapters import MEETINGS, meetings
+from plumbline.plans.adapters import MEETINGS, meetings, meetings_sql
 from plumbline.plans.catalog import Tables, query
 
 
@@ -19,7 +19,7 @@ def conflict_pairs(t: Tables):
     return intervals.conflict_pairs(m, m, ("room", "day"))
 
 
-@query("J06 J05 F10 J07 J44", f"WITH {MEETINGS} SELECT DISTINCT room FROM meetings WHERE room NOT IN (SELECT room FROM slots WHERE week = 5 AND day = 3 AND ps <= 4 AND pe >= 3)")
+@query("J06 J05 F10 J07", f"WITH {MEETINGS} SELECT DISTINCT room FROM meetings WHERE room NOT IN (SELECT room FROM slots WHERE week = 5 AND day = 3 AND ps <= 4 AND pe >= 3)")
 def free_rooms(t: Tables):
     m = meetings(t)
     return intervals.free_rooms(m.select("room").distinct(), m, 5, 3, 3, 4)
@@ -43,16 +43,18 @@ def unblocked_meetings(t: Tables):
     return intervals.unblocked(meetings(t), F.broadcast(blocks)).select("section")
 
 
-@query("J08 J09 F17 F23", """WITH b AS (SELECT user_id % 100 AS room, ts AS b0, ts + INTERVAL 20 MINUTE AS b1 FROM events WHERE event_id % 2 = 0),
-q AS (SELECT event_id AS id, user_id % 100 AS room, ts AS s, ts + INTERVAL 30 MINUTE AS e FROM events WHERE event_id % 2 = 1)
-SELECT id, q.room, count(b0) AS overlaps, CASE WHEN hour(s) < 6 OR hour(e) >= 22 THEN 'unavailable' WHEN count(b0) > 0 THEN 'occupied' ELSE 'available' END AS status
-FROM q LEFT JOIN b ON q.room = b.room AND b0 < e AND b1 > s GROUP BY id, q.room, s, e""")
+@query("J08 J09 F17", """WITH b AS (SELECT user_id % 100 AS room, ts AS b0, ts + INTERVAL 20 MINUTE AS b1 FROM events WHERE event_id % 2 = 0),
+q AS (SELECT event_id AS id, user_id % 100 AS room, ts AS s, ts + INTERVAL 30 MINUTE AS e, hour(ts) * 60 + minute(ts) AS m FROM events WHERE event_id % 2 = 1),
+w AS (SELECT *, hour(e) * 60 + minute(e) AS n FROM q)
+SELECT id, w.room, count(b0) AS overlaps, CASE WHEN NOT ((m >= 360 AND n <= 720) OR (m >= 750 AND n <= 1320)) OR w.room % 10 = 9 THEN 'unavailable' WHEN count(b0) > 0 THEN 'occupied' ELSE 'available' END AS status
+FROM w LEFT JOIN b ON w.room = b.room AND b0 < e AND b1 > s GROUP BY id, w.room, s, e, m, n""")
 def half_open_overlap_status(t: Tables):
-    """Asked times (odd events) against bookings (even events) of a room, open from 6 to 22."""
+    """Asked times (odd events) against bookings (even events) of a room, open from 6:00 to 12:00 and from 12:30 to 22:00;
+    of every tenth room the bookings aren't all known."""
     e = t.events.select("event_id", (F.col("user_id") % 100).alias("room"), F.col("ts").alias("begin"))
     booked = e.where("event_id % 2 = 0").select("room", "begin", (F.col("begin") + F.expr("interval 20 minutes")).alias("end"))
-    asked = e.where("event_id % 2 = 1").select(F.col("event_id").alias("id"), "room", "begin", (F.col("begin") + F.expr("interval 30 minutes")).alias("end"))
-    return intervals.slot_status(asked, booked, 6, 22).select("id", "room", "overlaps", "status")
+    asked = e.where("event_id % 2 = 1").select(F.col("event_id").alias("id"), "room", "begin", (F.col("begin") + F.expr("interval 30 minutes")).alias("end"), (F.col("room") % 10 != 9).alias("complete"))
+    return intervals.slot_status(asked, booked, [(360, 720), (750, 1320)], "complete").select("id", "room", "overlaps", "status")
 
 
 @query("J16 X06", f"""WITH {MEETINGS}, anchor AS (SELECT day, week, ps, pe, section FROM slots WHERE code = 1),
@@ -147,11 +149,11 @@ def nearest_makeup(t: Tables):
     return near.select("day", "week", target.alias("target"))
 
 
-@query("J22 J23 J24 J25", """SELECT a.event_id AS id, n.event_id AS next_id FROM events a LEFT JOIN LATERAL (SELECT event_id FROM events b WHERE b.user_id = a.user_id AND b.event_type = 'purchase' AND b.ts > a.ts ORDER BY b.ts, b.event_id LIMIT 1) n ON true""")
+@query("J22", """SELECT a.event_id AS id, n.event_id AS next_id FROM events a LEFT JOIN LATERAL (SELECT event_id FROM events b WHERE b.user_id = a.user_id AND b.event_type = 'purchase' AND b.ts > a.ts ORDER BY b.ts, b.event_id LIMIT 1) n ON true""")
 def next_event_asof(t: Tables):
     """For each event its user's next purchase."""
     e = t.events.select("user_id", "event_id", "ts", "event_type")
-    r = e.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.min("event_id").alias("event_id"))
+    r = e.where("event_type = 'purchase'")
     return asof.next_after(e.select("user_id", "event_id", "ts"), r, ["user_id"], "ts", ["event_id"]).select(F.col("event_id").alias("id"), F.col("next_event_id").alias("next_id"))
 
 
@@ -178,7 +180,7 @@ _CODES = [1, 2, 4]
 _AGG = """CAST(count(DISTINCT week) AS BIGINT) AS aw"""
 
 
-@query("J04 A16 A17 O01 O02 W01 W08 T09", f"""WITH {MEETINGS}, x AS (SELECT DISTINCT LEAST(a.section, b.section) AS s1, GREATEST(a.section, b.section) AS s2 FROM slots a JOIN slots b ON a.day = b.day AND a.week = b.week AND a.ps <= b.pe AND b.ps <= a.pe AND a.section <> b.section
+@query("J04 A16 A17 O01 O02 W01 W08 T09", f"""WITH {meetings_sql("NOT (day = 2 AND ps <= 2)")}, x AS (SELECT DISTINCT LEAST(a.section, b.section) AS s1, GREATEST(a.section, b.section) AS s2 FROM slots a JOIN slots b ON a.day = b.day AND a.week = b.week AND a.ps <= b.pe AND b.ps <= a.pe AND a.section <> b.section
   AND a.code IN (1, 2, 4) AND b.code IN (1, 2, 4)),
 k AS (SELECT code, count(*) AS n FROM meetings WHERE code IN (1, 2, 4) GROUP BY 1), o AS (SELECT code, row_number() OVER (ORDER BY n, code) AS pos FROM k),
 c AS (SELECT section, pos, row_number() OVER (PARTITION BY code ORDER BY section) AS idx FROM meetings JOIN o USING (code)),
@@ -190,11 +192,27 @@ g AS (SELECT *, greatest(ps - lag(pe) OVER w - 1, 0) AS gap, coalesce(lag(campus
 z AS (SELECT solution, greatest(count(DISTINCT week), 1) AS aw, count(CASE WHEN ps <= 2 THEN 1 END) AS early, count(CASE WHEN gap > 0 THEN 1 END) AS gs, coalesce(sum(gap), 0) AS gp, count(DISTINCT week * 10 + day) AS wd, count(CASE WHEN sw THEN 1 END) AS sw FROM g GROUP BY 1),
 r AS (SELECT solution, floor(early / aw * 100 + 0.5) / 100 AS early, floor(gs / aw * 100 + 0.5) / 100 AS gs, floor(gp / aw * 100 + 0.5) / 100 AS gp, floor(wd / aw * 100 + 0.5) / 100 AS wd, floor(sw / aw * 100 + 0.5) / 100 AS sw FROM z),
 q AS (SELECT r.*, floor((0 - early * 2 - gs * 5 - gp * 1 - wd * 4 - sw * 6) * 100 + 0.5) / 100 AS total, a || '|' || b || '|' || d AS sections FROM r JOIN l USING (solution))
-SELECT row_number() OVER (ORDER BY total DESC, wd, gs, gp, early, sw, sections) AS rank, sections, total, (SELECT count(*) FROM l) AS evaluated, (SELECT count(*) FROM l) >= 5000 AS search_truncated FROM q ORDER BY rank LIMIT 20""")
+SELECT row_number() OVER (ORDER BY total DESC, wd, gs, gp, early, sw, sections) AS rank, sections, total, list_sum([CAST(x AS BIGINT) % 4 + 0.5 FOR x IN string_split(sections, '|')])::DOUBLE AS credits, (SELECT count(*) FROM l) AS evaluated, (SELECT count(*) FROM l) >= 5000 AS search_truncated FROM q ORDER BY rank LIMIT 20""")
 def timetable_topk(t: Tables):
-    """The best twenty timetables of three codes."""
-    best = solver.timetables(meetings(t), _CODES, 20)
-    return best.select(F.col("rank").cast("long").alias("rank"), F.array_join(F.transform("sections", lambda s: s.cast("string")), "|").alias("sections"), "total", "evaluated", "search_truncated")
+    """The best twenty timetables of three codes, outside a blocked time, with their credits."""
+    blocks = t.rows([("TUE:1-2",)], "spec string").select(S.block_of(F.col("spec")).alias("b")).select("b.*")
+    credits = t.orders.select(F.col("o_orderkey").alias("section"), (F.col("o_orderkey") % 4 + 0.5).cast("double").alias("credits"))
+    best = solver.timetables(meetings(t), _CODES, 20, blocks=blocks, credits=credits)
+    return best.select(F.col("rank").cast("long").alias("rank"), F.array_join(F.transform("sections", lambda s: s.cast("string")), "|").alias("sections"), "total", "credits", "evaluated", "search_truncated")
+
+
+_ASKED = [1, 2, 4, 3, 5, 900001]
+
+
+@query("J17 J03 T08", """WITH m AS (SELECT o_orderkey AS section, o_custkey AS code, CAST(o_orderkey % 5 + 1 AS INT) AS day, CAST((o_orderkey // 5) % 9 + 1 AS INT) AS ps, CAST((o_orderkey // 5) % 9 + 1 + o_orderkey % 2 AS INT) AS pe,
+  o_orderkey % 7 = 0 AS bare FROM orders), asked(code) AS (VALUES (1), (2), (4), (3), (5), (900001))
+SELECT CAST(asked.code AS BIGINT) AS code, count(CASE WHEN NOT bare AND NOT (day = 2 AND ps <= 13 AND pe >= 1) AND NOT (day = 5 AND ps <= 3 AND pe >= 1) THEN 1 END) AS candidates, count(CASE WHEN bare THEN 1 END) AS unscheduled,
+  count(CASE WHEN NOT bare AND NOT (day = 2 AND ps <= 13 AND pe >= 1) AND NOT (day = 5 AND ps <= 3 AND pe >= 1) THEN 1 END) = 0 AS missing FROM asked LEFT JOIN m USING (code) GROUP BY 1""")
+def missing_codes(t: Tables):
+    """Requested codes with how many of their sections can be taken outside the blocked times, and which have none."""
+    blocks = t.rows([("TUE:1-13",), ("FRI:1-3",), ("FRI:1-3",)], "spec string").select(S.block_of(F.col("spec")).alias("b")).select("b.*").distinct()
+    m = meetings(t).withColumn("weeks", F.when(F.col("section") % 7 == 0, F.array().cast("array<int>")).otherwise(F.col("weeks")))
+    return solver.code_report(m, _ASKED, blocks).withColumn("code", F.col("code").cast("long"))
 
 
 @query("F04 D12 D11 T05", """SELECT event_id AS id, CASE WHEN epoch(TIMESTAMP '2024-01-20 12:00:00') - floor(epoch(ts)) > 10800 THEN 'stale' ELSE 'fresh' END AS freshness FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 7 DAY AND ts <= TIMESTAMP '2024-01-20 12:00:00'""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import scalars as S
@@ -13,13 +14,40 @@ from plumbline.plans.catalog import Tables, query
 from plumbline.sources import documents, sinks
 
 
-@query("J31 J32 P26", """WITH RECURSIVE w(id, depth, path) AS (SELECT p_partkey, 0, CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey < 4
-UNION ALL SELECT p.p_partkey, depth + 1, path || '/' || p.p_partkey FROM w JOIN part p ON p.p_partkey // 4 = w.id AND p.p_partkey <> w.id)
-SELECT id, CAST(depth AS INT) AS depth, path FROM w""")
+#: Parts as content: a tree of fours, in which some have a second parent, and the roots one of their own descendants.
+_NODES = """n AS (SELECT p_partkey AS id, p_partkey // 4 AS parent FROM part UNION ALL SELECT p_partkey, p_partkey // 9 + 1 FROM part WHERE p_partkey % 5 = 3 UNION ALL SELECT p_partkey, p_partkey * 4 + 9 FROM part WHERE p_partkey < 4)"""
+_WALK = f"""RECURSIVE {_NODES}, w(id, depth, path) AS (SELECT p_partkey, 0, [p_partkey] FROM part WHERE p_partkey < 4
+UNION SELECT n.id, depth + 1, list_append(path, n.id) FROM w JOIN n ON n.parent = w.id WHERE NOT list_contains(path, n.id) AND depth < 12),
+b AS (SELECT id, min(depth) AS depth FROM w GROUP BY 1), t AS (SELECT id, depth, min(path) AS path FROM w JOIN b USING (id, depth) GROUP BY ALL)"""
+
+
+def _content(t: Tables) -> tuple[DataFrame, DataFrame]:
+    k = F.col("p_partkey")
+    own = t.part.select(k.alias("id"), F.floor(k / 4).alias("parent"))
+    second = t.part.where(k % 5 == 3).select(k.alias("id"), (F.floor(k / 9) + 1).alias("parent"))
+    back = t.part.where(k < 4).select(k.alias("id"), (k * 4 + 9).alias("parent"))
+    return own.unionByName(second).unionByName(back), own.where("id < 4")
+
+
+@query("J31 J32", f"WITH {_WALK} SELECT id, CAST(depth AS INT) AS depth, array_to_string(path, '/') AS path FROM t")
 def tree_walk(t: Tables):
-    """Parts as a tree of fours, walked from its roots."""
-    nodes = t.part.select(F.col("p_partkey").alias("id"), F.floor(F.col("p_partkey") / 4).alias("parent"))
-    return tree.walk(nodes, nodes.where("id < 4")).select("id", "depth", F.array_join(F.transform("path", lambda x: x.cast("string")), "/").alias("path"))
+    """Content walked from its roots, each node once."""
+    return tree.walk(*_content(t)).select("id", "depth", F.array_join(F.transform("path", lambda x: x.cast("string")), "/").alias("path"))
+
+
+@query("J31 T08 T09", f"WITH {_WALK} SELECT id, CAST(depth AS INT) AS depth, true AS truncated FROM t ORDER BY path, id LIMIT 100")
+def content_tree(t: Tables):
+    """The first hundred nodes of the walk, and whether the list was cut there."""
+    return tree.first_items(tree.walk(*_content(t)), 100).select("id", "depth", "truncated")
+
+
+@query("P26", """SELECT p_brand AS grouping, p_type AS lab, p_name AS room, count(*) AS k FROM part GROUP BY ALL""")
+def nested_rooms(t: Tables):
+    """Groups of labs of rooms, flattened."""
+    labs = t.part.groupBy("p_brand", "p_type").agg(F.collect_list(F.struct("p_name")).alias("rooms"))
+    groups = labs.groupBy("p_brand").agg(F.collect_list(F.struct("p_type", "rooms")).alias("labs"))
+    flat = groups.select(F.col("p_brand").alias("grouping"), F.explode(tree.leaves(F.col("labs"), "rooms", {"p_type": "lab"})).alias("x"))
+    return flat.groupBy("grouping", F.col("x.lab").alias("lab"), F.col("x.rooms.p_name").alias("room")).agg(F.count("*").alias("k"))
 
 
 @query("A05 P27 O14", "SELECT CASE p_size % 4 WHEN 0 THEN 'file' WHEN 1 THEN 'folder' WHEN 2 THEN 'assignment' ELSE 'unknown' END AS kind, p_type AS handler, count(*) AS k FROM part GROUP BY ALL")
