@@ -141,6 +141,21 @@ def term_code(year: Column, term: Column) -> Column:
     return F.when(term == "1", F.concat(F.substring(year, 1, 4), F.lit("1"))).otherwise(F.concat(F.substring(year, 6, 4), term))
 
 
+#: Seasons of the three terms in labels.
+SEASONS = {1: "秋季", 2: "春季", 3: "夏季"}
+
+
+def names_term(label: Column, year: str, term: int) -> Column:
+    """Whether a label names the term of a year (2024-2025): by its value with or without a dash, by either year and
+    the season, or by both years and the season anywhere."""
+    season = SEASONS[term]
+    spellings = [f"{year}-{term}", f"{year}{term}", f"{year[:4]}{season}", f"{year[5:]}{season}"]
+    out = label.contains(year) & label.contains(season)
+    for spelling in spellings:
+        out = out | label.contains(spelling)
+    return F.coalesce(out, F.lit(False))
+
+
 def stale(fetched: Column, updated: Column, days: int) -> Column:
     """[D11]"""
     return F.coalesce(F.unix_timestamp(fetched) - F.unix_timestamp(updated) >= days * 86400, F.lit(False))

@@ -60,6 +60,28 @@ def sole(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows"), F.when(F.count("*") == 1, "found").otherwise("ambiguous").alias("outcome"))
 
 
+def where_equal(df: DataFrame, wanted: dict) -> DataFrame:
+    """[S36, F12] Rows whose columns have the values asked for; those that are None don't matter."""
+    for name, value in wanted.items():
+        if value is not None:
+            df = df.where(F.col(name) == value)
+    return df
+
+
+def in_status(code: Column, status: str, groups: dict[str, list[str]]) -> Column:
+    """Whether a code belongs to a status that stands for several; all takes any."""
+    if status == "all":
+        return F.lit(True)
+    if status not in groups:
+        raise ValueError(f"no status {status}")
+    return code.isin(groups[status])
+
+
+def timing(at: Column, now: Column) -> Column:
+    """[F08, O06] upcoming, started (also just now) or unknown."""
+    return F.when(at.isNull(), "unknown").when(at > now, "upcoming").otherwise("started")
+
+
 def preferred_first(df: DataFrame, key: str, preferred, order: list[Column]) -> DataFrame:
     """[O16] place: rows of the preferred key first, and either part in the given order."""
     return df.withColumn("place", F.row_number().over(Window.orderBy(F.when(F.col(key) == preferred, 0).otherwise(1), *order)).cast("long"))

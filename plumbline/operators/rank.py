@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plumbline.functions.scalars import js_round, let, occurrences, strip_markdown
+from plumbline.functions.scalars import grade_class, js_round, let, occurrences, strip_markdown
 
 
 def search_text(c: Column) -> Column:
@@ -116,3 +116,39 @@ def lookup_confidence(exact: Column, base: Column, name: Column, teachers: Colum
 def reconciled(conflicts: Column, last: Column, desired: Column, inverse: Column) -> Column:
     """[A24] The verdict on a sequence of observations: how many conflict, which is last, how many are as wished or as before."""
     return F.when(conflicts > 0, "still_uncertain").when(last == "desired", "applied").when((desired == 0) & (inverse >= 2), "not_applied").otherwise("still_uncertain")
+
+
+#: How far a state of the degree is before others.
+DEGREE_PRIORITY = {"required-gap": 4, "choice-gap": 3, "optional": 2, "unknown": 1}
+
+
+def decision_order() -> list[Column]:
+    """[O03] total, requested, degree_state, seats and rating, the best first; what isn't known comes last."""
+    state = F.lit(0)
+    for name, value in DEGREE_PRIORITY.items():
+        state = F.when(F.col("degree_state") == name, value).otherwise(state)
+    return [F.col("total").desc(), F.col("requested").desc(), state.desc(), F.coalesce("seats", F.lit(-1)).desc(), F.coalesce("rating", F.lit(-1)).desc()]
+
+
+def sorted_reasons(reasons: Column) -> Column:
+    """[O13] Structs of impact, kind and message: negative ones first, then positive ones, then others."""
+    place = lambda r: F.when(r["impact"] == "negative", 0).when(r["impact"] == "positive", 1).otherwise(2)
+    keyed = F.array_sort(F.transform(reasons, lambda r: F.struct(place(r).alias("place"), F.concat_ws(":", r["kind"], r["message"]).alias("text"), r.alias("reason"))))
+    return F.transform(keyed, lambda k: k["reason"])
+
+
+def match_reasons(title: Column, attachments: Column, query: str) -> Column:
+    """[X16] reasons (title, attachment) and attachments that hold the query, by any case."""
+    needle = query.strip().lower()
+    found = F.filter(attachments, lambda a: F.lower(a).contains(needle))
+    return F.struct(F.array_compact(F.array(F.when(F.lower(title).contains(needle), "title"), F.when(F.size(found) > 0, "attachment"))).alias("reasons"), found.alias("attachments"))
+
+
+#: Completions, the best first.
+COMPLETIONS = ["passed", "failed", "non-completed", "unknown"]
+
+
+def best_completion(letter: Column, score: Column) -> Column:
+    """[A25] The best completion of a group's rows that have a letter or a score."""
+    own = F.when((F.coalesce(letter, F.lit("")) != "") | score.isNotNull(), grade_class(letter, score))
+    return F.get(F.array(*[F.lit(c) for c in COMPLETIONS]), F.min(F.array_position(F.array(*[F.lit(c) for c in COMPLETIONS]), own)).cast("int") - 1)
