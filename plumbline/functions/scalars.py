@@ -403,9 +403,9 @@ def grade_class(letter: Column, score: Column) -> Column:
     return F.when(score >= 60, "passed").when(score < 60, "failed").otherwise(by_letter)
 
 
-def sample(c: Column, n: int) -> Column:
-    """[C18]"""
-    return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit("..."))).otherwise(c)
+def sample(c: Column, n: int = 160) -> Column:
+    """[C18] The first characters, white space collapsed."""
+    return F.substring(collapse(c), 1, n)
 
 
 # Arrays and maps

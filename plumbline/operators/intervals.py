@@ -90,6 +90,12 @@ def bucketed_overlap(a: DataFrame, b: DataFrame, begin: str, end: str, width: in
     return joined.where(hit & (F.col("__k") == F.floor(F.greatest(begin, f"{begin}_b") / width))).drop("__k")
 
 
+def in_window(days: DataFrame, dim: DataFrame, width: int) -> DataFrame:
+    """[J39] days (day) with each interval of dim (lo, hi) that meets the window of so many days from there, or nulls. dim
+    is a calendar table: broadcast."""
+    return days.join(F.broadcast(dim), (F.col("lo") < F.date_add("day", width)) & (F.col("hi") >= F.col("day")), "left")
+
+
 def range_lookup(facts: DataFrame, key: str, dim: DataFrame, at: Column, low: str, high: str, order: list[str], half_open: bool = False) -> DataFrame:
     """[J18, J19, J20, J39] facts with the first dim row (by order) whose range holds at, or nulls.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import scalars as S
+from plumbline.operators.rank import score_label
 
 
 #: Prefixes of bundle ids by where the id comes from.
@@ -96,6 +97,64 @@ def programs(raw: DataFrame) -> DataFrame:
     return raw.select(_get(raw, "ID").alias("id"), S.collapse(_get(raw, "Name")).alias("name"), F.coalesce(S.legacy_date(_get(raw, "ApplyBeginDate")).cast("string"), _get(raw, "ApplyBeginDateText")).alias("begins"), F.coalesce(S.legacy_date(_get(raw, "ApplyEndDate")).cast("string"), _get(raw, "ApplyEndDateText")).alias("ends"))
 
 
+def degree_progress(rows: DataFrame) -> DataFrame:
+    """[P07] id, required, completed, remaining, disagrees from an overview and a summary.
+
+    The overview's number goes first; what remains is required less completed, never below 0, if both are known, else as
+    the summary says; disagrees where both sources give a number and they aren't the same."""
+    required = F.coalesce("overview_required", "summary_required")
+    remaining = F.when(required.isNotNull() & F.col("completed").isNotNull(), F.greatest(required - F.col("completed"), F.lit(0.0))).otherwise(F.col("summary_remaining"))
+    apart = F.coalesce(F.abs(F.col("overview_required") - F.col("summary_required")) >= 1e-6, F.lit(False))
+    return rows.select("id", required.alias("required"), "completed", remaining.alias("remaining"), apart.alias("disagrees"))
+
+
+LEVELS = ("terse", "normal", "verbose")
+
+
+def at_level(df: DataFrame, level: str, columns: dict[str, list[str]]) -> DataFrame:
+    """[P18] The columns of the level and of those below it; columns of higher levels aren't there at all."""
+    if level not in LEVELS:
+        raise ValueError(f"no level {level}")
+    return df.select(*[c for name in LEVELS[: LEVELS.index(level) + 1] for c in columns.get(name, [])])
+
+
+def catalog_rows(df: DataFrame, body: str) -> DataFrame:
+    """[P20] df with doc_id, context (L unless it is given), title, format and full_text of library records in JSON; those
+    without an id or a title go."""
+    many = "array<string>"
+    kind = f"struct<context:string,docid:string,pnx:struct<control:struct<recordid:{many}>,display:struct<title:{many},type:{many}>,links:struct<lds:{many}>>>"
+    own = df.withColumn("__r", F.from_json(body, kind))
+    first = lambda c: F.nullif(F.trim(F.get(F.col(c), F.lit(0))), F.lit(""))
+    shown = lambda c: F.nullif(S.html_text(first(c)), F.lit(""))
+    labels = F.coalesce("__r.pnx.links.lds", F.array().cast(many))
+    out = own.select(*df.columns, F.coalesce(first("__r.pnx.control.recordid"), F.nullif(F.col("__r.docid"), F.lit(""))).alias("doc_id"), F.coalesce(F.nullif(F.col("__r.context"), F.lit("")), F.lit("L")).alias("context"), shown("__r.pnx.display.title").alias("title"), shown("__r.pnx.display.type").alias("format"), has_full_text(F.lit(None).cast("string"), labels).alias("full_text"))
+    return out.where("doc_id is not null and title is not null")
+
+
+def review_rows(df: DataFrame, body: str) -> DataFrame:
+    """[P08] Reviews in JSON: id, rating, content, author, term, difficulty."""
+    own = df.select(F.from_json(body, "struct<id:bigint,rate:string,content:string,author:struct<name:string>,term:string,difficulty:double>").alias("r"))
+    return own.select("r.id", S.number(F.col("r.rate")).alias("rating"), S.html_text(F.coalesce("r.content", F.lit(""))).alias("content"), S.text(F.col("r.author.name")).alias("author"), S.term_label(F.col("r.term")).alias("term"), score_label(F.col("r.difficulty"), "difficulty").alias("difficulty"))
+
+
+def identity(df: DataFrame, shown: tuple[str, ...], masked: tuple[str, ...] = ()) -> Column:
+    """[P12, P13] A record of the shown columns only, in JSON; of masked ones the first character stays, and blank members go."""
+    def value(name: str) -> Column:
+        v = F.nullif(F.trim(df[name]), F.lit(""))
+        return F.concat(F.substring(v, 1, 1), F.repeat(F.lit("*"), F.length(v) - 1)) if name in masked else v
+
+    return F.to_json(F.struct(*[value(n).alias(n) for n in shown]))
+
+
+#: What changes by itself in records of a source.
+VOLATILE = {"blackboardDeadlines": {"daysLeft"}, "grades": {"gpaPoints"}, "exams": {"weekday", "weekdayEn"}}
+
+
+def comparable(source: str, fields: dict[str, Column]) -> Column:
+    """[G03] A record as sorted JSON, without what changes by itself."""
+    return S.canonical(*[(name, c) for name, c in fields.items() if name not in VOLATILE.get(source, ())])
+
+
 def categories(raw: DataFrame) -> DataFrame:
     """[P06] Credit categories: what remains is as reported, else required less earned, never below 0."""
     required, done = F.coalesce(_number(raw, "required"), F.lit(0.0)), F.coalesce(_number(raw, "completed"), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import grade_class, js_round, let, occurrences, strip_markdown
@@ -38,6 +38,11 @@ def relevance(query: str, fields: list[tuple[Column, float]]) -> Column:
     return let(own, lambda x: let(F.struct(F.concat_ws(" ", *[F.nullif(x[f"f{i}"], F.lit("")) for i in range(len(fields))]).alias("combined"), *[x[f"f{i}"].alias(f"f{i}") for i in range(len(fields))]), score))
 
 
+def scored(df: DataFrame, score: Column) -> DataFrame:
+    """df with score, as one generated row each: a filter on it isn't pushed below, which would compute it twice."""
+    return df.select("*", F.explode(F.array(score)).alias("score"))
+
+
 def term_score(terms: list[str], fields: list[tuple[Column, int]]) -> Column:
     """[X02, X03] Occurrences by field weight."""
     out = F.lit(0).cast("long")
@@ -118,6 +123,16 @@ def reconciled(conflicts: Column, last: Column, desired: Column, inverse: Column
     return F.when(conflicts > 0, "still_uncertain").when(last == "desired", "applied").when((desired == 0) & (inverse >= 2), "not_applied").otherwise("still_uncertain")
 
 
+def polled(rows: DataFrame, most: int) -> DataFrame:
+    """[T04, A24] target, polls and verdict of read-backs (target, n, seen: desired, inverse or conflict): in order, no more
+    than most, and none after a desired or conflicting one."""
+    w = Window.partitionBy("target").orderBy("n")
+    done = F.coalesce(F.max(F.col("seen") != "inverse").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    own = rows.withColumn("place", F.row_number().over(w)).withColumn("done", done).where(~F.col("done") & (F.col("place") <= most))
+    is_ = lambda s: F.count_if(F.col("seen") == s)
+    return own.groupBy("target").agg(F.count("*").alias("polls"), reconciled(is_("conflict"), F.max_by("seen", "place"), is_("desired"), is_("inverse")).alias("verdict"))
+
+
 #: How far a state of the degree is before others.
 DEGREE_PRIORITY = {"required-gap": 4, "choice-gap": 3, "optional": 2, "unknown": 1}
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import scalars as S
 from plumbline.operators import feeds
 from plumbline.operators import keys as K
+from plumbline.operators import rank as X
 from plumbline.plans.catalog import Tables, query
+from plumbline.sources import documents
 
 _ITEM = "struct<id:bigint,price:double>"
 
@@ -56,8 +58,6 @@ w AS (SELECT * FROM p WHERE page <= least(greatest(CAST(ceil(total / 7.0) AS INT
 SELECT user_id AS course, event_id AS review, min(page) AS page FROM w GROUP BY ALL""")
 def review_pages(t: Tables):
     """Reviews in pages whose number follows from the first page's total; one that comes again on the next page counts once."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("user_id")
     e = t.events.select("user_id", "event_id", (F.row_number().over(w.orderBy("event_id")) - 1).alias("pos"), F.count("*").over(w).alias("total"))
     page = F.floor(F.col("pos") / 7).cast("int")
@@ -201,17 +201,40 @@ def version_check(t: Tables):
 @query("O14 Y07", "SELECT event_type AS handler, count(*) AS k, row_number() OVER (ORDER BY count(*) DESC, event_type) AS place FROM events GROUP BY 1")
 def counted_entries(t: Tables):
     """Entries of a count map, the most frequent first."""
-    from pyspark.sql import Window
-
     return t.events.groupBy(F.col("event_type").alias("handler")).agg(F.count("*").alias("k")).withColumn("place", F.row_number().over(Window.orderBy(F.col("k").desc(), "handler")).cast("long"))
 
 
 @query("O11", "SELECT n_nationkey AS id, row_number() OVER (ORDER BY CASE n_nationkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 5 WHEN 2 THEN 4 WHEN 3 THEN 2 ELSE 3 END, n_nationkey) AS place FROM nation")
 def locale_order(t: Tables):
     """Names in the order of a Chinese reader (by sound), which isn't that of their code points."""
-    from pyspark.sql import Window
-
     names = ["阿里", "中山", "王府", "北京", "海南"]
     name = F.get(F.array(*[F.lit(x) for x in names]), (F.col("n_nationkey") % 5).cast("int"))
     place = F.row_number().over(Window.orderBy(K.by_locale(name), "n_nationkey")).cast("long")
     return t.nation.select(F.col("n_nationkey").cast("int").alias("id"), place.alias("place"))
+
+
+def served_page(page: int, size: int) -> list[tuple]:
+    """What the service below serves: 480 rows in all, each page's last row once more on the next page."""
+    first = (page - 1) * size
+    again = [(first - 1, page)] if page > 1 else []
+    return again + [(i, page) for i in range(first, min(first + size, 480))]
+
+
+@query("S05 S30 R02", "SELECT CAST(range AS BIGINT) AS id, CAST(range // 50 + 1 AS INT) AS page FROM range(480)")
+def fan_out_pages(t: Tables):
+    """Ten pages of a service, read side by side through a Python data source, a partition a page; a row that comes twice
+    counts where it came first."""
+    t.spark.dataSource.register(documents.PagedSource)
+    source = t.spark.read.format("paged").option("columns", "id long, page int").option("pages", 10).option("size", 50)
+    rows = source.option("reader", "plumbline.plans.feeds:served_page").load()
+    return rows.groupBy("id").agg(F.min("page").alias("page"))
+
+
+@query("T04 A24", """WITH o AS (SELECT o_custkey AS target, o_orderkey AS k, o_orderstatus AS s, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders), f AS (SELECT target, min(n) FILTER (WHERE s IN ('O', 'P')) AS stop FROM o GROUP BY 1),
+p AS (SELECT o.* FROM o JOIN f USING (target) WHERE n <= 4 AND n <= coalesce(stop, 4))
+SELECT target, count(*) AS polls, CASE WHEN count(*) FILTER (WHERE s = 'P') > 0 THEN 'still_uncertain' WHEN arg_max(s, n) = 'O' THEN 'applied' WHEN count(*) FILTER (WHERE s = 'F') >= 2 AND count(*) FILTER (WHERE s = 'O') = 0 THEN 'not_applied' ELSE 'still_uncertain' END AS verdict FROM p GROUP BY 1""")
+def polled_verdict(t: Tables):
+    """Read-backs in order, four at most and none after a decisive one, and the verdict on them."""
+    s = F.when(F.col("o_orderstatus") == "O", "desired").when(F.col("o_orderstatus") == "F", "inverse").otherwise("conflict")
+    rows = t.orders.select(F.col("o_custkey").alias("target"), F.col("o_orderkey").alias("n"), s.alias("seen"))
+    return X.polled(rows, 4)

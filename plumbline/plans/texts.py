@@ -43,7 +43,7 @@ def keyword_search_total(t: Tables):
     return K.paged(hits, [F.col("doc_id")], 1, 20).select("doc_id", "total")
 
 
-@query("F02 F14 F19 F12 F07", "SELECT p_partkey AS id FROM part WHERE (contains(lower(p_name), 'red') OR contains(lower(p_brand), '#1') OR contains(lower(p_type), 'tin')) AND p_size IN (1, 5, 7, 20, 30, 49)")
+@query("F02 F14 F19 F12", "SELECT p_partkey AS id FROM part WHERE (contains(lower(p_name), 'red') OR contains(lower(p_brand), '#1') OR contains(lower(p_type), 'tin')) AND p_size IN (1, 5, 7, 20, 30, 49)")
 def multi_field_filter(t: Tables):
     hit = F.lit(False)
     for c, q in (("p_name", "red"), ("p_brand", "#1"), ("p_type", "tin")):
@@ -62,7 +62,7 @@ def date_range_filter(t: Tables):
 def text_relevance(t: Tables):
     """Relevance of every document to a phrase of two terms."""
     d = t.documents.select("doc_id", X.search_text(F.col("text")).alias("body"), F.lower("source").alias("src"))
-    return d.select("doc_id", X.relevance("that the", [(F.col("body"), 3), (F.col("src"), 1)]).alias("score")).where("score > 0")
+    return X.scored(d, X.relevance("that the", [(F.col("body"), 3), (F.col("src"), 1)])).where("score > 0").select("doc_id", "score")
 
 
 @query("X02 X03 C12", "SELECT doc_id, CAST((length(lower(text)) - length(replace(lower(text), 'the', ''))) // 3 * 4 + (length(lower(text)) - length(replace(lower(text), 'of', ''))) // 2 * 4 + (length(source) - length(replace(source, 'of', ''))) // 2 * 12 AS BIGINT) AS score FROM documents")
@@ -76,7 +76,7 @@ def alias_distance(t: Tables):
     return t.part.select(F.col("p_partkey").alias("id"), X.alias_distance(F.array("p_name", "p_type"), "red").cast("long").alias("distance"))
 
 
-@query("R12 X01 X16 S36", f"""WITH u AS (SELECT 'document' AS kind, CAST(doc_id AS VARCHAR) AS id, lower({_md('text')}) AS body FROM documents UNION ALL
+@query("R12 X01", f"""WITH u AS (SELECT 'document' AS kind, CAST(doc_id AS VARCHAR) AS id, lower({_md('text')}) AS body FROM documents UNION ALL
 SELECT 'turn', conv_id || '/' || turn, lower({_md('text')}) FROM conversations UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), lower({_md("p_name || ' ' || p_type")}) FROM part),
 s AS (SELECT kind, id, {_relevance('the', [('body', 2)])} AS score FROM u) SELECT * FROM s WHERE score > 0""")
 def unified_search(t: Tables):
@@ -85,10 +85,10 @@ def unified_search(t: Tables):
     c = t.conversations.select(F.lit("turn").alias("kind"), F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")).alias("id"), "text")
     p = t.part.select(F.lit("part").alias("kind"), F.col("p_partkey").cast("string").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("text"))
     u = d.unionByName(c).unionByName(p).select("kind", "id", X.search_text(F.col("text")).alias("body"))
-    return u.select("kind", "id", X.relevance("the", [(F.col("body"), 2)]).alias("score")).where("score > 0")
+    return X.scored(u, X.relevance("the", [(F.col("body"), 2)])).where("score > 0").select("kind", "id", "score")
 
 
-@query("C01 C18", f"SELECT doc_id, md5({_md('text')}) AS mark, length({_md('text')}) AS chars FROM documents")
+@query("C01", f"SELECT doc_id, md5({_md('text')}) AS mark, length({_md('text')}) AS chars FROM documents")
 def markdown_strip(t: Tables):
     c = S.strip_markdown(F.col("text"))
     return t.documents.select("doc_id", F.md5(F.encode(c, "UTF-8")).alias("mark"), F.length(c).cast("long").alias("chars"))
@@ -100,19 +100,19 @@ for _n, _to in S.ENTITIES.items():
 _HTML = f"trim(regexp_replace({_HTML}, '\\s+', ' ', 'g'))"
 
 
-@query("C02 S16", f"SELECT page_id, md5({_HTML}) AS mark, length({_HTML}) AS chars FROM pages")
+@query("C02", f"SELECT page_id, md5({_HTML}) AS mark, length({_HTML}) AS chars FROM pages")
 def html_text(t: Tables):
     c = S.html_text(F.col("html"))
     return t.pages.select("page_id", F.md5(F.encode(c, "UTF-8")).alias("mark"), F.length(c).cast("long").alias("chars"))
 
 
-@query("S16 S07 C06", "SELECT page_id, CAST(unnest(range(1, len(a) + 1)) AS INT) AS n, unnest(a) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS a FROM pages)")
+@query("S16 C06", "SELECT page_id, CAST(unnest(range(1, len(a) + 1)) AS INT) AS n, unnest(a) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS a FROM pages)")
 def html_links(t: Tables):
     """Links of pages in order."""
     return html.links(t.pages, "page_id", "html")
 
 
-@query("S18 S33 P12", "SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, CAST(len(regexp_extract_all(html, '(?i)<p[ >]')) AS INT) AS paragraphs FROM pages")
+@query("S33", "SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, CAST(len(regexp_extract_all(html, '(?i)<p[ >]')) AS INT) AS paragraphs FROM pages")
 def html_profile(t: Tables):
     return html.profile(t.pages, "page_id", "html")
 
@@ -144,14 +144,6 @@ def bullet_blocks(t: Tables):
 _SECTION = "'# Part ' || doc_id || chr(10) || '## ' || source || chr(10) || 'body' || chr(10) || '### ' || lang || chr(10) || 'more' || chr(10) || '## end' || chr(10) || 'x'"
 
 
-@query("S20 W06 W07", """SELECT doc_id, s.n, s.level, s.title, s.path, s.until FROM documents, LATERAL (VALUES (2, 2, source, source, 5), (4, 3, lang, source || ' > ' || lang, 5), (6, 2, 'end', 'end', 7)) s(n, level, title, path, until)""")
-def heading_tree(t: Tables):
-    """Sections of a small Markdown text built from each document's columns: level, ancestors and last line."""
-    nl = F.lit("\n")
-    text = F.concat(F.lit("# Part "), F.col("doc_id").cast("string"), nl, F.lit("## "), "source", nl, F.lit("body"), nl, F.lit("### "), "lang", nl, F.lit("more"), nl, F.lit("## end"), nl, F.lit("x"))
-    return markdown.sections(t.documents.select("doc_id", text.alias("md")), ["doc_id"], "md").select("doc_id", "n", "level", "title", "path", "until")
-
-
 @query("S21", "SELECT n_nationkey AS id, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation")
 def pipe_table(t: Tables):
     """Rows of a Markdown table built from the nations; rows of another width go."""
@@ -168,14 +160,14 @@ def log_lines(t: Tables):
     return parsed.groupBy("kind").agg(F.count("*").alias("k"))
 
 
-@query("S15 P14 P15 C08", "SELECT s_suppkey AS id, s_name AS name, CAST(s_suppkey % 90 AS DOUBLE) AS lat, CAST(s_suppkey % 180 AS DOUBLE) AS lng FROM supplier")
+@query("S15 P14", "SELECT s_suppkey AS id, s_name AS name, CAST(s_suppkey % 90 AS DOUBLE) AS lat, CAST(s_suppkey % 180 AS DOUBLE) AS lng FROM supplier")
 def geojson_scan(t: Tables):
     """Suppliers as GeoJSON features, read back."""
     feature = F.to_json(F.struct(F.struct(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")).alias("properties"), F.struct(F.array((F.col("s_suppkey") % 180).cast("double"), (F.col("s_suppkey") % 90).cast("double")).alias("coordinates")).alias("geometry")))
     return html.geojson(t.supplier.select(F.concat(F.lit('{"features":['), feature, F.lit("]}")).alias("body")), "body").select("id", "name", "lat", "lng")
 
 
-@query("G05 S25 S26 Y07 Y08 P09", "SELECT event_id AS id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@query("G05 Y08 P09", "SELECT event_id AS id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_props(t: Tables):
     props = F.from_json("props", "map<string,string>")
     return t.events.select(F.col("event_id").alias("id"), F.try_element_at(S.number_map(props), F.lit("k")).cast("long").alias("k"))

@@ -26,6 +26,12 @@ def verified(df: DataFrame, body: Column, digest: Column, most: int = 16 << 20)
     return df.where(F.when(ok, True).otherwise(F.raise_error(F.lit("a snapshot is too large or was changed"))))
 
 
+def snapshot_state(body: Column, digest: Column, most: int = 16 << 20) -> Column:
+    """[S12] ok, or why a stored snapshot can't be used: missing, changed (its digest is another one) or too_large."""
+    same = F.sha2(F.encode(body, "UTF-8"), 256) == digest
+    return F.when(body.isNull(), "missing").when(~F.coalesce(same, F.lit(False)), "changed").when(F.octet_length(body) > most, "too_large").otherwise("ok")
+
+
 def unwrap(body: Column, element: str) -> Column:
     """[S25, S26] Records of a bare array or of an envelope with list, rows, data or content."""
     inside = [F.from_json(body, f"struct<{k}:array<{element}>>")[k] for k in ("list", "rows", "data", "content")]
@@ -38,6 +44,14 @@ def fresh_or(cached: DataFrame, saved_at: str, now: Column, live: Callable[[], D
     return kept if not kept.isEmpty() else live()
 
 
+def fresh_by_source(cached: DataFrame, live: DataFrame, saved_at: str, now: Column, hours: int = 1) -> DataFrame:
+    """[S14] By source the cached rows if they were saved within the hours, else the live ones; origin tells which."""
+    age = F.unix_timestamp(now) - F.unix_timestamp(F.col(saved_at))
+    kept = cached.where(age < hours * 3600).drop(saved_at)
+    rest = live.join(kept.select("source").distinct(), "source", "left_anti")
+    return kept.withColumn("origin", F.lit("cache")).unionByName(rest.withColumn("origin", F.lit("live")))
+
+
 class _Page(InputPartition):
     def __init__(self, page: int):
         self.page = page

@@ -19,6 +19,15 @@ def profile(df: DataFrame, key: str, html: str) -> DataFrame:
     return df.select(key, F.regexp_extract(html, "(?is)<title>(.*?)</title>", 1).alias("title"), F.regexp_extract(html, '<html lang="([a-z]+)"', 1).alias("lang"), F.regexp_count(html, F.lit("(?i)<p[ >]")).alias("paragraphs"))
 
 
+def profiles(df: DataFrame, key: str, html: str) -> DataFrame:
+    """[S16, S18] key, name (of the first heading, null without one), email, and sections (title, text) that aren't empty."""
+    tag = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))
+    heading = F.when(F.col(html).rlike("(?is)<h1[ >]"), tag(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1)))
+    found = F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?is)<section[^>]*>(.*?)</section>"), 1), lambda s: F.struct(tag(F.regexp_extract(s, r"(?is)<h2[^>]*>(.*?)</h2>", 1)).alias("title"), tag(F.regexp_replace(s, r"(?is)<h2[^>]*>.*?</h2>", " ")).alias("text")))
+    email = F.nullif(F.regexp_extract(html, r'(?i)href="mailto:([^"?]+)', 1), F.lit(""))
+    return df.select(key, heading.alias("name"), email.alias("email"), F.filter(found, lambda s: s["text"] != "").alias("sections"))
+
+
 def pairs(df: DataFrame, key: str, html: str) -> DataFrame:
     """[S33, S32] key, label, value of table rows and definition lists."""
     row = r"(?is)<t[hd][^>]*>(.*?)</t[hd]>\s*<td[^>]*>(.*?)</td>|<dt[^>]*>(.*?)</dt>\s*<dd[^>]*>(.*?)</dd>"

@@ -21,6 +21,23 @@ class QueryError(Exception):
         return {"ok": False, "error": {"code": self.code, "message": str(self)}}
 
 
+def exit_code(code: Column) -> Column:
+    """[K02] The exit status of an error's code; 0 without an error and 1 for any other."""
+    out = F.lit(1)
+    for name, status in QueryError.STATUS.items():
+        out = F.when(code == name, status).otherwise(out)
+    return F.when(code.isNull(), 0).otherwise(out)
+
+
+def save_json(df: DataFrame, path: str, overwrite: bool = False) -> None:
+    """[K03, K04] Documents of a few rows as JSON, committed as a whole; an existing place is an error unless overwriting is asked for."""
+    spark = df.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not overwrite and at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        raise QueryError(f"{path} exists", "EXISTS")
+    df.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").json(path)
+
+
 def json_lines(df: DataFrame, name: str) -> DataFrame:
     """[K01] line: each row as JSON, then one line with the count. place orders them."""
     items = df.select(F.lit(0).alias("place"), F.to_json(F.struct(*df.columns)).alias("line"))

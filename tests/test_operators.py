@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import asof, audit, diff, intervals, keys, normalize, rank, solver, tree
+from plumbline.operators import agenda, asof, audit, booking, degree, diff, feeds, intervals, keys, lookup, normalize, rank, solver, tree
 
 SLOTS = "section long, code long, day int, ps int, pe int, weeks array<int>, room int, campus string"
 
@@ -52,10 +52,30 @@ def test_half_open_slots(spark):
     t = lambda h: dt.datetime(2024, 1, 1, h)
     booked = spark.createDataFrame([("r", t(8), t(10))], "room string, begin timestamp, end timestamp")
     asked = spark.createDataFrame([(1, "r", t(10), t(11)), (2, "r", t(9), t(10)), (3, "q", t(9), t(10)), (4, "r", t(5), t(6)), (5, "r", t(12), t(12))], "id int, room string, begin timestamp, end timestamp")
-    got = {r.id: r.status for r in intervals.slot_status(asked, booked, 6, 22).collect()}
+    got = {r.id: r.status for r in intervals.slot_status(asked, booked, [(360, 1320)]).collect()}
     assert got == {1: "available", 2: "occupied", 3: "available", 4: "unavailable", 5: "unavailable"}
 
 
+def test_slots_end_when_rooms_close(spark):
+    t = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    asked = spark.createDataFrame([(1, "r", t(21), t(22), True), (2, "r", t(21), t(22, 1), True), (3, "r", t(11), t(13), True), (4, "r", t(9), t(10), False), (5, "r", t(9), None, True), (6, "r", t(9), t(10), None)], "id int, room string, begin timestamp, end timestamp, whole boolean")
+    none = spark.createDataFrame([], "room string, begin timestamp, end timestamp")
+    got = {r.id: r.status for r in intervals.slot_status(asked, none, [(360, 720), (750, 1320)], "whole").collect()}
+    assert got == {1: "available", 2: "unavailable", 3: "unavailable", 4: "unavailable", 5: "unavailable", 6: "unavailable"}
+
+
+@pytest.mark.parametrize("width", [600, 7200])
+def test_long_bookings_count_once(spark, width):
+    rng = random.Random(11)
+    t = lambda x: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=x)
+    make = lambda n: [(i, f"r{rng.randrange(2)}", a, a + rng.randrange(0, 900)) for i in range(n) for a in [rng.randrange(3000)]]
+    asked, booked = make(40), make(60)
+    q = spark.createDataFrame([(i, r, t(a), t(b)) for i, r, a, b in asked], "id int, room string, begin timestamp, end timestamp")
+    b = spark.createDataFrame([(r, t(a), t(c)) for _, r, a, c in booked], "room string, begin timestamp, end timestamp")
+    got = {r.id: r.overlaps for r in intervals.slot_status(q, b, width=width).collect()}
+    assert got == {i: sum(r == s and x < e and y > a and x < y for _, s, x, y in booked) for i, r, a, e in asked}
+
+
 def test_blocks_and_division(spark):
     rows, df = random_slots(spark, 60, 4)
     blocks = spark.createDataFrame([(1, 2, 4)], "day int, ps int, pe int")
@@ -120,6 +140,23 @@ def test_walk_stops_at_cycles(spark):
     assert got == {(1, 0), (2, 1), (3, 2)}
 
 
+def test_walk_visits_a_node_of_two_parents_once(spark):
+    nodes = spark.createDataFrame([(1, None), (2, 1), (3, 1), (4, 2), (4, 3), (5, 4), (6, 5), (3, 6)], "id int, parent int")
+    rows = tree.walk(nodes, spark.createDataFrame([(1,)], "id int"))
+    assert sorted((r.id, r.depth, r.path) for r in rows.collect()) == [(1, 0, [1]), (2, 1, [1, 2]), (3, 1, [1, 3]), (4, 2, [1, 2, 4]), (5, 3, [1, 2, 4, 5]), (6, 4, [1, 2, 4, 5, 6])]
+    first = tree.first_items(rows, 4).orderBy("order").collect()
+    assert [r.id for r in first] == [1, 2, 4, 5] and all(r.truncated for r in first)
+    assert not tree.first_items(rows, 7).first().truncated
+    with pytest.raises(ValueError):
+        tree.first_items(rows, 0)
+
+
+def test_walk_follows_positions(spark):
+    nodes = spark.createDataFrame([("r", None, 0), ("b", "r", 0), ("a", "r", 1), ("c", "b", 0)], "id string, parent string, pos int")
+    rows = tree.walk(nodes, spark.createDataFrame([("r",)], "id string"), "pos")
+    assert [r.id for r in rows.orderBy("order").collect()] == ["r", "b", "c", "a"]
+
+
 def test_keep_one_and_merge(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (2, 5, "z"), (None, 1, "n")], "k int, pos int, v string")
     assert {(r.k, r.v) for r in keys.keep_one(df, ["k"], [F.col("pos")]).collect()} == {(1, "a"), (2, "z"), (None, "n")}
@@ -129,10 +166,22 @@ def test_keep_one_and_merge(spark):
 
 
 def test_code_else_name_ignores_ambiguous_names(spark):
-    left = spark.createDataFrame([("C1", "x"), ("", "sole"), (None, "twice"), ("C9", "sole")], "code string, name string")
-    right = spark.createDataFrame([("C1", "sole", 1), ("C2", "twice", 2), ("C3", "twice", 3)], "code string, name string, id int")
-    got = {(r.name, r.matched_key, r.matched_by) for r in keys.code_else_name(left, right, "code", "name", "id").collect()}
-    assert got == {("x", 1, "code"), ("sole", 1, "name")}
+    left = spark.createDataFrame([(1, " c 1", "x"), (2, "", "So Le"), (3, None, "twice"), (4, "C9", "sole"), (5, "C8", "bare"), (6, "C8", "listed")], "n int, code string, name string")
+    right = spark.createDataFrame([("C1", "sole", 1), ("C2", "twice", 2), ("C3", "twice", 3), ("", "bare", 4), (None, "listed", 5)], "code string, name string, id int")
+    listed = spark.createDataFrame([("Listed",)], "name string")
+    got = {(r.n, r.matched_key, r.matched_by) for r in keys.code_else_name(left, right, "code", "name", "id", listed).collect()}
+    assert got == {(1, 1, "code"), (2, 1, "name"), (5, 4, "name")}
+
+
+def test_versions_names_and_statuses(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(keys.version_parts(F.lit("v1.20-rc1"))) == [1, 20, 0] and one(keys.version_parts(F.lit("10.2.3"))) == [10, 2, 3]
+    assert one(keys.version_parts(F.lit("1.9.0")) < keys.version_parts(F.lit("1.10")))
+    names = spark.createDataFrame([("中山",), ("北京",), ("阿里",)], "n string")
+    assert [r.n for r in names.orderBy(keys.by_locale("n")).collect()] == ["阿里", "北京", "中山"]
+    assert one(keys.in_status(F.lit("4"), "pending", {"pending": ["0", "4"]})) and one(keys.in_status(F.lit("x"), "all", {}))
+    with pytest.raises(ValueError):
+        keys.in_status(F.lit("4"), "other", {})
 
 
 def test_pages(spark):
@@ -153,6 +202,8 @@ def test_next_after(spark):
     got = {(r.k, r.t): r.next_v for r in asof.next_after(left, right, ["k"], "t", ["v"]).collect()}
     assert got == {(1, 5): "b", (1, 10): None, (2, 1): None}
     assert {(r.k, r.t): r.next_v for r in asof.next_after(left, right, ["k"], "t", ["v"], strict=False).collect()}[1, 5] == "a"
+    tied = right.unionByName(spark.createDataFrame([(1, 7, "aa"), (1, 7, "z")], right.schema)).repartition(3)
+    assert {r.next_v for r in asof.next_after(left.where("t = 5 and k = 1"), tied, ["k"], "t", ["v"]).collect()} == {"aa"}
 
 
 def test_next_or_overdue(spark):
@@ -162,14 +213,115 @@ def test_next_or_overdue(spark):
     assert ids == [3, 2, 1]
 
 
-GRADES = "grade_id long, student long, code int, credits int, score double, semester int, nature string"
+GRADES = "grade_id long, student long, code string, name string, department string, nature string, letter string, score double, points double, credits double, semester string"
+
+
+def grade_rows(spark, *rows):
+    base = {"student": 1, "code": "", "name": "", "department": "", "nature": "", "letter": "", "score": None, "points": None, "credits": 2.0, "semester": "2024-1"}
+    return spark.createDataFrame([tuple(({"grade_id": i} | base | r)[c.split()[0]] for c in GRADES.split(", ")) for i, r in enumerate(rows, 1)], GRADES)
+
+
+def rule_rows(spark, *rules):
+    names = [c.split()[0] for c in audit.RULES.split(", ")]
+    return spark.createDataFrame([tuple(({"id": f"r{i}"} | r).get(c) for c in names) for i, r in enumerate(rules)], audit.RULES)
 
 
 def test_audit_leaves_ambiguous_courses_out(spark):
-    rows = [(1, 1, 1, 3, 80.0, 1, "n"), (2, 1, 1, 3, 50.0, 2, "n"), (3, 1, 2, 2, 90.0, 1, "n"), (4, 1, 3, 4, 59.0, 1, "n")]
-    rules = [("a", 3.0, 1, [1, 2], None, None, None), ("b", 1.0, None, [2], [], None, None), ("c", None, 1, [3], None, None, None)]
-    got = {r.id: (r.matched_credits, r.satisfied) for r in audit.audit(spark.createDataFrame(rows, GRADES), spark.createDataFrame(rules, audit.RULES)).collect()}
-    assert got == {"a": (3, True), "b": (0, False), "c": (0, False)}
+    grades = grade_rows(spark, {"code": "C1", "score": 80.0, "credits": 3.0}, {"code": "C1", "score": 50.0}, {"code": "c2 ", "score": 90.0}, {"code": "C3", "score": 59.0})
+    rules = rule_rows(spark, {"id": "a", "min_credits": 3.0, "min_courses": 1, "codes": ["C1", "C2"]}, {"id": "b", "min_credits": 1.0, "codes": ["C2"], "natures": []}, {"id": "c", "min_courses": 1, "codes": ["C3"]})
+    got = {r.id: (r.matched_credits, r.satisfied, r.matched, r.ambiguous, r.excluded) for r in audit.audit(grades, rules).collect()}
+    assert got == {"a": (3.0, True, [1], [3], [2]), "b": (0.0, False, [], [3], []), "c": (0.0, False, [], [], [4])}
+
+
+def test_a_rule_holds_all_of_its_clauses(spark):
+    grades = grade_rows(spark, {"code": "MA1", "letter": "a+", "department": "D", "nature": "N", "name": "Linear Algebra", "score": 90.0}, {"code": "MA2", "letter": "C", "department": "D", "nature": "N", "name": "Linear Maps", "score": 90.0})
+    one = lambda **c: {r.grade_id for r in audit.evaluated(grades, rule_rows(spark, c)).where(F.size("ids") > 0).collect()}
+    assert one(letters=["A+"]) == {1} and one(prefixes=["ma"]) == {1, 2} and one(names=["ALGEBRA", "none"]) == {1} and one(departments=["E"]) == set()
+    assert one(prefixes=["MA"], letters=["c"], min_score=90.0) == {2} and one(prefixes=["MA"], min_score=90.5) == set() and one(natures=["N"], codes=["ma2"]) == {2} and one() == {1, 2}
+
+
+def test_grades_without_a_score_count_by_letter(spark):
+    grades = grade_rows(spark, {"code": "A", "letter": "P"}, {"code": "B", "letter": "??"}, {"code": "C", "letter": "W"}, {"code": "D", "letter": "A", "points": 4.0}, {"code": "D", "letter": "B", "points": 3.0}, {"code": "D", "letter": "", "score": 61.0, "points": 1.0}, {"name": "no code", "letter": "P"}, {"name": "no code", "letter": "P", "semester": "2024-2"})
+    got = {r.grade_id: r.role for r in audit.evaluated(grades, rule_rows(spark, {"prefixes": ["Z"]})).collect()}
+    assert got == {1: "counted", 2: "unresolved", 3: "excluded", 4: "retake", 5: "retake", 6: "counted", 7: "counted", 8: "counted"}
+    r = audit.audit_summary(grades, rule_rows(spark, {"prefixes": ["A"]})).first()
+    assert (r.counted, r.unresolved, r.excluded, r.retakes, r.duplicate_courses, r.unmatched) == (4, 1, 1, 2, 1, 3)
+
+
+def test_required_courses_and_states(spark):
+    plan = [(1, "C1", "One", "g", "x", None, True), (2, "c 1", None, "h", "x", 3.0, True), (3, "", "Two", None, None, 1.0, True), (4, "C4", "Same", None, None, 1.0, True), (5, "C5", "same", None, None, 1.0, True), (6, " ", None, None, None, 1.0, True), (7, "C7", "no", None, None, 1.0, False)]
+    courses, unclear = degree.required_courses(spark.createDataFrame(plan, "pos int, code string, name string, grouping string, category string, credits double, required boolean"))
+    assert {r.key: (r.credits, r.groups) for r in courses.collect()} == {"code:C1": (3.0, ["g", "h"]), "name:two": (1.0, []), "code:C4": (1.0, []), "code:C5": (1.0, [])}
+    assert [r.pos for r in unclear.collect()] == [6]
+    grades = spark.createDataFrame([(1, "C1", "x", "failed", "1", 50.0), (1, "C1", "x", "passed", "2", 70.0), (2, "", "two", "unknown", "1", None), (3, "", "Same", "passed", "1", 90.0), (4, "C4", "z", "failed", "2", 10.0), (4, "C4", "z", "non-completed", "1", None)], "student int, code string, name string, completion string, semester string, score double")
+    enrolled = spark.createDataFrame([(2, "", "One"), (4, "c5", "q")], "student int, code string, name string")
+    states = degree.course_states(grades.select("student").distinct(), courses, grades, enrolled)
+    got = {(r.student, r.key): (r.state, r.matched_by) for r in states.collect()}
+    assert got[1, "code:C1"] == ("passed", None) and got[2, "name:two"] == ("unclear", None) and got[2, "code:C1"] == ("in_progress", "name")
+    assert got[3, "code:C4"] == got[3, "code:C5"] == ("ambiguous", None) and got[4, "code:C4"] == ("failed", None) and got[4, "code:C5"] == ("in_progress", "code") and got[1, "name:two"] == ("missing", None)
+
+
+def test_solver_keeps_blocked_times_free(spark):
+    rows, df = random_slots(spark, 40, 5)
+    blocks = spark.createDataFrame([(1, 1, 4), (2, 6, 9)], "day int, ps int, pe int")
+    free = [r for r in rows if not ((r[2] == 1 and r[3] <= 4) or (r[2] == 2 and r[4] >= 6))]
+    got = [tuple(r.sections) for r in solver.combinations(df, [0, 1, 2, 0], blocks=blocks).orderBy("path").collect()]
+    assert got == brute_timetables(free, [0, 1, 2], 5000)
+    report = {r.code: (r.candidates, r.unscheduled, r.missing) for r in solver.code_report(df, [0, 9, 0], blocks).collect()}
+    assert report == {0: (sum(r[1] == 0 and bool(r[5]) for r in free), sum(r[1] == 0 and not r[5] for r in rows), False), 9: (0, 0, True)}
+    credits = spark.createDataFrame([(r[0], 0.5 * (r[0] % 3)) for r in rows], "section long, credits double")
+    for r in solver.timetables(df, [0, 1], 5, credits=credits).collect():
+        assert r.credits == sum(0.5 * (s % 3) for s in r.sections)
+
+
+def test_baselines_move_by_source(spark):
+    row = lambda s, v: (s, "k", v, v)
+    before, after = spark.createDataFrame([row("a", "1"), row("p", "1")], BAG), spark.createDataFrame([row("a", "2"), row("p", "2")], BAG)
+    status = lambda **x: spark.createDataFrame(list(x.items()), "source string, status string")
+    left = lambda old, new: sorted((r.source, r.full) for r in diff.next_baseline(before, after, old, new).collect())
+    assert left(status(a="ok", p="ok"), status(a="ok", p="partial")) == [("a", "2"), ("p", "1")]
+    assert left(status(a="error", p="ok"), status(a="ok", p="error")) == [("a", "1"), ("p", "1")]
+
+
+def test_page_scans_end(spark):
+    body = lambda n, first=0: "[" + ",".join(f'{{"id":{first + i}}}' for i in range(n)) + "]"
+    pages = [("short", 1, body(3), None), ("short", 2, body(2), None), ("short", 3, body(3), None), ("total", 1, body(3), 5), ("total", 2, body(3), 5), ("total", 3, body(3), 5), ("bad", 1, body(3), None), ("bad", 2, "{", None), ("bad", 3, body(1), None), ("long", 1, body(3), None), ("long", 2, body(3), None), ("long", 3, body(3), None), ("long", 4, body(3), None), ("none", 1, "[]", None)]
+    df = spark.createDataFrame(pages, "feed string, page int, body string, total long")
+    got = {r.feed: (r.pages, r["items"], r.status) for r in feeds.feed_status(feeds.read_pages(df, "struct<id:int>", 3, 3)).collect()}
+    assert got == {"short": (2, 5, "complete"), "total": (2, 6, "complete"), "bad": (2, 3, "failed"), "long": (3, 9, "over"), "none": (1, 0, "complete")}
+    some = feeds.feed_status(feeds.read_pages(df, "struct<id:int>", 3, 9, limit=4).where("feed = 'long'")).first()
+    assert (some.pages, some["items"], some.status) == (2, 4, "complete")
+
+
+def test_lookups(spark):
+    names = spark.createDataFrame([("1", "Hall 1"), ("11", "Hall 11"), ("x", "Gate")], "code string, label string")
+    asked = spark.createDataFrame([("hall 1",), (" 11 ",), ("all",), ("gat",), ("no",)], "query string")
+    assert {r.query: (r.code, r.status) for r in lookup.resolve(asked, names).collect()} == {"hall 1": ("1", "found"), " 11 ": ("11", "found"), "all": (None, "ambiguous"), "gat": ("x", "found"), "no": (None, "missing")}
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(lookup.bases_of(F.lit("CS101A1B"))) == ["C", "CS101", "CS101A1"] and one(lookup.bases_of(F.lit("CS101"))) == ["C"]
+    cand = spark.createDataFrame([(1, "CS101A", "n", ["Li Ming"], ["t"], 1, 9.0, "u"), (2, "cs-101", "n", [], [], 5, None, "u"), (3, "CS1012", "other", ["Li"], [], 0, None, "u")], "id int, code string, name string, teachers array<string>, terms array<string>, reviews int, rating double, url string")
+    looks = spark.createDataFrame([(1, "CS101", "", ["Li"], "t"), (2, "CS101", "", [], "z"), (3, "", "OTHER", [], ""), (4, "X1", "none", [], "")], "q int, code string, name string, teachers array<string>, term string")
+    got = {r.q: (r.picked, r.matches, r.confidence, r.status) for r in lookup.match_courses(looks, cand).collect()}
+    assert got == {1: (1, 2, "medium", "matched"), 2: (2, 2, "medium", "matched"), 3: (3, 1, "low", "matched"), 4: (None, 0, "none", "not_found")}
+
+
+def test_booking_rules(spark):
+    now = F.lit("2024-01-10 12:00:00").cast("timestamp")
+    t = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+    schema = "id int, title string, participants int, begin timestamp, end timestamp, found boolean, available boolean, capacity int, days_ahead int, opens int, closes int, approval boolean, slot string"
+    rows = [(1, "x", 2, t(11, 9), t(11, 10), True, True, 2, 3, 480, 600, True, "available"), (2, " ", 0, t(9, 9), t(9, 8), True, False, 2, 0, 480, 1320, False, "occupied"), (3, "x", 3, t(15, 8), t(15, 17), True, True, 2, 3, 480, 960, False, "available"), (4, "x", 1, t(11, 9), None, False, None, None, None, None, None, None, None)]
+    got = {r.id: (r.blockers, r.allowed) for r in booking.meeting_findings(spark.createDataFrame(rows, schema), now).collect()}
+    assert got == {1: ([], True), 2: (["TITLE_REQUIRED", "PARTICIPANTS_INVALID", "START_IN_PAST", "TIME_ORDER_INVALID", "ROOM_UNAVAILABLE", "SLOT_OCCUPIED"], False), 3: (["DURATION_EXCEEDS_LIMIT", "PARTICIPANTS_EXCEED_CAPACITY", "ADVANCE_WINDOW_EXCEEDED", "OUTSIDE_BOOKABLE_WINDOW"], False), 4: (["ROOM_NOT_FOUND", "TIME_INVALID"], False)}
+    members = lambda *x: spark.range(1).select(booking.member_list(F.array(*[F.lit(v) for v in x]).cast("array<bigint>"), F.lit(5).cast("long")).alias("m")).first().m
+    assert tuple(members()) == ([5], None) and tuple(members(5, 5)) == ([5], "not_unique") and tuple(members(5, 0)) == ([5], "not_positive")
+
+
+def test_now_and_next(spark):
+    t = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    occ = spark.createDataFrame([(1, "a", t(8), t(9)), (1, "b", t(10), t(11))], "k int, uid string, begin timestamp, end timestamp")
+    ask = spark.createDataFrame([(1, t(7)), (1, t(8)), (1, t(9)), (1, t(11)), (2, t(8))], "k int, at timestamp")
+    got = {(r.k, r["at"].hour): (r.on_now, r.next) for r in agenda.now_and_next(occ, ask, "k").collect()}
+    assert got == {(1, 7): (None, "a"), (1, 8): ("a", None), (1, 9): (None, "b"), (1, 11): (None, None), (2, 8): (None, None)}
 
 
 def test_weighted_mean(spark):

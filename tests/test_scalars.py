@@ -123,7 +123,7 @@ def test_labels_and_codes(one):
     assert [one(S.component_type(L(x).cast("string"))) for x in ("Lab", "习题课", "理论", "x", None)] == ["lab", "tutorial", "lecture", "other", "unknown"]
     assert one(S.redact(L("token=abc x"))) == "token=[REDACTED] x"
     assert [one(S.capacity_class(L(x))) for x in ("R（１－２人）", "R (3-4)", "R(5+)", "R")] == ["solo", "group", "group", "unknown"]
-    assert one(S.sample(L("abcdef"), 3)) == "abc..." and one(S.ics_escape(L("a,b;c\\\n"))) == "a\\,b\\;c\\\\\\n"
+    assert one(S.sample(L(" ab\n cdef"), 4)) == "ab c" and one(S.ics_escape(L("a,b;c\\\n"))) == "a\\,b\\;c\\\\\\n"
 
 
 @pytest.mark.parametrize(("text", "parity", "want"), [("1-3,5", None, [1, 2, 3, 5]), ("5-3", None, [3, 4, 5]), ("1-6", "单", [1, 3, 5]), ("1-6", "双", [2, 4, 6]), ("2,,x", None, [0, 2]), ("7,7", None, [7])])
@@ -145,3 +145,8 @@ def test_json(one):
     assert one(S.changed_fields({"a": (L(1), L(2)), "b": (L(1), L(1)), "c": (none(), L("x"))})) == ["a: 1 -> 2", "c: - -> x"]
     assert tuple(one(S.block_of(L("mon:1-4")))) == (1, 1, 4) and tuple(one(S.block_of(L("周三:7")))) == (3, 7, 7) and one(S.block_of(L("8:1"))) is None and one(S.block_of(L("MON:4-1"))) is None and one(S.block_of(L("MON:1-14"))) is None
     assert one(S.truth(L("必修"))) is True and one(S.truth(L("no"))) is False and one(S.truth(L("?"))) is None
+
+
+def test_term_labels(one):
+    labels = ["2024-2025-1", "x2024-20251", "2024秋季", "2025秋季学期", "2024-2025 秋季", "2024春季", "2024-2025", None]
+    assert [one(S.names_term(L(x).cast("string"), "2024-2025", 1)) for x in labels] == [True, True, True, True, True, False, False, False]

@@ -67,6 +67,22 @@ def test_sinks(spark, tmp_path):
     sinks.write_by_term(df.where("id = 1").withColumn("id", F.lit(9)), f"{tmp_path}/b")
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/b").collect()) == [2, 9]
     assert sinks.QueryError("x", "USAGE").status == 2
+    sinks.save_json(df, f"{tmp_path}/c")
+    with pytest.raises(sinks.QueryError, match="exists"):
+        sinks.save_json(df, f"{tmp_path}/c")
+    sinks.save_json(df.limit(1), f"{tmp_path}/c", overwrite=True)
+    assert spark.read.json(f"{tmp_path}/c").count() == 1
+
+
+def test_staging_folder_of_a_cluster_must_be_named(spark, monkeypatch):
+    from plumbline.functions import staging
+
+    class Other:
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("S", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_dir(Other)
 
 
 def test_watch_appends_changes(spark, tmp_path):
@@ -81,6 +97,16 @@ def test_watch_appends_changes(spark, tmp_path):
     assert got == {(0, "a", "added"), (0, "b", "added"), (1, "a", "changed")}
 
 
+def test_a_watch_keeps_the_baseline_of_sources_read_in_part(spark, tmp_path):
+    schema = "source string, key string, canon string, full string"
+    rows = lambda *x: spark.createDataFrame([(s, k, c, c) for s, k, c in x], schema)
+    sink = watch.diff_sink(f"{tmp_path}/base", f"{tmp_path}/out", lambda batch: spark.createDataFrame([("s", "ok"), ("p", "partial")], "source string, status string"))
+    sink(rows(("s", "a", "1"), ("p", "b", "1"), ("p", "c", "1")), 0)
+    sink(rows(("s", "a", "2"), ("p", "b", "2")), 1)
+    assert [(r.source, r.key) for r in spark.read.parquet(f"{tmp_path}/out/batch=1").collect()] == [("s", "a")]
+    assert sorted((r.source, r.key, r.full) for r in spark.read.parquet(f"{tmp_path}/base/2").collect()) == [("p", "b", "1"), ("p", "c", "1"), ("s", "a", "2")]
+
+
 def test_hourly_as_a_stream_is_the_table(spark, tmp_path):
     import datetime as dt
 
