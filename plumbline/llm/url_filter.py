@@ -29,6 +29,8 @@ from plumbline.llm.common import checked_broadcast, fresh, literal_rows, materia
 #: Keys that a task sweeps at least, and as a multiple of the ends.
 SWEEP_KEYS, SWEEP_RATIO = 1000, 4
 RESULTS = ("host", "path", "rule", "verdict")
+#: Rows with urls up to which a side is broadcast (a few MB).
+TEXT_ROWS = 20_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -98,7 +100,7 @@ def longest_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     open_ = found.select("top").distinct().select("top", F.explode(around).alias("inside")).join(checked_broadcast(rule_hosts), "inside", "left_semi")
     stacks = materialise(found.select("of.host", "top").join(checked_broadcast(materialise(open_, "open")), "top").select("host", "inside"), "stacks")
 
-    paths = materialise(urls.join(checked_broadcast(stacks), "host").select(F.col("inside").alias("group"), F.col("path").alias("key"), F.struct("host", "path").alias("of")), "paths")
+    paths = materialise(urls.join(checked_broadcast(stacks, TEXT_ROWS), "host").select(F.col("inside").alias("group"), F.col("path").alias("key"), F.struct("host", "path").alias("of")), "paths")
     tops = innermost(paths, own.select(F.col("inside").alias("group"), F.col("path").alias("prefix"), "is"))
     return tops.groupBy("of.host", "of.path").agg(F.max("top").alias("top"))
 
@@ -109,7 +111,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     (top,) = fresh(pages, "top")
     urls = materialise(kept.select("host", "path").distinct(), "urls")
     found = materialise(longest_rules(urls, rules).withColumnRenamed("top", top), "tops")
-    out = kept.join(checked_broadcast(found), ["host", "path"], "left")
+    out = kept.join(checked_broadcast(found, TEXT_ROWS), ["host", "path"], "left")
     return out.select(*others(kept, "host", "path"), "host", "path", F.col(f"{top}.rule").alias("rule"), F.coalesce(F.col(f"{top}.verdict"), F.lit(default)).alias("verdict"))
 
 
