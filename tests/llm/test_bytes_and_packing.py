@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -87,9 +88,32 @@ def test_decode_formats():
     assert (media.decode(b"P5\n7 5 255\n" + image[..., 0].tobytes()) == image[..., :1]).all()
     assert media.decode(b"P1\n3 1\n1 0 1").ravel().tolist() == [0, 255, 0]
     assert media.decode(b"P4\n3 1\n\xa0").ravel().tolist() == [0, 255, 0]
-    for bad in (b"", b"P6\n9", b"P6\n7 5\n255\nxx", b"BMxxxx", b"GIF89a", b"P5\n1 1\n70000\nxx"):
-        with pytest.raises((ValueError, Exception)):
-            media.decode(bad)
+    wide = rng.integers(0, 65536, (5, 7, 3)).astype(">u2")
+    assert (media.decode(b"P6 7 5 65535\n" + wide.tobytes()) == np.round(wide.astype(float) * 255 / 65535)).all()
+    assert media.decode(b"P2 2 1 3\n0 3").ravel().tolist() == [0, 255]
+    for bits in (1, 4, 8):
+        places = rng.integers(0, 2, (3, 5), dtype=np.uint8)
+        stride = (5 * bits + 31) // 32 * 4
+        rows = np.zeros((3, stride * 8 // bits), np.uint8)
+        rows[:, :5] = places[::-1]
+        packed = np.packbits(np.unpackbits(rows[..., None], axis=2)[..., 8 - bits :].reshape(3, -1), axis=1)
+        palette = bytes([1, 2, 3, 0, 30, 20, 10, 0])
+        head = struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 0, 0, 0, 54 + 8, 40, 5, 3, 1, bits, 0, 0, 0, 0, 2, 0)
+        assert (media.decode(head + palette + packed.tobytes()) == np.array([[3, 2, 1], [10, 20, 30]], np.uint8)[places]).all()
+
+
+HUGE = struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 0, 0, 0, 54, 40, 2**31 - 1, -(2**31), 1, 32, 0, 0, 0, 0, 0, 0)
+BAD = [
+    b"", b"P6\n9", b"P6\n7 5\n255\nxx", b"BMxxxx", b"GIF89a", b"P5\n1 1\n70000\nxx", b"P2 1 1 255\n300", b"P2 1 1 255\n-1", b"P3 1 1 255\n1 2 x", b"P5 99999999999999999999 1 255\nx", b"P5 999999999 999999999 255\nx",
+    b"P5 -1 6 255\nabcdef", b"P5 0 6 255\n", b"P5 1 1 0\nx", b"P5 2 1 7\n\x01\x08", b"P1 2 1\n1", b"P4 9 1\n\xa0", b"P7\nWIDTH 1\n", b"P2 1 1 255\n" + b"9" * 400, HUGE, HUGE[:18] + b"\xff\xff\xff\xff" + HUGE[22:], b"BM" + bytes(60),
+]
+
+
+@pytest.mark.parametrize("bad", BAD)
+def test_bad_images_are_value_errors(bad):
+    with pytest.raises((ValueError, struct.error)):
+        media.decode(bad)
+    assert media._one(pa.scalar(bad, pa.binary())) == (None,) * 5
 
 
 def test_area_resize_is_the_mean_of_areas():

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 pytest.importorskip("plumbline.llm")
@@ -67,6 +68,39 @@ def test_url_filter_equal_rules_and_empty_tables(spark):
     assert url_filter.url_filter(pages, rules.limit(0)).first().verdict == "allow"
 
 
+def test_url_paths_of_any_character(spark):
+    rules = [("com", "/en/", "block"), ("a.com", "/en/\uffff", "allow"), ("", "/x", "block")]
+    urls = ["http://a.com/en/\U0010ffffx", "http://a.com/en/\U0010ffff\U0010ffff", "http://a.com/en/\uffff\U0010ffff", "http://a.com/en0", "http://com/en/", "http:///x", "http://com./x", "http://com./en/", "http://a..com/en/y", "http://xcom/en/"]
+    pages = spark.createDataFrame([(i, u, "t", "p", 1) for i, u in enumerate(urls)], "page_id long, url string, top string, part string, `a.b` int")
+    got = url_filter.url_filter(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    assert got.columns == ["page_id", "url", "top", "part", "a.b", "host", "path", "rule", "verdict"]
+    rows = got.collect()
+    assert len(rows) == len(urls) and all(r.top == "t" and r["a.b"] == 1 for r in rows)
+    for r in rows:
+        assert (r.host, r.path, r.rule, r.verdict) == brute_url(urls[r.page_id], rules), urls[r.page_id]
+
+
+def test_url_filter_deals_many_keys(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "SWEEP_KEYS", 7)
+    rng = random.Random(6)
+    rules = [(h, "/" + "a" * i, v) for h, i, v in (("com", 0, "block"), ("x.com", 1, "allow"), ("y.x.com", 3, "block"), ("net", 2, "block"))]
+    urls = [f"http://{rng.choice(['', 'x.', 'y.x.', 'z.y.x.', f'h{i}.'])}{rng.choice(['com', 'net', 'org'])}/{'a' * rng.randrange(5)}" for i in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for r in url_filter.url_filter(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect():
+        assert (r.host, r.path, r.rule, r.verdict) == brute_url(urls[r.page_id], rules), urls[r.page_id]
+
+
+# Columns of any name
+
+
+def test_users_columns_stay(spark):
+    names = ["mark", "dir", "own_path", "left_chars", "counts", "lines", "chars", "top", "a.b", "Key"]
+    text = "One two three four five six seven eight nine ten. " * 8
+    docs = spark.createDataFrame([(1, "d/f.txt", text, "http://a.com/x", *range(len(names)))], "doc_id long, path string, text string, url string, " + ", ".join(f"`{n}` int" for n in names))
+    for df in (quality.quality_rules(docs), licenses.license_scan(docs), url_filter.url_filter(docs.drop("path"), spark.createDataFrame([], "host string, path string, verdict string")), mixing.mixed_documents(docs, share=1.0)):
+        assert [df.first()[n] for n in names] == list(range(len(names)))
+
+
 # Mixing
 
 
@@ -189,6 +223,20 @@ def test_quality_verdicts(spark):
     assert quality.quality_rules(documents(spark, ["x"]).limit(0)).count() == 0
 
 
+LINES = [
+    ("Alle Rechte vorbehalten.", True), ("© 2024 Beispiel GmbH. Alle Rechte vorbehalten.", True), ("Tous droits réservés.", True), ("TOUS DROITS RÉSERVÉS.", True), ("Lire la suite.", True), ("Política de privacidad.", True),
+    ("Haga clic aquí.", True), ("Über uns", True), ("ÜBER UNS", True), ("Zurück", True), ("Précédent", True), ("Carrito", True), ("All rights reserved.", True), ("Sign in.", True), ("Home | About | Contact", True), ("### && ##", True),
+    ("Their market share on the island grew quickly.", False), ("He admired the design in silence and left.", False), ("The blog in question was closed that year.", False), ("Der Weg zurück war lang und sehr steil.", False),
+    ("The mill is powered by a river that runs past the village all year.", False), ("Over 60 of the windows were broken by hail in 1911.", False), ("a prose line cut in the middle of a long sentence", False), ("Nous avons lu la suite du livre hier soir.", False),
+]
+
+
+def test_quality_lines_of_four_languages(spark):
+    df = spark.createDataFrame(LINES, "line string, want boolean")
+    got = {r.line: r.fails for r in df.select("line", quality.line_fails(F.col("line")).alias("fails")).collect()}
+    assert got == dict(LINES)
+
+
 # Jaccard
 
 
@@ -333,6 +381,38 @@ def test_lm_of_order_3_against_brute_force(spark):
     assert all(r.score == 0.0 for r in ngram_lm.score(docs, none).collect())
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_lm_deals_frequent_words_over_shards(spark, monkeypatch, order):
+    rng = random.Random(10)
+    texts = [" ".join(rng.choice(["the", "the", f"w{rng.randrange(300)}"]) for _ in range(rng.randrange(60))) for _ in range(150)]
+    docs = documents(spark, texts).repartition(5)
+    one = ngram_lm.train(docs, order=order)
+    many = ngram_lm.train(docs, order=order, shard_bytes=200)
+    assert many.bits > one.bits and many.spread.max() > 2 and len(many.frequent) > 1 and (many.frequent_stats >= 0).all()
+    score = lambda model: {r.doc_id: r.score for r in ngram_lm.score(docs, model).collect()}
+    a, b = score(one), score(many)
+    assert all(math.isclose(a[i], b[i], rel_tol=1e-9) for i in a) and len(a) == len(texts)
+
+
+def test_lm_of_other_stores_and_large_counts(tmp_path):
+    from plumbline.llm import runs
+
+    values = np.array([0, 3, 254, 255, 256, 2**40, 0])
+    runs.put_counts(str(tmp_path), "x", values)
+    assert (runs.counts_at(str(tmp_path), "x", np.arange(7)[::-1]) == values[::-1]).all()
+    low, high = np.array([0, 0, 3, 3, 5]), np.array([3, 3, 3, 5, 5])
+    assert ngram_lm.find(np.array([1, 4, 9, 2, 2]), low, high, np.array([9, 2, 2, 2, 2])).tolist() == [2, -1, -1, 3, -1]
+    rng = np.random.default_rng(0)
+    parts = [np.unique(rng.integers(0, 500, 300).astype(np.uint64), return_counts=True) for _ in range(9)]
+    packed = [runs.pack_run(k, c) for k, c in parts]
+    whole, pieces = runs.merge_runs(packed), runs.merge_runs(packed, piece=100)
+    assert (whole[0] == pieces[0]).all() and (whole[1] == pieces[1]).all() and whole[1].sum() == 2700
+    at = [tmp_path / str(i) for i in range(3)]
+    for i, p in enumerate(at):
+        runs.put(str(p), "a.npy", np.arange(i + 1))
+    assert [len(runs.get(str(p), "a.npy")) for p in (*at, *at)] == [1, 2, 3, 1, 2, 3]
+
+
 def test_lm_without_training_rows(spark):
     docs = documents(spark, ["a b", None])
     model = ngram_lm.train(docs.limit(0))
@@ -341,6 +421,20 @@ def test_lm_without_training_rows(spark):
     assert ngram_lm.score(docs.limit(0), model).count() == 0
 
 
+def test_chat_of_many_turns(spark):
+    rng = random.Random(14)
+    turns = [(1, i, rng.choice(["user", "assistant", "a:b"]), rng.choice(["", "x", "</turn>\n### user: ", "\\h", "é😀"]) * rng.randrange(3)) for i in range(700)]
+    chats = chat.format_chats(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    r = chats.select("*", chat.read_chats(F.col("formatted")).alias("turns")).first()
+    assert [tuple(t) for t in r.turns] == [(t[2], t[3]) for t in turns]
+    said = [chat_unescape(r.formatted[s.start : s.start + s.chars]) for s in r.loss_spans]
+    assert said == [t[3] for t in turns if t[2] == "assistant"]
+
+
+def chat_unescape(text):
+    return text.replace("\\l/", "</").replace("\\h", "#").replace("\\b", "\\")
+
+
 # Token counts
 
 
@@ -403,10 +497,10 @@ def test_licenses_of_usual_headers(spark):
     assert [got[i] for i in range(len(HEADERS))] == [name for _, name in HEADERS]
 
 
-def test_digest_of_the_fixed_conversation(spark):
+def test_digest_of_the_fixed_conversation(spark, tmp_path):
     turns = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
-    path = "/tmp/plumbline-chat-test"
-    turns.write.mode("overwrite").parquet(f"{path}/conversations.parquet")
+    path = str(tmp_path)
+    turns.write.parquet(f"{path}/conversations.parquet")
     row = {r.conv_id: r for r in chat.op7_format_chats(spark, path).collect()}[-7]
     said = r"\### Assistant: </turn> ok"
     assert row.n_turns == 2 and row.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
