@@ -28,6 +28,8 @@ BOILERPLATE = [
 ]
 #: Of a line's characters: the share that a phrase of boilerplate must have, and the words up to which it is looked for.
 BOILERPLATE_SHARE, BOILERPLATE_WORDS = 0.25, 25
+#: A line of more characters has no phrase of that share.
+BOILERPLATE_CHARS = int(max(map(len, BOILERPLATE)) / BOILERPLATE_SHARE)
 #: What menus are made of, in the same languages.
 MENU = [
     "home", "about", "about us", "contact", "contact us", "menu", "search", "login", "log in", "sign in", "sign up", "register", "help", "faq", "sitemap", "next", "previous", "prev", "back", "more", "share",
@@ -44,7 +46,15 @@ def _any_case(phrase: str) -> str:
     return "".join(c if c.isascii() else f"[{c}{c.upper()}]" for c in phrase)
 
 
-BOILERPLATE_RE = r"(?i)(?:^|[^\p{L}])(" + "|".join(map(_any_case, BOILERPLATE)) + r")(?:[^\p{L}]|$)"
+def _alternatives(phrases: list[str]) -> str:
+    """Any of the phrases, by first letter: few are tried where a word begins. Of two that begin alike the earlier goes first."""
+    heads: dict[str, list[str]] = {}
+    for phrase in phrases:
+        heads.setdefault(phrase[0], []).append(phrase[1:])
+    return "|".join(f"{_any_case(c)}(?:{'|'.join(map(_any_case, rest))})" for c, rest in heads.items())
+
+
+BOILERPLATE_RE = r"(?i)(?:^|[^\p{L}])(" + _alternatives(BOILERPLATE) + r")(?:[^\p{L}]|$)"
 MENU_RE = "(?i)^(" + "|".join(map(_any_case, MENU)) + ")$"
 END_RE = "[.!?\u2026:;\"'\u201d\u2019\u00bb)\\]\u3002\uff01\uff1f][ \\t-\\r]*$"
 #: Of the characters, and of a line's: symbols above which a line is markup or menu.
@@ -75,7 +85,7 @@ def line_fails(line: Column) -> Column:
             | (line.rlike(SEPARATORS_RE) & menu_line)
             | ((n <= MENU_WORDS) & trimmed.rlike(MENU_RE))
             | ((n >= 4) & shouted)
-            | ((n <= BOILERPLATE_WORDS) & let(phrase, lambda k: (k > 0) & (k >= BOILERPLATE_SHARE * F.length(trimmed))))
+            | ((n <= BOILERPLATE_WORDS) & (F.length(trimmed) <= BOILERPLATE_CHARS) & let(phrase, lambda k: (k > 0) & (k >= BOILERPLATE_SHARE * F.length(trimmed))))
         )
 
     trimmed = F.btrim(line, F.lit(SPACES))
