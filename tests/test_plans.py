@@ -40,3 +40,25 @@ def test_aggregates_are_partial_first(spark, name):
 
 def test_best_rows_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(spark, "best_attempt")
+
+
+def nodes(text, kind):
+    """The descriptions of a plan's nodes of a kind."""
+    return [part for part in text.split("\n\n") if part.split("\n")[0].split(" ", 1)[-1].startswith(kind)]
+
+
+def test_conflicts_join_by_period_and_bookings_by_stretch(spark):
+    joins = [j for j in nodes(plan(spark, "conflict_pairs"), "SortMergeJoin") + nodes(plan(spark, "conflict_pairs"), "BroadcastHashJoin")]
+    assert joins and all("period" in j.split("Left keys")[1].split("\n")[0] for j in joins)
+    joins = nodes(plan(spark, "half_open_overlap_status"), "SortMergeJoin") + nodes(plan(spark, "half_open_overlap_status"), "BroadcastHashJoin")
+    assert joins and all("__k" in j.split("Left keys")[1].split("\n")[0] for j in joins)
+
+
+@pytest.mark.parametrize("name", ["text_relevance", "unified_search"])
+def test_scores_are_made_once(spark, name):
+    text = plan(spark, name)
+    assert nodes(text, "Generate") and not any("regexp_replace" in f.split("Condition")[-1] for f in nodes(text, "Filter"))
+
+
+def test_lists_of_pages_take_a_bounded_top(spark):
+    assert "TakeOrderedAndProject" in plan(spark, "cross_department") and "TakeOrderedAndProject" in plan(spark, "submitted_grades")
