@@ -17,7 +17,9 @@ from plumbline.llm.quality import quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go, and failing lines go from the others (n_chars follows where a text changes)."""
+    """Rejected documents go, and failing lines go from the others (n_chars follows where a text changes). Each row is judged
+    alone, so repeated rows fare alike; null and blank texts are rejected; columns of any name stay as they are.
+    """
     judged = quality_rules(docs).where("kept")
     changed = F.col("n_removed") > 0
     judged = judged.withColumn("text", F.when(changed, F.col("clean_text")).otherwise(F.col("text")))
@@ -51,12 +53,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target takes it."""
+    """Each document as often as its source's target takes it. Equal keys are ordered by document, and rows equal in id,
+    source and text are taken alike; a null source is one of its own, and a null text has no words but a place in the order.
+    Columns that begin with two underscores are the mix's own.
+    """
     return mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences. Repeated rows are packed one by one, a null text as its end id; pieces of equal
+    length are used in the order of their rows. The result has columns of its own.
+    """
     return with_digest(pack_documents(docs))
 
 
