@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import materialise, new_path, table
-from plumbline.llm.runs import CHUNK, SHARD_BYTES, Counter, by_shard, counts_at, every_shard, get, merge_runs, put, put_counts, run_batch, runs_of, shard_bits, small, stretches
+from plumbline.llm.runs import CHUNK, SHARD_BYTES, Counter, by_place, by_shard, counts_at, every_shard, get, merge_runs, put, put_counts, run_batch, runs_of, shard_bits, small, stretches
 from plumbline.llm.tokens import slices
 from plumbline.llm.vec import mix, word_hashes
 
@@ -171,7 +171,7 @@ class Model:
         """Indices of sorted pairs, -1 for those not in the training rows."""
         out = np.full(len(key), -1, np.int64)
         place = self.place_of_pair(key)
-        order = np.argsort(place, kind="stable")
+        order = by_place(place)
         for k, a, b in stretches(place[order]):
             at = self.find_pairs(k, key[order[a:b]])
             out[order[a:b]] = np.where(at >= 0, at + self.pair_offsets[k], -1)
@@ -183,11 +183,13 @@ class Model:
     def of_pairs(self, name: str, index: np.ndarray, width: int = 1) -> np.ndarray:
         """Values by pair, a column each; 0 at index -1."""
         out = np.zeros((len(index), width), np.int64)
-        order = np.argsort(index, kind="stable")
-        order = order[np.searchsorted(index[order], 0) :]
-        for k, a, b in stretches(self.place_of_index(index[order])):
-            at = (index[order[a:b]] - self.pair_offsets[k])[:, None] * width + np.arange(width)
-            out[order[a:b]] = counts_at(self.root, f"{name}-{k}", at.ravel()).reshape(-1, width)
+        known = np.flatnonzero(index >= 0)
+        place = self.place_of_index(index[known])
+        order = by_place(place)
+        for k, a, b in stretches(place[order]):
+            which = known[order[a:b]]
+            at = (index[which] - self.pair_offsets[k])[:, None] * width + np.arange(width)
+            out[which] = counts_at(self.root, f"{name}-{k}", at.ravel()).reshape(-1, width)
         return out
 
     def triple_counts(self, key: np.ndarray) -> np.ndarray:

@@ -51,14 +51,14 @@ def put(root: str, name: str, array: np.ndarray) -> None:
 
 #: Mappings that a worker keeps, and bytes of arrays that it keeps where the folder isn't mounted; the oldest go first.
 KEPT_ARRAYS, KEPT_BYTES = 8192, 256 << 20
-_kept: OrderedDict[tuple[str, str], np.ndarray] = OrderedDict()
+_kept: OrderedDict[tuple[str, str], tuple[np.ndarray, int]] = OrderedDict()
 _read: list[int] = [0]
 
 
 def get(root: str, name: str) -> np.ndarray:
     if (root, name) in _kept:
         _kept.move_to_end((root, name))
-        return _kept[root, name]
+        return _kept[root, name][0]
     here = _local(root)
     if here is None:
         from pyarrow import fs
@@ -66,13 +66,12 @@ def get(root: str, name: str) -> np.ndarray:
         store, at = fs.FileSystem.from_uri(root)
         with store.open_input_file(f"{at}/{name}") as f:
             array = np.load(f)
-        _read[0] += array.nbytes
     else:
-        array = np.load(f"{here}/{name}", mmap_mode="r")
-    _kept[root, name] = array
+        array = np.load(f"{here}/{name}", mmap_mode="r").view(np.ndarray)
+    _kept[root, name] = array, 0 if here else array.nbytes
+    _read[0] += _kept[root, name][1]
     while len(_kept) > 1 and (len(_kept) > KEPT_ARRAYS or _read[0] > KEPT_BYTES):
-        gone = _kept.popitem(last=False)[1]
-        _read[0] -= 0 if isinstance(gone, np.memmap) else gone.nbytes
+        _read[0] -= _kept.popitem(last=False)[1][1]
     return array
 
 
@@ -179,6 +178,11 @@ def run_batch(key: np.ndarray, count: np.ndarray, where: tuple[np.ndarray, np.nd
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["kind", "shard", "keys", "counts"])
 
 
+def by_place(place: np.ndarray) -> np.ndarray:
+    """The order that brings equal places together, in which they were (narrow numbers sort by digits)."""
+    return np.argsort(small(place), kind="stable")
+
+
 def stretches(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Value, begin and end of each run of equal values."""
     if len(values):
