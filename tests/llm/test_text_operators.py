@@ -96,7 +96,7 @@ def test_url_filter_deals_many_keys(spark, monkeypatch):
 def test_users_columns_stay(spark):
     names = ["mark", "dir", "own_path", "left_chars", "counts", "lines", "chars", "top", "a.b", "Key"]
     text = "One two three four five six seven eight nine ten. " * 8
-    docs = spark.createDataFrame([(1, "d/f.txt", text, "http://a.com/x", *range(len(names)))], "doc_id long, path string, text string, url string, " + ", ".join(f"`{n}` int" for n in names))
+    docs = spark.createDataFrame([(1, "d/f.txt", text, "s", "http://a.com/x", *range(len(names)))], "doc_id long, path string, text string, source string, url string, " + ", ".join(f"`{n}` int" for n in names))
     for df in (quality.quality_rules(docs), licenses.license_scan(docs), url_filter.url_filter(docs.drop("path"), spark.createDataFrame([], "host string, path string, verdict string")), mixing.mixed_documents(docs, share=1.0)):
         assert [df.first()[n] for n in names] == list(range(len(names)))
 
