@@ -22,6 +22,14 @@ def merge_union(parts: list[DataFrame], key: str, merge: str, order: str) -> Dat
     return df.groupBy(key).agg(*first, merged.alias(merge))
 
 
+def distinct_structs(items: str | Column, fields: list[str]) -> Column:
+    """[R08] An array of structs in its order, of those equal in the fields the first."""
+    items = F.col(items) if isinstance(items, str) else items
+    key = lambda x: F.struct(*[x[f] for f in fields])
+    once = F.array_distinct(F.transform(items, key))
+    return F.transform(once, lambda k: F.get(F.filter(items, lambda x: key(x).eqNullSafe(k)), F.lit(0)))
+
+
 def prepend(df: DataFrame, exact: DataFrame, key: str, order: str) -> DataFrame:
     """[R05] The exact candidates first, then the others, without repeats of the key."""
     both = exact.withColumn("__p", F.lit(0)).unionByName(df.withColumn("__p", F.lit(1)))

@@ -83,7 +83,7 @@ keyed AS (SELECT *, CASE WHEN code <> '' THEN 'code:' || code ELSE 'name:' || na
 course AS (SELECT key, max(code) AS code, arg_min(name, pos) AS name, list_sort(list_distinct(list(grouping))) AS groups, list_sort(list_distinct(list(category))) AS categories, arg_min(credits, pos) FILTER (WHERE credits IS NOT NULL) AS credits FROM keyed GROUP BY 1)"""
 
 
-@query("A10 R08", f"WITH {_PLAN} SELECT key, code, array_to_string(groups, ',') AS groups, array_to_string(categories, ',') AS categories, credits FROM course")
+@query("A10", f"WITH {_PLAN} SELECT key, code, array_to_string(groups, ',') AS groups, array_to_string(categories, ',') AS categories, credits FROM course")
 def required_courses(t: Tables):
     """Required courses of a plan, rows of one course rolled up."""
     courses, _ = D.required_courses(_plan(t))

@@ -316,3 +316,11 @@ def holidays_ahead(t: Tables):
     days = t.orders.select(F.to_date("o_orderdate").alias("day")).distinct()
     met = intervals.in_window(days, h, 14)
     return met.groupBy("day").agg(F.count("name").alias("holidays"), F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
+
+
+@query("R08", f"""WITH {MEETINGS}, m AS (SELECT code, day, ps, min(section) AS section FROM meetings GROUP BY 1, 2, 3) SELECT code, string_agg(day || ':' || ps || '@' || section, ' ' ORDER BY section) AS meets FROM m GROUP BY 1""")
+def distinct_meetings(t: Tables):
+    """Meetings of a code, of which those equal in day and period count once, as the first of them."""
+    own = meetings(t).groupBy("code").agg(F.array_sort(F.collect_list(F.struct("section", "day", "ps"))).alias("all"))
+    text = lambda m: F.concat(m["day"].cast("string"), F.lit(":"), m["ps"].cast("string"), F.lit("@"), m["section"].cast("string"))
+    return own.select("code", F.array_join(F.transform(K.distinct_structs("all", ["day", "ps"]), text), " ").alias("meets"))
