@@ -62,7 +62,7 @@ def review_pages(t: Tables):
     e = t.events.select("user_id", "event_id", (F.row_number().over(w.orderBy("event_id")) - 1).alias("pos"), F.count("*").over(w).alias("total"))
     page = F.floor(F.col("pos") / 7).cast("int")
     pages = e.withColumn("page", page + 1).unionByName(e.where("pos % 7 = 6").withColumn("page", page + 2)).where(F.col("page") <= feeds.page_count(F.col("total"), 7, 20))
-    return K.keep_one(pages, ["user_id", "event_id"], [F.col("page")]).select(F.col("user_id").alias("course"), F.col("event_id").alias("review"), F.col("page").cast("long").alias("page"))
+    return K.keep_one(pages, ["user_id", "event_id"], [F.col("page")]).select(F.col("user_id").alias("course"), F.col("event_id").alias("review"), "page")
 
 
 @query("S28 S29 T08 A22 J43", """WITH e AS (SELECT event_type AS source, event_id % 97 <> 0 AND event_type <> 'error' AS good FROM events), g AS (SELECT source, count(*) FILTER (WHERE good) AS items, count(*) FILTER (WHERE NOT good) AS failed FROM e GROUP BY 1),
