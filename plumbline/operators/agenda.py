@@ -43,13 +43,16 @@ def agenda_status(kept: DataFrame, left: DataFrame, wanted: DataFrame) -> DataFr
 def now_and_next(occurrences: DataFrame, instants: DataFrame, key: str) -> DataFrame:
     """[J22, J23] For each instant (key, at) of an owner the occurrence (key, uid, begin, end) that is on, and if none is, the next.
 
-    One sort of both by begin: the last occurrence that began is carried forward to the instant, the first one after it backward.
+    Occurrences of an owner that begin at once are first put together, the last of them and the first of them by end and uid.
+    Then both are sorted by begin, forward and backward (Spark computes a frame that ends with its partition anew for each
+    row): the last occurrence that began is carried forward to the instant, the first one after it backward.
     """
     blank = F.lit(None)
-    occ = occurrences.select(key, F.col("begin").alias("t"), F.lit(0).alias("late"), F.struct("begin", "end", "uid").alias("o"), blank.cast("timestamp").alias("at"))
-    ask = instants.select(key, F.col("at").alias("t"), F.lit(1).alias("late"), blank.cast(occ.schema["o"].dataType).alias("o"), "at")
-    w = Window.partitionBy(key).orderBy("t", "late", "o")
-    both = occ.unionByName(ask).withColumn("last", F.last("o", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("after", F.first("o", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    each = F.struct("begin", "end", "uid")
+    occ = occurrences.where("begin is not null").groupBy(key, F.col("begin").alias("t")).agg(F.max(each).alias("l"), F.min(each).alias("f")).select(key, "t", F.lit(0).alias("late"), "l", "f", blank.cast("timestamp").alias("at"))
+    ask = instants.select(key, F.col("at").alias("t"), F.lit(1).alias("late"), blank.cast(occ.schema["l"].dataType).alias("l"), blank.cast(occ.schema["f"].dataType).alias("f"), "at")
+    carried = lambda c, *order: F.last(c, ignorenulls=True).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    both = occ.unionByName(ask).withColumn("last", carried("l", "t", "late")).withColumn("after", carried("f", F.desc("t"), F.desc("late")))
     on = F.when(F.col("at") < F.col("last.end"), F.col("last.uid"))
     return both.where("at is not null").select(key, "at", on.alias("on_now"), F.when(on.isNull(), F.col("after.uid")).alias("next"))
 

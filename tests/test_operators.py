@@ -324,6 +324,22 @@ def test_now_and_next(spark):
     assert got == {(1, 7): (None, "a"), (1, 8): ("a", None), (1, 9): (None, "b"), (1, 11): (None, None), (2, 8): (None, None)}
 
 
+def test_now_and_next_against_brute_force(spark):
+    rng, t0 = random.Random(5), dt.datetime(2024, 1, 1)
+    at = lambda: t0 + dt.timedelta(hours=rng.randrange(30))
+    occ = [(rng.randrange(3), f"u{rng.randrange(9)}", b := at(), b + dt.timedelta(hours=rng.randrange(4))) for _ in range(60)]
+    asked = sorted({(rng.randrange(4), at()) for _ in range(60)})
+    df = agenda.now_and_next(spark.createDataFrame([*occ, (1, "z", None, t0)], "k int, uid string, begin timestamp, end timestamp"), spark.createDataFrame(asked, "k int, at timestamp"), "k")
+    want = []
+    for k, a in asked:
+        own = [(b, e, u) for k_, u, b, e in occ if k_ == k]
+        last, after = max((o for o in own if o[0] <= a), default=None), min((o for o in own if o[0] > a), default=None)
+        on = last[2] if last and a < last[1] else None
+        want.append((k, a, on, None if on or not after else after[2]))
+    assert sorted(map(tuple, df.collect()), key=lambda r: r[:2]) == want
+    assert "unboundedfollowing" not in df._jdf.queryExecution().toString().lower()  # such a frame is computed anew for each row
+
+
 def test_weighted_mean(spark):
     df = spark.createDataFrame([(4.0, 2), (3.0, 1), (None, 5), (1.0, 0)], "p double, c int")
     r = df.agg(*audit.weighted_mean(F.col("p"), F.col("c"))).first()
