@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import plain_code
+from plumbline.functions.staging import checked_broadcast, materialise
 from plumbline.operators.rank import lookup_confidence
 
 
@@ -55,26 +56,31 @@ def match_courses(lookups: DataFrame, candidates: DataFrame) -> DataFrame:
 
     A candidate matches by code, by base code (its code goes on from the lookup's with a letter) or by name; three joins by
     equal keys. Best by: code, base code, name, teachers in common, term, reviews, rating, id, url; one with a teacher in
-    common goes before all others.
+    common goes before all others. Lookups that ask the same are answered once, and only the count and the best of an
+    answer are kept, so that what is made follows the different questions and not the lookups.
     """
-    own = lookups.select("q", plain_code(F.coalesce("code", F.lit(""))).alias("code"), plain_title("name").alias("name"), "teachers", "term")
+    ask = F.struct(plain_code(F.coalesce("code", F.lit(""))).alias("code"), plain_title("name").alias("name"), "teachers", "term")
+    asked = lookups.where("q is not null").groupBy("q").agg(F.sort_array(F.collect_set(ask)).alias("asks"))
+    # Numbered as written, so that a question keeps its number.
+    questions = materialise(asked.select("asks").distinct().withColumn("question", F.monotonically_increasing_id()), "questions")
+    own = checked_broadcast(questions.select("question", F.inline("asks")))
     cand = candidates.select("id", plain_code(F.coalesce("code", F.lit(""))).alias("c_code"), plain_title("name").alias("c_name"), F.col("teachers").alias("c_teachers"), "terms", "reviews", "rating", "url")
     extended = cand.withColumn("base", F.explode(bases_of(F.col("c_code"))))
-    by = lambda a, side, b: own.where(f"{a} <> ''").join(side, F.col(a) == F.col(b))
-    met = by("code", cand, "c_code").unionByName(by("code", extended, "base").drop("base")).unionByName(by("name", cand, "c_name")).dropDuplicates(["q", "id", "url"])
+    by = lambda a, side, b: side.join(own.where(f"{a} <> ''"), F.col(a) == F.col(b))
+    met = by("code", cand, "c_code").unionByName(by("code", extended, "base").drop("base")).unionByName(by("name", cand, "c_name"))
     exact = (F.col("code") != "") & (F.col("code") == F.col("c_code"))
     rest = F.substr("c_code", F.length("code") + 1)
     base = (F.col("code") != "") & ~exact & F.col("c_code").startswith(F.col("code")) & rest.rlike("^[A-Z][A-Z0-9]*$")
     near = lambda t: F.exists(F.coalesce("c_teachers", F.array().cast("array<string>")), lambda c: (t == c) | t.contains(c) | c.contains(t))
     shared = F.size(F.filter(F.coalesce("teachers", F.array().cast("array<string>")), near))
-    met = met.withColumns({"exact": exact, "base": base, "named": (F.col("name") != "") & (F.col("name") == F.col("c_name")), "shared": shared, "in_term": F.coalesce(F.array_contains("terms", F.col("term")), F.lit(False))})
-    n = F.count("*").over(Window.partitionBy("q"))
-    order = [F.col("shared") > 0, "exact", "base", "named", "shared", "in_term", F.coalesce("reviews", F.lit(0)), F.coalesce("rating", F.lit(-1.0))]
-    down = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
-    place = F.row_number().over(Window.partitionBy("q").orderBy(*down, "id", "url"))
-    best = met.withColumn("matches", n).withColumn("place", place).where("place = 1")
-    sure = lookup_confidence(F.col("exact"), F.col("base"), F.col("named"), F.col("shared"), F.col("in_term"), F.col("matches"))
-    best = best.select("q", F.col("id").alias("picked"), "matches", sure.alias("confidence"))
+    met = met.select("question", "id", "url", "reviews", "rating", exact.alias("exact"), base.alias("base"), ((F.col("name") != "") & (F.col("name") == F.col("c_name"))).alias("named"), shared.alias("shared"), F.coalesce(F.array_contains("terms", F.col("term")), F.lit(False)).alias("in_term"))
+    rating = F.coalesce(F.col("rating").cast("double"), F.lit(-1.0))
+    # The least is the best: what goes down is turned round (NaN is the largest rating).
+    place = F.struct((F.col("shared") <= 0).alias("x"), *[(~F.col(c)).alias(f"not_{c}") for c in ("exact", "base", "named")], (-F.col("shared")).alias("less"), (~F.col("in_term")).alias("not_in_term"), (-F.coalesce("reviews", F.lit(0))).alias("reviews"), (~F.isnan(rating)).alias("rated"), (-F.nanvl(rating, F.lit(0.0))).alias("rating"), "id", "url", "shared")
+    each = met.groupBy("question", "id", "url").agg(F.min(place).alias("x"))
+    best = each.groupBy("question").agg(F.count("*").alias("matches"), F.min("x").alias("x"))
+    sure = lookup_confidence(~F.col("x.not_exact"), ~F.col("x.not_base"), ~F.col("x.not_named"), F.col("x.shared"), ~F.col("x.not_in_term"), F.col("matches"))
+    best = best.select("question", F.col("x.id").alias("picked"), "matches", sure.alias("confidence")).join(questions, "question").join(asked, "asks").select("q", "picked", "matches", "confidence")
     status = F.when(F.col("picked").isNull(), "not_found").when((F.col("confidence") == "low") & (F.col("matches") > 1), "ambiguous").otherwise("matched")
     return lookups.select("q").join(best, "q", "left").select("q", "picked", F.coalesce("matches", F.lit(0)).alias("matches"), F.coalesce("confidence", F.lit("none")).alias("confidence"), status.alias("status"))
 

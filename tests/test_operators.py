@@ -305,6 +305,16 @@ def test_lookups(spark):
     assert got == {1: (1, 2, "medium", "matched"), 2: (2, 2, "medium", "matched"), 3: (3, 1, "low", "matched"), 4: (None, 0, "none", "not_found")}
 
 
+def test_lookups_that_ask_the_same(spark):
+    cand = spark.createDataFrame([(1, "CS1A", "n", ["x"], ["t"], 1, 9.0, "u"), (1, "CS1", "n", ["x"], ["t"], 1, 9.0, "u"), (2, "CS1", "m", None, None, None, float("nan"), "v"), (3, "CS1", "m", None, None, None, 5.0, "w")], "id int, code string, name string, teachers array<string>, terms array<string>, reviews int, rating double, url string")
+    looks = spark.createDataFrame([*[(q, "CS1", "n", [], None) for q in range(20)], *[(q, "CS1", "", ["x"], "t") for q in range(20, 40)], (50, "CS1", "", [], None), (50, "", "n", [], None), (None, "CS1", "", [], None)], "q int, code string, name string, teachers array<string>, term string")
+    got = [(r.q, r.picked, r.matches, r.confidence, r.status) for r in lookup.match_courses(looks, cand).collect()]
+    assert sorted(x for x in got if x[0] is not None and x[0] < 40) == [(q, 1, 3, "medium" if q < 20 else "high", "matched") for q in range(40)]
+    assert [x for x in got if x[0] is None] == [(None, None, 0, "none", "not_found")] and {x[2] for x in got if x[0] == 50} == {3}
+    none = spark.createDataFrame([(7, "CS1", "", [], None)], looks.schema)
+    assert [(r.picked, r.matches) for r in lookup.match_courses(none, cand.where("id > 1")).collect()] == [(2, 2)]  # NaN is the largest rating
+
+
 def test_booking_rules(spark):
     now = F.lit("2024-01-10 12:00:00").cast("timestamp")
     t = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)

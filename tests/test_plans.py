@@ -62,3 +62,7 @@ def test_scores_are_made_once(spark, name):
 
 def test_lists_of_pages_take_a_bounded_top(spark):
     assert "TakeOrderedAndProject" in plan(spark, "cross_department") and "TakeOrderedAndProject" in plan(spark, "submitted_grades")
+
+
+def test_lookups_of_courses_keep_the_best_only(spark):
+    assert not nodes(plan(spark, "course_lookup"), "Window")
