@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.staging import checked_broadcast, materialise
+
 
 def meets(a: DataFrame, b: DataFrame) -> Column:
     """Periods overlap, both ends included."""
@@ -16,20 +18,42 @@ def by_week(slots: DataFrame) -> DataFrame:
     return slots.withColumn("week", F.explode("weeks")).drop("weeks")
 
 
-def _week_bits(weeks: Column) -> Column:
-    """A bit for each week (those 63 apart share one): without a common bit there is no common week."""
-    return F.aggregate(weeks, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(w, F.lit(63)).cast("int"))))
+def _week_sets(weeks: Column) -> tuple[Column, Column]:
+    """Weeks as a bit for each of 0 to 62, and those outside as an array, null if there are none."""
+    inside = lambda w: (w >= 0) & (w <= 62)
+    bits = F.aggregate(F.filter(weeks, inside), F.lit(0).cast("long"), lambda bits, w: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.cast("int"))))
+    rest = F.filter(weeks, lambda w: ~inside(w))
+    return bits, F.when(F.size(rest) > 0, rest)
 
 
 def conflict_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
     """[J01, J02, R10] section_a < section_b that have a meeting in common by keys, week and periods.
 
-    Slots join by keys and period, and a pair counts at its first common period, so that it comes once; weeks are compared
-    as bits and then as arrays, so that a pair isn't made for each week.
+    Slots join by keys and period, and two of them count at their first common period, so that they come once; weeks are
+    compared as sets, so that a pair isn't made for each week. Only a section with several slots can bring a pair again:
+    those sections are counted first, and their pairs alone are made distinct. All other pairs leave the join unshuffled.
     """
-    side = lambda df, s: df.where("ps <= pe").select(*keys, F.explode(F.sequence("ps", "pe")).alias("period"), F.col("ps").alias(f"ps_{s}"), F.col("weeks").alias(f"weeks_{s}"), _week_bits(F.col("weeks")).alias(f"bits_{s}"), F.col("section").alias(f"section_{s}"))
-    hit = (F.col("section_a") < F.col("section_b")) & (F.col("period") == F.greatest("ps_a", "ps_b")) & (F.col("bits_a").bitwiseAND(F.col("bits_b")) != 0) & F.arrays_overlap("weeks_a", "weeks_b")
-    return side(left, "a").join(side(right, "b"), [*keys, "period"]).where(hit).select("section_a", "section_b").distinct()
+    several = lambda df: df.groupBy("section").count().where("count > 1").select("section")
+    more = materialise(several(left) if left is right else several(left).union(several(right)).distinct(), "several")
+    if more.isEmpty():
+        return _slot_pairs(left, right, keys)
+    more = checked_broadcast(more)
+    once, many = (lambda df, how=how: df.join(more, "section", how) for how in ("left_anti", "left_semi"))
+    again = _slot_pairs(many(left), right, keys).unionByName(_slot_pairs(once(left), many(right), keys))
+    return _slot_pairs(once(left), once(right), keys).unionByName(again.distinct())
+
+
+def _slot_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """A row for two slots in conflict. The join is told to sort and shuffle: a size estimated from a file doesn't know of the
+    rows made here, and could have them broadcast."""
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        bits, rest = _week_sets(F.col("weeks"))
+        return df.where("ps <= pe").select(*keys, F.explode(F.sequence("ps", "pe")).alias("period"), F.col("ps").alias(f"ps_{s}"), bits.alias(f"bits_{s}"), rest.alias(f"rest_{s}"), F.col("section").alias(f"section_{s}"))
+
+    weeks = (F.col("bits_a").bitwiseAND(F.col("bits_b")) != 0) | (F.col("rest_a").isNotNull() & F.col("rest_b").isNotNull() & F.arrays_overlap("rest_a", "rest_b"))
+    hit = (F.col("section_a") < F.col("section_b")) & (F.col("period") == F.greatest("ps_a", "ps_b")) & weeks
+    return side(left, "a").join(side(right, "b").hint("merge"), [*keys, "period"]).where(hit).select("section_a", "section_b")
 
 
 def unblocked(slots: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -25,6 +25,16 @@ def clash(a, b):
     return a[2] == b[2] and a[3] <= b[4] and b[3] <= a[4] and bool(set(a[5]) & set(b[5]))
 
 
+def test_conflicts_of_sections_with_several_slots_and_any_weeks(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(25), 0, rng.randrange(1, 3), ps := rng.randrange(1, 9), ps + rng.randrange(3), rng.choice([None, [], *[rng.sample([-1, 0, 1, 62, 63, 64, 125], rng.randrange(1, 4)) for _ in range(9)]]), 0, "") for _ in range(40)]
+    df = spark.createDataFrame(rows, SLOTS)
+    want = {(a[0], b[0]) for a, b in itertools.product(rows, rows) if a[0] < b[0] and a[5] and b[5] and clash(a, b)}
+    for left, right in ((df, df), (df, df.where("true"))):
+        got = [tuple(r) for r in intervals.conflict_pairs(left, right).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_conflicts_against_pairs(spark):
     rows, df = random_slots(spark, 60, 1)
     got = {tuple(r) for r in intervals.conflict_pairs(df, df).collect()}

@@ -64,5 +64,10 @@ def test_lists_of_pages_take_a_bounded_top(spark):
     assert "TakeOrderedAndProject" in plan(spark, "cross_department") and "TakeOrderedAndProject" in plan(spark, "submitted_grades")
 
 
+def test_pairs_of_conflicts_are_not_shuffled(spark):
+    text = plan(spark, "conflict_pairs")
+    assert not nodes(text, "HashAggregate") and len(nodes(text, "Exchange")) <= 2
+
+
 def test_lookups_of_courses_keep_the_best_only(spark):
     assert not nodes(plan(spark, "course_lookup"), "Window")
