@@ -56,6 +56,16 @@ def _slot_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> Dat
     return side(left, "a").join(side(right, "b").hint("merge"), [*keys, "period"]).where(hit).select("section_a", "section_b")
 
 
+def slots_at(asked: DataFrame, slots: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """[J07, J44] asked (keys, week, period and others) with the section of each slot (keys, ps, pe, weeks, section) that takes
+    place then. They join by keys and period, and the week is looked up in a slot's set, so that no slot is repeated for
+    each week; as in conflict_pairs, the join doesn't broadcast."""
+    bits, rest = _week_sets(F.array_distinct("weeks"))
+    there = slots.where("ps <= pe").select(*keys, F.explode(F.sequence("ps", "pe")).alias("period"), bits.alias("__bits"), rest.alias("__rest"), "section")
+    inside = F.col("week").between(0, 62) & (F.call_function("shiftright", F.col("__bits"), F.col("week").cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
+    return asked.join(there.hint("merge"), [*keys, "period"]).where(inside | F.coalesce(F.array_contains("__rest", F.col("week")), F.lit(False))).drop("__bits", "__rest")
+
+
 def unblocked(slots: DataFrame, blocks: DataFrame) -> DataFrame:
     """[J03] Slots that overlap no block of their day."""
     return slots.join(blocks.select(F.col("day").alias("bd"), F.col("ps").alias("bp"), F.col("pe").alias("be")), (F.col("day") == F.col("bd")) & (F.col("ps") <= F.col("be")) & (F.col("bp") <= F.col("pe")), "left_anti")

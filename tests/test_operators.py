@@ -35,6 +35,13 @@ def test_conflicts_of_sections_with_several_slots_and_any_weeks(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_slots_at_any_week(spark):
+    slots = spark.createDataFrame([(1, 0, 1, 2, 3, [0, 5, 62], 9, ""), (2, 0, 1, 3, 3, [-1, 63, 5], 9, ""), (3, 0, 1, 3, 4, None, 9, ""), (4, 0, 2, 3, 3, [5], 9, ""), (5, 0, 1, 3, 3, [5], 8, "")], SLOTS)
+    asked = spark.createDataFrame([(w, 9, 1, w, 3) for w in (-1, 0, 5, 62, 63, 68)], "id int, room int, day int, week int, period int")
+    got = {(r.id, r.section) for r in intervals.slots_at(asked, slots, ("room", "day")).collect()}
+    assert got == {(-1, 2), (0, 1), (5, 1), (5, 2), (62, 1), (63, 2)}
+
+
 def test_conflicts_against_pairs(spark):
     rows, df = random_slots(spark, 60, 1)
     got = {tuple(r) for r in intervals.conflict_pairs(df, df).collect()}

@@ -69,5 +69,10 @@ def test_pairs_of_conflicts_are_not_shuffled(spark):
     assert not nodes(text, "HashAggregate") and len(nodes(text, "Exchange")) <= 2
 
 
+def test_meetings_by_room_are_not_broadcast_or_repeated_by_week(spark):
+    joins = nodes(plan(spark, "room_now"), "SortMergeJoin")
+    assert any("period" in j.split("Left keys")[1].split("\n")[0] for j in joins)
+
+
 def test_lookups_of_courses_keep_the_best_only(spark):
     assert not nodes(plan(spark, "course_lookup"), "Window")
