@@ -10,6 +10,10 @@ its first pair (a pair's index is its place in the pairs' files); counts take a
 the shard of their first word. Those of a word that alone would fill a quarter of a shard are dealt, by the whole pair,
 over shards in proportion to the word's count.
 
+Lookups go through a bounded number of files: once a step has written a shard's arrays, those of adjacent shards are strung
+together, so that neither the arrays a worker maps nor the steps of a lookup grow with the shards. In a mounted folder there
+are as many of these groups as the square root of the shards, 16 at least; elsewhere each shard stays a group.
+
 P(v | u) = (c(u, v) - D) / c(u) + g(u) P(v), P(v) = (k(v) - D') / K + g' / (V + 1): k counts the different words before v,
 K the different pairs, D and D' depend on the count (1, 2, 3 and more) by the counts of counts, and g gives what was
 taken off. After an unknown word, P(v) alone counts.
@@ -38,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import materialise, new_path, table
-from plumbline.llm.runs import CHUNK, SHARD_BYTES, Counter, by_place, by_shard, counts_at, every_shard, get, merge_runs, put, put_counts, run_batch, runs_of, shard_bits, small, stretches
+from plumbline.llm.runs import CHUNK, SHARD_BYTES, Counter, by_place, by_shard, counts_at, every_shard, get, join_begins, join_counts, join_heads, join_rows, mounted, merge_runs, put, put_counts, run_batch, runs_of, shard_bits, small, stretches
 from plumbline.llm.tokens import slices
 from plumbline.llm.vec import mix, word_hashes
 
@@ -102,6 +106,14 @@ class Model:
     last_stats: np.ndarray | None = None
     triple_off: tuple = (0.0, 0.0, 0.0)
 
+    @property
+    def shift(self) -> int:
+        """Bits of a shard's number within its group; a group of a place, too, is its number without them."""
+        return max(0, self.bits - max(4, self.bits // 2)) if mounted(self.root) else 0
+
+    def file(self, name: str, group: int) -> str:
+        return f"{name}-all-{group}" if self.shift else f"{name}-{group}"
+
     def shard_of_hash(self, h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -111,19 +123,19 @@ class Model:
     def ids(self, h: np.ndarray) -> np.ndarray:
         """Ids of sorted hashes, -1 for those not in the vocabulary."""
         out = np.full(len(h), -1, np.int64)
-        for s, a, b in stretches(self.shard_of_hash(h)):
-            own = get(self.root, f"hash-{s}.npy")
+        for g, a, b in stretches(self.shard_of_hash(h) >> self.shift):
+            own = get(self.root, self.file("hash", g) + ".npy")
             if len(own):
                 at = np.minimum(np.searchsorted(own, h[a:b]), len(own) - 1)
-                out[a:b] = np.where(own[at] == h[a:b], at + self.offsets[s], -1)
+                out[a:b] = np.where(own[at] == h[a:b], at + self.offsets[g << self.shift], -1)
         return out
 
     def of_words(self, name: str, ids: np.ndarray, width: int = 1) -> np.ndarray:
         """Values by id, for sorted ids, a column each."""
         out = np.zeros((len(ids), width), np.int64)
-        for s, a, b in stretches(self.shard_of_id(ids)):
-            at = (ids[a:b] - self.offsets[s])[:, None] * width + np.arange(width)
-            out[a:b] = counts_at(self.root, f"{name}-{s}", at.ravel()).reshape(-1, width)
+        for g, a, b in stretches(self.shard_of_id(ids) >> self.shift):
+            at = (ids[a:b] - self.offsets[g << self.shift])[:, None] * width + np.arange(width)
+            out[a:b] = counts_at(self.root, self.file(name, g), at.ravel()).reshape(-1, width)
         return out
 
     def after_words(self, name: str, ids: np.ndarray, often: np.ndarray) -> np.ndarray:
@@ -147,34 +159,48 @@ class Model:
     def split(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return place >> self.bits, place & (1 << self.bits) - 1
 
-    def heads(self, place: int) -> np.ndarray:
-        """The first words whose pairs are kept there."""
-        shard = place & (1 << self.bits) - 1
-        return get(self.root, f"heads-{shard}.npy") if place >> self.bits else np.arange(self.offsets[shard], self.offsets[shard + 1])
-
-    def find_pairs(self, place: int, key: np.ndarray) -> np.ndarray:
-        """Where pairs of a place are in its file, or -1."""
-        u = (key >> _HALF).astype(np.int64)
+    def heads(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first words whose pairs are kept there, and where those of each begin among the place's pairs, and the end."""
+        group, shard = place >> self.shift, place & (1 << self.bits) - 1
         if place >> self.bits:
-            heads = self.heads(place)
+            every, local = get(self.root, self.file("heads", group) + ".npy"), shard & (1 << self.shift) - 1
+            first, end = np.searchsorted(every, np.array([local, local + 1]) << 32)
+            heads = every[first:end] & int(_LOW)
+        else:
+            heads = np.arange(self.offsets[shard], self.offsets[shard + 1])
+            first = self.offsets[shard] - self.offsets[shard >> self.shift << self.shift]
+        begin = get(self.root, self.file("pairsat", group) + ".npy")[first : first + len(heads) + 1]
+        return heads, begin.astype(np.int64) - self.stretch(place)[0]
+
+    def stretch(self, place: int) -> tuple[int, int]:
+        """Where a place's pairs begin and end in the files of its group."""
+        base = self.pair_offsets[place >> self.shift << self.shift]
+        return int(self.pair_offsets[place] - base), int(self.pair_offsets[place + 1] - base)
+
+    def find_pairs(self, group: int, place: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Where pairs of a group, by place, are in its file, or -1."""
+        u = (key >> _HALF).astype(np.int64)
+        if group >> self.bits - self.shift:
+            heads = get(self.root, self.file("heads", group) + ".npy")
             if not len(heads):
                 return np.full(len(key), -1, np.int64)
-            at = np.minimum(np.searchsorted(heads, u), len(heads) - 1)
-            known = heads[at] == u
+            head = (place & (1 << self.shift) - 1) << 32 | u
+            at = np.minimum(np.searchsorted(heads, head), len(heads) - 1)
+            known = heads[at] == head
         else:
-            at, known = u - self.offsets[place], True
-        begin = get(self.root, f"pairsat-{place}.npy")
+            at, known = u - self.offsets[group << self.shift], True
+        begin = get(self.root, self.file("pairsat", group) + ".npy")
         low = begin[at].astype(np.int64)
-        return find(get(self.root, f"pairs-{place}.npy"), low, np.where(known, begin[at + 1].astype(np.int64), low), key & _LOW)
+        return find(get(self.root, self.file("pairs", group) + ".npy"), low, np.where(known, begin[at + 1].astype(np.int64), low), key & _LOW)
 
     def pair_index(self, key: np.ndarray) -> np.ndarray:
         """Indices of sorted pairs, -1 for those not in the training rows."""
         out = np.full(len(key), -1, np.int64)
         place = self.place_of_pair(key)
         order = by_place(place)
-        for k, a, b in stretches(place[order]):
-            at = self.find_pairs(k, key[order[a:b]])
-            out[order[a:b]] = np.where(at >= 0, at + self.pair_offsets[k], -1)
+        for g, a, b in stretches(place[order] >> self.shift):
+            at = self.find_pairs(g, place[order[a:b]], key[order[a:b]])
+            out[order[a:b]] = np.where(at >= 0, at + self.pair_offsets[g << self.shift], -1)
         return out
 
     def place_of_index(self, index: np.ndarray) -> np.ndarray:
@@ -184,12 +210,12 @@ class Model:
         """Values by pair, a column each; 0 at index -1."""
         out = np.zeros((len(index), width), np.int64)
         known = np.flatnonzero(index >= 0)
-        place = self.place_of_index(index[known])
-        order = by_place(place)
-        for k, a, b in stretches(place[order]):
+        group = self.place_of_index(index[known]) >> self.shift
+        order = by_place(group)
+        for g, a, b in stretches(group[order]):
             which = known[order[a:b]]
-            at = (index[which] - self.pair_offsets[k])[:, None] * width + np.arange(width)
-            out[which] = counts_at(self.root, f"{name}-{k}", at.ravel()).reshape(-1, width)
+            at = (index[which] - self.pair_offsets[g << self.shift])[:, None] * width + np.arange(width)
+            out[which] = counts_at(self.root, self.file(name, g), at.ravel()).reshape(-1, width)
         return out
 
     def triple_counts(self, key: np.ndarray) -> np.ndarray:
@@ -197,13 +223,30 @@ class Model:
         out = np.zeros(len(key), np.int64)
         bits = np.uint64(self.word_bits)
         first = (key >> bits).astype(np.int64)
-        for k, a, b in stretches(self.place_of_index(first)):
-            begin, at = get(self.root, f"triplesat-{k}.npy"), first[a:b] - self.pair_offsets[k]
-            where = find(get(self.root, f"triples-{k}.npy"), begin[at].astype(np.int64), begin[at + 1].astype(np.int64), key[a:b] & np.uint64((1 << self.word_bits) - 1))
-            out[a:b][where >= 0] = counts_at(self.root, f"triplecount-{k}", where[where >= 0])
+        for g, a, b in stretches(self.place_of_index(first) >> self.shift):
+            begin, at = get(self.root, self.file("triplesat", g) + ".npy"), first[a:b] - self.pair_offsets[g << self.shift]
+            where = find(get(self.root, self.file("triples", g) + ".npy"), begin[at].astype(np.int64), begin[at + 1].astype(np.int64), key[a:b] & np.uint64((1 << self.word_bits) - 1))
+            out[a:b][where >= 0] = counts_at(self.root, self.file("triplecount", g), where[where >= 0])
         return out
 
 
+def _string(spark, model: Model, by_shard: dict, by_place: dict) -> None:
+    """String the arrays of each group's shards, or places, together; each kind of arrays and group is a task."""
+    root, size = model.root, 1 << model.shift
+    tasks = [(name, join, g) for kinds, groups in ((by_shard, 1 << model.bits - model.shift), (by_place, 2 << model.bits - model.shift)) for name, join in kinds.items() for g in range(groups)]
+    tasks = [(name, join, g) for name, join, g in tasks if name != "heads" or g >> model.bits - model.shift]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                name, join, g = tasks[i]
+                join(root, [f"{name}-{k}" for k in range(g * size, (g + 1) * size)], model.file(name, g))
+        yield from ()
+
+    if model.shift:
+        spark.range(0, len(tasks), 1, len(tasks)).mapInArrow(run, "id long").collect()
+
+
 def discounts(n: np.ndarray) -> tuple[float, float, float]:
     """Of counts 1, 2, 3 and more, by the counts of counts 1 to 4."""
     n1, n2, n3, n4 = (float(x) for x in n)
@@ -271,10 +314,14 @@ def train(docs: DataFrame, text: str = "text", order: int = 2, shard_bytes: int
         raise ValueError("order 2 or 3")
     own = docs.select(F.col(text).alias("text"))
     model = Model(new_path(docs.sparkSession, "lm"), bits := shard_bits(own, "text", shard_bytes), np.zeros((1 << bits) + 1, np.int64), order=order)
+    spark = docs.sparkSession
     _train_words(own, model)
+    _string(spark, model, {"hash": join_rows, "count": join_counts}, {})
     _train_pairs(own, model)
+    _string(spark, model, {"before": join_counts, "follow": join_counts}, {"heads": join_heads, "pairs": join_rows, "pairsat": join_begins, "paircount": join_counts})
     if order == 3:
         _train_triples(own, model)
+        _string(spark, model, {"lastfollow": join_counts}, {"next": join_counts, "last": join_counts, "triples": join_rows, "triplesat": join_begins, "triplecount": join_counts})
     return model
 
 
@@ -326,9 +373,9 @@ def _train_pairs(own: DataFrame, model: Model) -> None:
             place = kind << model.bits | shard
             key, count = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
             u = (key >> _HALF).astype(np.int64)
+            heads = np.unique(u) if kind else np.arange(model.offsets[shard], model.offsets[shard + 1])
             if kind:
-                put(root, f"heads-{shard}.npy", np.unique(u))
-            heads = model.heads(place)
+                put(root, f"heads-{place}.npy", heads)
             at = np.searchsorted(heads, u)
             put(root, f"pairs-{place}.npy", (key & _LOW).astype(np.uint32))
             put(root, f"pairsat-{place}.npy", begins(at, len(heads)))
@@ -394,7 +441,8 @@ def _train_triples(own: DataFrame, model: Model) -> None:
         for kind in (0, 1):
             place = kind << model.bits | shard
             key, count = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
-            first, third = get(root, f"pairs-{place}.npy"), key & low
+            begin, end = model.stretch(place)
+            first, third = get(root, model.file("pairs", place >> model.shift) + ".npy")[begin:end], key & low
             at = (key >> bits).astype(np.int64) - model.pair_offsets[place]
             put(root, f"triples-{place}.npy", third.astype(np.uint32))
             put(root, f"triplesat-{place}.npy", begins(at, len(first)))
@@ -410,13 +458,13 @@ def _train_triples(own: DataFrame, model: Model) -> None:
         for kind in (0, 1):
             place = kind << model.bits | shard
             key, times = merge_runs(runs_of(runs.filter(pc.equal(runs["kind"], kind))))
-            heads, begin = model.heads(place), get(root, f"pairsat-{place}.npy").astype(np.int64)
+            (heads, begin), own = model.heads(place), model.stretch(place)[0]
             count = np.zeros(int(begin[-1]), np.int64)
-            count[model.find_pairs(place, key)] = times
+            count[model.find_pairs(place >> model.shift, np.full(len(key), place), key) - own] = times
             of = np.repeat(np.arange(len(heads)), np.diff(begin))
             if kind and len(heads) and heads[-1] == START_ID:
                 begun = np.arange(begin[-2], begin[-1])
-                count[begun] = counts_at(root, f"paircount-{place}", begun)
+                count[begun] = counts_at(root, model.file("paircount", place >> model.shift), begun + own)
             put_counts(root, f"last-{place}", count)
             n += _count_of_counts(count)
             some = count > 0

@@ -97,6 +97,61 @@ def counts_at(root: str, name: str, at: np.ndarray) -> np.ndarray:
     return out
 
 
+# Arrays of adjacent shards, strung together in a mounted folder: a part after the other, never a whole in memory
+
+
+def mounted(root: str) -> bool:
+    return _local(root) is not None
+
+
+def _string(root: str, parts: list[str], whole: str, dtype, more: int, piece) -> None:
+    """piece(array, place of the part, entries before it) of each part as one array, with room for so many more entries at
+    its end, which hold the sum; then the parts go. Where an attempt has done so before, nothing is left but to remove them."""
+    here = _local(root)
+    if not os.path.exists(f"{here}/{whole}.npy"):
+        arrays = [np.load(f"{here}/{x}.npy", mmap_mode="r") for x in parts]
+        ends = np.cumsum([0, *(len(x) - more for x in arrays)])
+        kind = np.dtype(dtype(arrays))
+        aside = f"{here}/.{whole}.{uuid.uuid4().hex}"
+        with open(aside, "wb") as f:
+            np.lib.format.write_array_header_1_0(f, {"descr": np.lib.format.dtype_to_descr(kind), "fortran_order": False, "shape": (int(ends[-1]) + more,)})
+            before = 0
+            for k, array in enumerate(arrays):
+                f.write(np.ascontiguousarray(piece(array[: len(array) - more], k, before).astype(kind)).data)
+                before += int(array[-1]) if more else len(array)
+            f.write(np.array([before] * more).astype(kind).data)
+        os.replace(aside, f"{here}/{whole}.npy")
+    for x in parts:
+        if os.path.exists(f"{here}/{x}.npy"):
+            os.remove(f"{here}/{x}.npy")
+
+
+def join_rows(root: str, parts: list[str], whole: str) -> None:
+    _string(root, parts, whole, lambda arrays: arrays[0].dtype, 0, lambda x, k, before: x)
+
+
+def join_heads(root: str, parts: list[str], whole: str) -> None:
+    """With the part's number above 32 bits, so that they stay in order."""
+    _string(root, parts, whole, lambda arrays: np.int64, 0, lambda x, k, before: x | k << 32)
+
+
+def join_begins(root: str, parts: list[str], whole: str) -> None:
+    """Of stretches that follow each other: the end of a part is the begin of the next."""
+    _string(root, parts, whole, lambda arrays: np.min_scalar_type(sum(int(x[-1]) for x in arrays)), 1, lambda x, k, before: x.astype(np.int64) + before)
+
+
+def join_counts(root: str, parts: list[str], whole: str) -> None:
+    """The large ones first, as their places need the lengths of the parts."""
+    here = _local(root)
+    if not os.path.exists(f"{here}/{whole}-large.npy"):
+        ends = np.cumsum([0, *(len(np.load(f"{here}/{x}.npy", mmap_mode="r")) for x in parts)])
+        put(root, f"{whole}-large.npy", np.concatenate([np.load(f"{here}/{x}-large.npy") + np.array([[n], [0]]) for x, n in zip(parts, ends[:-1], strict=True)], axis=1))
+    join_rows(root, parts, whole)
+    for x in parts:
+        if os.path.exists(f"{here}/{x}-large.npy"):
+            os.remove(f"{here}/{x}-large.npy")
+
+
 # Runs of sorted keys and counts
 
 

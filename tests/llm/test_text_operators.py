@@ -394,6 +394,22 @@ def test_lm_deals_frequent_words_over_shards(spark, monkeypatch, order):
     assert all(math.isclose(a[i], b[i], rel_tol=1e-9) for i in a) and len(a) == len(texts)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_lookups_go_through_a_bounded_number_of_files(spark, order):
+    import os
+
+    from plumbline.llm import runs
+
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 3000}" for _ in range(rng.randrange(60))) for _ in range(120)] + [None, "the " * 700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, many = ngram_lm.train(docs, order=order), ngram_lm.train(docs, order=order, shard_bytes=100)
+    assert (one.bits, one.shift) == (4, 0) and many.bits >= 8 and many.shift == many.bits - max(4, many.bits // 2)
+    assert len(os.listdir(runs._local(many.root))) <= len(os.listdir(runs._local(one.root)))
+    score = lambda model: {r.doc_id: (r.n_known, r.base_score, r.score) for r in ngram_lm.score(docs, model).collect()}
+    assert score(one) == score(many)
+
+
 def test_lm_of_other_stores_and_large_counts(tmp_path):
     from plumbline.llm import runs
 
